@@ -12,6 +12,7 @@ An empty table gives an empty result. Other columns of the input are left out.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -23,10 +24,12 @@ from .common import table, written
 
 CAPACITY = 4096
 END_ID = 1
-#: Words whose ids a worker remembers; it forgets all of them beyond this.
-CACHE_WORDS = 300_000
+#: Words whose ids a worker remembers in each of two generations; the older one is dropped when the newer is full.
+CACHE_WORDS = 500_000
+#: Latin letters, then plain punctuation: the tokenizer always splits between the two, and the last id of each part, only, ends a word.
+PLAIN = r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,!?;:]*)"
 #: Documents that a worker splits at once.
-SLICE_ROWS = 128
+SLICE_ROWS = 512
 #: Ranks are counted in shards of about so many pieces of one length.
 SHARD_PIECES = 50_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -75,38 +78,89 @@ def plan_best_fit(histogram: dict[int, int], capacity: int = CAPACITY) -> list[t
     return rows
 
 
-def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """Tokenise doc_id and text, add the end id and cut what is longer than capacity.
+class WordIds:
+    """Ids of a tokenizer's words as bytes, little-endian and 32 bits each, remembered for a while.
 
-    The tokenizer's ids of a text are those of its space-separated words one after the other, so
-    a worker asks it for new words only.
+    The tokenizer's ids of a text are those of its space-separated words one after the other. New
+    plain words go to it many to a string and are told apart by its word-end ids.
     """
 
-    def cut(batches: Iterator) -> Iterator:
+    def __init__(self, tokenizer_path: str | None) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import numpy as np
-        import pyarrow as pa
         import public_tokenizers
         from tokenizers import Tokenizer
 
-        model = Tokenizer.from_file(tokenizer_path or public_tokenizers.path("word_bpe_49k.json"))
-        known: dict[bytes, bytes] = {}
+        self.model = Tokenizer.from_file(tokenizer_path or public_tokenizers.path("word_bpe_49k.json"))
+        self.ends = np.zeros(self.model.get_vocab_size(), bool)
+        self.ends[[i for token, i in self.model.get_vocab().items() if token.endswith("</w>")]] = True
+        self.plain = re.compile(PLAIN).fullmatch
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def _coded(self, texts: list[str]) -> list[bytes]:
+        import numpy as np
+
+        return [np.array(e.ids, "<u4").tobytes() for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _coded_plain(self, words: list[str]) -> list[bytes]:
+        import numpy as np
+
+        if not words:
+            return []
+        ids = np.array([i for e in self.model.encode_batch_fast([" ".join(words[k : k + 64]) for k in range(0, len(words), 64)], add_special_tokens=False) for i in e.ids], "<u4")
+        stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
+        if len(stops) != len(words):
+            return self._coded(words)
+        flat = ids.tobytes()
+        return [flat[i:k] for i, k in zip([0, *stops[:-1].tolist()], stops.tolist(), strict=True)]
+
+    def learn(self, words: set[bytes]) -> None:
+        new = words.difference(self.known)
+        if len(self.known) + len(new) > CACHE_WORDS:
+            self.older, self.known, new = self.known, {}, words
+        again = new & self.older.keys()
+        self.known.update((w, self.older[w]) for w in again)
+        cores: dict[str, list[tuple[bytes, str]]] = {}
+        others: list[bytes] = []
+        for word in new - again:
+            found = self.plain(word.decode("utf-8", "replace"))
+            if found:
+                cores.setdefault(found[1], []).append((word, found[2]))
+            else:
+                others.append(word)
+        for k in range(0, len(others), 4096):
+            part = others[k : k + 4096]
+            self.known.update(zip(part, self._coded([w.decode("utf-8", "replace") for w in part]), strict=True))
+        marks: dict[str, bytes] = {"": b""}
+        for core, coded in zip(cores, self._coded_plain([*cores]), strict=True):
+            for word, mark in cores[core]:
+                if mark not in marks:
+                    marks[mark] = self._coded([mark])[0]
+                self.known[word] = coded + marks[mark]
+
+    def split(self, text: bytes) -> list[bytes]:
+        """Words; in lower case, as the tokenizer has them, unless a special token may be meant."""
+        return (text if b"<|" in text else text.lower()).split()
+
+
+def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+    """Tokenise doc_id and text, add the end id and cut what is longer than capacity."""
+
+    def cut(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        model = WordIds(tokenizer_path)
         end, step = np.array([end_id], "<u4").tobytes(), 4 * capacity
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).cast(pa.binary())
             for at in range(0, batch.num_rows, SLICE_ROWS):
-                split = [(x or b"").split() for x in texts.slice(at, SLICE_ROWS).to_pylist()]
-                new = list(set().union(*split).difference(known))
-                if len(known) + len(new) > CACHE_WORDS:
-                    known.clear()
-                    new = list(set().union(*split))
-                for k in range(0, len(new), 4096):
-                    part = new[k : k + 4096]
-                    coded = model.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-                    known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, coded, strict=True))
-                out: list[tuple] = []
+                split = [model.split(x or b"") for x in texts.slice(at, SLICE_ROWS).to_pylist()]
+                model.learn(set().union(*split))
+                find, out = model.known.__getitem__, []
                 for doc_id, words in zip(ids.slice(at, SLICE_ROWS).to_pylist(), split, strict=True):
-                    coded = b"".join([*map(known.__getitem__, words), end])
+                    coded = b"".join([*map(find, words), end])
                     for n, start in enumerate(range(0, len(coded), step)):
                         one = coded[start : start + step]
                         out.append((doc_id, n, start // 4, len(one) // 4, zlib.crc32(one)))
