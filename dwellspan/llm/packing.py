@@ -26,8 +26,9 @@ CAPACITY = 4096
 END_ID = 1
 #: Words whose ids a worker remembers in each of two generations; the older one is dropped when the newer is full.
 CACHE_WORDS = 500_000
-#: Latin letters, then plain punctuation: the tokenizer always splits between the two, and the last id of each part, only, ends a word.
-PLAIN = r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,!?;:]*)"
+#: Between Latin letters and marks after them the tokenizer always splits; the last id of each part, and no other, ends a word.
+PLAIN = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+"
+MARKS = ".,!?;:"
 #: Documents that a worker splits at once.
 SLICE_ROWS = 512
 #: Ranks are counted in shards of about so many pieces of one length.
@@ -97,6 +98,7 @@ class WordIds:
         self.plain = re.compile(PLAIN).fullmatch
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def _coded(self, texts: list[str]) -> list[bytes]:
         import numpy as np
@@ -121,23 +123,32 @@ class WordIds:
             self.older, self.known, new = self.known, {}, words
         again = new & self.older.keys()
         self.known.update((w, self.older[w]) for w in again)
-        cores: dict[str, list[tuple[bytes, str]]] = {}
-        others: list[bytes] = []
-        for word in new - again:
-            found = self.plain(word.decode("utf-8", "replace"))
-            if found:
-                cores.setdefault(found[1], []).append((word, found[2]))
+        fresh = list(new - again)
+        texts = b"\n".join(fresh).decode("utf-8", "replace").split("\n") if fresh else []
+        whole: list[tuple[bytes, str]] = []
+        marked: list[tuple[bytes, bytes, str]] = []
+        others: list[tuple[bytes, str]] = []
+        wanted: dict[bytes, str] = {}
+        for word, text in zip(fresh, texts, strict=True):
+            core = text.rstrip(MARKS)
+            if not (core.isalpha() if core.isascii() else self.plain(core)):
+                others.append((word, text))
+            elif len(core) == len(text):
+                whole.append((word, text))
             else:
-                others.append(word)
+                key = word[: len(core) - len(text)]
+                marked.append((word, key, text[len(core) :]))
+                if key not in self.known:
+                    wanted[key] = core
+        wanted.update(whole)
+        self.known.update(zip(wanted, self._coded_plain([*wanted.values()]), strict=True))
         for k in range(0, len(others), 4096):
             part = others[k : k + 4096]
-            self.known.update(zip(part, self._coded([w.decode("utf-8", "replace") for w in part]), strict=True))
-        marks: dict[str, bytes] = {"": b""}
-        for core, coded in zip(cores, self._coded_plain([*cores]), strict=True):
-            for word, mark in cores[core]:
-                if mark not in marks:
-                    marks[mark] = self._coded([mark])[0]
-                self.known[word] = coded + marks[mark]
+            self.known.update(zip([w for w, _ in part], self._coded([t for _, t in part]), strict=True))
+        for word, key, mark in marked:
+            if mark not in self.marks:
+                self.marks[mark] = self._coded([mark])[0]
+            self.known[word] = self.known[key] + self.marks[mark]
 
     def split(self, text: bytes) -> list[bytes]:
         """Words; in lower case, as the tokenizer has them, unless a special token may be meant."""
@@ -148,9 +159,12 @@ def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = C
     """Tokenise doc_id and text, add the end id and cut what is longer than capacity."""
 
     def cut(batches: Iterator) -> Iterator:
+        import gc
+
         import numpy as np
         import pyarrow as pa
 
+        gc.disable()  # no cycles arise here, and the collector would walk the remembered words again and again
         model = WordIds(tokenizer_path)
         end, step = np.array([end_id], "<u4").tobytes(), 4 * capacity
         for batch in batches:
