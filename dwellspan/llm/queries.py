@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from .linededup import OP9_SQL, op9_line_dedup
+from .minhash import op3_minhash_near_dedup
 from .mixing import OP8_SQL, op8_source_mixing
 from .packing import op10_best_fit_packing
 from .warc import OP6_SQL, op6_warc
 
-QUERIES = {f.__name__: f for f in (op6_warc, op8_source_mixing, op9_line_dedup, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op3_minhash_near_dedup, op6_warc, op8_source_mixing, op9_line_dedup, op10_best_fit_packing)}
 SQL = {"op6_warc": OP6_SQL, "op8_source_mixing": OP8_SQL, "op9_line_dedup": OP9_SQL}
