@@ -16,6 +16,7 @@ import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from operator import itemgetter
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -125,22 +126,23 @@ class WordIds:
         self.known.update((w, self.older[w]) for w in again)
         fresh = list(new - again)
         texts = b"\n".join(fresh).decode("utf-8", "replace").split("\n") if fresh else []
-        whole: list[tuple[bytes, str]] = []
         marked: list[tuple[bytes, bytes, str]] = []
         others: list[tuple[bytes, str]] = []
         wanted: dict[bytes, str] = {}
         for word, text in zip(fresh, texts, strict=True):
+            if text.isascii() and text.isalpha():
+                wanted[word] = text
+                continue
             core = text.rstrip(MARKS)
             if not (core.isalpha() if core.isascii() else self.plain(core)):
                 others.append((word, text))
             elif len(core) == len(text):
-                whole.append((word, text))
+                wanted[word] = text
             else:
                 key = word[: len(core) - len(text)]
                 marked.append((word, key, text[len(core) :]))
                 if key not in self.known:
                     wanted[key] = core
-        wanted.update(whole)
         self.known.update(zip(wanted, self._coded_plain([*wanted.values()]), strict=True))
         for k in range(0, len(others), 4096):
             part = others[k : k + 4096]
@@ -172,9 +174,9 @@ def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = C
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 split = [model.split(x or b"") for x in texts.slice(at, SLICE_ROWS).to_pylist()]
                 model.learn(set().union(*split))
-                find, out = model.known.__getitem__, []
+                out: list[tuple] = []
                 for doc_id, words in zip(ids.slice(at, SLICE_ROWS).to_pylist(), split, strict=True):
-                    coded = b"".join([*map(find, words), end])
+                    coded = b"".join(itemgetter(*words)(model.known)) + end if len(words) > 1 else b"".join(model.known[w] for w in words) + end
                     for n, start in enumerate(range(0, len(coded), step)):
                         one = coded[start : start + step]
                         out.append((doc_id, n, start // 4, len(one) // 4, zlib.crc32(one)))
