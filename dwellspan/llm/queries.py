@@ -6,7 +6,10 @@ from .linededup import OP9_SQL, op9_line_dedup
 from .minhash import op3_minhash_near_dedup
 from .mixing import OP8_SQL, op8_source_mixing
 from .packing import op10_best_fit_packing
+from .pii import op4_pii_contexts
+from .quality import OP2_SQL, op2_quality_rules
+from .urlfilter import OP5_SQL, op5_url_filter
 from .warc import OP6_SQL, op6_warc
 
-QUERIES = {f.__name__: f for f in (op3_minhash_near_dedup, op6_warc, op8_source_mixing, op9_line_dedup, op10_best_fit_packing)}
-SQL = {"op6_warc": OP6_SQL, "op8_source_mixing": OP8_SQL, "op9_line_dedup": OP9_SQL}
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_minhash_near_dedup, op4_pii_contexts, op5_url_filter, op6_warc, op8_source_mixing, op9_line_dedup, op10_best_fit_packing)}
+SQL = {"op5_url_filter": OP5_SQL, "op2_quality_rules": OP2_SQL, "op6_warc": OP6_SQL, "op8_source_mixing": OP8_SQL, "op9_line_dedup": OP9_SQL}
