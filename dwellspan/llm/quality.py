@@ -86,7 +86,8 @@ def measured(docs: DataFrame, stop_words: tuple[str, ...] = STOP_WORDS) -> DataF
     for step in steps:
         docs = docs.select(*own, *made, *(F.expr(e).alias(c) for c, e in step.items()))
         made += step
-    return docs.select(*own, *MEASURES)
+    # Behind a generator the measures are computed once: filters on them would else be pushed below, with all steps nested into one expression.
+    return docs.select(*own, F.array(F.struct(*MEASURES)).alias("qr_m")).select(*own, F.inline_outer("qr_m"))
 
 
 def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
