@@ -7,7 +7,8 @@ that holds most of the rows is never sorted by one task.
 
 Null texts have size 0, null sources form a source of their own. A document's key depends on its
 id only: repeated ids have equal keys, ties go by id and size. Documents whose weight is null or
-not positive come last. Other columns are kept by ``mix``; an empty table gives an empty result.
+not positive come last. ``mix`` keeps all columns but those named mix_*; rows that agree in id, source
+and size are decided as one. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -55,30 +56,42 @@ def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs
 
 
 def mix(docs: DataFrame, size: Column, weight: Column, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """doc_id, size, source, source_size, target, copies for each row: how often the mix takes it."""
-    keyed = docs.select("doc_id", "source", size.alias("size"), weight.alias("w")).select("doc_id", "source", "size", exponential_key(F.col("doc_id"), F.col("w")).alias("key"))
-    keyed = written(keyed.withColumn("bucket", F.floor((1 - F.exp(-F.col("key"))) * (BUCKETS - 1)).cast("int")), "mix-keys")
+    """docs with mix_size, mix_source_size, mix_target and mix_copies (how often the mix takes the row) added.
+
+    Only ids, sizes and keys are dealt out for the plan; texts meet the plan of their bucket, and
+    rows of the buckets in which budgets end meet their own decision.
+    """
+    names = [c for c in docs.columns if not c.startswith("mix_")]
+    own = docs.select(*(F.col(f"`{c}`") for c in names), size.alias("mix_size"), weight.alias("mix_w"))
+    own = own.withColumn("mix_key", exponential_key(F.col("doc_id"), F.col("mix_w"))).withColumn("mix_bucket", F.floor((1 - F.exp(-F.col("mix_key"))) * (BUCKETS - 1)).cast("int"))
+    keyed = written(own.select("doc_id", "source", F.col("mix_size").alias("size"), F.col("mix_key").alias("key"), F.col("mix_bucket").alias("bucket")), "mix-keys")
     binned = keyed.groupBy("source", "bucket").agg(F.sum("size").alias("in_bucket"))
     sources = targets(binned.groupBy("source").agg(F.sum("in_bucket").alias("source_size")), weights, max_epochs)
     sources = sources.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.greatest("source_size", F.lit(1)))).otherwise(0))
-    sources = sources.withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size"))
+    sources = sources.withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size")).withColumnRenamed("source", "s")
     upto = Window.partitionBy("source").orderBy("bucket")
-    edges = binned.withColumn("before", F.sum("in_bucket").over(upto) - F.col("in_bucket")).withColumnRenamed("source", "s").withColumnRenamed("bucket", "b")
-    plan = written(
-        edges.join(sources, F.col("s").eqNullSafe(F.col("source"))).select("s", "b", "before", "in_bucket", "source_size", "target", "epochs", "budget", ((F.col("before") < F.col("budget")) & (F.col("before") + F.col("in_bucket") > F.col("budget"))).alias("cut")), "mix-plan"
-    )
-    planned = keyed.join(plan, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).drop("s", "b")
-    inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size")
+    edges = binned.withColumn("before", F.sum("in_bucket").over(upto) - F.col("in_bucket"))
+    plan = edges.join(sources, F.col("source").eqNullSafe(F.col("s"))).select(
+        F.col("source").alias("plan_source"), F.col("bucket").alias("plan_bucket"), "before", "source_size", "target", "epochs", "budget",
+        ((F.col("before") < F.col("budget")) & (F.col("before") + F.col("in_bucket") > F.col("budget"))).alias("cut"),
+    )
+    plan = written(plan, "mix-plan")
+    here = (F.col("plan_source").eqNullSafe(F.col("source"))) & (F.col("plan_bucket") == F.col("bucket"))
+    inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    ends = keyed.join(plan.filter("cut"), here).withColumn("upto", F.col("before") + F.sum("size").over(inside))
     # a document is in when the budget ends in its second half or behind it
-    ends = planned.filter("cut").withColumn("here", F.col("before") + F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-    ends = ends.withColumn("more", F.col("here") - F.col("size") / 2 <= F.col("budget"))
-    whole = planned.filter("not cut").withColumn("here", F.lit(None).cast("long")).withColumn("more", F.col("before") < F.col("budget"))
-    return whole.unionByName(ends).select("doc_id", "size", "source", "source_size", "target", (F.col("epochs") + F.col("more").cast("long")).alias("copies"))
+    ends = ends.groupBy(F.col("doc_id").alias("end_id"), F.col("source").alias("end_source"), F.col("size").alias("end_size")).agg(F.max(F.col("upto") - F.col("size") / 2 <= F.col("budget")).alias("last"))
+    ends = written(ends, "mix-ends")
+    planned = own.join(plan, F.col("source").eqNullSafe(F.col("plan_source")) & (F.col("mix_bucket") == F.col("plan_bucket")))
+    planned = planned.join(ends, F.col("doc_id").eqNullSafe(F.col("end_id")) & F.col("source").eqNullSafe(F.col("end_source")) & (F.col("mix_size") == F.col("end_size")), "left")
+    more = F.when(F.col("cut"), F.coalesce("last", F.lit(False))).otherwise(F.col("before") < F.col("budget"))
+    return planned.select(*(own[f"`{c}`"] for c in names), "mix_size", F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"), (F.col("epochs") + more.cast("long")).alias("mix_copies"))
 
 
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, size = table(spark, sf_dir, "documents"), n_words(F.col("text"))
-    return mix(docs, size, quality_weight(F.col("text"), size)).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    docs, size = table(spark, sf_dir, "documents").select("doc_id", "source", "text"), n_words(F.col("text"))
+    mixed = mix(docs, size, quality_weight(F.col("text"), size))
+    return mixed.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), (F.col("mix_size") * F.col("mix_copies")).alias("taken"))
 
 
 OP8_SQL = r"""
