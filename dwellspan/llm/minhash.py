@@ -4,11 +4,12 @@ Each document's set of 5-word shingles, hashed to 64 bits, is cut into BINS by i
 least hash of each bin is the signature. Empty bins copy from the first non-empty bin of a fixed
 random order of their own (optimal densification). BANDS of ROWS bins hash to buckets.
 
-Candidates are stars: in each bucket every member pairs with the member of the smallest id, so a
-bucket of n gives n - 1 pairs. Candidates are confirmed on full sets. A star can miss a
-link between two members that both differ from the hub, so buckets whose members still lie in several
-components pair their members across components, and those pairs are confirmed as well. At
-similarity 0.85 a pair shares no bucket with a probability of (1 - 0.85^4)^32, under 1e-10.
+Candidate edges are stars: in each bucket every member has an edge to the member of the smallest id,
+so a bucket of n gives n - 1 edges. The components of these edges are families: two documents
+that share a bucket are in one. Links are confirmed on full sets within families, in blocks of
+bounded size that meet two by two, and each block pair gives a forest of its links, at most an edge
+a document. So no link between members that both differ from a hub is lost, and no pairs travel.
+At similarity 0.85 a pair shares no bucket with a probability of (1 - 0.85^5)^25, under 1e-6.
 
 Documents of equal sets are one node, so copies never meet in pairs. Texts without words, and null
 texts, have empty sets and no links. Rows that repeat an id are all returned and count as one
@@ -20,20 +21,21 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table, written
 
-BINS, ROWS = 128, 4
-BANDS = BINS // ROWS
+BINS, ROWS, BANDS = 128, 5, 25
 SHINGLE = 5
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 85
-#: One bit of each bin gives 128 bits; sets of at least FILTER_SIZE that differ in more than FILTER_BITS of them are no link: at 0.85 the mean is 10 and this 6 deviations off.
-FILTER_SIZE, FILTER_BITS = 128, 36
+#: About so many shingles, and documents, of a family make a block.
+BLOCK_SHINGLES, BLOCK_DOCS = 150_000, 256
+#: Columns of a block's document-shingle matrix that are counted at once.
+COLUMNS = 16_384
 SEED = 20240501
-SIGNATURES = "doc_id long, n_shingles long, same binary, lo long, hi long, bands array<long>"
+SIGNATURES = "doc_id long, n_shingles long, same binary, bands array<long>"
 
 
 _MADE: dict = {}
@@ -102,26 +104,20 @@ def sign(docs: DataFrame) -> DataFrame:
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).cast(pa.binary())
             for at in range(0, batch.num_rows, 512):
-                sizes, same, bits, bands = [], [], [], []
+                sizes, same, bands = [], [], []
                 for text in texts.slice(at, 512).to_pylist():
                     hashes = shingle_set(text or b"")
                     sizes.append(len(hashes))
                     if len(hashes):
                         values = signature(hashes)
                         same.append(xxh3_128_digest(hashes.tobytes()))
-                        bits.append(np.packbits((values >> np.uint64(5)) & np.uint64(1) == 1).view("<i8"))
-                        bands.append(_mixed((values.reshape(BANDS, ROWS) * multipliers).sum(axis=1, dtype=np.uint64) + salts).view(np.int64))
+                        bands.append(_mixed((values[: BANDS * ROWS].reshape(BANDS, ROWS) * multipliers).sum(axis=1, dtype=np.uint64) + salts).view(np.int64))
                     else:
                         same.append(None)
-                        bits.append(np.zeros(2, np.int64))
                         bands.append(np.empty(0, np.int64))
                 ends = np.cumsum([0, *map(len, bands)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(bands) if bands else np.empty(0, np.int64)))
-                two = np.array(bits, np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(at, 512), pa.array(sizes, pa.int64()), pa.array(same, pa.binary()), pa.array(two[:, 0]), pa.array(two[:, 1]), lists],
-                    ["doc_id", "n_shingles", "same", "lo", "hi", "bands"],
-                )
+                yield pa.RecordBatch.from_arrays([ids.slice(at, 512), pa.array(sizes, pa.int64()), pa.array(same, pa.binary()), lists], ["doc_id", "n_shingles", "same", "bands"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(rows, SIGNATURES)
 
@@ -147,40 +143,76 @@ def components(links: DataFrame) -> DataFrame:
         last = now
 
 
-def _likely(x: str, y: str) -> Column:
-    """What sizes and bits say against a link; never false for a link, but for the bits' six deviations."""
-    return F.expr(
-        f"100 * least({x}.n, {y}.n) >= {PERCENT} * greatest({x}.n, {y}.n) and (least({x}.n, {y}.n) < {FILTER_SIZE} or bit_count({x}.lo ^ {y}.lo) + bit_count({x}.hi ^ {y}.hi) <= {FILTER_BITS})"
-    )
-
-
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of ids whose full shingle sets are similar enough."""
-    pairs = written(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
-    joined = pairs.join(texts.withColumnsRenamed({"doc_id": "b", "text": "text_b"}), "b").join(texts.withColumnsRenamed({"doc_id": "a", "text": "text_a"}), "a").select("a", "text_a", "b", "text_b")
+def forest(ids: list[int], sets: list, cross: int | None = None) -> list[tuple[int, int]]:
+    """Edges (a, b) that join all linked documents; with cross, of pairs of one before it and one from it on."""
+    import numpy as np
 
-    def check(batches: Iterator) -> Iterator:
+    n = len(ids)
+    sizes = np.array([len(x) for x in sets])
+    shared = np.zeros((n, n), np.float32)
+    _, column, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(n), sizes)
+    often = df[column] > 1
+    new = np.cumsum(df > 1) - 1
+    row, column = row[often], new[column[often]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        lo, hi = np.searchsorted(column, (start, start + COLUMNS))
+        held = np.zeros((n, int(column[hi - 1]) - start + 1), np.float32)
+        held[row[lo:hi], column[lo:hi] - start] = 1
+        shared += held @ held.T
+    shared = shared.astype(np.float64)
+    linked = 100 * shared >= PERCENT * (sizes[:, None] + sizes[None, :] - shared)
+    if cross is not None:
+        linked[:cross, :cross] = linked[cross:, cross:] = False
+    edges, seen = [], np.zeros(n, bool)
+    for first in range(n):
+        front = [] if seen[first] else [first]
+        seen[first] = True
+        while front:
+            at = front.pop()
+            for k in np.flatnonzero(linked[at] & ~seen).tolist():
+                seen[k] = True
+                edges.append((ids[at], ids[k]))
+                front.append(k)
+    return edges
+
+
+def links(members: DataFrame, docs: DataFrame) -> DataFrame:
+    """Edges (a, b) that join the linked documents of each family; members are (rep, family, n)."""
+    sizes = members.groupBy("family").agg(F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_DOCS)).cast("int").alias("blocks"))
+    dealt = members.join(sizes, "family").withColumn("block", F.expr("pmod(xxhash64(rep), blocks)").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = written(dealt.select("rep", "family", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q")), "blocks")
+    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
+    met = dealt.join(texts, "rep").select("family", "p", "q", "block", "rep", "text").repartition("family", "p", "q").sortWithinPartitions("family", "p", "q", "block", "rep")
+
+    def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        last, held = None, None
+        at, ids, blocks, sets = None, [], [], []
+
+        def done():
+            cross = None if at is None or at[1] == at[2] else int(np.searchsorted(blocks, at[2]))
+            edges = forest(ids, sets, cross) if len(ids) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], ["a", "b"])
+
         for batch in batches:
-            a_ids, b_ids = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            a_texts, b_texts = batch.column(1).cast(pa.binary()), batch.column(3).cast(pa.binary())
-            out: list[tuple[int, int]] = []
-            for k, (a, b) in enumerate(zip(a_ids, b_ids, strict=True)):
-                text = a_texts[k].as_py() or b""
-                if last != (a, text):
-                    last, held = (a, text), shingle_set(text)
-                other = shingle_set(b_texts[k].as_py() or b"")
-                both = len(np.intersect1d(held, other, assume_unique=True))
-                if both and 100 * both >= PERCENT * (len(held) + len(other) - both):
-                    out.append((a, b))
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["a", "b"])
-
-    return written(joined.mapInArrow(check, "a long, b long").distinct(), "links")
+            texts = batch.column(5).cast(pa.binary())
+            for k, (family, p, q, block, rep) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True)):
+                if (family, p, q) != at:
+                    if len(ids) > 1:
+                        yield done()
+                    at, ids, blocks, sets = (family, p, q), [], [], []
+                ids.append(rep)
+                blocks.append(block)
+                sets.append(shingle_set(texts[k].as_py() or b""))
+        if len(ids) > 1:
+            yield done()
+
+    return met.mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -188,25 +220,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signed = written(sign(docs), "signatures")
     groups = written(signed.filter("n_shingles > 0").groupBy("same").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "equal-sets")
     nodes = signed.join(groups.select(F.col("same").alias("s"), F.col("rep").alias("r")), (F.col("doc_id") == F.col("r")) & (F.col("same") == F.col("s")))
-    nodes = nodes.dropDuplicates(["doc_id", "same"]).select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "lo", "hi", "bands")
-    nodes = written(nodes, "nodes")
-    dealt = nodes.select(F.explode("bands").alias("key"), "rep", "n", "lo", "hi")
-    hubs = dealt.groupBy("key").agg(F.min(F.struct("rep", "n", "lo", "hi")).alias("hub"), F.count("*").alias("size")).filter("size > 1").drop("size")
-    members = written(dealt.join(hubs, "key"), "members")
-    m, h = members.select("key", F.struct("rep", "n", "lo", "hi").alias("m"), "hub"), F.col("hub")
-    stars = m.filter(F.col("m.rep") != F.col("hub.rep")).filter(_likely("m", "hub")).select(h["rep"].alias("a"), F.col("m.rep").alias("b")).distinct()
-    stars = written(stars, "stars")
-    links = confirmed(stars, docs)
-    found = components(links)
-
-    placed = members.drop("hub").join(found, members.rep == found.id, "left").select("key", F.struct("rep", "n", "lo", "hi").alias("m"), F.coalesce("component", "rep").alias("component"))
-    split = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 < c1").select("key")
-    mixed = written(placed.join(split, "key"), "mixed-buckets")
-    x, y = mixed.select("key", F.col("m").alias("x"), F.col("component").alias("cx")), mixed.select("key", F.col("m").alias("y"), F.col("component").alias("cy"))
-    across = x.join(y, "key").filter(F.col("cx") < F.col("cy")).filter(_likely("x", "y"))
-    across = across.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    more = confirmed(across, docs)
-    found = components(links.union(more)) if more.take(1) else found
+    nodes = written(nodes.dropDuplicates(["doc_id", "same"]).select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "bands"), "nodes")
+    dealt = nodes.select(F.explode("bands").alias("key"), "rep")
+    hubs = dealt.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("size")).filter("size > 1").select("key", "hub")
+    families = components(dealt.join(hubs, "key").select(F.col("rep").alias("a"), F.col("hub").alias("b")).filter("a != b").distinct())
+    placed = families.union(families.select("component", "component").distinct()).toDF("id", "family")
+    members = nodes.select("rep", "n").join(placed, nodes.rep == placed.id).select("rep", "family", "n").dropDuplicates(["rep"])
+    found = components(links(written(members, "families"), docs))
 
     copies = groups.select(F.col("same").alias("s"), "rep").filter("copies > 1")
     labelled = signed.select("doc_id", "n_shingles", "same").join(copies, F.col("same") == F.col("s"), "left").withColumn("rep", F.coalesce("rep", "doc_id"))
