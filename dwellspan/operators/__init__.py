@@ -1,0 +1 @@
+"""Operators: functions from DataFrames to DataFrames."""
