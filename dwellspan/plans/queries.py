@@ -1,4 +1,7 @@
 """All queries of the exposure engine and the SQL that says the same."""
 
-QUERIES: dict = {}
-SQL: dict = {}
+from . import interval_queries
+
+_PARTS = (interval_queries,)
+QUERIES = {name: f for part in _PARTS for name, f in part.QUERIES.items()}
+SQL = {name: sql for part in _PARTS for name, sql in part.SQL.items()}
