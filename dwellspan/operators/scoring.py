@@ -46,7 +46,7 @@ def common_window(samples: DataFrame, run: str, at: str) -> DataFrame:
 
 def compare(samples: DataFrame, run: str, brand: str, runs: list[str], every_s: float) -> DataFrame:
     """brand and the seconds that each run gives it, 0 where it has none."""
-    return samples.groupBy(brand).pivot(run, runs).agg((F.count("*") * every_s).cast("double")).na.fill(0.0)
+    return samples.groupBy(brand).pivot(run, runs).agg((F.count(F.lit(1)) * every_s).cast("double")).na.fill(0.0)
 
 
 def agreement(first: DataFrame, second: DataFrame, item: str, brand: str) -> DataFrame:
@@ -54,7 +54,7 @@ def agreement(first: DataFrame, second: DataFrame, item: str, brand: str) -> Dat
     shared = first.select(item).distinct().join(second.select(item).distinct(), item)
     a = first.join(shared, item, "left_semi").select(item, brand).filter(F.col(brand).isNotNull()).distinct().withColumn("a_", F.lit(1))
     b = second.join(shared, item, "left_semi").select(item, brand).filter(F.col(brand).isNotNull()).distinct().withColumn("b_", F.lit(1))
-    out = a.join(b, [item, brand], "full").groupBy(brand).agg(F.count_if("a_ = 1 and b_ = 1").alias("tp"), F.count_if("b_ is null").alias("fn"), F.count_if("a_ is null").alias("fp"))
+    out = a.join(b, [item, brand], "full").groupBy(brand).agg(F.count_if(F.expr("a_ = 1 and b_ = 1")).alias("tp"), F.count_if(F.col("b_").isNull()).alias("fn"), F.count_if(F.col("a_").isNull()).alias("fp"))
     return out.withColumn("recall", F.try_divide(F.col("tp"), F.col("tp") + F.col("fn"))).withColumn("precision", F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")))
 
 

@@ -207,7 +207,7 @@ def pending(index: DataFrame, done: DataFrame, key: str) -> DataFrame:
 def progress(index: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """n_total, n_done, n_unknown: work done, and done keys that the index has not."""
     both = index.select(key).distinct().withColumn("i_", F.lit(1)).join(done.select(key).distinct().withColumn("d_", F.lit(1)), key, "full")
-    return both.agg(F.count("i_").alias("n_total"), F.count_if("i_ = 1 and d_ = 1").alias("n_done"), F.count_if("i_ is null").alias("n_unknown"))
+    return both.agg(F.count("i_").alias("n_total"), F.count_if(F.expr("i_ = 1 and d_ = 1")).alias("n_done"), F.count_if(F.col("i_").isNull()).alias("n_unknown"))
 
 
 def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rank") -> DataFrame:
