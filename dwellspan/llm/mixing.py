@@ -71,21 +71,22 @@ def mix(docs: DataFrame, size: Column, weight: Column, weights: tuple[float, ...
     sources = sources.withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size")).withColumnRenamed("source", "s")
     upto = Window.partitionBy("source").orderBy("bucket")
     edges = binned.withColumn("before", F.sum("in_bucket").over(upto) - F.col("in_bucket"))
+    cut = (F.col("before") < F.col("budget")) & (F.col("before") + F.col("in_bucket") > F.col("budget"))
     plan = edges.join(sources, F.col("source").eqNullSafe(F.col("s"))).select(
-        F.col("source").alias("plan_source"), F.col("bucket").alias("plan_bucket"), "before", "source_size", "target", "epochs", "budget",
-        ((F.col("before") < F.col("budget")) & (F.col("before") + F.col("in_bucket") > F.col("budget"))).alias("cut"),
+        F.col("source").alias("mix_p_source"), F.col("bucket").alias("mix_p_bucket"), F.col("before").alias("mix_p_before"), F.col("source_size").alias("mix_source_size"),
+        F.col("target").alias("mix_target"), F.col("epochs").alias("mix_p_epochs"), F.col("budget").alias("mix_p_budget"), cut.alias("mix_p_cut"),
     )
     plan = written(plan, "mix-plan")
-    here = (F.col("plan_source").eqNullSafe(F.col("source"))) & (F.col("plan_bucket") == F.col("bucket"))
+    here = F.col("mix_p_source").eqNullSafe(F.col("source")) & (F.col("mix_p_bucket") == F.col("bucket"))
     inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    ends = keyed.join(plan.filter("cut"), here).withColumn("upto", F.col("before") + F.sum("size").over(inside))
+    ends = keyed.join(plan.filter("mix_p_cut"), here).withColumn("upto", F.col("mix_p_before") + F.sum("size").over(inside))
     # a document is in when the budget ends in its second half or behind it
-    ends = ends.groupBy(F.col("doc_id").alias("end_id"), F.col("source").alias("end_source"), F.col("size").alias("end_size")).agg(F.max(F.col("upto") - F.col("size") / 2 <= F.col("budget")).alias("last"))
-    ends = written(ends, "mix-ends")
-    planned = own.join(plan, F.col("source").eqNullSafe(F.col("plan_source")) & (F.col("mix_bucket") == F.col("plan_bucket")))
-    planned = planned.join(ends, F.col("doc_id").eqNullSafe(F.col("end_id")) & F.col("source").eqNullSafe(F.col("end_source")) & (F.col("mix_size") == F.col("end_size")), "left")
-    more = F.when(F.col("cut"), F.coalesce("last", F.lit(False))).otherwise(F.col("before") < F.col("budget"))
-    return planned.select(*(own[f"`{c}`"] for c in names), "mix_size", F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"), (F.col("epochs") + more.cast("long")).alias("mix_copies"))
+    taken = F.max(F.col("upto") - F.col("size") / 2 <= F.col("mix_p_budget"))
+    ends = written(ends.groupBy(F.col("doc_id").alias("mix_e_id"), F.col("source").alias("mix_e_source"), F.col("size").alias("mix_e_size")).agg(taken.alias("mix_e_taken")), "mix-ends")
+    planned = own.join(plan, own["source"].eqNullSafe(F.col("mix_p_source")) & (F.col("mix_bucket") == F.col("mix_p_bucket")))
+    planned = planned.join(ends, own["doc_id"].eqNullSafe(F.col("mix_e_id")) & own["source"].eqNullSafe(F.col("mix_e_source")) & (F.col("mix_size") == F.col("mix_e_size")), "left")
+    more = F.when(F.col("mix_p_cut"), F.coalesce("mix_e_taken", F.lit(False))).otherwise(F.col("mix_p_before") < F.col("mix_p_budget"))
+    return planned.select(*(own[f"`{c}`"] for c in names), "mix_size", "mix_source_size", "mix_target", (F.col("mix_p_epochs") + more.cast("long")).alias("mix_copies"))
 
 
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
