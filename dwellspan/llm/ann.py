@@ -25,7 +25,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import map_batches, table, written
 
 CENTROIDS, BLOCK = 64, 8  # centroids of a half; first-half centroids in a block
 SAMPLE_ROWS, KMEANS_ROUNDS = 20_000, 10
@@ -121,7 +121,7 @@ def neighbours(vectors: DataFrame, is_query, k: int = 20, visit: float = VISIT)
                 j = (x[:, half:] @ two.T - (two**2).sum(1) / 2).argmax(1)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(i, pa.int32()), pa.array(j, pa.int32())], ["vec_id", "embedding", "i", "j"])
 
-    coded = written(clean.mapInArrow(code, f"vec_id long, embedding {kind}, i int, j int"), "vectors")
+    coded = written(map_batches(clean, code, f"vec_id long, embedding {kind}, i int, j int"), "vectors")
     import numpy as np
 
     counts = np.zeros((len(first), len(second)), np.int64)
@@ -155,7 +155,7 @@ def neighbours(vectors: DataFrame, is_query, k: int = 20, visit: float = VISIT)
                 yield pa.RecordBatch.from_arrays([pa.array(units, pa.int32()), pa.array([1] * len(rows), pa.int32()), part.column(0).take(take), pa.array(masks, pa.binary()), part.column(1).take(take)], ["unit", "side", "id", "cells", "embedding"])
 
     sides = f"unit int, side int, id long, cells binary, embedding {kind}"
-    queries = coded.filter(is_query).select("vec_id", "embedding").mapInArrow(plan, sides)
+    queries = map_batches(coded.filter(is_query).select("vec_id", "embedding"), plan, sides)
     block, split = F.floor(F.col("i") / BLOCK).cast("int"), F.array(*map(F.lit, salts))
     unit = F.element_at(F.array(*map(F.lit, starts)), block + 1) + F.expr("pmod(xxhash64(vec_id), parts)").cast("int")
     entries = coded.withColumn("parts", F.element_at(split, block + 1)).select(unit.alias("unit"), F.lit(0).alias("side"), F.col("vec_id").alias("id"), ((F.col("i") % BLOCK) * CENTROIDS + F.col("j")).cast("string").cast("binary").alias("cells"), "embedding")
@@ -206,7 +206,7 @@ def neighbours(vectors: DataFrame, is_query, k: int = 20, visit: float = VISIT)
     parts = max(starts[-1], int(spark.conf.get("spark.sql.shuffle.partitions")))
     met = entries.union(queries).repartition(parts, "unit").sortWithinPartitions("unit", "side")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return met.mapInArrow(search, FOUND).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return map_batches(met, search, FOUND).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op1_multi_index_search(spark: SparkSession, sf_dir: str) -> DataFrame:

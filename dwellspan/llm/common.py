@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: White space of the word rule: space and \x09-\x0D. It is what ``bytes.split()`` splits at.
 SPACE_CLASS = r"\x20\x09-\x0D"
@@ -35,6 +37,42 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Most rows and bytes of an Arrow batch that goes to Python; the session's own settings hold where they are smaller.
+BATCH_ROWS, BATCH_BYTES = 2048, 16 * 2**20
+
+
+def _small_batches(spark: SparkSession) -> None:
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = str(spark.conf.get(key)).removesuffix("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator], Iterator], schema: str | T.StructType) -> DataFrame:
+    """df.mapInArrow in batches of bounded size; a worker gives its memory back when a task is done."""
+
+    def bounded(batches: Iterator) -> Iterator:
+        import ctypes
+        import gc
+
+        import pyarrow as pa
+
+        try:
+            yield from run(batches)
+        finally:
+            gc.enable()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):
+                pass  # another C library
+
+    _small_batches(df.sparkSession)
+    return df.mapInArrow(bounded, schema)
+
+
 def n_words(text: Column) -> Column:
     """Words of a text as a long; null counts none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

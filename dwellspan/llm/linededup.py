@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table, written
+from .common import map_batches, table, written
 
 MIN_BITS, MAX_BITS = 2**20, 2**26
 BITS_PER_DOC = 64
@@ -113,8 +113,8 @@ def twice_seen(docs: DataFrame, bits: int, min_chars: int) -> bytes:
         for k, (_, t) in held.items():
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([t.tobytes()], pa.binary())], ["part", "twice"])
 
-    parts = docs.select("text").mapInArrow(build, "part int, once binary, twice binary").repartition(SLICES, "part")
-    found = {r.part: bytes(r.twice) for r in parts.mapInArrow(meet, "part int, twice binary").collect()}  # bits / 8 bytes at most
+    parts = map_batches(docs.select("text"), build, "part int, once binary, twice binary").repartition(SLICES, "part")
+    found = {r.part: bytes(r.twice) for r in map_batches(parts, meet, "part int, twice binary").collect()}  # bits / 8 bytes at most
     return b"".join(found.get(k, bytes(bits // 8 // SLICES)) for k in range(SLICES))
 
 
@@ -156,7 +156,7 @@ def frequent_keys(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> Da
         if held:
             yield rows()
 
-    counted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(suspects, "digest binary, n_docs long, first_id long")
+    counted = map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), suspects, "digest binary, n_docs long, first_id long")
     return counted.groupBy("digest").agg(F.sum("n_docs").alias("n_docs"), F.min("first_id").alias("first_id")).filter(F.col("n_docs") >= min_docs)
 
 
@@ -208,10 +208,10 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
                 pairs = [(i, d) for i, raw in zip(batch.column(0).to_pylist(), _texts(batch, 1), strict=True) for d in {d for d in line_digests(raw, min_chars)[1] if d}]
                 yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.binary())], ["key_doc", "digest"])
 
-        pairs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(held, "key_doc long, digest binary")
+        pairs = map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), held, "key_doc long, digest binary")
         lists = pairs.join(keys, "digest").groupBy("key_doc").agg(F.collect_set(F.struct("digest", "first_id")).alias("frequent_keys_"))
         docs = docs.join(lists, docs.doc_id.cast("long").eqNullSafe(lists.key_doc), "left").select(*(docs[f"`{c}`"] for c in names), "frequent_keys_")
-    return docs.mapInArrow(apply, schema)
+    return map_batches(docs, apply, schema)
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import map_batches, table, written
 
 END = b"\n"  # no word holds it
 CLASSES, MEMBERS = 32, 32
@@ -98,7 +98,7 @@ def token_counts(docs: DataFrame) -> DataFrame:
         if held:
             yield out(*merged())
 
-    return docs.select("text").mapInArrow(count, "token long, c long").groupBy("token").agg(F.sum("c").alias("c"))
+    return map_batches(docs.select("text"), count, "token long, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
 
 class Model:
@@ -248,8 +248,8 @@ def train(docs: DataFrame, counts: DataFrame) -> Model:
         for block, (x, n) in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([(x / np.maximum(n, 1)).astype("<f4").tobytes()], pa.binary())], ["block", "weights"])
 
-    parts = docs.select("text").mapInArrow(fit, "block int, weights binary").repartition((CLASS_ROWS + MEMBER_ROWS) // BLOCK_ROWS, "block")
-    for r in parts.mapInArrow(average, "block int, weights binary").collect():  # the weights once
+    parts = map_batches(docs.select("text"), fit, "block int, weights binary").repartition((CLASS_ROWS + MEMBER_ROWS) // BLOCK_ROWS, "block")
+    for r in map_batches(parts, average, "block int, weights binary").collect():  # the weights once
         k, at = divmod(r.block, MEMBER_ROWS)
         weights = (model.class_weights, model.member_weights)[k]
         weights[at : at + BLOCK_ROWS] = np.frombuffer(bytes(r.weights), "<f4").reshape(BLOCK_ROWS, -1)
@@ -289,7 +289,7 @@ def score_texts(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
                 row += len(sizes)
                 yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in SCORED.split(", ")])
 
-    scored = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "held_out").mapInArrow(run, SCORED), "lm-scored")
+    scored = written(map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "held_out"), run, SCORED), "lm-scored")
     rare = scored.select("row", F.explode("rare").alias("token")).groupBy("row", "token").agg(F.count("*").alias("n"))
     found = rare.join(counts, "token", "left").groupBy(F.col("row").alias("rare_row")).agg(F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("more_known"), F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("more_sum"))
     joined = scored.drop("rare").join(found, scored.row == found.rare_row, "left")

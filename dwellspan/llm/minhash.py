@@ -24,7 +24,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import map_batches, table, written
 
 BINS, ROWS, BANDS = 128, 5, 25
 SHINGLE = 5
@@ -119,7 +119,7 @@ def sign(docs: DataFrame) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(bands) if bands else np.empty(0, np.int64)))
                 yield pa.RecordBatch.from_arrays([ids.slice(at, 512), pa.array(sizes, pa.int64()), pa.array(same, pa.binary()), lists], ["doc_id", "n_shingles", "same", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(rows, SIGNATURES)
+    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), rows, SIGNATURES)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -212,7 +212,7 @@ def links(members: DataFrame, docs: DataFrame) -> DataFrame:
         if len(ids) > 1:
             yield done()
 
-    return met.mapInArrow(run, "a long, b long")
+    return map_batches(met, run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from operator import itemgetter
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import map_batches, table, written
 
 CAPACITY = 4096
 END_ID = 1
@@ -183,7 +183,7 @@ def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = C
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select("doc_id", "text").mapInArrow(cut, PIECES)
+    return map_batches(docs.select("doc_id", "text"), cut, PIECES)
 
 
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:

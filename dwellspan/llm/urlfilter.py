@@ -25,7 +25,7 @@ from collections.abc import Iterable, Iterator
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table
+from .common import map_batches, table
 
 #: verdict, host, path; the longest fitting one wins.
 RULES = (
@@ -148,7 +148,7 @@ def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES
                 verdict[k] = "block" if hit else "allow"
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([h for h, _ in parts], pa.string()), pa.array([p for _, p in parts], pa.string()), pa.array(rule, pa.string()), pa.array(verdict, pa.string())], names)
 
-    return pages.select("page_id", "url").mapInArrow(judge, VERDICTS)
+    return map_batches(pages.select("page_id", "url"), judge, VERDICTS)
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from collections.abc import Iterable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import map_batches, table, written
 
 #: An archive is closed when it has grown to so many bytes.
 ARCHIVE_BYTES = 4 * 2**20
@@ -147,7 +147,7 @@ def write_archives(pages: DataFrame, min_bytes: int = 0, archive_bytes: int = AR
         if held:
             yield out()
 
-    return dealt.mapInArrow(write, "archive string, content binary")
+    return map_batches(dealt, write, "archive string, content binary")
 
 
 def read_archives(archives: DataFrame, with_payload: bool = True) -> DataFrame:
@@ -171,7 +171,7 @@ def read_archives(archives: DataFrame, with_payload: bool = True) -> DataFrame:
                 if rows:
                     yield make(rows)
 
-    return archives.select("content").mapInArrow(read, RECORDS)
+    return map_batches(archives.select("content"), read, RECORDS)
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
