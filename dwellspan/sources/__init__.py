@@ -1,0 +1 @@
+"""Sources and sinks."""

@@ -1,0 +1 @@
+"""The operators over unbounded observations."""
