@@ -206,14 +206,40 @@ class Model:
         return out / math.log(10), outcomes, counts
 
 
+def most_frequent(counts: DataFrame):
+    """Up to KNOWN_WORDS tokens and their counts, the most frequent first, ties by token.
+
+    A histogram of count classes, a few thousand rows at most, says from which class on tokens fit;
+    so no task gathers candidates of all others. Of a first class that does not fit whole, the OUTCOMES first tokens are taken.
+    """
+    import numpy as np
+
+    classed = counts.withColumn("class_", F.floor(F.log2("c") * 64))
+    sizes = classed.groupBy("class_").agg(F.count("*").alias("n")).orderBy(F.desc("class_")).collect()
+    least, n = None, 0
+    for r in sizes:
+        n += r.n
+        if n > KNOWN_WORDS:
+            break
+        least = r.class_
+    if least is None:
+        rows = counts.orderBy(F.desc("c"), "token").limit(OUTCOMES)
+    else:
+        rows = classed.filter(F.col("class_") >= least)
+    found = rows.select("token", "c").toArrow()  # bounded
+    tokens, c = found.column(0).to_numpy(), found.column(1).to_numpy()
+    order = np.lexsort((tokens, -c))
+    return tokens[order].view(np.uint64), c[order]
+
+
 def train(docs: DataFrame, counts: DataFrame) -> Model:
     """The model of all texts of docs; counts are their token_counts."""
     import numpy as np
 
     spark = docs.sparkSession
     said = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("total"), F.count("*").alias("n")).first()
-    top = counts.orderBy(F.desc("c"), "token").limit(KNOWN_WORDS).toArrow()  # bounded
-    model = Model(top.column(0).to_numpy().view(np.uint64), top.column(1).to_numpy(), said.total, said.n)
+    top = most_frequent(counts)
+    model = Model(top[0], top[1], said.total, said.n)
     shared = spark.sparkContext.broadcast(model)
 
     def fit(batches: Iterator) -> Iterator:
