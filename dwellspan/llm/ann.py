@@ -3,7 +3,7 @@
 The two halves of the vectors are quantised separately to CENTROIDS each, by k-means on a bounded
 sample, so each vector lies in one of CENTROIDS^2 cells. A query walks the pairs of centroids by
 the sum of its two inner products with a heap until the cells seen hold the share ``visit`` of all
-vectors. Vectors and queries meet by blocks of cells, of bounded size: a block is split by salt
+vectors, MIN_ENTRIES at least. Vectors and queries meet by blocks of cells, of bounded size: a block is split by salt
 when it holds more than UNIT_ROWS vectors, and each query goes once to each part that it walks
 through. Entries are ranked again by the exact inner product in double precision.
 
@@ -30,6 +30,8 @@ from .common import map_batches, table, written
 CENTROIDS, BLOCK = 64, 8  # centroids of a half; first-half centroids in a block
 SAMPLE_ROWS, KMEANS_ROUNDS = 20_000, 10
 VISIT = 0.6
+#: Entries that a query reranks at least, so that small tables are searched whole.
+MIN_ENTRIES = 1000
 UNIT_ROWS = 20_000
 QUERY_ROWS = 512
 FOUND = "query_id long, vec_id long, score double"
@@ -127,7 +129,7 @@ def neighbours(vectors: DataFrame, is_query, k: int = 20, visit: float = VISIT)
     counts = np.zeros((len(first), len(second)), np.int64)
     for r in coded.groupBy("i", "j").agg(F.count("*").alias("n")).collect():  # CENTROIDS^2 rows at most
         counts[r.i, r.j] = r.n
-    target = visit * counts.sum()
+    target = max(visit * counts.sum(), MIN_ENTRIES)
     salts = [max(1, -(-int(counts[b * BLOCK : (b + 1) * BLOCK].sum()) // UNIT_ROWS)) for b in range(-(-len(first) // BLOCK))]
     starts = np.cumsum([0, *salts]).tolist()
 
