@@ -16,6 +16,8 @@ from dwellspan.llm.mixing import mix, quality_weight
 from dwellspan.llm.packing import pack, pieces
 from dwellspan.llm.quality import judge
 
+#: Words that a packing task remembers; fewer than by default, as workers of earlier stages still hold memory.
+CACHE_WORDS = 150_000
 #: Tokenising can't be said in SQL.
 ORACLE_SQL = None
 
@@ -46,7 +48,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents and their places in sequences."""
-    return pack(pieces(docs))
+    return pack(pieces(docs, cache_words=CACHE_WORDS))
 
 
 STAGES = [("quality rules", quality), ("line dedup", lines), ("MinHash near-dedup", near_duplicate_groups), ("mixing", mixture), ("packing", packed)]

@@ -87,7 +87,7 @@ class WordIds:
     plain words go to it many to a string and are told apart by its word-end ids.
     """
 
-    def __init__(self, tokenizer_path: str | None) -> None:
+    def __init__(self, tokenizer_path: str | None, cache_words: int | None = None) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import numpy as np
         import public_tokenizers
@@ -100,6 +100,7 @@ class WordIds:
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.marks: dict[str, bytes] = {}
+        self.cache_words = cache_words or CACHE_WORDS
 
     def _coded(self, texts: list[str]) -> list[bytes]:
         import numpy as np
@@ -120,7 +121,7 @@ class WordIds:
 
     def learn(self, words: set[bytes]) -> None:
         new = words.difference(self.known)
-        if len(self.known) + len(new) > CACHE_WORDS:
+        if len(self.known) + len(new) > self.cache_words:
             self.older, self.known, new = self.known, {}, words
         again = new & self.older.keys()
         self.known.update((w, self.older[w]) for w in again)
@@ -157,8 +158,8 @@ class WordIds:
         return (text if b"<|" in text else text.lower()).split()
 
 
-def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """Tokenise doc_id and text, add the end id and cut what is longer than capacity."""
+def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, cache_words: int = CACHE_WORDS) -> DataFrame:
+    """Tokenise doc_id and text, add the end id and cut what is longer than capacity; a worker remembers twice cache_words words."""
 
     def cut(batches: Iterator) -> Iterator:
         import gc
@@ -167,7 +168,7 @@ def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = C
         import pyarrow as pa
 
         gc.disable()  # no cycles arise here, and the collector would walk the remembered words again and again
-        model = WordIds(tokenizer_path)
+        model = WordIds(tokenizer_path, cache_words)
         end, step = np.array([end_id], "<u4").tobytes(), 4 * capacity
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).cast(pa.binary())
