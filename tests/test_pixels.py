@@ -1,0 +1,99 @@
+import numpy as np
+import pytest
+
+from dwellspan.functions import pixels as px
+
+X = np.arange(1900.0)
+RNG = np.random.RandomState(0)
+
+
+def _noisy(y):
+    return y + RNG.normal(0, 1.6, len(y))
+
+
+def _bent(knot, a, b, left=300.0):
+    return left + a * X + (b - a) * np.maximum(0, X - knot)
+
+
+@pytest.mark.parametrize("name", ["straight", "blob", "edge", "curve"])
+def test_boundaries_without_a_corner(name):
+    y = {"straight": 0.02 * X + 300, "blob": 0.02 * X + 300 - 22 * ((X >= 900) & (X < 965)), "edge": -0.015 * X + 500 - 16 * ((X >= 1780) & (X < 1870)), "curve": 300 + 3e-5 * (X - 950) ** 2}[name]
+    assert px.bent_line(_noisy(y)).knot is None
+
+
+@pytest.mark.parametrize("knot, a, b", [(1550, 0.01, -0.16), (380, 0.16, -0.01), (1670, 0.008, -0.10)])
+def test_boundaries_with_a_corner(knot, a, b):
+    got = px.bent_line(_noisy(_bent(knot, a, b)))
+    assert abs(got.knot - knot) <= 60
+    assert abs(got.at(got.knot - 1e-9) - got.at(got.knot + 1e-9)) < 1e-6
+
+
+def test_crop_row():
+    h = 1080
+    rows = np.zeros(h)
+    rows[360:] = 1
+    cut = px.crop_row(rows)
+    assert abs(cut - (360 + int(0.18 * h))) <= 2 and 360 <= cut < 810
+    assert px.crop_row(np.ones(h)) is not None and px.crop_row(np.zeros(h)) is None
+    band = np.zeros(h)
+    band[400:500] = 1
+    sliver = np.zeros(h)
+    sliver[-40:] = 1
+    assert px.crop_row(band) is None and px.crop_row(sliver) is None
+    assert px.crop_row(rows, margin=5) is None
+
+
+def _scene(rng, shape=(270, 480)):
+    return np.kron(rng.integers(0, 255, (shape[0] // 30, shape[1] // 30)), np.ones((30, 30))) + rng.normal(0, 2, shape)
+
+
+def test_overlay_finds_static_boxes():
+    rng = np.random.default_rng(7)
+    frames = np.stack([_scene(rng) for _ in range(40)])
+    for x, y, w, h in ((20, 15, 90, 34), (380, 200, 70, 40)):
+        frames[:, y : y + h, x : x + w] = 180 + rng.normal(0, 0.5, (40, h, w))
+    got = px.overlay(frames)
+    assert got.ok and len(got.boxes()) == 2 and got.mask.mean() < 0.10
+    assert got.mask[15:49, 20:110].all() and got.mask[200:240, 380:450].all()
+
+
+def test_overlay_refuses_with_a_reason():
+    rng = np.random.default_rng(7)
+    one = _scene(rng)
+    two = (one + 128) % 256  # differs everywhere
+    assert not px.overlay(np.stack([one, two] * 20)).mask.any()
+    same = px.overlay(np.stack([one] * 30))
+    few = px.overlay(np.stack([one] * 4))
+    assert not same.ok and not same.mask.any() and same.reason and not few.ok and few.reason
+    frames = np.stack([_scene(rng) for _ in range(40)])
+    frames[:, 50:56, 50:56] = 99
+    assert not px.overlay(frames).boxes()
+
+
+def test_runs_and_breaks():
+    assert px.longest_run(np.array([0, 1, 1, 0, 1, 1, 1, 0], bool)) == (4, 7) and px.longest_run(np.zeros(3, bool)) == (0, 0)
+    p = np.r_[np.zeros(30), 5, np.zeros(10), np.full(40, 5.0)]
+    assert px.sustained_break(p, 1.0) == 41 and px.sustained_break(np.zeros(50), 1.0) is None
+    assert px.rolling_median(np.array([1.0, 9, 1, 1, 1]), 3).tolist() == [1, 1, 1, 1, 1]
+
+
+def test_components_and_regions():
+    m = np.zeros((6, 8), bool)
+    m[0, 0] = m[1, 1] = m[4:6, 5:8] = True
+    assert px.components(m) == [(0, 0, 2, 2, 2), (5, 4, 3, 2, 6)]
+    luma = np.zeros((10, 10))
+    luma[:, 5:] = 100
+    square = np.array([[3, 0], [7, 0], [7, 4], [3, 4]], float)
+    assert px.region_mean(luma, [square, square]) == 50 and px.region_mean(luma, [square + 50]) is None
+
+
+def test_signatures():
+    rng = np.random.default_rng(1)
+    a = rng.integers(0, 255, (40, 60, 3)).astype(float)
+    hist, profile = px.signature(a, (6, 8, 8))
+    assert hist.shape == (384,) and abs(hist.sum() - 1) < 1e-9 and abs(profile.mean()) < 1e-9
+    assert px.layout(a).shape == (48,)
+    green = np.zeros((20, 4), bool)
+    green[8:, :3] = True
+    b = px.pitch_boundary(green, 5)
+    assert b[0] in (7, 8) and np.isnan(b[3])
