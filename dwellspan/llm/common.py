@@ -30,13 +30,26 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/dwellspan-{spark.sparkContext.applicationId}"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back; this cuts the lineage and survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    """Write df as a table in the shared folder and read it back; this cuts the lineage and survives lost executors.
+
+    The tables stay until ``drop_written``, as results that are not yet computed may read them.
+    """
+    path = f"{_own_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_written(spark: SparkSession) -> None:
+    """Delete all tables that this application has written; call it when its results are stored."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 #: Most rows and bytes of an Arrow batch that goes to Python; the session's own settings hold where they are smaller.
 BATCH_ROWS, BATCH_BYTES = 2048, 16 * 2**20
 
