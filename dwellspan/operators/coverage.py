@@ -75,6 +75,6 @@ def named_or_unread(cells: DataFrame, unread: DataFrame, keys: Sequence[str]) ->
     from .joins import asof
 
     mid = cells.withColumn("mid_us", F.floor((F.col("start_us") + F.col("end_us")) / 2))
-    found = asof(mid, merged.withColumnRenamed("start_us", "u_start").withColumnRenamed("end_us", "u_end"), keys, "mid_us", "u_start", ["u_end"])
+    found = asof(mid, merged.withColumnRenamed("start_us", "u_start").withColumnRenamed("end_us", "u_end"), keys, "mid_us", "u_start", ["u_end"], bucket=intervals.DAY)
     inside = F.coalesce(F.col("mid_us") <= F.col("u_end"), F.lit(False))
     return found.withColumn("advertiser", F.when(F.col("status") == "auto", F.when(inside, "unread").otherwise("named"))).select(*cells.columns, "advertiser")

@@ -50,10 +50,19 @@ def _islands(df: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFr
     return numbered.groupBy(*keys, "island").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("island")
 
 
+def _at_edges(start: str, end: str, bucket: int) -> Column:
+    """Whether a piece reaches an edge of its bucket, where a neighbour may go on with it."""
+    return (F.col(start) == F.col("bucket") * bucket) | (F.col(end) == (F.col("bucket") + 1) * bucket)
+
+
 def merged(df: DataFrame, keys: Sequence[str], bucket: int = DAY, start: str = "start_us", end: str = "end_us") -> DataFrame:
-    """keys, start, end of the union's intervals; those that touch are one."""
-    local = _islands(spread(df.select(*keys, start, end), bucket, start, end), [*keys, "bucket"], start, end).drop("bucket")
-    return _islands(local, keys, start, end)
+    """keys, start, end of the union's intervals; those that touch are one.
+
+    Pieces within a bucket are done there; only those at its edges, two a bucket at most, are sorted by key.
+    """
+    local = _islands(spread(df.select(*keys, start, end), bucket, start, end), [*keys, "bucket"], start, end)
+    inner, outer = local.filter(~_at_edges(start, end, bucket)), local.filter(_at_edges(start, end, bucket))
+    return inner.select(*keys, start, end).unionByName(_islands(outer.drop("bucket"), keys, start, end))
 
 
 def complement(df: DataFrame, keys: Sequence[str], lo: int | Column, hi: int | Column, start: str = "start_us", end: str = "end_us") -> DataFrame:
@@ -118,8 +127,11 @@ def ledger(observations: DataFrame, keys: Sequence[str], priority: Sequence[str]
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
     winner = F.coalesce(*(F.when(F.sum(f"d{i}").over(upto) > 0, F.lit(c)) for i, c in enumerate(priority)), F.lit(uncovered))
     stop = F.least((F.col("bucket") + 1) * bucket, F.lit(hi))
-    cells = edges.select(*keys, F.col("edge").alias(start), F.coalesce(F.lead("edge").over(order), stop).alias(end), winner.alias(status))
-    return join_adjacent(cells.filter(F.col(end) > F.col(start)), keys, [status], 0, start, end)
+    cells = edges.select(*keys, "bucket", F.col("edge").alias(start), F.coalesce(F.lead("edge").over(order), stop).alias(end), winner.alias(status))
+    local = join_adjacent(cells.filter(F.col(end) > F.col(start)), [*keys, "bucket"], [status], 0, start, end)
+    at_edges = _at_edges(start, end, bucket) | (F.col(start) == lo) | (F.col(end) == hi)
+    inner, outer = local.filter(~at_edges).drop("bucket"), local.filter(at_edges).drop("bucket")
+    return inner.unionByName(join_adjacent(outer, keys, [status], 0, start, end))
 
 
 def stitch(points: DataFrame, keys: Sequence[str], max_gap: int, at: str = "at_us") -> DataFrame:

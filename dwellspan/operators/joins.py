@@ -8,31 +8,53 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def asof(left: DataFrame, right: DataFrame, keys: Sequence[str], left_at: str, right_at: str, take: Sequence[str], tolerance: int | None = None, forward: bool = False) -> DataFrame:
+def _asof_local(left: DataFrame, right: DataFrame, keys: Sequence[str], left_at: str, right_at: str, take: Sequence[str], forward: bool) -> DataFrame:
+    """keys, at_, l_ (the left row) and found_ (the right row)."""
+    row = F.struct(F.col(right_at).alias("at_"), *(F.col(c).alias(f"r_{c}") for c in take))
+    whole = F.struct(*(F.col(c) for c in left.columns))
+    null = lambda df, c: F.lit(None).cast(df.select(c.alias("x")).schema["x"].dataType)
+    both = left.select(*keys, F.col(left_at).alias("at_"), F.lit(0 if forward else 1).alias("side_"), whole.alias("l_"), null(right, row).alias("r_"))
+    both = both.unionByName(right.select(*keys, F.col(right_at).alias("at_"), F.lit(1 if forward else 0).alias("side_"), null(left, whole).alias("l_"), row.alias("r_")))
+    order = Window.partitionBy(*keys).orderBy("at_", "side_", "r_")
+    if forward:
+        found = F.first("r_", ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
+    else:
+        found = F.last("r_", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    return both.withColumn("found_", found).filter("l_ is not null").select(*keys, "at_", "l_", "found_")
+
+
+def asof(left: DataFrame, right: DataFrame, keys: Sequence[str], left_at: str, right_at: str, take: Sequence[str], tolerance: int | None = None, forward: bool = False, bucket: int | None = None) -> DataFrame:
     """left with the columns take, and right_at, of the last right row at or before left_at (or the first at or after it).
 
     Both sides are sorted together once by key and time. Where right rows tie, that of the largest
-    (smallest, when forward) take values counts.
+    (smallest, when forward) take values counts. With bucket, a key's time is cut into buckets that are
+    sorted apart, and a bucket in which a left row finds nothing takes the nearest bucket's right row:
+    so a key that holds most rows is spread over many tasks.
     """
-    row = F.struct(F.col(right_at).alias("at_"), *(F.col(c).alias(f"r_{c}") for c in take))
-    l_all = F.struct(*(F.col(c) for c in left.columns))
-    both = left.select(*keys, F.col(left_at).alias("at_"), F.lit(1 if not forward else 0).alias("side_"), l_all.alias("l_"), F.lit(None).cast(right.select(row.alias("r")).schema["r"].dataType).alias("r_"))
-    both = both.unionByName(right.select(*keys, F.col(right_at).alias("at_"), F.lit(0 if not forward else 1).alias("side_"), F.lit(None).cast(left.select(l_all.alias("l")).schema["l"].dataType).alias("l_"), row.alias("r_")))
-    order = Window.partitionBy(*keys)
-    if forward:
-        found = F.first("r_", ignorenulls=True).over(order.orderBy("at_", "side_", "r_").rowsBetween(0, Window.unboundedFollowing))
+    if bucket is None:
+        out = _asof_local(left, right, keys, left_at, right_at, take, forward)
     else:
-        found = F.last("r_", ignorenulls=True).over(order.orderBy("at_", "side_", "r_").rowsBetween(Window.unboundedPreceding, 0))
-    out = both.withColumn("found_", found).filter("l_ is not null")
+        part = lambda df, at: df.withColumn("bucket_", F.floor(F.col(at) / bucket))
+        l_, r = part(left, left_at), part(right, right_at)
+        dealt = [*keys, "bucket_"]
+        local = _asof_local(l_, r, dealt, left_at, right_at, take, forward)
+        row = F.struct(F.col(right_at).alias("at_"), *(F.col(c).alias(f"r_{c}") for c in take))
+        edge = r.groupBy(*dealt).agg((F.min(row) if forward else F.max(row)).alias("edge_"))
+        marks = edge.unionByName(l_.select(*dealt).distinct().withColumn("edge_", F.lit(None).cast(edge.schema["edge_"].dataType))).groupBy(*dealt).agg(F.max("edge_").alias("edge_"))
+        order = Window.partitionBy(*keys).orderBy("bucket_")
+        if forward:
+            far = F.first("edge_", ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing))
+        else:
+            far = F.last("edge_", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+        out = local.join(marks.withColumn("far_", far).drop("edge_"), dealt, "left").withColumn("found_", F.coalesce("found_", "far_"))
     if tolerance is not None:
-        near = F.abs(F.col("found_.at_") - F.col("at_")) <= tolerance
-        out = out.withColumn("found_", F.when(near, F.col("found_")))
-    return out.select("l_.*", F.col("found_.at_").alias(right_at), *(F.col(f"found_.r_{c}").alias(c) for c in take))
+        out = out.withColumn("found_", F.when(F.abs(F.col("found_.at_") - F.col("at_")) <= tolerance, F.col("found_")))
+    return out.select(*(F.col(f"l_.`{c}`").alias(c) for c in left.columns), F.col("found_.at_").alias(right_at), *(F.col(f"found_.r_{c}").alias(c) for c in take))
 
 
-def point_in_range(points: DataFrame, ranges: DataFrame, keys: Sequence[str], at: str, lo: str, hi: str, take: Sequence[str]) -> DataFrame:
+def point_in_range(points: DataFrame, ranges: DataFrame, keys: Sequence[str], at: str, lo: str, hi: str, take: Sequence[str], bucket: int | None = None) -> DataFrame:
     """points with take of the range lo <= at < hi; ranges of a key do not overlap. Points in none keep nulls."""
-    found = asof(points, ranges, keys, at, lo, [hi, *take])
+    found = asof(points, ranges, keys, at, lo, [hi, *take], bucket=bucket)
     inside = F.col(at) < F.col(hi)
     return found.select(*points.columns, *(F.when(inside, F.col(c)).alias(c) for c in take))
 
@@ -46,11 +68,11 @@ def overlaps(left: DataFrame, right: DataFrame, keys: Sequence[str], bucket: int
     return both.filter(F.floor(F.greatest(F.col(start), F.col("r_start")) / bucket) == F.col("bucket_")).drop("bucket_")
 
 
-def anti_band(left: DataFrame, right: DataFrame, keys: Sequence[str], left_at: str, right_at: str, tolerance: int) -> DataFrame:
+def anti_band(left: DataFrame, right: DataFrame, keys: Sequence[str], left_at: str, right_at: str, tolerance: int, bucket: int | None = None) -> DataFrame:
     """left rows without a right row within tolerance of them."""
     seen = right.select(*keys, F.col(right_at).alias("near_at"))
-    back = asof(left, seen, keys, left_at, "near_at", []).withColumnRenamed("near_at", "back_at")
-    both = asof(back, seen, keys, left_at, "near_at", [], forward=True)
+    back = asof(left, seen, keys, left_at, "near_at", [], bucket=bucket).withColumnRenamed("near_at", "back_at")
+    both = asof(back, seen, keys, left_at, "near_at", [], forward=True, bucket=bucket)
     far = lambda c: F.col(c).isNull() | (F.abs(F.col(c) - F.col(left_at)) > tolerance)
     return both.filter(far("back_at") & far("near_at")).select(*left.columns)
 

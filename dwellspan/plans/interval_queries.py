@@ -190,7 +190,7 @@ def _purchases_and_clicks(spark, d):
 
 def asof_join(spark, d):
     left, right = _purchases_and_clicks(spark, d)
-    return joins.asof(left.drop("start_us", "end_us"), right.drop("start_us", "end_us"), ["user_id"], "at_us", "click_us", ["click_id"])
+    return joins.asof(left.drop("start_us", "end_us"), right.drop("start_us", "end_us"), ["user_id"], "at_us", "click_us", ["click_id"], bucket=intervals.DAY)
 
 
 ASOF_JOIN = f"""{_EV}, b AS (SELECT p.event_id, max((c.at_us, c.event_id)) AS best FROM e p JOIN e c ON c.user_id = p.user_id AND c.event_type = 'click' AND c.at_us <= p.at_us WHERE p.event_type = 'purchase' GROUP BY p.event_id)
@@ -200,7 +200,7 @@ SELECT p.event_id, user_id, at_us, best[1] AS click_us, best[2] AS click_id FROM
 def point_in_range_join(spark, d):
     left, _ = _purchases_and_clicks(spark, d)
     shots = intervals.stitch(events(spark, d), ["user_id"], 12 * HOUR).withColumn("stop_us", F.col("last_us") - 2 * HOUR).filter("stop_us > first_us")
-    return joins.point_in_range(left.select("event_id", "user_id", "at_us"), shots, ["user_id"], "at_us", "first_us", "stop_us", ["n_points"])
+    return joins.point_in_range(left.select("event_id", "user_id", "at_us"), shots, ["user_id"], "at_us", "first_us", "stop_us", ["n_points"], bucket=intervals.DAY)
 
 
 POINT_IN_RANGE_JOIN = f"""{_EV}, l AS (SELECT *, at_us - lag(at_us) OVER (PARTITION BY user_id ORDER BY at_us) AS gap FROM e),
@@ -211,7 +211,7 @@ SELECT event_id, p.user_id, at_us, n_points FROM e p LEFT JOIN s ON s.user_id =
 
 def anti_band_join(spark, d):
     left, right = _purchases_and_clicks(spark, d)
-    return joins.anti_band(left.select("event_id", "user_id", "at_us"), right.select("user_id", "click_us"), ["user_id"], "at_us", "click_us", 6 * HOUR)
+    return joins.anti_band(left.select("event_id", "user_id", "at_us"), right.select("user_id", "click_us"), ["user_id"], "at_us", "click_us", 6 * HOUR, bucket=intervals.DAY)
 
 
 ANTI_BAND_JOIN = f"""{_EV} SELECT event_id, user_id, at_us FROM e p WHERE event_type = 'purchase'

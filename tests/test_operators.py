@@ -163,6 +163,15 @@ def test_asof_prefers_the_last_of_ties(spark):
     assert got == {(1, 5): (5, "b"), (1, 1): (None, None), (2, 9): (None, None)}
 
 
+@pytest.mark.parametrize("forward", [False, True])
+def test_asof_in_buckets_equals_asof(spark, forward):
+    rnd = random.Random(9)
+    left = spark.createDataFrame([(rnd.randint(0, 2), rnd.randint(0, 60), i) for i in range(120)], "k int, t int, i int")
+    right = spark.createDataFrame([(rnd.randint(0, 2), rnd.randint(0, 60), i) for i in range(25)], "k int, u int, v int")
+    rows = lambda bucket: sorted(map(str, joins.asof(left, right, ["k"], "t", "u", ["v"], 20, forward, bucket).collect()))
+    assert rows(None) == rows(7) == rows(1)
+
+
 def test_logs_and_work(spark):
     log = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y"), ("a", 3, None)], "k string, seq int, v string")
     assert sorted((r.k, r.v, r.first_seq) for r in sequences.last_wins(log, ["k"], "seq").collect()) == sorted([("a", None, 1), ("b", "y", 2)])
