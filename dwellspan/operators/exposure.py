@@ -100,6 +100,13 @@ def drift_bands(rows: DataFrame, drift: str, confidence: str, bounds: Sequence[f
     return rows.withColumn("band", band).groupBy("band").agg(F.count("*").alias("n"), F.median(drift).alias("median_drift"), F.percentile(drift, F.lit(0.9)).alias("p90_drift"), F.max(drift).alias("max_drift"))
 
 
+def probe_summary(probes: DataFrame, keys: Sequence[str], confidence: str, frame: str, threshold: float) -> DataFrame:
+    """keys, median_conf, bad_share, bad_frames, n_probed: how well a few probed frames of each key read; no reading counts as 0."""
+    conf = F.coalesce(F.col(confidence), F.lit(0.0))
+    bad = conf < threshold
+    return probes.groupBy(*keys).agg(F.median(conf).alias("median_conf"), (F.count_if(bad) / F.count("*")).alias("bad_share"), F.array_sort(F.collect_list(F.when(bad, F.col(frame)))).alias("bad_frames"), F.count("*").alias("n_probed"))
+
+
 def medoids(vectors: DataFrame, cluster: str, item: str, vector: str) -> DataFrame:
     """cluster, item, distance: the item nearest to its cluster's mean, the smaller of equal ones."""
     flat = vectors.select(cluster, F.posexplode(vector).alias("pos", "v"))

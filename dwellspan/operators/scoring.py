@@ -58,6 +58,14 @@ def agreement(first: DataFrame, second: DataFrame, item: str, brand: str) -> Dat
     return out.withColumn("recall", F.try_divide(F.col("tp"), F.col("tp") + F.col("fn"))).withColumn("precision", F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")))
 
 
+def agreement_totals(agreed: DataFrame) -> DataFrame:
+    """recall, precision, n_missed, n_invented over all brands, and the number of brands that are often missed or invented."""
+    tp, fn, fp = F.sum("tp"), F.sum("fn"), F.sum("fp")
+    missing = (F.col("tp") + F.col("fn") >= 3) & (F.col("recall") < 0.6)
+    inventing = ~F.coalesce(missing, F.lit(False)) & (F.col("fp") >= 3) & F.coalesce(F.col("precision") < 0.6, F.lit(True))
+    return agreed.agg(F.try_divide(tp, tp + fn).alias("recall"), F.try_divide(tp, tp + fp).alias("precision"), fn.alias("n_missed"), fp.alias("n_invented"), F.count_if(missing).alias("brands_missed"), F.count_if(inventing).alias("brands_invented"))
+
+
 def exact_matches(first: DataFrame, second: DataFrame, item: str, brand: str) -> DataFrame:
     """n_shared, n_exact: items of both readers, and those with equal sets of brands."""
     held = lambda df, name: df.groupBy(item).agg(F.array_sort(F.collect_set(brand)).alias(name))

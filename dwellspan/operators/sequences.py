@@ -20,12 +20,12 @@ def consecutive(df: DataFrame, keys: Sequence[str], at: str, distance: Callable[
 
 
 def states(df: DataFrame, keys: Sequence[str], at: str, max_gap: int | float, threshold: float, distance: str = "distance", shot: str | None = None, name: str = "state") -> DataFrame:
-    """df with state numbers from 1 in each key: a new state at a longer gap, another shot or a larger distance."""
+    """df with state numbers from 1 in each key: a new state at a longer gap, another known shot, a larger distance or one that is not known."""
     order = Window.partitionBy(*keys).orderBy(at)
     first = F.lag(at).over(order).isNull()
-    opens = first | (F.col(at) - F.lag(at).over(order) > max_gap) | (F.coalesce(F.col(distance), F.lit(0.0)) > threshold)
+    opens = first | (F.col(at) - F.lag(at).over(order) > max_gap) | F.coalesce(F.col(distance) > threshold, F.lit(True))
     if shot:
-        opens = opens | ~F.lag(shot).over(order).eqNullSafe(F.col(shot))
+        opens = opens | F.coalesce(F.lag(shot).over(order) != F.col(shot), F.lit(False))
     return df.withColumn("opens_", opens.cast("int")).withColumn(name, F.sum("opens_").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("opens_")
 
 
@@ -224,14 +224,19 @@ def worker_slice(df: DataFrame, keys: Sequence[str], order: Sequence[str], worke
     return ranked(df, keys, order, "rank_").filter(F.col("rank_") % workers == worker).drop("rank_")
 
 
-def evenly_spread(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
-    """n rows of each key from the first to the last at even steps, or all if there are fewer."""
+def evenly_spread(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, nearest: bool = False) -> DataFrame:
+    """n rows of each key from the first to the last at even steps, or all if there are fewer.
+
+    Positions between rows go down, or with nearest to the nearest row; of one row the first, or with
+    nearest the middle one.
+    """
     total = F.count("*").over(Window.partitionBy(*keys))
     rows = ranked(df, keys, order, "rank_").withColumn("total_", total)
-    # row r is taken when a sample position floor(i * (total - 1) / (n - 1)) falls on it
-    i = F.ceil(F.col("rank_") * (n - 1) / F.greatest(F.col("total_") - 1, F.lit(1)))
-    hit = (F.col("total_") <= n) | (F.floor(i * (F.col("total_") - 1) / (n - 1)) == F.col("rank_")) if n > 1 else F.col("rank_") == 0
-    return rows.filter(hit).drop("rank_", "total_")
+    if n <= 1:
+        return rows.filter(F.col("rank_") == (F.floor(F.col("total_") / 2) if nearest else 0)).drop("rank_", "total_")
+    at = lambda i: i * (F.col("total_") - 1) / (n - 1)
+    places = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: (F.bround(at(i)) if nearest else F.floor(at(i))).cast("long"))
+    return rows.filter((F.col("total_") <= n) | F.array_contains(places, F.col("rank_").cast("long"))).drop("rank_", "total_")
 
 
 def batches(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, name: str = "batch") -> DataFrame:

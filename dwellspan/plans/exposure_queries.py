@@ -166,6 +166,40 @@ READER_EXACT = f"""{_READERS}, x AS (SELECT gid, list_sort(list(brand)) AS l FRO
 SELECT count(*) AS n_shared, count(*) FILTER (x.l = y.l) AS n_exact FROM x JOIN y USING (gid)"""
 
 
+def reader_totals(spark, d):
+    out = scoring.agreement_totals(scoring.agreement(*_readers(spark, d), "gid", "brand"))
+    return out.select(rounded("recall"), rounded("precision"), "n_missed", "n_invented", "brands_missed", "brands_invented")
+
+
+READER_TOTALS = f"""{_READERS}, c AS (SELECT brand, count(*) FILTER (ag IS NOT NULL AND bg IS NOT NULL) AS tp, count(*) FILTER (bg IS NULL) AS fn, count(*) FILTER (ag IS NULL) AS fp FROM j GROUP BY brand),
+f AS (SELECT *, tp + fn >= 3 AND coalesce(tp::DOUBLE / nullif(tp + fn, 0) < 0.6, false) AS missing FROM c)
+SELECT round(sum(tp)::DOUBLE / sum(tp + fn), 6) AS recall, round(sum(tp)::DOUBLE / sum(tp + fp), 6) AS precision, sum(fn)::BIGINT AS n_missed, sum(fp)::BIGINT AS n_invented, count(*) FILTER (missing) AS brands_missed,
+count(*) FILTER (NOT missing AND fp >= 3 AND coalesce(tp::DOUBLE / nullif(tp + fp, 0) < 0.6, true)) AS brands_invented FROM f"""
+
+
+def probe_summary(spark, d):
+    probes = _detail(spark, d).withColumn("conf", F.when(F.col("event_id") % 5 > 0, F.col("value") / 100))
+    out = exposure.probe_summary(probes, ["user_id"], "conf", "frame", 0.05)
+    return out.select("user_id", rounded("median_conf"), rounded("bad_share"), F.concat_ws(",", F.transform("bad_frames", lambda x: x.cast("string"))).alias("bad_frames"), "n_probed")
+
+
+PROBE_SUMMARY = f"""{_DETAIL}, p AS (SELECT user_id, frame, CASE WHEN event_id % 5 > 0 THEN value / 100 ELSE 0 END AS conf FROM x)
+SELECT user_id, round(median(conf), 6) AS median_conf, round(count(*) FILTER (conf < 0.05)::DOUBLE / count(*), 6) AS bad_share, coalesce(string_agg(frame::VARCHAR, ',' ORDER BY frame) FILTER (conf < 0.05), '') AS bad_frames, count(*) AS n_probed FROM p GROUP BY user_id"""
+
+
+def shot_doubts(spark, d):
+    from ..functions.rules import doubts
+
+    o = table(spark, d, "orders")
+    k = lambda n, m: F.col("o_orderkey") * n % m
+    flags = doubts(k(7, 40) / 10, k(11, 101) / 100, k(1, 9) == 0, k(13, 101) / 100, k(17, 40) / 20, k(1, 50))
+    return o.select("o_orderkey", F.concat_ws(",", flags).alias("doubts"))
+
+
+SHOT_DOUBTS = """SELECT o_orderkey, concat_ws(',', CASE WHEN o_orderkey * 7 % 40 / 10.0 < 1 THEN 'short' END, CASE WHEN o_orderkey * 11 % 101 / 100.0 < 0.7 THEN 'unstable' END, CASE WHEN o_orderkey % 9 = 0 THEN 'partial' END,
+CASE WHEN o_orderkey * 13 % 101 / 100.0 >= 0.35 AND o_orderkey * 13 % 101 / 100.0 < 0.6 THEN 'borderline' END, CASE WHEN o_orderkey * 17 % 40 > 0 AND o_orderkey * 17 % 40 / 20.0 < 1.15 AND o_orderkey % 50 > 0 THEN 'faint cut' END) AS doubts FROM orders"""
+
+
 def _partners(spark, d):
     """Nations as partners, order priorities as surfaces that share three sources, order totals as seconds."""
     nations = table(spark, d, "nation")
@@ -247,7 +281,7 @@ EXACT_THEN_RESIDUAL = "SELECT p_partkey, p_brand AS norm, CASE WHEN p_brand < 'B
 
 
 QUERIES = {f.__name__: f for f in (
-    exposure_by_brand, exposure_totals, reads_summary, visibility_stats, clutter, mode_purity, best_per_frame, truth_score, score_totals, extra_brands, compare_runs, reader_agreement, reader_exact,
+    exposure_by_brand, exposure_totals, reads_summary, visibility_stats, clutter, mode_purity, best_per_frame, truth_score, score_totals, extra_brands, compare_runs, reader_agreement, reader_exact, reader_totals, probe_summary, shot_doubts,
     partner_report, partner_totals, unlisted_surfaces, advertiser_census, rollup_totals, shot_summary, exact_then_residual,
 )}
 SQL = {name: globals()[name.upper()] for name in QUERIES}

@@ -188,3 +188,15 @@ def test_evenly_spread(spark, n):
     got = [r.i for r in sequences.evenly_spread(spark.createDataFrame(rows, "k int, i int"), ["k"], ["i"], n).orderBy("i").collect()]
     want = sorted({int(j * 16 / (n - 1)) for j in range(n)}) if 1 < n < 17 else [0] if n == 1 else list(range(17))
     assert got == want
+
+
+def test_evenly_spread_to_the_nearest(spark):
+    df = spark.createDataFrame([(1, i) for i in range(10)], "k int, i int")
+    pick = lambda n: [r.i for r in sequences.evenly_spread(df, ["k"], ["i"], n, nearest=True).orderBy("i").collect()]
+    assert pick(1) == [5] and pick(3) == [0, 4, 9] and pick(4) == [0, 3, 6, 9]
+
+
+def test_states_open_where_a_distance_is_unknown(spark):
+    rows = [(1, 0, None, "a"), (1, 1, 0.1, "a"), (1, 2, None, "a"), (1, 3, 0.1, None), (1, 4, 0.1, "b"), (1, 5, 0.1, "c"), (1, 9, 0.0, "c"), (1, 10, 0.9, "c")]
+    got = sequences.states(spark.createDataFrame(rows, "k int, t int, distance double, shot string"), ["k"], "t", 2, 0.5, shot="shot")
+    assert [r.state for r in got.orderBy("t").collect()] == [1, 1, 2, 2, 2, 3, 4, 5]
