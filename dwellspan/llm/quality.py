@@ -39,7 +39,7 @@ class Rule:
 RULES = (
     Rule("mean_word_chars", "word_chars / greatest(n_words, 1)", 2.0, 14.0),
     Rule("symbols_a_word", "n_symbols / greatest(n_words, 1)", high=0.25),
-    Rule("stop_word_share", "n_stop_words / greatest(n_words, 1)", low=0.05),
+    Rule("stop_word_share", "(n_stop_words + 1) / (n_words + 10)", low=0.03),  # smoothed, as few words say little
     Rule("lettered_word_share", "n_lettered_words / greatest(n_words, 1)", low=0.7),
     Rule("duplicate_line_share", "n_dup_lines / greatest(n_lines, 1)", high=0.5),
     Rule("ellipsis_line_share", "n_ellipsis_lines / greatest(n_lines, 1)", high=0.5),
