@@ -18,7 +18,13 @@ DAY = 24 * HOUR
 
 
 def micros(ts: Column) -> Column:
-    return F.unix_micros(ts.cast("timestamp"))
+    """Microseconds of a timestamp with a zone."""
+    return F.unix_micros(ts)
+
+
+def wall_micros(ts: Column) -> Column:
+    """Microseconds of a timestamp without a zone, as if it were UTC, whatever the session's zone is."""
+    return F.unix_micros(F.from_utc_timestamp(ts.cast("timestamp"), F.current_timezone()))
 
 
 def clamp(df: DataFrame, lo: Column | int, hi: Column | int, start: str = "start_us", end: str = "end_us") -> DataFrame:

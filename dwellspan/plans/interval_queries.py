@@ -163,8 +163,8 @@ SELECT event_type, min(at_us) AS first_us, max(at_us) AS last_us, count(*) AS n_
 
 def session_windows(spark, d):
     e = events(spark, d)
-    s = e.groupBy("user_id", F.session_window(F.col("ts").cast("timestamp"), "12 hours")).agg(F.count("*").alias("n_events"))
-    return s.select("user_id", F.unix_micros("session_window.start").alias("start_us"), F.unix_micros("session_window.end").alias("end_us"), "n_events")
+    s = e.groupBy("user_id", F.session_window("ts", "12 hours")).agg(F.count("*").alias("n_events"))
+    return s.select("user_id", intervals.wall_micros(F.col("session_window.start")).alias("start_us"), intervals.wall_micros(F.col("session_window.end")).alias("end_us"), "n_events")
 
 
 SESSION_WINDOWS = f"""{_EV}, l AS (SELECT *, at_us - lag(at_us) OVER (PARTITION BY user_id ORDER BY at_us) AS gap FROM e),
@@ -174,8 +174,8 @@ SELECT user_id, min(at_us) AS start_us, max(at_us) + {12 * HOUR} AS end_us, coun
 
 def tumbling_windows(spark, d):
     e = events(spark, d)
-    w = e.groupBy("event_type", F.window(F.col("ts").cast("timestamp"), "6 hours")).agg(F.count("*").alias("n_events"), F.count_distinct("user_id").alias("n_users"))
-    return w.select("event_type", F.unix_micros("window.start").alias("start_us"), "n_events", "n_users")
+    w = e.groupBy("event_type", F.window("ts", "6 hours")).agg(F.count("*").alias("n_events"), F.count_distinct("user_id").alias("n_users"))
+    return w.select("event_type", intervals.wall_micros(F.col("window.start")).alias("start_us"), "n_events", "n_users")
 
 
 TUMBLING_WINDOWS = f"{_EV} SELECT event_type, at_us // {6 * HOUR} * {6 * HOUR} AS start_us, count(*) AS n_events, count(DISTINCT user_id) AS n_users FROM e GROUP BY ALL"

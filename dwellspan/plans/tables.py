@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.intervals import HOUR, SECOND, micros
+from ..operators.intervals import HOUR, SECOND, wall_micros
 
 #: Events from the strongest evidence to the weakest.
 EVENT_PRIORITY = ("purchase", "signup", "click", "view", "error")
@@ -19,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def events(spark: SparkSession, sf_dir: str, covers_us: int = HOUR) -> DataFrame:
     """Events that each cover [start_us, end_us)."""
-    at = micros(F.col("ts"))
+    at = wall_micros(F.col("ts"))
     return table(spark, sf_dir, "events").withColumns({"start_us": at, "at_us": at, "end_us": at + covers_us})
 
 
