@@ -1,11 +1,11 @@
-"""Queries of this subpackage and the SQL that says the same."""
+"""Queries of this subpackage and the SQL that says the same, where SQL can say it."""
 
 from __future__ import annotations
 
 from .ann import op1_multi_index_search
 from .linededup import OP9_SQL, op9_line_dedup
-from .minhash import op3_minhash_near_dedup
 from .lm import op7_maxent_scores
+from .minhash import op3_minhash_near_dedup
 from .mixing import OP8_SQL, op8_source_mixing
 from .packing import op10_best_fit_packing
 from .pii import op4_pii_contexts
@@ -13,5 +13,13 @@ from .quality import OP2_SQL, op2_quality_rules
 from .urlfilter import OP5_SQL, op5_url_filter
 from .warc import OP6_SQL, op6_warc
 
-QUERIES = {f.__name__: f for f in (op1_multi_index_search, op2_quality_rules, op3_minhash_near_dedup, op4_pii_contexts, op5_url_filter, op6_warc, op7_maxent_scores, op8_source_mixing, op9_line_dedup, op10_best_fit_packing)}
-SQL = {"op5_url_filter": OP5_SQL, "op2_quality_rules": OP2_SQL, "op6_warc": OP6_SQL, "op8_source_mixing": OP8_SQL, "op9_line_dedup": OP9_SQL}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_multi_index_search, op2_quality_rules, op3_minhash_near_dedup, op4_pii_contexts, op5_url_filter,
+        op6_warc, op7_maxent_scores, op8_source_mixing, op9_line_dedup, op10_best_fit_packing,
+    )
+}
+SQL = {
+    "op2_quality_rules": OP2_SQL, "op5_url_filter": OP5_SQL, "op6_warc": OP6_SQL, "op8_source_mixing": OP8_SQL, "op9_line_dedup": OP9_SQL,
+}
