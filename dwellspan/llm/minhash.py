@@ -236,3 +236,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP3_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(len(w) - 4), lambda i: array_to_string(w[i + 1:i + 5], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (SELECT doc_id, doc_id AS root FROM d UNION SELECT b, root FROM reached JOIN ways ON doc_id = a WHERE root < b)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.root AS component_id, d.doc_id = r.root AS kept
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT doc_id, min(root) AS root FROM reached GROUP BY doc_id) r ON r.doc_id = d.doc_id
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from .ann import op1_multi_index_search
 from .linededup import OP9_SQL, op9_line_dedup
 from .lm import op7_maxent_scores
-from .minhash import op3_minhash_near_dedup
+from .minhash import OP3_SQL, op3_minhash_near_dedup
 from .mixing import OP8_SQL, op8_source_mixing
 from .packing import op10_best_fit_packing
 from .pii import op4_pii_contexts
@@ -21,5 +21,5 @@ QUERIES = {
     )
 }
 SQL = {
-    "op2_quality_rules": OP2_SQL, "op5_url_filter": OP5_SQL, "op6_warc": OP6_SQL, "op8_source_mixing": OP8_SQL, "op9_line_dedup": OP9_SQL,
+    "op2_quality_rules": OP2_SQL, "op3_minhash_near_dedup": OP3_SQL, "op5_url_filter": OP5_SQL, "op6_warc": OP6_SQL, "op8_source_mixing": OP8_SQL, "op9_line_dedup": OP9_SQL,
 }

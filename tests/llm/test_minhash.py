@@ -5,7 +5,11 @@ import numpy as np
 import pytest
 
 from dwellspan.llm import minhash
-from dwellspan.llm.minhash import components, forest, near_duplicates, op3_minhash_near_dedup, shingle_set, signature
+from dwellspan.llm.minhash import OP3_SQL, components, forest, near_duplicates, op3_minhash_near_dedup, shingle_set, signature
+
+
+def test_op3_equals_sql(same):
+    same(op3_minhash_near_dedup, OP3_SQL)
 
 
 def _shingles(text):
