@@ -158,6 +158,18 @@ class WordIds:
         return (text if b"<|" in text else text.lower()).split()
 
 
+def _worker_words(tokenizer_path: str | None, cache_words: int) -> WordIds:
+    """The WordIds of this Python process, which later tasks of a worker find filled; functions travel by value, so it lives in a module of its own."""
+    import sys
+    import types
+
+    held = sys.modules.setdefault("_dwellspan_words", types.ModuleType("_dwellspan_words")).__dict__
+    key = (tokenizer_path, cache_words)
+    if held.get("key") != key:
+        held.update(key=key, words=WordIds(tokenizer_path, cache_words))
+    return held["words"]
+
+
 def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, cache_words: int = CACHE_WORDS) -> DataFrame:
     """Tokenise doc_id and text, add the end id and cut what is longer than capacity; a worker remembers twice cache_words words."""
 
@@ -168,7 +180,7 @@ def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = C
         import pyarrow as pa
 
         gc.disable()  # no cycles arise here, and the collector would walk the remembered words again and again
-        model = WordIds(tokenizer_path, cache_words)
+        model = _worker_words(tokenizer_path, cache_words)
         end, step = np.array([end_id], "<u4").tobytes(), 4 * capacity
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).cast(pa.binary())
