@@ -48,7 +48,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents and their places in sequences."""
-    return pack(pieces(docs, cache_words=CACHE_WORDS))
+    return pack(pieces(docs, cache_words=CACHE_WORDS, keep_words=False))
 
 
 STAGES = [("quality rules", quality), ("line dedup", lines), ("MinHash near-dedup", near_duplicate_groups), ("mixing", mixture), ("packing", packed)]

@@ -170,8 +170,11 @@ def _worker_words(tokenizer_path: str | None, cache_words: int) -> WordIds:
     return held["words"]
 
 
-def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, cache_words: int = CACHE_WORDS) -> DataFrame:
-    """Tokenise doc_id and text, add the end id and cut what is longer than capacity; a worker remembers twice cache_words words."""
+def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, cache_words: int = CACHE_WORDS, keep_words: bool = True) -> DataFrame:
+    """Tokenise doc_id and text, add the end id and cut what is longer than capacity.
+
+    A task remembers twice cache_words words; with keep_words they stay in the worker for its later tasks.
+    """
 
     def cut(batches: Iterator) -> Iterator:
         import gc
@@ -180,7 +183,7 @@ def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = C
         import pyarrow as pa
 
         gc.disable()  # no cycles arise here, and the collector would walk the remembered words again and again
-        model = _worker_words(tokenizer_path, cache_words)
+        model = _worker_words(tokenizer_path, cache_words) if keep_words else WordIds(tokenizer_path, cache_words)
         end, step = np.array([end_id], "<u4").tobytes(), 4 * capacity
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).cast(pa.binary())
