@@ -18,6 +18,8 @@ from dwellspan.llm.quality import judge
 
 #: Words that a packing task remembers; fewer than by default, as workers of earlier stages still hold memory.
 CACHE_WORDS = 150_000
+#: Least similarity, in percent, of near-duplicates; op3 alone has 85.
+PERCENT = 80
 #: Tokenising can't be said in SQL.
 ORACLE_SQL = None
 
@@ -35,7 +37,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each group."""
-    gone = written(near_duplicates(docs.select("doc_id", "text")).filter("not kept").select("doc_id").distinct(), "near-duplicates")
+    gone = written(near_duplicates(docs.select("doc_id", "text"), PERCENT).filter("not kept").select("doc_id").distinct(), "near-duplicates")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -9,7 +9,7 @@ so a bucket of n gives n - 1 edges. The components of these edges are families:
 that share a bucket are in one. Links are confirmed on full sets within families, in blocks of
 bounded size that meet two by two, and each block pair gives a forest of its links, at most an edge
 a document. So no link between members that both differ from a hub is lost, and no pairs travel.
-At similarity 0.85 a pair shares no bucket with a probability of (1 - 0.85^5)^25, under 1e-6.
+At similarity 0.85 a pair shares no bucket with a probability of (1 - 0.85^5)^25, under 1e-6; at 0.8 it is 5e-5.
 
 Documents of equal sets are one node, so copies never meet in pairs. Texts without words, and null
 texts, have empty sets and no links. Rows that repeat an id are all returned and count as one
@@ -28,7 +28,7 @@ from .common import map_batches, table, written
 
 BINS, ROWS, BANDS = 128, 5, 25
 SHINGLE = 5
-#: Links have 100 * intersection >= PERCENT * union.
+#: Links have 100 * intersection >= PERCENT * union, unless a caller gives its own percent.
 PERCENT = 85
 #: About so many shingles, and documents, of a family make a block.
 BLOCK_SHINGLES, BLOCK_DOCS = 150_000, 256
@@ -143,7 +143,7 @@ def components(links: DataFrame) -> DataFrame:
         last = now
 
 
-def forest(ids: list[int], sets: list, cross: int | None = None) -> list[tuple[int, int]]:
+def forest(ids: list[int], sets: list, cross: int | None = None, percent: int = PERCENT) -> list[tuple[int, int]]:
     """Edges (a, b) that join all linked documents; with cross, of pairs of one before it and one from it on."""
     import numpy as np
 
@@ -163,7 +163,7 @@ def forest(ids: list[int], sets: list, cross: int | None = None) -> list[tuple[i
         held[row[lo:hi], column[lo:hi] - start] = 1
         shared += held @ held.T
     shared = shared.astype(np.float64)
-    linked = 100 * shared >= PERCENT * (sizes[:, None] + sizes[None, :] - shared)
+    linked = 100 * shared >= percent * (sizes[:, None] + sizes[None, :] - shared)
     if cross is not None:
         linked[:cross, :cross] = linked[cross:, cross:] = False
     edges, seen = [], np.zeros(n, bool)
@@ -179,7 +179,7 @@ def forest(ids: list[int], sets: list, cross: int | None = None) -> list[tuple[i
     return edges
 
 
-def links(members: DataFrame, docs: DataFrame) -> DataFrame:
+def links(members: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Edges (a, b) that join the linked documents of each family; members are (rep, family, n)."""
     sizes = members.groupBy("family").agg(F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_DOCS)).cast("int").alias("blocks"))
     dealt = members.join(sizes, "family").withColumn("block", F.expr("pmod(xxhash64(rep), blocks)").cast("int"))
@@ -196,7 +196,7 @@ def links(members: DataFrame, docs: DataFrame) -> DataFrame:
 
         def done():
             cross = None if at is None or at[1] == at[2] else int(np.searchsorted(blocks, at[2]))
-            edges = forest(ids, sets, cross) if len(ids) > 1 else []
+            edges = forest(ids, sets, cross, percent) if len(ids) > 1 else []
             return pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], ["a", "b"])
 
         for batch in batches:
@@ -215,8 +215,8 @@ def links(members: DataFrame, docs: DataFrame) -> DataFrame:
     return map_batches(met, run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for each row of docs (doc_id, text)."""
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for each row of docs (doc_id, text); links are of percent similarity or more."""
     signed = written(sign(docs), "signatures")
     groups = written(signed.filter("n_shingles > 0").groupBy("same").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "equal-sets")
     nodes = signed.join(groups.select(F.col("same").alias("s"), F.col("rep").alias("r")), (F.col("doc_id") == F.col("r")) & (F.col("same") == F.col("s")))
@@ -226,7 +226,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     families = components(dealt.join(hubs, "key").select(F.col("rep").alias("a"), F.col("hub").alias("b")).filter("a != b").distinct())
     placed = families.union(families.select("component", "component").distinct()).toDF("id", "family")
     members = nodes.select("rep", "n").join(placed, nodes.rep == placed.id).select("rep", "family", "n").dropDuplicates(["rep"])
-    found = components(links(written(members, "families"), docs))
+    found = components(links(written(members, "families"), docs, percent))
 
     copies = groups.select(F.col("same").alias("s"), "rep").filter("copies > 1")
     labelled = signed.select("doc_id", "n_shingles", "same").join(copies, F.col("same") == F.col("s"), "left").withColumn("rep", F.coalesce("rep", "doc_id"))

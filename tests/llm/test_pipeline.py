@@ -86,3 +86,13 @@ def test_rows_of_nulls_pass(spark, tmp_path):
     rows = [(None, None, None, None, None), (1, None, None, None, None), (2, "", "en", "a", 0), (3, "the of and to in is that " + " ".join(f"word{i}" for i in range(40)), None, None, None)] * 2
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     assert {r.doc_id for r in cp.run(spark, str(tmp_path)).collect()} == {3}
+
+
+def test_near_duplicates_link_from_80_percent(spark):
+    words = [f"w{i}" for i in range(50)]
+    once = [*words[:25], "other", *words[26:]]  # 41 of 51 shingles
+    more = [f"v{i}" for i in range(50)]
+    far = [*more[:20], "other", *more[21:27], "another", *more[28:]]  # 34 of 58
+    rows = [(i, " ".join(w), "en", "a", 0) for i, w in enumerate((words, once, more, far))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id for r in cp.near_duplicate_groups(spark, docs, "").collect()} == {0, 2, 3}
