@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellspan.llm.common import n_words, table, written
+from dwellspan.llm.common import WORD, n_words, table, written
 from dwellspan.llm.linededup import drop_frequent_lines
 from dwellspan.llm.minhash import near_duplicates
 from dwellspan.llm.mixing import mix, quality_weight
@@ -36,9 +36,19 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group."""
-    gone = written(near_duplicates(docs.select("doc_id", "text"), PERCENT).filter("not kept").select("doc_id").distinct(), "near-duplicates")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The row of the smallest id of each group, and one of equal rows without words; rows without an id come last.
+
+    Rows are judged by a key of their own, as ids may be null or repeated.
+    """
+    rows = written(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
+    id_, text = F.col("doc_id"), F.coalesce("text", F.lit(""))
+    blank = F.when(~text.rlike(WORD), F.concat_ws(" ", F.coalesce(id_.cast("string"), F.lit("-")), F.when(F.col("text").isNull(), "-").otherwise(F.sha2("text", 256))))
+    near = near_duplicates(rows.select(F.col("row").alias("doc_id"), "text"), PERCENT).select(F.col("doc_id").alias("row"), "component_id")
+    judged = near.join(rows.select("row", blank.alias("blank"), F.struct(id_.isNull().alias("last"), id_.alias("id"), F.xxhash64("text").alias("digest"), "row").alias("rank")), "row")
+    judged = written(judged.select("row", "rank", F.coalesce("blank", F.concat(F.lit("#"), "component_id")).alias("group")), "near-duplicates")
+    kept = judged.groupBy("group").agg(F.min("rank")["row"].alias("row"))
+    gone = written(judged.select("row").join(kept, "row", "left_anti"), "gone")
+    return rows.join(gone, "row", "left_anti").select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -96,3 +96,11 @@ def test_near_duplicates_link_from_80_percent(spark):
     rows = [(i, " ".join(w), "en", "a", 0) for i, w in enumerate((words, once, more, far))]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     assert {r.doc_id for r in cp.near_duplicate_groups(spark, docs, "").collect()} == {0, 2, 3}
+
+
+def test_near_duplicates_are_judged_by_row(spark):
+    words = {c: " ".join(f"{c}{i}" for i in range(30)) for c in "abcd"}
+    rows = [(None, words["a"]), (None, words["a"]), (1, words["b"]), (2, words["b"]), (2, words["c"]), (3, words["d"]), (3, words["d"]), (4, " "), (4, " "), (5, " "), (None, None), (None, None)]
+    docs = spark.createDataFrame([(*r, "en", "a", 0) for r in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = cp.near_duplicate_groups(spark, docs, "").collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted({*rows} - {(2, words["b"])}, key=str)
