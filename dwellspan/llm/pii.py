@@ -1,8 +1,8 @@
 """Personal data: exact base patterns, and identifiers found by bootstrapped contexts.
 
-Base matches of four kinds are the seeds. Words with a digit or an @ are instances; the one and two
-words before an instance are its patterns. Instances and patterns form a weighted graph that Spark
-scores in turns: a pattern's score for a kind is the share of its occurrences whose instance scores
+Base matches of four kinds are the seeds. Words with a digit or an @, runs of neighbouring digit groups
+and addresses with a spelt at are instances; the one and two words before an instance are its patterns.
+Instances and patterns form a weighted graph that Spark scores in turns: a pattern's score for a kind is the share of its occurrences whose instance scores
 for that kind, smoothed; an instance's score is that of its best pattern, 1 for seeds. Instances that are
 no seeds become spans of a kind where a pattern of high score precedes them.
 
@@ -40,8 +40,13 @@ KEEP = {
     "card": f"length({_DIGITS}) between 16 and 19 and {_LUHN}",
     "phone": f"length({_DIGITS}) between 8 and 15",
 }
-#: Instances: words with a digit or @, at least MIN_CHARS long without the marks around them.
-INSTANCE = r"(?:\G|(?<![^\x20\x09-\x0D]))[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+_NAME, _OPEN, _CLOSE = r"[A-Za-z0-9._%+-]++", r"\x20?+[(\[{]\x20?+", r"\x20?+[)\]}]\x20?+"
+_DOT = rf"(?:\.|{_OPEN}(?i:dot){_CLOSE}|\x20++(?i:dot)\x20++)[A-Za-z0-9-]++"
+#: Addresses written with words for @: any dots after a bracketed at, a spelt dot after a bare one.
+_SPELT = rf"{_NAME}(?:{_OPEN}(?i:at){_CLOSE}[A-Za-z0-9-]++(?:{_DOT})*+|\x20++(?i:at)\x20++[A-Za-z0-9-]++(?:\x20++(?i:dot)\x20++[A-Za-z0-9-]++)++)[^\x20\x09-\x0D]*+"
+_GROUP = r"[+(\[]*+[0-9][0-9()\[\]./-]*+(?=[,;:!?}>\x22\x27]*+(?![^\x20\x09-\x0D]))"
+#: Instances: spelt addresses, runs of neighbouring digit groups, and words with a digit or @; at least MIN_CHARS long without the marks around them.
+INSTANCE = rf"(?:\G|(?<![^\x20\x09-\x0D]))(?:{_SPELT}|[(\[{{<\x22\x27]*+{_GROUP}(?:(?<![.])[\x20\x09]++(?:-[\x20\x09]++)?+{_GROUP})*+[^\x20\x09-\x0D]*+|[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+)"
 MIN_CHARS = 6
 #: Characters before an instance in which its context words are looked for.
 CONTEXT_CHARS = 64
@@ -66,7 +71,7 @@ def _found(matches: str, pieces: str) -> str:
 def base_spans(docs: DataFrame) -> DataFrame:
     """doc_id and, for each kind and for instances, an array of spans (start, end, m, left)."""
     out = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    kinds = {**BASE, "instance": (r"text rlike '[0-9@]'", INSTANCE)}
+    kinds = {**BASE, "instance": (r"text rlike '[0-9@]|(?i)[(\\[{\\x20]at[)\\]}\\x20]'", INSTANCE)}
     names = [*kinds]
     keep = KEEP | {"instance": "true"}
     out = out.select("doc_id", "text", *(F.expr(f"if({test}, regexp_extract_all(text, '{_escaped(regex)}', 0), cast(array() as array<string>))").alias(f"{k}_m") for k, (test, regex) in kinds.items()))
@@ -79,7 +84,7 @@ def instances(found: DataFrame) -> DataFrame:
     """Occurrences of instances: row, start, end, instance, seed (its kind or null), pattern; one row for each pattern."""
     seed = "coalesce(" + ", ".join(f"if(exists({k}, s -> s.start < o.end and s.end > o.start), '{k}', null)" for k in KINDS) + ")"
     rows = found.filter(F.size("instance") > 0).select("row", *KINDS, F.explode("instance").alias("o")).select("row", "o", F.expr(seed).alias("seed"))
-    rows = rows.withColumn("head", F.expr(r"length(regexp_extract(o.m, '^[(\\[{<\"\']*', 0))")).withColumn("tail", F.expr(r"length(regexp_extract(o.m, '[.,;:!?)\\]}>\"\']*$', 0))"))
+    rows = rows.withColumn("head", F.expr(r"length(regexp_extract(o.m, '^(?:[{<\"\']|[(\\[](?![0-9+]++[)\\]][^()\\[\\]]*[0-9]))*', 0))")).withColumn("tail", F.expr(r"length(regexp_extract(o.m, '[.,;:!?)\\]}>\"\']*$', 0))"))
     rows = rows.select(
         "row", "seed", F.expr("o.start + head").alias("start"), F.expr("o.end - tail").alias("end"),
         F.expr("lower(substr(o.m, head + 1, length(o.m) - head - tail))").alias("instance"),

@@ -67,6 +67,31 @@ def test_contexts_find_identifiers_that_no_base_pattern_fits(spark):
     assert all(got[200 + i].spans == "" for i in range(60))
 
 
+def test_contexts_find_grouped_numbers_and_spelt_addresses(spark):
+    rnd = random.Random(3)
+    rows = [(i, f"today you may call me at +1 (456) 555-21{i:02} or later") for i in range(40)]
+    for i in range(40):
+        d = "".join(rnd.choice("0123456789") for _ in range(15))
+        d = next(d + c for c in "0123456789" if _luhn(d + c))
+        rows.append((100 + i, f"then we pay with card {d[:4]} {d[4:8]} {d[8:12]} {d[12:]} or later"))
+    rows += [(200 + i, f"now write to user{i}@mail{i}.example.com or later") for i in range(40)]
+    planted = {
+        300: ("phone", "today you may call me at ", "(456) 555-2186", " or later"),
+        301: ("phone", "today you may call me at ", "456 555 2186", ", or later"),
+        302: ("phone", "today you may call me at ", "[456] 555 - 2186", ". Later"),
+        303: ("card", "then we pay with card ", "4387 5130 3523 7260", " or later"),
+        304: ("email", "now write to ", "john(at)host.com", ", or later"),
+        305: ("email", "now write to ", "john at host dot com", " or later"),
+        306: ("email", "now write to ", "john [at] host [dot] com", " or later"),
+        308: ("phone", "today you may call me at ", "456 555-2186", ". 20 came later"),
+        307: ("phone", "today you may call me at ", "456 555 2186", " 7th or later"),
+    }
+    rows += [(k, "".join(p[1:])) for k, p in planted.items()] + [(400 + i, f"the lot 12 {i} 77 {i} was sold") for i in range(20)]
+    got = {r.doc_id: r.spans for r in personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {k: got[k] for k in planted} == {k: f"{kind}:{len(before)}:{len(before) + len(m)}" for k, (kind, before, m, _) in planted.items()}
+    assert all(got[400 + i] == "" for i in range(20))
+
+
 def test_empty_and_native(spark, sf_dir):
     assert personal_data(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     assert not re.search("Python|Arrow|Pandas", op4_pii_contexts(spark, sf_dir)._jdf.queryExecution().executedPlan().toString())
