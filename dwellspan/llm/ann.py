@@ -3,18 +3,18 @@
 The two halves of the vectors are quantised separately to CENTROIDS each, by k-means on a bounded
 sample, so each vector lies in one of CENTROIDS^2 cells. A query walks the pairs of centroids by
 the sum of its two inner products with a heap until the cells seen hold the share ``visit`` of all
-vectors, MIN_ENTRIES at least. Vectors and queries meet by blocks of cells, of bounded size: a block is split by salt
+vectors, k at least. Vectors and queries meet by blocks of cells, of bounded size: a block is split by salt
 when it holds more than UNIT_ROWS vectors, and each query goes once to each part that it walks
-through. Entries are ranked again by the exact inner product in double precision.
+through. There the entries stand in the order of their cells, and a query is multiplied with those of
+the cells that it walks through only; the best are ranked again by the exact inner product in double precision.
 
 ``visit`` is a share of the index, as the true neighbours of isotropic vectors are spread over a large
-part of it; recall at 0.6 is above 0.95 on 64 near-isotropic dimensions, and less will do where vectors
-form clusters.
+part of it; less will do where vectors form clusters. It holds at every size of the table.
 
 Vectors that are null, all zero, of another length than most, or hold a null or non-finite component,
-and rows without an id, take no part. Rows of one id never answer each other and repeated
-candidates are returned once for each row; ties go to the smaller id. Other columns are left out; an
-empty table gives an empty result.
+and rows without an id, take no part. Rows that repeat an id stand for one entry and one query: the score of
+two ids is the largest over their rows, an id is found once at most and never by itself. Ties go to the
+smaller id. Other columns are left out; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,11 +29,9 @@ from .common import map_batches, table, written
 
 CENTROIDS, BLOCK = 64, 8  # centroids of a half; first-half centroids in a block
 SAMPLE_ROWS, KMEANS_ROUNDS = 20_000, 10
-VISIT = 0.6
-#: Entries that a query reranks at least, so that small tables are searched whole.
-MIN_ENTRIES = 1000
+VISIT = 0.55
 UNIT_ROWS = 20_000
-QUERY_ROWS = 512
+QUERY_ROWS = 256
 FOUND = "query_id long, vec_id long, score double"
 
 
@@ -99,6 +97,50 @@ def _sums(products):
     return total
 
 
+class Unit:
+    """Entries of a part of the index in the order of their cells."""
+
+    def __init__(self, ids, cells, rows) -> None:
+        import numpy as np
+
+        self.ids, self.rows = ids, rows
+        edges = np.flatnonzero(np.diff(cells, prepend=-1, append=-1))
+        self.slices = [(int(cells[lo]), int(lo), int(hi)) for lo, hi in zip(edges, edges[1:], strict=False)]
+        self.longest = np.sqrt((rows**2).sum(1).max())
+        order = np.argsort(ids, kind="stable")
+        first = np.flatnonzero(np.append(True, ids[order][1:] != ids[order][:-1]))
+        self.one_of_each = None if len(first) == len(ids) else (order, first)
+        self.products = 0
+
+    def best(self, q_ids, q, seen, k: int):
+        """query_id, vec_id, score of the k best ids in the cells that each query sees."""
+        import numpy as np
+
+        near = np.full((len(q), len(self.ids)), -np.inf)
+        for cell, lo, hi in self.slices:
+            who = np.flatnonzero(seen[:, cell])
+            if len(who):
+                near[who, lo:hi] = q[who] @ self.rows[lo:hi].T
+                self.products += len(who) * (hi - lo)
+        near[self.ids[None, :] == q_ids[:, None]] = -np.inf
+        each = near if self.one_of_each is None else np.maximum.reduceat(near[:, self.one_of_each[0]], self.one_of_each[1], axis=1)
+        n = each.shape[1]
+        least = np.partition(each, n - k, axis=1)[:, n - k] if n > k else np.full(len(q), -np.inf)
+        slack = 1e-12 * self.longest * np.sqrt((q**2).sum(1))
+        out: list[list] = [[], [], []]
+        for r in range(len(q)):
+            keep = np.flatnonzero((near[r] >= least[r] - slack[r]) & (near[r] > -np.inf))
+            ids, score = self.ids[keep], _sums(self.rows[keep] * q[r])
+            order = np.lexsort((ids, -score))
+            if self.one_of_each is not None:
+                order = order[np.sort(np.unique(ids[order], return_index=True)[1])]
+            order = order[:k]
+            out[0].append(np.full(len(order), q_ids[r]))
+            out[1].append(ids[order])
+            out[2].append(score[order])
+        return [np.concatenate(c) for c in out]
+
+
 def neighbours(vectors: DataFrame, is_query, k: int = 20, visit: float = VISIT) -> DataFrame:
     """query_id, rank, vec_id, score: up to k neighbours of each row that is_query (a Column) holds for."""
     spark = vectors.sparkSession
@@ -129,12 +171,11 @@ def neighbours(vectors: DataFrame, is_query, k: int = 20, visit: float = VISIT)
     counts = np.zeros((len(first), len(second)), np.int64)
     for r in coded.groupBy("i", "j").agg(F.count("*").alias("n")).collect():  # CENTROIDS^2 rows at most
         counts[r.i, r.j] = r.n
-    target = max(visit * counts.sum(), MIN_ENTRIES)
+    target = max(visit * counts.sum(), k + 1)  # the query itself may be among them
     salts = [max(1, -(-int(counts[b * BLOCK : (b + 1) * BLOCK].sum()) // UNIT_ROWS)) for b in range(-(-len(first) // BLOCK))]
     starts = np.cumsum([0, *salts]).tolist()
 
     def plan(batches: Iterator) -> Iterator:
-        import numpy as np
         import pyarrow as pa
 
         one, two = books.value
@@ -154,19 +195,20 @@ def neighbours(vectors: DataFrame, is_query, k: int = 20, visit: float = VISIT)
                             units.append(starts[block] + salt)
                             masks.append(bits[block].tobytes())
                 take = pa.array(rows, pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(units, pa.int32()), pa.array([1] * len(rows), pa.int32()), part.column(0).take(take), pa.array(masks, pa.binary()), part.column(1).take(take)], ["unit", "side", "id", "cells", "embedding"])
+                fixed = [pa.array([x] * len(rows), pa.int32()) for x in (1, 0)]
+                yield pa.RecordBatch.from_arrays([pa.array(units, pa.int32()), *fixed, part.column(0).take(take), pa.array(masks, pa.binary()), part.column(1).take(take)], ["unit", "side", "cell", "id", "cells", "embedding"])
 
-    sides = f"unit int, side int, id long, cells binary, embedding {kind}"
-    queries = map_batches(coded.filter(is_query).select("vec_id", "embedding"), plan, sides)
+    sides = f"unit int, side int, cell int, id long, cells binary, embedding {kind}"
+    queries = map_batches(coded.filter(is_query).select("vec_id", "embedding").distinct(), plan, sides)
     block, split = F.floor(F.col("i") / BLOCK).cast("int"), F.array(*map(F.lit, salts))
     unit = F.element_at(F.array(*map(F.lit, starts)), block + 1) + F.expr("pmod(xxhash64(vec_id), parts)").cast("int")
-    entries = coded.withColumn("parts", F.element_at(split, block + 1)).select(unit.alias("unit"), F.lit(0).alias("side"), F.col("vec_id").alias("id"), ((F.col("i") % BLOCK) * CENTROIDS + F.col("j")).cast("string").cast("binary").alias("cells"), "embedding")
+    cell = ((F.col("i") % BLOCK) * CENTROIDS + F.col("j")).cast("int")
+    entries = coded.withColumn("parts", F.element_at(split, block + 1)).select(unit.alias("unit"), F.lit(0).alias("side"), cell.alias("cell"), F.col("vec_id").alias("id"), F.lit(None).cast("binary").alias("cells"), "embedding")
 
     def search(batches: Iterator) -> Iterator:
-        import numpy as np
         import pyarrow as pa
 
-        at, ids, cells, rows, held = None, [], [], [], None
+        at, ids, cells, rows, unit_ = None, [], [], [], None
         for batch in batches:
             units, sides_ = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             edges = [0, *(np.flatnonzero((np.diff(units) != 0) | (np.diff(sides_) != 0)) + 1).tolist(), batch.num_rows]
@@ -174,41 +216,29 @@ def neighbours(vectors: DataFrame, is_query, k: int = 20, visit: float = VISIT)
                 if lo == hi:
                     continue
                 if units[lo] != at:
-                    at, ids, cells, rows, held = units[lo], [], [], [], None
+                    at, ids, cells, rows, unit_ = units[lo], [], [], [], None
                 run = batch.slice(lo, hi - lo)
                 if sides_[lo] == 0:
-                    ids.append(run.column(2).to_numpy())
-                    cells.append(np.array([int(c) for c in run.column(3).to_pylist()]))
-                    rows.append(_matrix(run.column(4)))
+                    ids.append(run.column(3).to_numpy())
+                    cells.append(run.column(2).to_numpy())
+                    rows.append(_matrix(run.column(5)))
                     continue
                 if not ids:
                     continue
-                if held is None:
-                    held = np.concatenate(ids), np.concatenate(cells), np.concatenate(rows)
-                    longest = np.sqrt((held[2] ** 2).sum(1).max())
-                v_ids, v_cells, v = held
+                if unit_ is None:
+                    unit_ = Unit(np.concatenate(ids), np.concatenate(cells), np.concatenate(rows))
                 for k0 in range(0, run.num_rows, QUERY_ROWS):
                     some = run.slice(k0, QUERY_ROWS)
-                    q_ids, q = some.column(2).to_numpy(), _matrix(some.column(4))
-                    near = q @ v.T
-                    seen = np.unpackbits(np.frombuffer(b"".join(some.column(3).to_pylist()), np.uint8).reshape(len(q), -1), axis=1).astype(bool)
-                    near[~seen[:, v_cells] | (v_ids[None, :] == q_ids[:, None])] = -np.inf
-                    least = np.partition(near, len(v_ids) - k, axis=1)[:, len(v_ids) - k] if len(v_ids) > k else np.full(len(q), -np.inf)
-                    slack = 1e-12 * longest * np.sqrt((q**2).sum(1))
-                    out: list[list] = [[], [], []]
-                    for r in range(len(q)):
-                        keep = np.flatnonzero((near[r] >= least[r] - slack[r]) & (near[r] > -np.inf))
-                        score = _sums(v[keep] * q[r])
-                        best = np.lexsort((v_ids[keep], -score))[:k]
-                        out[0].append(np.full(len(best), q_ids[r]))
-                        out[1].append(v_ids[keep][best])
-                        out[2].append(score[best])
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["query_id", "vec_id", "score"])
+                    seen = np.unpackbits(np.frombuffer(b"".join(some.column(4).to_pylist()), np.uint8).reshape(some.num_rows, -1), axis=1).astype(bool)
+                    found = unit_.best(some.column(3).to_numpy(), _matrix(some.column(5)), seen, k)
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["query_id", "vec_id", "score"])
 
     parts = max(starts[-1], int(spark.conf.get("spark.sql.shuffle.partitions")))
-    met = entries.union(queries).repartition(parts, "unit").sortWithinPartitions("unit", "side")
+    met = entries.union(queries).repartition(parts, "unit").sortWithinPartitions("unit", "side", "cell")
+    # one shuffle by query serves both the rows that an id repeats and the ranks
+    found = map_batches(met, search, FOUND).repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return map_batches(met, search, FOUND).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op1_multi_index_search(spark: SparkSession, sf_dir: str) -> DataFrame:
