@@ -1,15 +1,19 @@
 """Language-model scores from unigram counts and a hashed maximum-entropy model.
 
-The counts of all training tokens are exact (tokens stand as 64-bit digests). The model predicts the next
-token among the OUTCOMES - 1 most frequent tokens and one outcome for all others, whose share is
-split by their smoothed counts, so a probability is given to every token. It is log-linear in hashed
-features of the token before, the token two before (skip) and both, with a softmax over CLASSES
-classes of like frequency times one over the members of the class.
-
-Training is one pass of adaptive gradient steps over all training texts: each task updates its own
-weights, and a row of weights becomes the mean over the tasks that moved it. Weights are a few MB whatever
-the input. Scoring runs in batches of sparse rows; counts of the KNOWN_WORDS most frequent
-tokens travel with it, rarer tokens are joined to their counts.
+The counts of all training tokens are exact (tokens stand as 64-bit digests). The model gives a probability to
+every token of the vocabulary from its context. Its softmax is factored into nested classes of WAY
+members each, a tree whose leaves lie the deeper the rarer they are, so that a token costs about as many
+steps as its entropy needs. The KNOWN_WORDS most frequent tokens are leaves of their own; the others, and
+unseen ones, fall by their digest into buckets, which are leaves too, and share a bucket by their smoothed
+counts. Each choice within a class is log-linear in hashed features of the token before, the token
+two before (skip) and both, and starts from the unigram shares.
+
+Training takes all training texts in ROUNDS turns, by a digest of their ids. In a turn each task sums the
+gradients of its texts, sums over all tasks are formed by rows of weights, and one damped step is taken; so
+the model does not depend on how rows fall into tasks, but for rounding. The vocabulary, its buckets and the
+rows of weights (by the square root of the number of tokens, up to MAX_ROWS) grow with the input.
+Scoring runs in batches of sparse rows; counts of the known tokens travel with it, rarer tokens are
+joined to their counts.
 
 A null text is empty and consists of its end token. Ids count as text for the held-out digest, a null id
 as empty. Each row counts, repeated ids too. Columns other than doc_id and text are left out; an
@@ -19,7 +23,6 @@ empty table gives an empty result; without training rows all counts are 0.
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,17 +31,27 @@ from pyspark.sql import functions as F
 from .common import map_batches, table, written
 
 END = b"\n"  # no word holds it
-CLASSES, MEMBERS = 32, 32
-OUTCOMES = CLASSES * MEMBERS
-#: Tokens whose counts every scoring task holds.
+#: Members of a class in the tree of the vocabulary.
+WAY = 16
+#: Tokens that are leaves of their own, and whose counts every scoring task holds.
 KNOWN_WORDS = 2**18
-#: Hashed rows of class weights and of member weights.
-CLASS_ROWS, MEMBER_ROWS = 2**13, 2**14
-RATE, BATCH = 0.2, 2**14
+#: About so many rarer tokens share a bucket, with MAX_BUCKETS at most.
+BUCKET_TOKENS, MAX_BUCKETS = 32, 2**16
+#: Rows of weights: ROWS_FACTOR times the square root of the training tokens, as a power of two within these bounds.
+ROWS_FACTOR, MIN_ROWS, MAX_ROWS = 32, 2**10, 2**20
+ROUNDS = 4
+#: A row with n events so far moves by RATE * gradient sum / (n + DAMPING), each weight by MAX_STEP at most and within MAX_WEIGHT.
+RATE, DAMPING, MAX_STEP, MAX_WEIGHT = 5.0, 30.0, 1.5, 8.0
+#: Known tokens are found by so many top bits of their digests.
+TOP_BITS = 18
+#: Tokens whose events are handled at once, and batches whose gradients are added up at once.
+BATCH, ADDED = 2**12, 32
 #: A counting task hands on its counts when it holds so many tokens.
 FLUSH_TOKENS = 2**21
+#: Training tokens of a turn for a task, unless that gives fewer tasks than cores.
+TASK_TOKENS = 2**24
 SLICE_ROWS = 512
-BLOCK_ROWS = 512
+BLOCK_ROWS = 256  # a byte tells a row's place in its block
 PRIMES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 START = 0x51ED270B6A1F93C5  # stands before the first token
 
@@ -101,40 +114,97 @@ def token_counts(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select("text"), count, "token long, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
 
+def class_tree(weights):
+    """The WAY-ary tree of least mean depth over leaves of these weights.
+
+    Returns for each leaf the slice of its steps (ptr), the class and member of each step, and the log shares of members by class.
+    """
+    import numpy as np
+
+    n = len(weights)
+    padding = -(n - 1) % (WAY - 1) if n > 1 else WAY - 1
+    order = np.concatenate([np.arange(n, n + padding), np.argsort(weights, kind="stable")])
+    mass = np.concatenate([np.asarray(weights, float), np.zeros(padding)])
+    n_leaves = n + padding
+    n_classes = (n_leaves - 1) // (WAY - 1)
+    parent = np.full(n_leaves + n_classes, -1, np.int64)
+    member = np.zeros(n_leaves + n_classes, np.uint8)
+    bias = np.full((n_classes, WAY), -1e4, np.float32)
+    leaves, sorted_mass, made = order.tolist(), mass[order].tolist(), []
+    at = tail = 0
+    for c in range(n_classes):
+        own = []
+        for _ in range(WAY):  # the lightest of the leaves left and the classes not yet placed
+            if tail >= len(made) or (at < n_leaves and sorted_mass[at] <= made[tail]):
+                own.append((leaves[at], sorted_mass[at]))
+                at += 1
+            else:
+                own.append((n_leaves + tail, made[tail]))
+                tail += 1
+        total = sum(m for _, m in own)
+        made.append(total)
+        for k, (child, m) in enumerate(own):
+            parent[child], member[child] = n_leaves + c, k
+            if m > 0:
+                bias[c, k] = math.log(m / total)
+    steps, here = [], np.arange(n)
+    alive = np.ones(n, bool)
+    depth = np.zeros(n, np.int64)
+    while alive.any():
+        up = parent[here]
+        alive = up >= 0
+        steps.append((np.flatnonzero(alive), up[alive] - n_leaves, member[here[alive]]))
+        depth[alive] += 1
+        here = np.where(alive, up, here)
+    ptr = np.concatenate([[0], np.cumsum(depth)])
+    classes, members = np.empty(ptr[-1], np.int32), np.empty(ptr[-1], np.uint8)
+    for d, (leaf, c, m) in enumerate(steps):
+        classes[ptr[leaf] + d], members[ptr[leaf] + d] = c, m
+    return ptr, classes, members, bias
+
+
 class Model:
-    """Frequent tokens with their counts, and the weights; plain arrays, so that it can be broadcast."""
+    """The tree of the vocabulary, the counts of known tokens, and the weights; plain arrays, so that it can be broadcast.
 
-    def __init__(self, tokens, counts, total: int, distinct: int) -> None:
+    ``rest`` has for each bucket the sum of counts and the number of the tokens in it that are not known.
+    """
+
+    def __init__(self, tokens, counts, rest, total: int, distinct: int) -> None:
         import numpy as np
 
         self.total, self.distinct = total, distinct
-        rank = np.arange(len(tokens))
         order = np.argsort(tokens)
         self.tokens, self.counts = tokens[order], counts[order]
-        self.outcome = np.where(rank < OUTCOMES - 1, rank, OUTCOMES - 1)[order].astype(np.int32)
-        frequent = counts[: OUTCOMES - 1]
-        self.rest, self.rest_distinct = total - int(frequent.sum()), distinct - len(frequent)
-        each = np.full(OUTCOMES, 1e-9)
-        each[: len(frequent)] = frequent
-        each[-1] = self.rest + 0.5 * (self.rest_distinct + 1)
-        each = each.reshape(CLASSES, MEMBERS)
-        self.class_bias = np.log(each.sum(1) / each.sum()).astype(np.float32)
-        self.member_bias = np.log(each / each.sum(1, keepdims=True)).astype(np.float32)
-        self.class_weights = np.zeros((CLASS_ROWS, CLASSES), np.float32)
-        self.member_weights = np.zeros((MEMBER_ROWS, MEMBERS), np.float32)
+        self.first = np.searchsorted(self.tokens >> np.uint64(64 - TOP_BITS), np.arange(2**TOP_BITS + 1, dtype=np.uint64))
+        shares = rest[0] + 0.5 * (rest[1] + 1)  # unseen tokens count as one in each bucket
+        self.bucket_logs = np.log10(shares)
+        self.ptr, self.classes, self.members, self.bias = class_tree(np.concatenate([np.maximum(self.counts, 1), shares]))
+        rows = 2 ** round(math.log2(max(1.0, ROWS_FACTOR * math.sqrt(total))))
+        self.weights = np.zeros((min(MAX_ROWS, max(MIN_ROWS, rows)), WAY), np.float32)
+        self.seen = np.zeros(len(self.weights))
 
     def look_up(self, digests):
-        """Outcome and count of each token; the count is -1 where only the full table may know it."""
+        """Leaf and count of each token; the count is -1 where only the full table may know it."""
         import numpy as np
 
-        if not len(self.tokens):
-            return np.full(len(digests), OUTCOMES - 1, np.int32), np.zeros(len(digests), np.int64)
-        at = np.minimum(np.searchsorted(self.tokens, digests), len(self.tokens) - 1)
-        hit = self.tokens[at] == digests
-        return np.where(hit, self.outcome[at], OUTCOMES - 1), np.where(hit, self.counts[at], -1)
-
-    def features(self, digests, sizes, outcomes):
-        """Rows of class weights (3 a token) and of member weights (2 a token)."""
+        leaves = (digests & np.uint64(len(self.bucket_logs) - 1)).astype(np.int64) + len(self.tokens)
+        counts = np.full(len(digests), -1, np.int64)
+        # tokens stand by their top bits, so a token is a few places from the first of its kind
+        top = (digests >> np.uint64(64 - TOP_BITS)).astype(np.int64)
+        at, end = self.first[top], self.first[top + 1]
+        open_ = np.flatnonzero(at < end)
+        while len(open_):
+            here = at[open_]
+            hit = self.tokens[here] == digests[open_]
+            found, place = open_[hit], here[hit]
+            leaves[found], counts[found] = place, self.counts[place]
+            at[open_] += 1
+            open_ = open_[~hit & (here + 1 < end[open_])]
+        return leaves, counts
+
+    @staticmethod
+    def contexts(digests, sizes):
+        """Hashes of the token before, the one before that, and both, for each token."""
         import numpy as np
 
         p = [np.uint64(x) for x in PRIMES]
@@ -144,73 +214,87 @@ class Model:
         before[first] = skip[first] = START
         second = first + 1
         skip[second[sizes > 1]] = START
-        group = (outcomes // MEMBERS).astype(np.uint64) * p[4]
+        return [before * p[0], skip * p[2] + p[3], before * p[2] + skip * p[3]]
 
-        def rows(x, n):
-            x = (x ^ (x >> np.uint64(31))) * p[1]
-            return ((x ^ (x >> np.uint64(29))) * p[0] >> np.uint64(64 - int(math.log2(n)))).astype(np.uint16)
+    def events(self, leaves, contexts):
+        """The steps to the leaves of some tokens: owner (place of the token), member taken, class, rows of weights by feature."""
+        import numpy as np
 
-        one, two, both = before * p[0], skip * p[2] + p[3], before * p[2] + skip * p[3]
-        return [rows(x, CLASS_ROWS) for x in (one, two, both)], [rows(x + group, MEMBER_ROWS) for x in (one, two)]
+        start, n = self.ptr[leaves], self.ptr[leaves + 1] - self.ptr[leaves]
+        owner = np.repeat(np.arange(len(leaves)), n)
+        at = np.arange(len(owner)) + np.repeat(start - np.cumsum(n) + n, n)
+        classes = self.classes[at]
+        salt, p = classes.astype(np.uint64) * np.uint64(PRIMES[4]), [np.uint64(x) for x in PRIMES]
+        shift, rows = np.uint64(65 - len(self.weights).bit_length()), []
+        for context in contexts:
+            x = context[owner] + salt
+            x = (x ^ (x >> np.uint64(31))) * p[1]
+            rows.append(((x ^ (x >> np.uint64(29))) * p[0] >> shift).astype(np.int32))
+        return owner, self.members[at], classes, rows
 
-    def log_odds(self, classes, members, outcomes):
-        """Log probabilities of all classes, and of all members of each token's class."""
+    def odds(self, classes, rows):
+        """Logits of all members of each event's class, their exponentials and sums of these; weights are bounded, so none overflows."""
         import numpy as np
 
-        a = self.class_bias + np.take(self.class_weights, classes[0], 0)
-        for f in classes[1:]:
-            a += np.take(self.class_weights, f, 0)
-        b = np.take(self.member_bias, outcomes // MEMBERS, 0)
-        for f in members:
-            b += np.take(self.member_weights, f, 0)
-        for x in (a, b):
-            x -= x.max(1, keepdims=True)
-            x -= np.log(np.exp(x).sum(1, keepdims=True))
-        return a, b
-
-    def learn(self, digests, sizes, state) -> None:
-        """Gradient steps over the tokens, BATCH of them at a time; state holds the squared steps of each row."""
+        logits = np.take(self.bias, classes, 0)
+        for f in rows:
+            logits += np.take(self.weights, f, 0)
+        exp = np.exp(logits)
+        return logits, exp, exp @ np.ones(WAY, np.float32)
+
+    def gradient(self, digests, sizes, sums, seen) -> None:
+        """Add the gradients of texts to sums (a row for each member), and the events of each row to seen."""
         import numpy as np
 
-        outcomes = self.look_up(digests)[0]
-        features = self.features(digests, sizes, outcomes)
+        leaves, contexts = self.look_up(digests)[0], self.contexts(digests, sizes)
+        held: list[tuple] = []
         for at in range(0, len(digests), BATCH):
             cut = slice(at, at + BATCH)
-            y, fc, fm = outcomes[cut], [f[cut] for f in features[0]], [f[cut] for f in features[1]]
-            a, b = self.log_odds(fc, fm, y)
-            each = np.arange(len(y))
-            for x, right, weights, squares, fs in ((a, y // MEMBERS, self.class_weights, state[0], fc), (b, y % MEMBERS, self.member_weights, state[1], fm)):
-                np.exp(x, out=x)
-                x[each, right] -= 1
-                for f in fs:
-                    order = np.argsort(f, kind="stable")
-                    ordered = f[order]
-                    starts = np.concatenate([[0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1])
-                    step, row = np.add.reduceat(np.take(x, order, 0), starts, 0), ordered[starts]
-                    squares[row] += (step * step).mean(1)
-                    weights[row] -= (RATE / np.sqrt(squares[row] + 1e-6))[:, None] * step
+            _, taken, classes, rows = self.events(leaves[cut], [c[cut] for c in contexts])
+            _, exp, total = self.odds(classes, rows)
+            exp /= total[:, None]
+            exp[np.arange(len(taken)), taken] -= 1
+            held.append((rows, exp.T.astype(np.float64, order="C")))
+            if len(held) == ADDED or at + BATCH >= len(digests):
+                parts = np.concatenate([g for _, g in held], axis=1)
+                for k in range(len(contexts)):
+                    row = np.concatenate([r[k] for r, _ in held])
+                    seen += np.bincount(row, minlength=len(seen))
+                    for lane in range(WAY):
+                        sums[lane] += np.bincount(row, parts[lane], len(seen))
+                held = []
+
+    def step(self, sums, seen) -> None:
+        import numpy as np
+
+        self.seen += seen
+        move = np.clip(RATE * sums / (self.seen + DAMPING), -MAX_STEP, MAX_STEP).T
+        self.weights = np.clip(self.weights - move, -MAX_WEIGHT, MAX_WEIGHT).astype(np.float32)
 
     def score(self, digests, sizes):
-        """For each text: modelled log10 probability without the counts of unknown tokens, and what look_up says."""
+        """For each token: modelled log10 probability, without its smoothed count where it shares a bucket, and its count as look_up says."""
         import numpy as np
 
-        outcomes, counts = self.look_up(digests)
-        classes, members = self.features(digests, sizes, outcomes)
+        leaves, counts = self.look_up(digests)
+        contexts = self.contexts(digests, sizes)
         out = np.empty(len(digests))
         for at in range(0, len(digests), BATCH):
             cut = slice(at, at + BATCH)
-            y = outcomes[cut]
-            a, b = self.log_odds([f[cut] for f in classes], [f[cut] for f in members], y)
-            each = np.arange(len(y))
-            out[cut] = a[each, y // MEMBERS].astype(np.float64) + b[each, y % MEMBERS]
-        return out / math.log(10), outcomes, counts
+            owner, taken, classes, rows = self.events(leaves[cut], [c[cut] for c in contexts])
+            logits, _, total = self.odds(classes, rows)
+            logs = logits[np.arange(len(taken)), taken].astype(np.float64) - np.log(total)
+            out[cut] = np.bincount(owner, logs, len(out[cut]))
+        out /= math.log(10)
+        rare = leaves >= len(self.tokens)
+        out[rare] -= self.bucket_logs[leaves[rare] - len(self.tokens)]
+        return out, counts
 
 
 def most_frequent(counts: DataFrame):
-    """Up to KNOWN_WORDS tokens and their counts, the most frequent first, ties by token.
+    """Up to KNOWN_WORDS tokens and their counts.
 
     A histogram of count classes, a few thousand rows at most, says from which class on tokens fit;
-    so no task gathers candidates of all others. Of a first class that does not fit whole, the OUTCOMES first tokens are taken.
+    so no task gathers candidates of all others. Tokens of classes that don't fit whole are not known.
     """
     import numpy as np
 
@@ -223,66 +307,80 @@ def most_frequent(counts: DataFrame):
             break
         least = r.class_
     if least is None:
-        rows = counts.orderBy(F.desc("c"), "token").limit(OUTCOMES)
-    else:
-        rows = classed.filter(F.col("class_") >= least)
-    found = rows.select("token", "c").toArrow()  # bounded
-    tokens, c = found.column(0).to_numpy(), found.column(1).to_numpy()
-    order = np.lexsort((tokens, -c))
-    return tokens[order].view(np.uint64), c[order]
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    found = classed.filter(F.col("class_") >= least).select("token", "c").toArrow()  # bounded
+    return found.column(0).to_numpy().view(np.uint64), found.column(1).to_numpy()
 
 
-def train(docs: DataFrame, counts: DataFrame) -> Model:
-    """The model of all texts of docs; counts are their token_counts."""
+def untrained(counts: DataFrame) -> Model:
+    """The model of the counts alone."""
     import numpy as np
 
-    spark = docs.sparkSession
     said = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("total"), F.count("*").alias("n")).first()
-    top = most_frequent(counts)
-    model = Model(top[0], top[1], said.total, said.n)
-    shared = spark.sparkContext.broadcast(model)
+    tokens, c = most_frequent(counts)
+    buckets = min(MAX_BUCKETS, 2 ** max(0, math.ceil(math.log2(max(1, (said.n - len(tokens)) / BUCKET_TOKENS)))))
+    rest = np.zeros((2, buckets))
+    for r in counts.groupBy(F.col("token").bitwiseAND(F.lit(buckets - 1)).alias("b")).agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect():  # MAX_BUCKETS rows at most
+        rest[:, r.b] = r.c, r.n
+    own = (tokens & np.uint64(buckets - 1)).astype(np.int64)
+    rest -= np.bincount(own, c, buckets), np.bincount(own, minlength=buckets)
+    return Model(tokens, c, rest, said.total, said.n)
+
+
+def gradient_sums(docs: DataFrame, model: Model):
+    """Sums of gradients over the texts of docs, and events, by row of weights."""
+    import numpy as np
 
-    def fit(batches: Iterator) -> Iterator:
-        import copy
+    spark = docs.sparkSession
+    shared, n_rows = spark.sparkContext.broadcast(model), len(model.weights)
 
+    def local(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        own = copy.copy(shared.value)
-        own.class_weights, own.member_weights = shared.value.class_weights.copy(), shared.value.member_weights.copy()
-        state, seen = (np.zeros(CLASS_ROWS), np.zeros(MEMBER_ROWS)), False
+        model, sums, seen = shared.value, np.zeros((WAY, n_rows)), np.zeros(n_rows)
         for batch in batches:
             for _, texts in _slices(batch, 0):
-                own.learn(*_digests(texts), state)
-                seen = True
-        if seen:
-            for k, weights in enumerate((own.class_weights, own.member_weights)):
-                for at in range(0, len(weights), BLOCK_ROWS):
-                    block = weights[at : at + BLOCK_ROWS].astype(np.float16)
-                    if block.any():
-                        yield pa.RecordBatch.from_arrays([pa.array([k * MEMBER_ROWS + at], pa.int32()), pa.array([zlib.compress(block.tobytes(), 1)], pa.binary())], ["block", "weights"])
-
-    def average(batches: Iterator) -> Iterator:
+                model.gradient(*_digests(texts), sums, seen)
+        for at in range(0, n_rows, BLOCK_ROWS):
+            row = np.flatnonzero(seen[at : at + BLOCK_ROWS])
+            if len(row):
+                n = seen[at + row]
+                mean = (sums[:, at + row] / n).astype("<f2")
+                yield pa.RecordBatch.from_arrays([pa.array([at])] + [pa.array([x], pa.binary()) for x in (row.astype("u1").tobytes(), n.astype("<f4").tobytes(), mean.tobytes())], ["block", "rows", "n", "mean"])
+
+    def added(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        sums: dict[int, list] = {}
+        held: dict[int, tuple] = {}
         for batch in batches:
-            for block, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                x = np.frombuffer(zlib.decompress(raw), np.float16).reshape(BLOCK_ROWS, -1).astype(np.float64)
-                held = sums.setdefault(block, [np.zeros_like(x), np.zeros((BLOCK_ROWS, 1))])
-                held[0] += x
-                held[1] += x.any(axis=1, keepdims=True)
-        for block, (x, n) in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([(x / np.maximum(n, 1)).astype("<f4").tobytes()], pa.binary())], ["block", "weights"])
-
-    parts = map_batches(docs.select("text"), fit, "block int, weights binary").repartition((CLASS_ROWS + MEMBER_ROWS) // BLOCK_ROWS, "block")
-    for r in map_batches(parts, average, "block int, weights binary").collect():  # the weights once
-        k, at = divmod(r.block, MEMBER_ROWS)
-        weights = (model.class_weights, model.member_weights)[k]
-        weights[at : at + BLOCK_ROWS] = np.frombuffer(bytes(r.weights), "<f4").reshape(BLOCK_ROWS, -1)
+            for block, row, n, mean in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                sums, seen = held.setdefault(block, (np.zeros((WAY, BLOCK_ROWS)), np.zeros(BLOCK_ROWS)))
+                row, n = np.frombuffer(row, "u1"), np.frombuffer(n, "<f4").astype(np.float64)
+                sums[:, row] += np.frombuffer(mean, "<f2").reshape(WAY, -1) * n
+                seen[row] += n
+        for block, (sums, seen) in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([block]), *(pa.array([x.astype("<f4").tobytes()], pa.binary()) for x in (seen, sums))], ["block", "n", "sums"])
+
+    # a task hands on its sums once, so it should have many tokens
+    tasks = max(spark.sparkContext.defaultParallelism, -(-model.total // (ROUNDS * TASK_TOKENS)))
+    parts = map_batches(docs.select("text").coalesce(tasks), local, "block long, rows binary, n binary, mean binary").repartition(max(1, min(32, n_rows // BLOCK_ROWS)), "block")
+    sums, seen = np.zeros((WAY, n_rows), np.float32), np.zeros(n_rows, np.float32)
+    for r in map_batches(parts, added, "block long, n binary, sums binary").collect():  # the rows of weights once
+        seen[r.block : r.block + BLOCK_ROWS] = np.frombuffer(bytes(r.n), "<f4")
+        sums[:, r.block : r.block + BLOCK_ROWS] = np.frombuffer(bytes(r.sums), "<f4").reshape(WAY, -1)
+    shared.unpersist()
+    return sums, seen
+
+
+def train(docs: DataFrame, counts: DataFrame) -> Model:
+    """The model of all texts of docs (doc_id, text); counts are their token_counts."""
+    model = untrained(counts)
+    for turn in range(ROUNDS):
+        model.step(*gradient_sums(docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(ROUNDS)) == turn), model))
     return model
 
 
-SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_sum double, rest_sum double, n_rest long, model_sum double, rare array<long>"
+SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_sum double, model_sum double, rare array<long>"
 
 
 def score_texts(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
@@ -299,18 +397,16 @@ def score_texts(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
         for batch in batches:
             for at, texts in _slices(batch, 1):
                 digests, sizes = _digests(texts)
-                logs, outcomes, counts = model.score(digests, sizes)
+                logs, counts = model.score(digests, sizes)
                 owner = np.repeat(np.arange(len(sizes)), sizes)
                 total = lambda x: np.bincount(owner, x, len(sizes))  # noqa: E731, B023
                 known = counts >= 0
-                smooth = np.where(known, np.log10(np.maximum(counts, 0) + 0.5), 0.0)
-                rest = outcomes == OUTCOMES - 1
                 rare = digests[~known].view(np.int64)
                 ends = np.concatenate([[0], np.cumsum(total(~known))]).astype(np.int32)
                 columns = [
                     pa.array(row + np.arange(len(sizes))), batch.column(0).slice(at, len(sizes)), batch.column(2).slice(at, len(sizes)), pa.array(sizes.astype(np.int64)),
-                    pa.array(total(known & (counts > 0)).astype(np.int64)), pa.array(total(smooth)), pa.array(total(np.where(rest, smooth, 0))), pa.array(total(rest).astype(np.int64)),
-                    pa.array(total(logs)), pa.ListArray.from_arrays(pa.array(ends), pa.array(rare)),
+                    pa.array(total(counts > 0).astype(np.int64)), pa.array(total(np.where(known, np.log10(np.maximum(counts, 0) + 0.5), 0.0))), pa.array(total(logs)),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(rare)),
                 ]
                 row += len(sizes)
                 yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in SCORED.split(", ")])
@@ -320,11 +416,10 @@ def score_texts(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     found = rare.join(counts, "token", "left").groupBy(F.col("row").alias("rare_row")).agg(F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("more_known"), F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("more_sum"))
     joined = scored.drop("rare").join(found, scored.row == found.rare_row, "left")
     more = F.coalesce("more_sum", F.lit(0.0))
-    whole, rest = math.log10(model.total + 0.5 * (model.distinct + 1)), math.log10(model.rest + 0.5 * (model.rest_distinct + 1))
+    whole = math.log10(model.total + 0.5 * (model.distinct + 1))
     return joined.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"),
-        (F.col("base_sum") + more - F.col("n_tokens") * whole).alias("base_score"),
-        (F.col("model_sum") + F.col("rest_sum") + more - F.col("n_rest") * rest).alias("score"),
+        (F.col("base_sum") + more - F.col("n_tokens") * whole).alias("base_score"), (F.col("model_sum") + more).alias("score"),
     )
 
 

@@ -63,25 +63,60 @@ def test_empty_tables(spark):
     assert len(got) == len(only_held) and all(r.train_tokens == 0 and r.n_known == 0 and math.isfinite(r.score) for r in got)
 
 
-def test_probabilities_of_all_tokens_add_up(spark):
+@pytest.mark.parametrize("known", [10, 2**18])
+def test_probabilities_of_all_tokens_add_up(spark, monkeypatch, known):
+    monkeypatch.setattr(lm, "KNOWN_WORDS", known)
+    monkeypatch.setattr(lm, "BUCKET_TOKENS", 4)
     words = [f"w{i}" for i in range(50)]
     rows = [(i, " ".join(words[(i * 7 + k * k) % 50] for k in range(30))) for i in range(60)]
     docs = spark.createDataFrame(rows, COLUMNS)
     counts = token_counts(docs)
     model = train(docs, counts)
-    ends = [w for w in words] + ["unseen"]
-    # texts that differ in their last word: the word's probability given "w1", by the end token's score taken away
-    digests = [lm._digests([f"w1 {w}".encode()]) for w in ends]
-    total = 0.0
-    for d, sizes in digests:
-        outcomes, c = model.look_up(d)
-        fc, fm = model.features(d, sizes, outcomes)
-        a, b = model.log_odds([f[1:2] for f in fc], [f[1:2] for f in fm], outcomes[1:2])
-        p = float(np.exp(a[0, outcomes[1] // lm.MEMBERS] + b[0, outcomes[1] % lm.MEMBERS]))
-        total += p * ((max(c[1], 0) + 0.5) / (model.rest + 0.5 * (model.rest_distinct + 1)) if outcomes[1] == lm.OUTCOMES - 1 else 1.0)
-    end = lm._digests([b"w1"])
-    outcomes, _ = model.look_up(end[0])
-    fc, fm = model.features(*end, outcomes)
-    a, b = model.log_odds([f[1:2] for f in fc], [f[1:2] for f in fm], outcomes[1:2])
-    total += float(np.exp(a[0, outcomes[1] // lm.MEMBERS] + b[0, outcomes[1] % lm.MEMBERS]))
-    assert abs(total - 1) < 1e-3
+    assert np.abs(model.weights).max() > 0.1
+    exact = {r.token: r.c for r in counts.collect()}
+    _, sizes = lm._digests([b"w1 w2"])
+
+    def probability(digest):  # of a token after w1
+        before = lm._digests([b"w1"])[0][:1]
+        log, known = model.score(np.array([before[0], digest, 0], np.uint64), sizes)
+        assert known[1] in (-1, exact.get(int(np.uint64(digest).astype(np.int64)), 0))
+        return 10 ** log[1] * (1 if known[1] >= 0 else exact.get(int(np.uint64(digest).astype(np.int64)), 0) + 0.5)
+
+    total = sum(probability(np.int64(t).astype(np.uint64)) for t in exact)
+    buckets = len(model.bucket_logs)
+    unseen = {}
+    for i in range(10_000):  # one unseen token of each bucket
+        d = lm._digests([f"unseen{i}".encode()])[0][0]
+        unseen.setdefault(int(d) % buckets, d)
+    assert len(unseen) == buckets and (buckets > 1) == (known == 10)
+    assert abs(total + sum(probability(d) for d in unseen.values()) - 1) < 1e-5
+
+
+def test_model_does_not_depend_on_partitions(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    counts = lm.written(token_counts(docs), "counts")
+    one, many = (train(docs.repartition(n), counts).weights for n in (1, 40))
+    assert np.abs(one).max() > 0.5 and np.abs(one - many).max() < 0.02
+
+
+def test_class_tree_has_least_depth():
+    rng = np.random.default_rng(0)
+    for n in (1, 2, 15, 16, 17, 300):
+        w = rng.integers(1, 1000, n).astype(float)
+        ptr, classes, members, bias = lm.class_tree(w)
+        depth = np.diff(ptr)
+        assert (depth >= 1).all() and (n > 16 or (depth == 1).all())
+        logs = np.array([bias[classes[a:b], members[a:b]].sum() for a, b in zip(ptr, ptr[1:], strict=False)])
+        assert np.allclose(np.exp(logs), w / w.sum(), rtol=1e-4)  # steps multiply to the leaf's share
+        heavy = np.argsort(-w)
+        assert (np.diff(depth[heavy]) >= 0).all() or n <= 16  # rarer leaves lie no higher
+
+
+def test_size_grows_with_the_corpus(spark):
+    def size(n):
+        docs = spark.createDataFrame([(i, " ".join(f"t{i * 40 + k}" for k in range(40))) for i in range(n)], COLUMNS)
+        model = lm.untrained(token_counts(docs))
+        return len(model.weights), len(model.ptr)
+
+    (rows_small, leaves_small), (rows_large, leaves_large) = size(20), size(2000)
+    assert rows_large > rows_small and leaves_large > 50 * leaves_small
