@@ -6,20 +6,23 @@ random order of their own (optimal densification). BANDS of ROWS bins hash to bu
 
 Candidate edges are stars: in each bucket every member has an edge to the member of the smallest id,
 so a bucket of n gives n - 1 edges. The components of these edges are families: two documents
-that share a bucket are in one. Links are confirmed on full sets within families, in blocks of
-bounded size that meet two by two, and each block pair gives a forest of its links, at most an edge
-a document. So no link between members that both differ from a hub is lost, and no pairs travel.
+that share a bucket are in one. Links are confirmed on full sets within families. First each member meets
+the family's hub, its member of the smallest id. Members that the hub links are joined already and need not
+meet each other; only the others meet all members but the hub, in blocks of bounded size two by two,
+and each block pair gives a forest of its links, at most an edge a document. So no link between members that both differ from a
+hub is lost, no pairs travel, and a large group of copies of one text costs one meeting a copy.
 At similarity 0.85 a pair shares no bucket with a probability of (1 - 0.85^5)^25, under 1e-6; at 0.8 it is 5e-5.
 
 Documents of equal sets are one node, so copies never meet in pairs. Texts without words, and null
 texts, have empty sets and no links. Rows that repeat an id are all returned and count as one
-document; rows without an id take their component from equal sets only. Other columns are left out
+document: all links of its texts are its own, so they join what each of them is linked with. Rows without an id
+take their component from equal sets only. Other columns are left out
 by ``near_duplicates``; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +35,8 @@ SHINGLE = 5
 PERCENT = 85
 #: About so many shingles, and documents, of a family make a block.
 BLOCK_SHINGLES, BLOCK_DOCS = 150_000, 256
+#: Members of a family that meet its hub in one part.
+PART_DOCS = 512
 #: Columns of a block's document-shingle matrix that are counted at once.
 COLUMNS = 16_384
 SEED = 20240501
@@ -179,56 +184,124 @@ def forest(ids: list[int], sets: list, cross: int | None = None, percent: int =
     return edges
 
 
-def links(members: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Edges (a, b) that join the linked documents of each family; members are (rep, family, n)."""
-    sizes = members.groupBy("family").agg(F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_DOCS)).cast("int").alias("blocks"))
-    dealt = members.join(sizes, "family").withColumn("block", F.expr("pmod(xxhash64(rep), blocks)").cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = written(dealt.select("rep", "family", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q")), "blocks")
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    met = dealt.join(texts, "rep").select("family", "p", "q", "block", "rep", "text").repartition("family", "p", "q").sortWithinPartitions("family", "p", "q", "block", "rep")
+def member_sets(members: DataFrame, docs: DataFrame) -> DataFrame:
+    """rep, family, n, same and the sorted hashes of the set, for members (rep, family, n, same)."""
 
-    def run(batches: Iterator) -> Iterator:
-        import numpy as np
+    def rows(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        from xxhash import xxh3_128_digest
+
+        for batch in batches:
+            texts = batch.column(4).cast(pa.binary())
+            for at in range(0, batch.num_rows, 512):
+                part, same = batch.slice(at, 512), batch.column(3).slice(at, 512).to_pylist()
+                hashes = [shingle_set(x or b"").tobytes() for x in texts.slice(at, 512).to_pylist()]
+                right = pa.array([xxh3_128_digest(h) == s for h, s in zip(hashes, same, strict=True)])  # an id may have other texts
+                yield pa.RecordBatch.from_arrays([*(c.filter(right) for c in part.columns[:4]), pa.array(hashes, pa.binary()).filter(right)], ["rep", "family", "n", "same", "hashes"])
 
-        at, ids, blocks, sets = None, [], [], []
+    met = members.join(docs.select(F.col("doc_id").cast("long").alias("rep"), "text"), "rep").select("rep", "family", "n", "same", "text")
+    return map_batches(met, rows, "rep long, family long, n long, same binary, hashes binary").groupBy("rep", "same", "family", "n").agg(F.first("hashes").alias("hashes"))
+
+
+def by_run(df: DataFrame, n: int, run: Callable) -> DataFrame:
+    """Edges (a, b) from run(key, rows) for the rows that agree in the first n columns; df is dealt and sorted by these."""
+
+    def rows(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
         def done():
-            cross = None if at is None or at[1] == at[2] else int(np.searchsorted(blocks, at[2]))
-            edges = forest(ids, sets, cross, percent) if len(ids) > 1 else []
+            edges = run(at, held)
             return pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], ["a", "b"])
 
+        at, held = None, []
         for batch in batches:
-            texts = batch.column(5).cast(pa.binary())
-            for k, (family, p, q, block, rep) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True)):
-                if (family, p, q) != at:
-                    if len(ids) > 1:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[:n] != at:
+                    if len(held) > 1:
                         yield done()
-                    at, ids, blocks, sets = (family, p, q), [], [], []
-                ids.append(rep)
-                blocks.append(block)
-                sets.append(shingle_set(texts[k].as_py() or b""))
-        if len(ids) > 1:
+                    at, held = row[:n], []
+                held.append(row[n:])
+        if len(held) > 1:
             yield done()
 
-    return map_batches(met, run, "a long, b long")
+    return map_batches(df, rows, "a long, b long")
+
+
+def hub_links(sets: DataFrame, percent: int) -> DataFrame:
+    """Edges (hub, rep) of the members whose set links to the hub's; sets have is_hub."""
+    sizes = sets.groupBy("family").agg(F.ceil(F.count("*") / PART_DOCS).cast("int").alias("parts"))
+    part = F.when(F.col("is_hub"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.expr("cast(pmod(xxhash64(rep, same), parts) as int)")))
+    dealt = sets.join(sizes, "family").select("family", F.explode(part).alias("part"), (~F.col("is_hub")).alias("later"), "rep", "hashes")
+    dealt = dealt.repartition("family", "part").sortWithinPartitions("family", "part", "later")
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        name, hub = None, np.empty(0, np.uint64)
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            hashes = batch.column(4)
+            for k, (later, rep) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+                own = np.frombuffer(hashes[k].as_py(), np.uint64)
+                if not later:
+                    name, hub = rep, own
+                elif 100 * min(len(own), len(hub)) >= percent * max(len(own), len(hub)):  # else the sizes alone rule it out
+                    at = np.minimum(np.searchsorted(hub, own), len(hub) - 1)
+                    shared = int((hub[at] == own).sum())
+                    if 100 * shared >= percent * (len(own) + len(hub) - shared):
+                        out.append((name, rep))
+            yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return map_batches(dealt, run, "a long, b long")
+
+
+def links(members: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Edges (a, b) that join the linked documents of each family; members are (rep, family, n, same)."""
+    hubs = members.groupBy("family").agg(F.min(F.struct("rep", "same")).alias("hub"))
+    sets = written(member_sets(members, docs).join(hubs, "family").withColumn("is_hub", F.struct("rep", "same") == F.col("hub")), "sets")
+    first = written(hub_links(sets, percent), "hub-links")
+    joined = first.select(F.col("b").alias("rep")).distinct().withColumn("met", F.lit(True))
+    rest = sets.filter("not is_hub").select("rep", "same", "family", "n", (F.col("rep") == F.col("hub.rep")).alias("own")).join(joined, "rep", "left")
+    rest = written(rest.select("rep", "same", "family", "n", (F.col("own") | F.col("met").isNotNull()).alias("linked")), "rest")
+    blocks = F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_DOCS)).cast("int")
+    sizes = rest.groupBy("family", "linked").agg(blocks.alias("blocks"), F.count("*").alias("docs"))
+    of = lambda column, linked, name: F.coalesce(F.max(F.when(F.col("linked") == linked, F.col(column))), F.lit(0)).alias(name)
+    sizes = sizes.groupBy("family").agg(of("blocks", False, "open"), of("blocks", True, "closed"), of("docs", False, "open_docs"), of("docs", True, "closed_docs"))
+    dealt = rest.join(sizes.filter("open_docs > 0 and open_docs + closed_docs > 1"), "family")
+    # blocks of members that the hub does not link come first; the others meet only those
+    dealt = dealt.withColumn("block", F.expr("cast(if(linked, open + pmod(xxhash64(rep, same), greatest(closed, 1)), pmod(xxhash64(rep, same), open)) as int)"))
+    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, if(linked, open, open + closed) - 1)")))
+    dealt = written(dealt.select("rep", "same", "family", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q")), "blocks")
+    met = dealt.join(sets.select("rep", "same", "hashes"), ["rep", "same"]).select("family", "p", "q", "block", "rep", "hashes")
+    met = met.repartition("family", "p", "q").sortWithinPartitions("family", "p", "q", "block", "rep")
+
+    def run(key, rows):
+        import numpy as np
+
+        _, p, q = key
+        cross = None if p == q else sum(block == p for block, _, _ in rows)
+        return forest([rep for _, rep, _ in rows], [np.frombuffer(raw, np.uint64) for _, _, raw in rows], cross, percent)
+
+    return first.union(by_run(met, 3, run))
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of docs (doc_id, text); links are of percent similarity or more."""
     signed = written(sign(docs), "signatures")
-    groups = written(signed.filter("n_shingles > 0").groupBy("same").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "equal-sets")
-    nodes = signed.join(groups.select(F.col("same").alias("s"), F.col("rep").alias("r")), (F.col("doc_id") == F.col("r")) & (F.col("same") == F.col("s")))
-    nodes = written(nodes.dropDuplicates(["doc_id", "same"]).select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "bands"), "nodes")
+    groups = written(signed.filter("n_shingles > 0").groupBy("same").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.max("n_shingles").alias("n")), "equal-sets")
+    nodes = groups.filter("rep is not null")
     dealt = nodes.select(F.explode("bands").alias("key"), "rep")
     hubs = dealt.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("size")).filter("size > 1").select("key", "hub")
     families = components(dealt.join(hubs, "key").select(F.col("rep").alias("a"), F.col("hub").alias("b")).filter("a != b").distinct())
     placed = families.union(families.select("component", "component").distinct()).toDF("id", "family")
-    members = nodes.select("rep", "n").join(placed, nodes.rep == placed.id).select("rep", "family", "n").dropDuplicates(["rep"])
-    found = components(links(written(members, "families"), docs, percent))
-
+    members = nodes.select("rep", "n", "same").join(placed, nodes.rep == placed.id).select("rep", "family", "n", "same")
     copies = groups.select(F.col("same").alias("s"), "rep").filter("copies > 1")
+    # an id of several texts joins the nodes of all of them
+    ids = signed.filter("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(F.min("same").alias("s0"), F.max("same").alias("s1")).filter("s0 != s1").select("doc_id")
+    several = signed.filter("n_shingles > 0").join(ids, "doc_id").select("doc_id", F.col("same").alias("s")).distinct().join(copies, "s").filter("doc_id != rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    found = components(links(written(members, "families"), docs, percent).union(several))
+
     labelled = signed.select("doc_id", "n_shingles", "same").join(copies, F.col("same") == F.col("s"), "left").withColumn("rep", F.coalesce("rep", "doc_id"))
     labelled = labelled.join(found, labelled.rep == found.id, "left").withColumn("component_id", F.coalesce("component", "rep"))
     return labelled.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))

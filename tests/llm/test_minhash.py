@@ -117,3 +117,47 @@ def test_forest_finds_cross_links_only():
     assert forest([1, 2, 3], [a, a, b]) == [(1, 2)]
     assert forest([1, 2, 3], [a, a, b], cross=2) == []
     assert forest([1, 2, 3], [a, b, a], cross=2) == [(1, 3)]
+
+
+def _brute_rows(rows, percent=85):
+    """Components of rows whose ids may repeat: rows of one id are one document."""
+    sets, parent = [_shingles(t) for _, t in rows], {i: i for i, _ in rows}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for k, (i, _) in enumerate(rows):
+        for j, (o, _) in enumerate(rows[:k]):
+            shared = len(sets[k] & sets[j])
+            if shared and 100 * shared >= percent * (len(sets[k]) + len(sets[j]) - shared):
+                a, b = find(i), find(o)
+                parent[max(a, b)] = min(a, b)
+    return sorted((i, len(s), find(i)) for (i, _), s in zip(rows, sets, strict=True))
+
+
+@pytest.mark.parametrize("block", [3, 256])
+def test_repeated_ids_of_other_texts(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK_DOCS", block)
+    monkeypatch.setattr(minhash, "PART_DOCS", block)
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    near_b = b.replace("b39", "z")
+    rows = [(5, a), (5, b), (3, b), (9, a), (9, a), (20, c), (21, near_b), (21, c), (30, "q r"), (30, a)]
+    rnd = random.Random(2)
+    for k in range(8):  # families whose hubs have several texts
+        texts = _family(rnd, 9)
+        rows += [(100 * k + 100 + n // 2, t) for n, t in enumerate(texts)] + [(100 * k + 150, texts[0]), (100 * k + 101, texts[5])]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == _brute_rows(rows)
+    assert {r.component_id for r in got if r.doc_id in (3, 5, 9, 20, 21, 30)} == {3}
+
+
+def test_members_that_the_hub_links_do_not_meet(spark, monkeypatch):
+    met = []
+    real = minhash.by_run
+    monkeypatch.setattr(minhash, "by_run", lambda df, n, run: (met.append(df.count()), real(df, n, run))[1])
+    base = [f"w{k}" for k in range(400)]
+    rows = [(0, " ".join(base))] + [(i, " ".join(base[:i] + [f"x{i}"] + base[i + 1 :])) for i in range(1, 300)]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.component_id for r in got} == {0} and met == [0]
