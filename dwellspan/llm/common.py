@@ -24,13 +24,16 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = LOCAL_CHECKPOINTS
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
 
 
-def _own_dir(spark: SparkSession) -> str:
+def own_dir(spark: SparkSession) -> str:
+    """Where this application keeps its intermediate tables."""
     return f"{shared_dir(spark)}/dwellspan-{spark.sparkContext.applicationId}"
 
 
@@ -39,14 +42,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
     The tables stay until ``drop_written``, as results that are not yet computed may read them.
     """
-    path = f"{_own_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    path = f"{own_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def drop_written(spark: SparkSession) -> None:
     """Delete all tables that this application has written; call it when its results are stored."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own_dir(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 

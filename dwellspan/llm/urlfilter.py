@@ -2,30 +2,30 @@
 
 An array holds the sorted 64-bit xxhash of each key and the keys themselves. Probes are hashed and
 looked up by one binary search for a whole batch; a hit counts only if the stored string
-equals the probe, so collisions do no harm. The files go to executors once, by Spark's file
-service, and are mapped, not loaded; ``MAX_FILE_BYTES`` bounds them.
+equals the probe, so collisions do no harm. The files lie in the shared folder, go to executors once, by
+Spark's file service, and are mapped, not loaded; ``MAX_FILE_BYTES`` bounds them. Long lists come from a Parquet table of
+urls by its path and are ordered by digest, as arrays.
 
 A rule is a host and a path: it fits that host and its subdomains where the url's path starts with
 the rule's. The longest fitting rule wins; of equally long ones that of the longer host. Urls that no
 rule fits are blocked if they are in the list of blocked urls, as whole strings, else allowed.
 
 Host: after the first :// up to /, ? or #, A-Z lower-cased; path: up to ? or #. A null url, or one
-without ://, has both empty and is allowed. Each row is judged by itself; columns other than
+without ://, has both empty and is allowed. Only the ends of a host that are as long as some rule's host
+are probed, so hosts of any number of labels cost the same. Each row is judged by itself; columns other than
 page_id and url are left out; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import os
 import re
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import map_batches, table
+from .common import map_batches, own_dir, table
 
 #: verdict, host, path; the longest fitting one wins.
 RULES = (
@@ -37,10 +37,16 @@ RULES = (
 )
 BLOCKED_URLS = ("http://malware.example.net/", "https://malware.example.net/", "http://phishing.example.net/login", "https://phishing.example.net/login")
 MAX_FILE_BYTES = 2**31
+PART_BYTES = 2**24
 PARTS = r"://([^/?#]*)([^?#]*)"
 VERDICTS = "page_id long, host string, path string, rule string, verdict string"
 
 
+def _slices(strings) -> Iterator:
+    for at in range(0, len(strings), 65_536):
+        yield strings.slice(at, 65_536)
+
+
 class DigestArray:
     """Keys as a sorted array of digests, with the strings beside it, in one file."""
 
@@ -54,17 +60,42 @@ class DigestArray:
         self.strings = np.memmap(path, np.uint8, "r", 16 + 16 * n, (size,)) if size else np.empty(0, np.uint8)
 
     @staticmethod
-    def write(path: str, keys: Iterable[bytes]) -> None:
+    def content(keys: Iterable) -> Iterator[bytes]:
+        """The file's bytes for keys, Arrow arrays of strings, in parts; repeated keys count once."""
         import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
         from xxhash import xxh64_intdigest
 
-        ordered = sorted((xxh64_intdigest(k), k) for k in set(keys))
-        ends = np.cumsum([0, *(len(k) for _, k in ordered)]).astype("<u8")
-        if 16 + 16 * len(ordered) + int(ends[-1]) > MAX_FILE_BYTES:
-            raise ValueError(f"{len(ordered)} keys take more than {MAX_FILE_BYTES} bytes; split the list and filter in turns")
+        chunks = [c for k in keys for c in _slices(k.cast(pa.large_binary()).drop_null())]
+        strings = pa.concat_arrays(chunks) if chunks else pa.array([], pa.large_binary())
+        digests = np.concatenate([np.empty(0, np.uint64), *(np.fromiter(map(xxh64_intdigest, c.to_pylist()), np.uint64, len(c)) for c in chunks)])
+        order = np.argsort(digests, kind="stable")
+        digests, strings = digests[order], strings.take(pa.array(order))
+        keep, held, last = np.ones(len(digests), bool), set(), -1
+        for at in (np.flatnonzero(digests[1:] == digests[:-1]) + 1).tolist():  # repeated keys, or collisions
+            if at - 1 != last:
+                held = {strings[at - 1].as_py()}
+            key = strings[at].as_py()
+            keep[at], last = key not in held, at
+            held.add(key)
+        if not keep.all():
+            digests, strings = digests[keep], strings.filter(pa.array(keep))
+        ends = np.concatenate([[0], np.cumsum(pc.binary_length(strings).to_numpy(zero_copy_only=False))]).astype("<u8")
+        if 16 + 16 * len(digests) + int(ends[-1]) > MAX_FILE_BYTES:
+            raise ValueError(f"{len(digests)} keys take more than {MAX_FILE_BYTES} bytes; split the list and filter in turns")
+        yield np.array([len(digests)], "<u8").tobytes()
+        yield digests.astype("<u8").tobytes()
+        yield ends.tobytes()
+        for part in _slices(strings):
+            yield b"".join(part.to_pylist())
+
+    @classmethod
+    def write(cls, path: str, keys: Iterable[bytes]) -> None:
+        import pyarrow as pa
+
         with open(path, "wb") as out:
-            out.write(np.array([len(ordered)], "<u8").tobytes() + np.array([d for d, _ in ordered], "<u8").tobytes() + ends.tobytes())
-            out.writelines(k for _, k in ordered)
+            out.writelines(cls.content([pa.array([*keys], pa.large_binary())]))
 
     def key(self, at: int) -> bytes:
         return self.strings[int(self.ends[at]) : int(self.ends[at + 1])].tobytes()
@@ -95,32 +126,48 @@ def split_url(url: str | None) -> tuple[str, str]:
     return (found[1].translate({k: k + 32 for k in range(65, 91)}), found[2]) if found else ("", "")
 
 
-def candidates(host: str, path: str, lengths: tuple[int, ...]) -> Iterator[str]:
+def candidates(host: str, path: str, host_lengths: tuple[int, ...], path_lengths: tuple[int, ...]) -> Iterator[str]:
     """host/path keys of the rules that may fit, the longest first, longer hosts first."""
-    suffixes, at = [host], host.find(".")
-    while at >= 0:
-        suffixes.append(host[at + 1 :])
-        at = host.find(".", at + 1)
-    both = [(s, path[:n]) for s in suffixes if s for n in lengths if n <= len(path)]
+    ends = [host[len(host) - n :] for n in host_lengths if n == len(host) or (n < len(host) and host[-n - 1] == ".")]
+    both = [(s, path[:n]) for s in ends for n in path_lengths if n <= len(path)]
     both.sort(key=lambda x: (-len(x[0]) - len(x[1]), -len(x[0])))
     return (f"{s}\n{p}" for s, p in both)
 
 
-def _shared(spark: SparkSession, keys: Iterable[str]) -> str:
-    """Write a DigestArray and hand it to all executors; its file name."""
+def _shared(spark: SparkSession, keys: Iterable) -> str:
+    """Put a DigestArray of Arrow arrays into the shared folder and hand it to all executors; its file name."""
     name = f"digests-{uuid.uuid4().hex}.bin"
-    path = os.path.join(tempfile.mkdtemp(), name)
-    DigestArray.write(path, (k.encode() for k in keys))
-    spark.sparkContext.addFile(path)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{own_dir(spark)}/{name}")
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = store.create(path)
+    for part in DigestArray.content(keys):
+        for at in range(0, len(part), PART_BYTES):
+            out.write(bytearray(part[at : at + PART_BYTES]))
+    out.close()
+    spark.sparkContext.addFile(store.makeQualified(path).toString())
     return name
 
 
-def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, blocked_urls: Iterable[str] = BLOCKED_URLS) -> DataFrame:
-    """VERDICTS for each row of pages (page_id, url)."""
+def listed_urls(spark: SparkSession, urls: str | Iterable[str]) -> Iterable:
+    """Arrow arrays of urls: those given, or the column url of the Parquet table at a path, batch by batch."""
+    import pyarrow as pa
+
+    if not isinstance(urls, str):
+        return [pa.array([*urls], pa.string())]
+    table_ = spark.read.parquet(urls).select("url").toArrow()
+    if table_.nbytes > MAX_FILE_BYTES:
+        raise ValueError(f"the list at {urls} is longer than {MAX_FILE_BYTES} bytes; split it and filter in turns")
+    return table_.column(0).chunks
+
+
+def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, blocked_urls: str | Iterable[str] = BLOCKED_URLS) -> DataFrame:
+    """VERDICTS for each row of pages (page_id, url); blocked_urls are strings, or the path of a Parquet table with column url."""
+    import pyarrow as pa
+
     spark = pages.sparkSession
-    allowed, blocked = (_shared(spark, (f"{h}\n{p}" for v, h, p in rules if v == verdict)) for verdict in ("allow", "block"))
-    listed = _shared(spark, blocked_urls)
-    lengths = tuple(sorted({len(p) for _, _, p in rules}))
+    allowed, blocked = (_shared(spark, [pa.array([f"{h}\n{p}" for v, h, p in rules if v == verdict], pa.string())]) for verdict in ("allow", "block"))
+    listed = _shared(spark, listed_urls(spark, blocked_urls))
+    host_lengths, path_lengths = (tuple(sorted({len(r[k]) for r in rules if r[1]})) for k in (1, 2))
 
     def judge(batches: Iterator) -> Iterator:
         import numpy as np
@@ -134,7 +181,7 @@ def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES
             parts = [split_url(u) for u in urls]
             probes, owner = [], []
             for k, (host, path) in enumerate(parts):
-                own = [c.encode() for c in candidates(host, path, lengths)]
+                own = [c.encode() for c in candidates(host, path, host_lengths, path_lengths)]
                 probes += own
                 owner += [k] * len(own)
             digests = np.fromiter(map(xxh64_intdigest, probes), np.uint64, len(probes))

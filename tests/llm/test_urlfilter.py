@@ -10,7 +10,7 @@ def test_op5_equals_sql(same):
 
 URLS = [
     None, "", "no scheme", "http://", "http://EXAMPLE.org", "http://EXAMPLE.org/", "https://a.b.example.org/es/x?y#z", "https://example.org/en/1", "https://example.org/en/12", "https://myexample.org/es/",
-    "https://x.com/fr/", "https://x.com/FR/", "https://com/de/x", "http://a.com/de/#/fr/", "http://a.com?/fr/", "http://u:p@a.org:80/", "x://b.net/://a.org/", "http://.org/", "http://" + "s." * 5000 + "org/" + "p" * 50_000, "http://malware.example.net/", "http://bücher.org/",
+    "https://x.com/fr/", "https://x.com/FR/", "https://com/de/x", "http://a.com/de/#/fr/", "http://a.com?/fr/", "http://u:p@a.org:80/", "x://b.net/://a.org/", "http://.org/", "http://" + "s." * 5000 + "org/" + "p" * 50_000, "http://" + "s." * 100_000 + "org/x", "http://malware.example.net/", "http://bücher.org/",
 ]
 
 
@@ -56,3 +56,22 @@ def test_too_long_a_list_is_refused(tmp_path, monkeypatch):
     monkeypatch.setattr(urlfilter, "MAX_FILE_BYTES", 10)
     with pytest.raises(ValueError):
         DigestArray.write(str(tmp_path / "x"), [b"abc"])
+
+
+def test_long_lists_come_from_a_table(spark, tmp_path):
+    n = 10**6
+    path = str(tmp_path / "listed")
+    spark.range(n).selectExpr("concat('http://listed.net/', id) as url").union(spark.createDataFrame([("http://listed.net/5",), (None,)], "url string")).write.parquet(path)
+    df = spark.createDataFrame([(i, f"http://listed.net/{k}") for i, k in enumerate((0, 5, n - 1, n, "x"))], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in judge_urls(df, blocked_urls=path).collect()}
+    assert got == {0: "block", 1: "block", 2: "block", 3: "allow", 4: "allow"}
+
+
+def test_all_keys_of_one_digest_are_kept_once(tmp_path, monkeypatch):
+    import xxhash
+
+    monkeypatch.setattr(xxhash, "xxh64_intdigest", lambda x: len(x))
+    path = str(tmp_path / "c.bin")
+    DigestArray.write(path, [b"aa", b"bb", b"aa", b"c", b"bb", b"dd"])
+    array = DigestArray(path)
+    assert len(array.digests) == 4 and array.holds([b"aa", b"bb", b"dd", b"ee", b"c", b"d"]) == [True, True, True, False, True, False]
