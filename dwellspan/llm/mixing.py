@@ -6,9 +6,10 @@ Keys fall into buckets; only the bucket in which a source's budget ends is sorte
 that holds most of the rows is never sorted by one task.
 
 Null texts have size 0, null sources form a source of their own. A document's key depends on its
-id only: repeated ids have equal keys, ties go by id and size. Documents whose weight is null or
-not positive come last. ``mix`` keeps all columns but those named mix_*; rows that agree in id, source
-and size are decided as one. An empty table gives an empty result.
+id and weight only: repeated ids of one weight have equal keys, ties go by id and size. Rows that agree in all of these are
+still decided one by one: where a source's budget ends among them, as many of them are in as fit, whichever these
+are. Documents whose weight is null or not positive come last. ``mix`` keeps all columns but those named mix_*.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -62,8 +63,11 @@ def mix(docs: DataFrame, size: Column, weight: Column, weights: tuple[float, ...
     rows of the buckets in which budgets end meet their own decision.
     """
     names = [c for c in docs.columns if not c.startswith("mix_")]
-    own = docs.select(*(F.col(f"`{c}`") for c in names), size.alias("mix_size"), weight.alias("mix_w"))
-    own = own.withColumn("mix_key", exponential_key(F.col("doc_id"), F.col("mix_w"))).withColumn("mix_bucket", F.floor((1 - F.exp(-F.col("mix_key"))) * (BUCKETS - 1)).cast("int"))
+    columns = [F.col(f"`{c}`") for c in names]
+    # the generator keeps the measures from being computed again for each of their uses
+    measured = docs.select(*columns, F.explode(F.array(F.struct(size.alias("size"), weight.alias("weight")))).alias("mix_m"))
+    own = measured.select(*columns, F.col("mix_m.size").alias("mix_size"), exponential_key(F.col("doc_id"), F.col("mix_m.weight")).alias("mix_key"))
+    own = own.withColumn("mix_bucket", F.floor((1 - F.exp(-F.col("mix_key"))) * (BUCKETS - 1)).cast("int"))
     keyed = written(own.select("doc_id", "source", F.col("mix_size").alias("size"), F.col("mix_key").alias("key"), F.col("mix_bucket").alias("bucket")), "mix-keys")
     binned = keyed.groupBy("source", "bucket").agg(F.sum("size").alias("in_bucket"))
     sources = targets(binned.groupBy("source").agg(F.sum("in_bucket").alias("source_size")), weights, max_epochs)
@@ -78,15 +82,34 @@ def mix(docs: DataFrame, size: Column, weight: Column, weights: tuple[float, ...
     )
     plan = written(plan, "mix-plan")
     here = F.col("mix_p_source").eqNullSafe(F.col("source")) & (F.col("mix_p_bucket") == F.col("bucket"))
-    inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    ends = keyed.join(plan.filter("mix_p_cut"), here).withColumn("upto", F.col("mix_p_before") + F.sum("size").over(inside))
-    # a document is in when the budget ends in its second half or behind it
-    taken = F.max(F.col("upto") - F.col("size") / 2 <= F.col("mix_p_budget"))
-    ends = written(ends.groupBy(F.col("doc_id").alias("mix_e_id"), F.col("source").alias("mix_e_source"), F.col("size").alias("mix_e_size")).agg(taken.alias("mix_e_taken")), "mix-ends")
+    # rows that agree are one group; those in are the first whose second half the budget reaches
+    groups = keyed.join(plan.filter("mix_p_cut"), here).groupBy("source", "bucket", "key", "doc_id", "size", "mix_p_before", "mix_p_budget").agg(F.count("*").alias("n"))
+    inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    room = F.col("mix_p_budget") - F.col("mix_p_before") - F.coalesce(F.sum(F.col("size") * F.col("n")).over(inside), F.lit(0))
+    fits = F.when(F.col("size") == 0, F.when(room >= 0, F.col("n")).otherwise(0)).otherwise(F.least(F.col("n"), F.greatest(F.lit(0), F.floor(room / F.greatest("size", F.lit(1)) + 0.5))))
+    ends = groups.select(F.col("doc_id").alias("mix_e_id"), F.col("source").alias("mix_e_source"), F.col("size").alias("mix_e_size"), F.col("key").alias("mix_e_key"), F.col("n").alias("mix_e_n"), fits.cast("long").alias("mix_e_in"))
+    ends = written(ends, "mix-ends")
     planned = own.join(plan, own["source"].eqNullSafe(F.col("mix_p_source")) & (F.col("mix_bucket") == F.col("mix_p_bucket")))
-    planned = planned.join(ends, own["doc_id"].eqNullSafe(F.col("mix_e_id")) & own["source"].eqNullSafe(F.col("mix_e_source")) & (F.col("mix_size") == F.col("mix_e_size")), "left")
-    more = F.when(F.col("mix_p_cut"), F.coalesce("mix_e_taken", F.lit(False))).otherwise(F.col("mix_p_before") < F.col("mix_p_budget"))
-    return planned.select(*(own[f"`{c}`"] for c in names), "mix_size", "mix_source_size", "mix_target", (F.col("mix_p_epochs") + more.cast("long")).alias("mix_copies"))
+    ends_here = own["doc_id"].eqNullSafe(F.col("mix_e_id")) & own["source"].eqNullSafe(F.col("mix_e_source")) & (F.col("mix_size") == F.col("mix_e_size")) & (F.col("mix_key") == F.col("mix_e_key"))
+    planned = planned.join(ends, ends_here, "left")
+
+    def decided(rows: DataFrame, last: Column) -> DataFrame:
+        more = F.when(F.col("mix_p_cut"), F.coalesce(last, F.lit(False))).otherwise(F.col("mix_p_before") < F.col("mix_p_budget"))
+        return rows.select(*(F.col(f"`{c}`") for c in names), "mix_size", "mix_source_size", "mix_target", (F.col("mix_p_epochs") + more.cast("long")).alias("mix_copies"))
+
+    split = F.col("mix_e_in").between(1, F.col("mix_e_n") - 1)
+    if ends.filter(split).isEmpty():
+        return decided(planned, F.col("mix_e_in") > 0)
+    # one group a source at most; its rows are numbered by file and place, so that no task has to hold all of them
+    some = written(planned.filter(split), "mix-split").withColumn("mix_part", F.spark_partition_id()).withColumn("mix_at", F.monotonically_increasing_id())
+    group = ["mix_e_source", "mix_e_id", "mix_e_size", "mix_e_key"]
+    parts = some.groupBy(*group, "mix_part").agg(F.count("*").alias("mix_n"))
+    parts = parts.withColumn("mix_first", F.sum("mix_n").over(Window.partitionBy(*group).orderBy("mix_part")) - F.col("mix_n")).select(*(F.col(c).alias(f"mix_g_{c}") for c in group), F.col("mix_part").alias("mix_g_part"), "mix_first")
+    same = [F.col(c).eqNullSafe(F.col(f"mix_g_{c}")) for c in group]
+    placed = some.join(parts, (F.col("mix_part") == F.col("mix_g_part")) & same[0] & same[1] & same[2] & same[3])
+    number = F.col("mix_first") + F.row_number().over(Window.partitionBy("mix_part", *group).orderBy("mix_at"))
+    placed = placed.withColumn("mix_number", number)
+    return decided(planned.filter(F.coalesce(~split, F.lit(True))), F.col("mix_e_in") > 0).union(decided(placed, F.col("mix_number") <= F.col("mix_e_in")))
 
 
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

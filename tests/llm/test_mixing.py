@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dwellspan.llm.common import n_words
-from dwellspan.llm.mixing import OP8_SQL, mix, op8_source_mixing, targets
+from dwellspan.llm.mixing import OP8_SQL, mix, op8_source_mixing, quality_weight, targets
 
 
 def test_op8_equals_sql(same):
@@ -80,3 +80,25 @@ def test_weights_pull_documents_in(spark):
     got = mix(df, n_words(F.col("text")), w, weights=(1.0, 3.0)).filter("source = 'a'").groupBy((F.col("doc_id") % 4 < 2).alias("good")).agg(F.avg("mix_copies").alias("x")).collect()
     share = {r.good: r.x for r in got}
     assert share[True] > 1.5 * share[False]
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_repeated_rows_are_decided_one_by_one(spark, duck, parts):
+    rows = [(5, "a", "w " * 10)] * 200 + [(i, "b", "w " * 10) for i in range(10, 60)] + [(7, "b", "")] * 9 + [(None, None, "w w w")] * 40 + [(8, None, "w w # w")] * 11 + [(8, None, "w w w w")] * 11
+    df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, source string, text string, mix_target int").repartition(parts)
+    got = mix(df, n_words(F.col("text")), quality_weight(F.col("text"), n_words(F.col("text")))).collect()
+    assert len(got) == len(rows)
+    by = {}
+    for r in got:
+        by.setdefault(r.source, []).append(r)
+    for own in by.values():
+        largest = max(r.mix_size for r in own)
+        assert abs(sum(r.mix_size * r.mix_copies for r in own) - own[0].mix_target) <= largest / 2
+    assert {r.mix_copies for r in by["a"]} == {0, 1}  # the budget ends among equal rows
+    import pandas as pd
+
+    cursor = duck.cursor()
+    cursor.register("documents", pd.DataFrame(rows, columns=["doc_id", "source", "text"]).astype({"doc_id": "Int64"}))
+    said = cursor.execute(OP8_SQL).fetchall()
+    ours = sorted(((r.doc_id, r.mix_size, r.mix_source_size, round(r.mix_target, 4), r.mix_size * r.mix_copies) for r in got), key=str)
+    assert ours == sorted(((i, n, m, round(t, 4), k) for i, n, m, t, k in said), key=str)
