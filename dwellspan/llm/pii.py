@@ -9,7 +9,8 @@ no seeds become spans of a kind where a pattern of high score precedes them.
 All steps are DataFrame expressions. Positions are counted in code points: a text is split at
 the matches, and lengths of pieces and matches add up. Quantifiers are possessive and matches
 start at the end of the last one or behind a character that no match holds, which finds the same
-matches in linear time.
+matches in linear time. Sums of lengths run over short parts of a text's matches and then over the parts, and
+overlaps with base spans are found by one sorted pass, so texts of very many matches cost little more than long ones.
 
 A null text is empty. Each row is judged by itself, repeated ids too, and all rows weigh in the
 graph; columns other than doc_id and text are left out; an empty table gives an empty result.
@@ -17,7 +18,7 @@ graph; columns other than doc_id and text are left out; an empty table gives an
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import table, written
@@ -48,7 +49,7 @@ _GROUP = r"[+(\[]*+[0-9][0-9()\[\]./-]*+(?=[,;:!?}>\x22\x27]*+(?![^\x20\x09-\x0D
 #: Instances: spelt addresses, runs of neighbouring digit groups, and words with a digit or @; at least MIN_CHARS long without the marks around them.
 INSTANCE = rf"(?:\G|(?<![^\x20\x09-\x0D]))(?:{_SPELT}|[(\[{{<\x22\x27]*+{_GROUP}(?:(?<![.])[\x20\x09]++(?:-[\x20\x09]++)?+{_GROUP})*+[^\x20\x09-\x0D]*+|[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+)"
 MIN_CHARS = 6
-#: Characters before an instance in which its context words are looked for.
+#: Characters before an instance that are kept if they hold its context words, else all up to the instance before; longer words stand as digests.
 CONTEXT_CHARS = 64
 ROUNDS, SMOOTHING, ACCEPT, MIN_SUPPORT = 3, 2.0, 0.8, 5
 _SPANS = "array<struct<start:int,end:int,m:string,left:string>>"
@@ -58,14 +59,25 @@ def _escaped(regex: str) -> str:
     return regex.replace("\\", "\\\\")
 
 
+_WORDS = r"[\\x20\\x09-\\x0D]+"
+
+
 def _found(matches: str, pieces: str) -> str:
-    """SQL for spans of matches, with the end of the piece before each."""
-    return (
-        f"if(size({matches}) > 0, aggregate(zip_with({matches}, slice({pieces}, 1, size({matches})), (m, p) -> struct(m, length(p) as gap, right(p, {CONTEXT_CHARS}) as near)), "
-        f"struct(0 as pos, cast(array() as {_SPANS}) as out), "
-        "(a, x) -> struct(a.pos + x.gap + length(x.m) as pos, array_append(a.out, named_struct('start', a.pos + x.gap, 'end', a.pos + x.gap + length(x.m), 'm', x.m, 'left', x.near)) as out), "
-        f"a -> a.out), cast(array() as {_SPANS}))"
+    """SQL for spans of matches, with the end of the piece before each.
+
+    Appending to an array copies it, so arrays are appended to in parts of about the cube root of the number of matches.
+    """
+    near = f"if(size(split(right(p, {CONTEXT_CHARS}), '{_WORDS}', 4)) > 3 or length(p) <= {CONTEXT_CHARS}, right(p, {CONTEXT_CHARS}), p)"
+    all_ = f"zip_with({matches}, slice({pieces}, 1, size({matches})), (m, p) -> struct(m, length(p) as gap, {near} as near))"
+    part = f"cast(greatest(16, ceil(cbrt(size({matches})))) as int)"
+    parts = f"transform(sequence(0, (size({matches}) - 1) div {part}), k -> slice(x, cast(k * {part} + 1 as int), {part}))"
+    starts = f"aggregate({{}}, struct(0 as pos, cast(array() as array<int>) as out), (a, y) -> struct(a.pos + aggregate(y, 0, (n, z) -> n + z.gap + length(z.m)) as pos, array_append(a.out, a.pos) as out), a -> a.out)"
+    spans = (
+        f"flatten(zip_with(ps, {starts.format('ps')}, (y, s) -> aggregate(y, struct(s as pos, cast(array() as {_SPANS}) as out), "
+        "(a, z) -> struct(a.pos + z.gap + length(z.m) as pos, array_append(a.out, named_struct('start', a.pos + z.gap, 'end', a.pos + z.gap + length(z.m), 'm', z.m, 'left', z.near)) as out), a -> a.out)))"
     )
+    # transform over one element names an expression, so that it is computed once
+    return f"if(size({matches}) > 0, transform(transform(array({all_}), x -> {parts}), ps -> {spans})[0], cast(array() as {_SPANS}))"
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
@@ -82,14 +94,27 @@ def base_spans(docs: DataFrame) -> DataFrame:
 
 def instances(found: DataFrame) -> DataFrame:
     """Occurrences of instances: row, start, end, instance, seed (its kind or null), pattern; one row for each pattern."""
-    seed = "coalesce(" + ", ".join(f"if(exists({k}, s -> s.start < o.end and s.end > o.start), '{k}', null)" for k in KINDS) + ")"
-    rows = found.filter(F.size("instance") > 0).select("row", *KINDS, F.explode("instance").alias("o")).select("row", "o", F.expr(seed).alias("seed"))
+    holds = " or ".join(f"size({k}) > 0" for k in KINDS)
+    texts = found.filter(F.size("instance") > 0)
+    alone = texts.filter(f"not ({holds})").select("row", F.explode("instance").alias("o"), F.lit(None).cast("string").alias("seed"))
+    # spans of a kind don't overlap, so of those that start before an instance's end only the last may reach into it
+    beside = texts.filter(holds)
+    events = beside.select("row", F.explode("instance").alias("o"), *(F.lit(None).cast("int").alias(f"{k}_end") for k in KINDS)).select("row", F.col("o.end").alias("at"), F.lit(0).alias("side"), "o", *(f"{k}_end" for k in KINDS))
+    for kind in KINDS:
+        ends = (F.col("s.end").alias(f"{k}_end") if k == kind else F.lit(None).cast("int").alias(f"{k}_end") for k in KINDS)
+        spans = beside.select("row", F.explode(kind).alias("s")).select("row", F.col("s.start").alias("at"), F.lit(1).alias("side"), F.lit(None).cast(events.schema["o"].dataType).alias("o"), *ends)
+        events = events.union(spans)
+    before = Window.partitionBy("row").orderBy("at", "side").rowsBetween(Window.unboundedPreceding, 0)
+    reach = events.select("row", "o", "side", *(F.max(f"{k}_end").over(before).alias(f"{k}_end") for k in KINDS)).filter("side = 0")
+    seed = F.coalesce(*(F.when(F.col(f"{k}_end") > F.col("o.start"), k) for k in KINDS))
+    rows = alone.union(reach.select("row", "o", seed.alias("seed")))
     rows = rows.withColumn("head", F.expr(r"length(regexp_extract(o.m, '^(?:[{<\"\']|[(\\[](?![0-9+]++[)\\]][^()\\[\\]]*[0-9]))*', 0))")).withColumn("tail", F.expr(r"length(regexp_extract(o.m, '[.,;:!?)\\]}>\"\']*$', 0))"))
     rows = rows.select(
         "row", "seed", F.expr("o.start + head").alias("start"), F.expr("o.end - tail").alias("end"),
         F.expr("lower(substr(o.m, head + 1, length(o.m) - head - tail))").alias("instance"),
-        F.expr(r"filter(split(lower(o.left), '[\\x20\\x09-\\x0D]+'), w -> w != '')").alias("near"),
+        F.expr(f"filter(split(lower(o.left), '{_WORDS}'), w -> w != '')").alias("near"),
     )
+    rows = rows.withColumn("near", F.expr(f"transform(slice(near, greatest(1, size(near) - 1), 2), w -> if(length(w) > {CONTEXT_CHARS}, sha2(w, 256), w))"))
     rows = rows.filter(f"size(near) > 0 and (seed is not null or end - start >= {MIN_CHARS})")
     patterns = F.expr("array_compact(array(concat('1 ', element_at(near, -1)), if(size(near) > 1, concat('2 ', element_at(near, -2), ' ', element_at(near, -1)), null)))")
     return rows.select("row", "seed", "start", "end", "instance", F.explode(patterns).alias("pattern"))

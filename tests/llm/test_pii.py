@@ -92,6 +92,28 @@ def test_contexts_find_grouped_numbers_and_spelt_addresses(spark):
     assert all(got[400 + i] == "" for i in range(20))
 
 
+def test_texts_of_very_many_matches(spark):
+    import time
+
+    rnd = random.Random(7)
+    numeric = " ".join(str(rnd.randint(10**6, 10**8)) + rnd.choice([",", "x", ";"]) for _ in range(200_000))  # 2 MB
+    mixed = " ".join(rnd.choice(["a@b.cd", "1.2.3.4", "+1 234 567 890", "w", "n0t3d"]) for _ in range(60_000))
+    rows = [(1, numeric), (2, mixed), (3, "x"), (4, " ".join(f"q{k}z" for k in range(50_000)))]
+    start = time.perf_counter()
+    got = personal_data(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    taken = time.perf_counter() - start
+    _check(rows, got)
+    assert taken < 90
+
+
+def test_long_context_words_stay_apart(spark):
+    one, two = "k" * 100, "j" * 30 + "k" * 100
+    rows = [(i, f"first {one} user{i}@mail{i}.example.com said word{i % 3}") for i in range(30)] + [(100 + i, f"first {two} john{i}(at)host") for i in range(5)] + [(200 + i, f"first {one} john{i}(at)host") for i in range(5)]
+    got = {r.doc_id: r.spans for r in personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[100 + i] == "" for i in range(5))
+    assert all(got[200 + i] == f"email:{107}:{107 + len(f'john{i}(at)host')}" for i in range(5))
+
+
 def test_empty_and_native(spark, sf_dir):
     assert personal_data(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     assert not re.search("Python|Arrow|Pandas", op4_pii_contexts(spark, sf_dir)._jdf.queryExecution().executedPlan().toString())
