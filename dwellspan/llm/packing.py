@@ -5,8 +5,8 @@ tightest bins that hold them, and bins with one history stay one group. A plan r
 "pieces of this length with ranks r0 .. r0+count-1 go to the bins from seq0 on, per_bin to a
 bin, from this offset on". Pieces then find their slot by a join on length and rank.
 
-Null texts count as empty and give one piece, the end id. Repeated rows are packed each.
-An empty table gives an empty result. Other columns of the input are left out.
+Null texts count as empty and give one piece, the end id. Repeated rows are packed each. Words of any
+length are coded; only those of CACHE_BYTES at most are remembered, so memory is bounded in bytes. An empty table gives an empty result. Other columns of the input are left out.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ CAPACITY = 4096
 END_ID = 1
 #: Words whose ids a worker remembers in each of two generations; the older one is dropped when the newer is full.
 CACHE_WORDS = 500_000
+#: Longer words, in bytes, are forgotten with the slice that holds them.
+CACHE_BYTES = 64
 #: Between Latin letters and marks after them the tokenizer always splits; the last id of each part, and no other, ends a word.
 PLAIN = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+"
 MARKS = ".,!?;:"
@@ -100,6 +102,7 @@ class WordIds:
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.marks: dict[str, bytes] = {}
+        self.long: list[bytes] = []
         self.cache_words = cache_words or CACHE_WORDS
 
     def _coded(self, texts: list[str]) -> list[bytes]:
@@ -120,9 +123,13 @@ class WordIds:
         return [flat[i:k] for i, k in zip([0, *stops[:-1].tolist()], stops.tolist(), strict=True)]
 
     def learn(self, words: set[bytes]) -> None:
+        """Know the ids of words, until the next call those of long words."""
+        for word in self.long:
+            self.known.pop(word, None)
         new = words.difference(self.known)
         if len(self.known) + len(new) > self.cache_words:
-            self.older, self.known, new = self.known, {}, words
+            self.older, self.known, new = self.known, {}, words  # no long words are left here
+        self.long = [w for w in new if len(w) > CACHE_BYTES]
         again = new & self.older.keys()
         self.known.update((w, self.older[w]) for w in again)
         fresh = list(new - again)
@@ -144,14 +151,16 @@ class WordIds:
                 marked.append((word, key, text[len(core) :]))
                 if key not in self.known:
                     wanted[key] = core
+                    if len(key) > CACHE_BYTES:
+                        self.long.append(key)
         self.known.update(zip(wanted, self._coded_plain([*wanted.values()]), strict=True))
         for k in range(0, len(others), 4096):
             part = others[k : k + 4096]
             self.known.update(zip([w for w, _ in part], self._coded([t for _, t in part]), strict=True))
         for word, key, mark in marked:
-            if mark not in self.marks:
+            if len(mark) <= CACHE_BYTES and mark not in self.marks and len(self.marks) < self.cache_words:
                 self.marks[mark] = self._coded([mark])[0]
-            self.known[word] = self.known[key] + self.marks[mark]
+            self.known[word] = self.known[key] + (self.marks[mark] if mark in self.marks else self._coded([mark])[0])
 
     def split(self, text: bytes) -> list[bytes]:
         """Words; in lower case, as the tokenizer has them, unless a special token may be meant."""

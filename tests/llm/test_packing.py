@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from dwellspan.llm.packing import WordIds, pack, pieces, plan_best_fit
+from dwellspan.llm.packing import CAPACITY, WordIds, op10_best_fit_packing, pack, pieces, plan_best_fit
 
 
 @settings(deadline=None, max_examples=200)
@@ -97,3 +97,25 @@ def test_empty(spark):
 def test_extreme_capacity(spark, capacity):
     got = pack(pieces(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), capacity=capacity), capacity).toPandas()
     assert got.length.sum() == 3 and got.length.max() <= capacity
+
+
+def test_op10_over_the_whole_table(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    got = op10_best_fit_packing(spark, sf_dir).toPandas()
+    assert sorted([tuple(map(int, r)) for r in got[["doc_id", "piece", "start", "length", "ids_crc32"]].itertuples(index=False)], key=str) == _expected([(r.doc_id, r.text) for r in docs], CAPACITY)
+    for _, g in got.groupby("sequence_id"):
+        g = g.sort_values("offset")
+        assert (g.length.cumsum() - g.length == g.offset).all() and g.length.sum() <= CAPACITY
+    assert got.sequence_id.nunique() == -(-got.length.sum() // CAPACITY)  # no packing has fewer
+
+
+def test_very_long_words_are_not_remembered():
+    model, ours = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), WordIds(None)
+    rnd = random.Random(5)
+    base64 = "".join(rnd.choices("ABCDEFabcdef0123456789+/", k=10**6))
+    for text in (base64 + " a b", "x" * 10**6 + ", " + "y" * 100 + ".", "!" * 10_000, "y" * 100 + " a"):
+        words = ours.split(text.encode())
+        ours.learn(set(words))
+        assert np.frombuffer(b"".join(ours.known[w] for w in words), "<u4").tolist() == model.encode(text, add_special_tokens=False).ids
+    ours.learn(set())
+    assert max(map(len, [*ours.known, *ours.older])) <= 64 and all(len(m) <= 64 for m in ours.marks)
