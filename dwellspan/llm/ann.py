@@ -199,7 +199,9 @@ def neighbours(vectors: DataFrame, is_query, k: int = 20, visit: float = VISIT)
                 yield pa.RecordBatch.from_arrays([pa.array(units, pa.int32()), *fixed, part.column(0).take(take), pa.array(masks, pa.binary()), part.column(1).take(take)], ["unit", "side", "cell", "id", "cells", "embedding"])
 
     sides = f"unit int, side int, cell int, id long, cells binary, embedding {kind}"
-    queries = map_batches(coded.filter(is_query).select("vec_id", "embedding").distinct(), plan, sides)
+    # dealt by id first, or the few rows would be walked in one task
+    asked = coded.filter(is_query).select("vec_id", "embedding").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "vec_id").distinct()
+    queries = map_batches(asked, plan, sides)
     block, split = F.floor(F.col("i") / BLOCK).cast("int"), F.array(*map(F.lit, salts))
     unit = F.element_at(F.array(*map(F.lit, starts)), block + 1) + F.expr("pmod(xxhash64(vec_id), parts)").cast("int")
     cell = ((F.col("i") % BLOCK) * CENTROIDS + F.col("j")).cast("int")
