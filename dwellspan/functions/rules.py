@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Distances at which a cut counts as one, by signal.
+# Distances at which a cut counts as one, by signal.
 CUT_THRESHOLDS = {"hist": 0.25, "mad": 0.12, "layout": 0.042}
 DRASTIC = 2.0
 
@@ -51,7 +51,7 @@ def route(label: Column, purity: Column, band_conf: Column, bad_frac: Column, mi
     )
 
 
-#: measure, weight, bound, and whether it costs to be above (1) or below (-1) the bound.
+# Measure, weight, bound, and whether it costs to be above (1) or below (-1) the bound.
 BAND_PENALTIES = (
     ("span_ratio", 2.0, 0.72, -1),
     ("fit_resid", 2.0, 0.25, 1),
@@ -116,4 +116,5 @@ def price(model: Column, prices: Mapping[str, tuple[float, float]]) -> Column:
 
 
 def running_confidence(drift: float, steps: Column, quality: Column) -> Column:
+    """What one step of drift leaves of a quality; operators.records.measured_confidence multiplies steps up."""
     return F.pow(F.lit(drift), steps) * quality

@@ -6,8 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Cyrillic capitals and the Latin ones that look the same.
-CYRILLIC = "АВЕЗІЈКМНОРСТУХЅԚԜЁ"
-LATIN = "ABE3IJKMHOPCTYXSQWE"
+CYRILLIC = "АВЕКМНОРСТУХІЅЈЁҮԌԤ"
+LATIN = "ABEKMHOPCTYXISJEYGP"
 
 NOT_ALNUM = r"[^\p{L}\p{N}]"
 

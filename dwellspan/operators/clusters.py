@@ -15,33 +15,37 @@ def leader_clusters(rows: DataFrame, keys: Sequence[str], at: str, vector: str,
     else opens a cluster; a member of higher confidence becomes the representative. One pass over the
     sorted rows of each key; what is held is one vector a cluster.
     """
-    names = list(keys)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + f", {name} int"
+    key_at = [rows.columns.index(k) for k in keys]
+    v_at, c_at = rows.columns.index(vector), rows.columns.index(conf)
+    schema = rows.select("*", F.lit(0).alias(name)).schema
 
     def run(batches):
         import numpy as np
-
-        key, reps, confs = None, None, []
-        for pdf in batches:
-            marks = []
-            for row in pdf.to_dict("records"):
-                own = tuple(row[k] for k in names)
+        import pyarrow as pa
+
+        key, n, reps, confs = None, 0, None, []
+        for batch in batches:
+            names = list(zip(*(["nan" if x != x else x for x in batch.column(k).to_pylist()] for k in key_at), strict=True)) if key_at else [()] * batch.num_rows
+            marks = np.empty(batch.num_rows, np.int32)
+            for i, (own, v, c) in enumerate(zip(names, batch.column(v_at).to_pylist(), batch.column(c_at).to_pylist(), strict=True)):
+                v = np.asarray(v, float)
                 if reps is None or own != key:
-                    key, reps, confs = own, np.empty((0, len(row[vector]))), []
-                v = np.asarray(row[vector], float)
-                d = np.abs(reps - v).sum(1) / 2
-                if len(d) and d.min() < threshold:
+                    key, n, reps, confs = own, 0, np.empty((8, len(v))), []
+                d = np.abs(reps[:n] - v).sum(1) / 2
+                if n and d.min() < threshold:
                     k = int(d.argmin())
-                    if row[conf] > confs[k]:
-                        reps[k], confs[k] = v, row[conf]
+                    if c > confs[k]:
+                        reps[k], confs[k] = v, c
                 else:
-                    k = len(confs)
-                    reps = np.vstack([reps, v])
-                    confs.append(row[conf])
-                marks.append(k)
-            yield pdf.assign(**{name: np.array(marks, np.int32)})
+                    if n == len(reps):
+                        reps = np.concatenate([reps, np.empty_like(reps)])  # twice the room
+                    k, reps[n] = n, v
+                    n += 1
+                    confs.append(c)
+                marks[i] = k
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(marks)], names=[*batch.schema.names, name])
 
-    return rows.repartition(*keys).sortWithinPartitions(*keys, at).mapInPandas(run, schema)
+    return rows.repartition(*keys).sortWithinPartitions(*keys, at).mapInArrow(run, schema)
 
 
 def cluster_summary(clustered: DataFrame, keys: Sequence[str], at: str, period: float, name: str = "cluster") -> DataFrame:
@@ -58,12 +62,15 @@ def suppress(boxes: DataFrame, keys: Sequence[str], score: str = "score", share:
     names = list(keys)
 
     def run(pdf):
-        kept: list[int] = []
+        import numpy as np
+
         pdf = pdf.sort_values([score, "x", "y", "w", "h"], ascending=[False, True, True, True, True]).reset_index(drop=True)
-        x, y, w, h = (pdf[c].to_numpy() for c in ("x", "y", "w", "h"))
+        x, y, w, h = (pdf[c].to_numpy(float) for c in ("x", "y", "w", "h"))
+        open_ = np.ones(len(pdf), bool)
         for i in range(len(pdf)):
-            if not any(abs(x[i] - x[k]) < share * max(w[i], w[k]) and abs(y[i] - y[k]) < share * max(h[i], h[k]) for k in kept):
-                kept.append(i)
-        return pdf.iloc[kept]
+            if open_[i]:  # it is kept, so what is near it and comes later is not
+                later = slice(i + 1, None)
+                open_[later] &= ~((np.abs(x[later] - x[i]) < share * np.maximum(w[later], w[i])) & (np.abs(y[later] - y[i]) < share * np.maximum(h[later], h[i])))
+        return pdf[open_]
 
     return boxes.groupBy(*names).applyInPandas(run, boxes.schema)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import heapq
+import itertools
+import math
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,28 +36,104 @@ def ledger(obs: DataFrame, keys: Sequence[str], lo: int, hi: int, priority: Sequ
     return intervals.ledger(obs, keys, priority, lo, hi, bucket)
 
 
+class _Best:
+    """Heap entry: the larger payload comes first, nulls last."""
+
+    __slots__ = ("end", "key", "value")
+
+    def __init__(self, value: dict, end: int) -> None:
+        self.value, self.end, self.key = value, end, tuple((x is not None, x) for x in value.values())
+
+    def __lt__(self, other: _Best) -> bool:
+        for (a, x), (b, y) in zip(self.key, other.key, strict=True):
+            if a != b:
+                return a
+            if a and x != y:
+                return x > y
+        return False
+
+
+def _swept(rows: Iterator[tuple[int, int, dict | None, bool]]) -> Iterator[tuple[int, int, dict | None]]:
+    """Pieces (start, end, payload) of cells from rows (start, end, payload, is_cell) of one class by start: n log n for n rows.
+
+    Cells don't overlap. Time moves to each row's start; between two starts the best open observation holds.
+    """
+    heap: list[_Best] = []
+    cell: list[int] | None = None  # what is left of the cell
+    now = None
+
+    def until(stop: float) -> Iterator[tuple[int, int, dict | None]]:
+        nonlocal now, cell
+        while now is not None and now < stop:
+            while heap and heap[0].end <= now:
+                heapq.heappop(heap)
+            if cell is not None and cell[1] <= now:
+                cell = None
+            if cell is None and not heap:
+                now = None if stop == math.inf else stop
+                return
+            ends = [stop] + ([heap[0].end] if heap else []) + ([cell[1]] if cell else [])
+            upto = min(ends)
+            if upto == math.inf:
+                return
+            if cell is not None:
+                yield max(now, cell[0]), int(upto), heap[0].value if heap else None
+            now = upto
+
+    for start, end, value, is_cell in rows:
+        yield from until(start)
+        now = start
+        if is_cell:
+            cell = [start, end]
+        else:
+            heapq.heappush(heap, _Best(value, end))
+    yield from until(math.inf)
+
+
 def with_payload(cells: DataFrame, obs: DataFrame, keys: Sequence[str], payload: Sequence[str], order: str, bucket: int = intervals.DAY) -> DataFrame:
     """Ledger cells cut where the winning observation changes, with its payload: of the cell's class, the one of the highest order.
 
-    Cells and observations of one class meet by bucket; between two edges the best open observation
-    holds.
+    Cells and observations of one class and bucket go through one sorted pass with a heap of open observations, so
+    none meets all others. Where no observation of the class is open the payload is null.
     """
     span = F.struct(order, *payload)
     own = intervals.spread(obs.select(*keys, "status", "start_us", "end_us", span.alias("p")), bucket)
-    edges = own.select(*keys, "status", "bucket", F.col("start_us").alias("edge")).union(own.select(*keys, "status", "bucket", "end_us")).distinct()
-    w = Window.partitionBy(*keys, "status", "bucket").orderBy("edge")
-    pieces = edges.withColumn("stop", F.lead("edge").over(w)).filter("stop is not null")
-    open_ = pieces.join(own, [*keys, "status", "bucket"]).filter("start_us <= edge and end_us >= stop")
-    best = open_.groupBy(*keys, "status", "bucket", "edge", "stop").agg(F.max("p").alias("p"))
-    best = intervals.join_adjacent(best.select(*keys, "status", "bucket", "p", F.col("edge").alias("start_us"), F.col("stop").alias("end_us")), [*keys, "status", "bucket"], ["p"])
-    cut = intervals.spread(cells, bucket)
-    named = [c for c in cut.columns if c not in (*keys, "status", "bucket", "start_us", "end_us")]
-    b = best.withColumnsRenamed({"start_us": "p_start", "end_us": "p_end"})
-    met = cut.join(b, [*keys, "status", "bucket"]).filter("start_us < p_end and p_start < end_us")
-    met = met.withColumns({"start_us": F.greatest("start_us", "p_start"), "end_us": F.least("end_us", "p_end")}).drop("p_start", "p_end")
-    bare = cut.join(own.select(*keys, "status", "bucket").distinct(), [*keys, "status", "bucket"], "left_anti").withColumn("p", F.lit(None).cast(met.schema["p"].dataType))
-    both = met.select(*keys, "status", "start_us", "end_us", "p", *named).unionByName(bare.select(*keys, "status", "start_us", "end_us", "p", *named))
-    return intervals.join_adjacent(both, keys, ["status", "p"]).select(*keys, "start_us", "end_us", "status", F.col(f"p.{order}").alias(order), *(F.col(f"p.{c}").alias(c) for c in payload))
+    cut = intervals.spread(cells.select(*keys, "status", "start_us", "end_us"), bucket)
+    group = [*keys, "status", "bucket"]
+    rows = own.select(*group, "start_us", "end_us", F.lit(False).alias("is_cell"), "p").union(cut.select(*group, "start_us", "end_us", F.lit(True).alias("is_cell"), F.lit(None).cast(own.schema["p"].dataType).alias("p")))
+    schema = rows.select(*group, "start_us", "end_us", "p").schema
+    n = len(group)
+
+    def sweep(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow = to_arrow_schema(schema)
+
+        def stream() -> Iterator[tuple]:
+            for batch in batches:
+                yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+        out: list[list] = [[] for _ in schema]
+        for key, run in itertools.groupby(stream(), key=lambda r: r[:n]):
+            last = None
+            for start, end, value in _swept((r[n], r[n + 1], r[n + 3], r[n + 2]) for r in run):
+                if last is not None and last[1] == start and last[2] == value:
+                    last[1] = end
+                    out[n + 1][-1] = end
+                    continue
+                last = [start, end, value]
+                for column, x in zip(out, (*key, start, end, value), strict=True):
+                    column.append(x)
+            if len(out[0]) >= 4096:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, arrow, strict=True)], schema=arrow)
+                out = [[] for _ in schema]
+        if out[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, arrow, strict=True)], schema=arrow)
+
+    pieces = rows.repartition(*group).sortWithinPartitions(*group, "start_us", "is_cell").mapInArrow(sweep, schema)
+    whole = intervals.join_across(pieces, keys, ["status", "p"], bucket)
+    return whole.select(*keys, "start_us", "end_us", "status", F.col(f"p.{order}").alias(order), *(F.col(f"p.{c}").alias(c) for c in payload))
 
 
 def by_status(cells: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

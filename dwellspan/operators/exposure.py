@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import intervals
+from .records import percentiles
 
 
 def by_brand(detail: DataFrame, keys: Sequence[str], period: Column, duration_s: Column, order: str, min_seconds: float = 0.0) -> DataFrame:
@@ -80,8 +81,9 @@ def totals(by_brand_: DataFrame) -> DataFrame:
 def temporal_mad(frames: DataFrame, values: str) -> DataFrame:
     """pos, median, mad of each position of an array over all rows."""
     flat = frames.select(F.posexplode(values).alias("pos", "v")).withColumn("v", F.col("v").cast("double"))
-    medians = flat.groupBy("pos").agg(F.median("v").alias("median"))
-    return flat.join(medians, "pos").groupBy("pos").agg(F.max("median").alias("median"), F.median(F.abs(F.col("v") - F.col("median"))).alias("mad"))
+    medians = percentiles(flat, ["pos"], "v", [0.5]).withColumnRenamed("p50", "median")
+    off = flat.join(medians, "pos").select("pos", F.abs(F.col("v") - F.col("median")).alias("off"))
+    return medians.join(percentiles(off, ["pos"], "off", [0.5]).withColumnRenamed("p50", "mad"), "pos")
 
 
 def overlay_verdict(mad: DataFrame, n_frames: Column, static_below: float, min_frames: int = 8, min_scene: float = 12.0, max_share: float = 0.25) -> DataFrame:
@@ -97,7 +99,9 @@ def drift_bands(rows: DataFrame, drift: str, confidence: str, bounds: Sequence[f
     band = F.lit(len(bounds))
     for k, b in reversed(list(enumerate(bounds))):
         band = F.when(F.col(confidence) < b, k).otherwise(band)
-    return rows.withColumn("band", band).groupBy("band").agg(F.count("*").alias("n"), F.median(drift).alias("median_drift"), F.percentile(drift, F.lit(0.9)).alias("p90_drift"), F.max(drift).alias("max_drift"))
+    own = rows.select(band.alias("band"), F.col(drift).alias("drift_"))
+    ranks = percentiles(own, ["band"], "drift_", [0.5, 0.9]).withColumnsRenamed({"p50": "median_drift", "p90": "p90_drift"})
+    return own.groupBy("band").agg(F.count("*").alias("n"), F.max("drift_").alias("max_drift")).join(ranks, "band", "left")
 
 
 def probe_summary(probes: DataFrame, keys: Sequence[str], confidence: str, frame: str, threshold: float) -> DataFrame:

@@ -1,8 +1,9 @@
 """Algebra of half-open intervals [start, end) in BIGINT microseconds.
 
-Time is exact in integers, and every operator deals its rows by key and time bucket, so that one long
+Time is exact in integers, and operators deal their rows by key and time bucket, so that one long
 run or one frequent key is spread over many tasks. Cutting intervals at bucket edges changes
 neither their union nor the class that wins at any moment; pieces that touch at an edge are joined again.
+Only complement and partition_violations sort the spans of a key in one task, as what they take is a result of the others.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import buckets
+
 SECOND = 1_000_000
 HOUR = 3600 * SECOND
 DAY = 24 * HOUR
@@ -81,16 +84,32 @@ def complement(df: DataFrame, keys: Sequence[str], lo: int | Column, hi: int | C
     return after.unionByName(first).filter(F.col(end) > F.col(start))
 
 
-def join_adjacent(df: DataFrame, keys: Sequence[str], same: Sequence[str], eps: int = 0, start: str = "start_us", end: str = "end_us") -> DataFrame:
-    """Neighbours that meet within eps and agree in same (nulls agree) become one span."""
-    order = Window.partitionBy(*keys).orderBy(start)
-    before = F.lag(F.struct(*same, end)).over(order)
-    agrees = F.lit(True)
+def join_adjacent(df: DataFrame, keys: Sequence[str], same: Sequence[str], eps: int = 0, start: str = "start_us", end: str = "end_us", bucket: int | None = None) -> DataFrame:
+    """Neighbours that meet within eps and agree in same (nulls agree) become one span.
+
+    With bucket, spans are dealt by key and the time bucket of their start.
+    """
+    if bucket is None:
+        order = Window.partitionBy(*keys).orderBy(start)
+        marked = df.withColumn("previous_", F.lag(F.struct(start, *same, end)).over(order))
+    else:
+        marked = buckets.previous(buckets.dealt(df, start, bucket), keys, start, [*same, end])
+    before, agrees = F.col("previous_"), F.lit(True)
     for c in same:
         agrees = agrees & before[c].eqNullSafe(F.col(c))
-    opens = F.when(before.isNull() | ~agrees | (F.col(start) - before[end] > eps), 1).otherwise(0)
-    numbered = df.withColumn("opens", opens).withColumn("span", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.groupBy(*keys, "span", *same).agg(F.min(start).alias(start), F.max(end).alias(end)).drop("span")
+    marked = marked.withColumn("opens", F.when(before.isNull() | ~agrees | (F.col(start) - before[end] > eps), 1).otherwise(0))
+    if bucket is None:
+        marked = marked.withColumn("span", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    else:
+        marked = buckets.running(marked, keys, start, "opens", "span")
+    return marked.groupBy(*keys, "span", *same).agg(F.min(start).alias(start), F.max(end).alias(end)).drop("span")
+
+
+def join_across(local: DataFrame, keys: Sequence[str], same: Sequence[str], bucket: int = DAY, start: str = "start_us", end: str = "end_us") -> DataFrame:
+    """Spans that were joined within their bucket: only those at bucket edges, two a bucket, are joined by key."""
+    at_edges = _at_edges(start, end, bucket)
+    inner, outer = local.filter(~at_edges).drop("bucket"), local.filter(at_edges).drop("bucket")
+    return inner.unionByName(join_adjacent(outer, keys, same, 0, start, end))
 
 
 def partition_violations(df: DataFrame, keys: Sequence[str], lo: Column | int, hi: Column | int, eps: int = 0, start: str = "start_us", end: str = "end_us") -> DataFrame:
@@ -140,19 +159,28 @@ def ledger(observations: DataFrame, keys: Sequence[str], priority: Sequence[str]
     return inner.unionByName(join_adjacent(outer, keys, [status], 0, start, end))
 
 
-def stitch(points: DataFrame, keys: Sequence[str], max_gap: int, at: str = "at_us") -> DataFrame:
-    """keys, first_us, last_us, n_points: runs of points at most max_gap apart."""
-    order = Window.partitionBy(*keys).orderBy(at)
-    opens = F.when(F.col(at) - F.lag(at).over(order) <= max_gap, 0).otherwise(1)
-    numbered = points.withColumn("opens", opens).withColumn("run_", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.groupBy(*keys, "run_").agg(F.min(at).alias("first_us"), F.max(at).alias("last_us"), F.count("*").alias("n_points")).drop("run_")
-
+def stitch(points: DataFrame, keys: Sequence[str], max_gap: int, at: str = "at_us", bucket: int = DAY) -> DataFrame:
+    """keys, first_us, last_us, n_points: runs of points at most max_gap apart.
 
-def spells(points: DataFrame, keys: Sequence[str], max_gap: int, at: str = "at_us") -> DataFrame:
-    """keys, n_spells: runs of distinct points; a gap longer than max_gap starts a new one."""
-    distinct = points.select(*keys, at).distinct()
-    opens = F.when(F.col(at) - F.lag(at).over(Window.partitionBy(*keys).orderBy(at)) <= max_gap, 0).otherwise(1)
-    return distinct.withColumn("opens", opens).groupBy(*keys).agg(F.sum("opens").alias("n_spells"))
+    Runs are made within buckets; only the first and the last one of a bucket may go on in another, and those are joined by key.
+    """
+    own = [*keys, "bucket_"]
+    order = Window.partitionBy(*own).orderBy(at)
+    opens = F.when(F.col(at) - F.lag(at).over(order) <= max_gap, 0).otherwise(1)
+    numbered = buckets.dealt(points, at, bucket).withColumn("opens", opens).withColumn("run_", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = numbered.groupBy(*own, "run_").agg(F.min(at).alias("first_us"), F.max(at).alias("last_us"), F.count("*").alias("n_points"))
+    runs = runs.withColumn("outer_", (F.col("run_") == 1) | (F.col("run_") == F.max("run_").over(Window.partitionBy(*own))))
+    inner, outer = runs.filter("not outer_").select(*keys, "first_us", "last_us", "n_points"), runs.filter("outer_")
+    order = Window.partitionBy(*keys).orderBy("first_us")
+    opens = F.when(F.col("first_us") - F.lag("last_us").over(order) <= max_gap, 0).otherwise(1)
+    joined = outer.withColumn("opens", opens).withColumn("run_", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    joined = joined.groupBy(*keys, "run_").agg(F.min("first_us").alias("first_us"), F.max("last_us").alias("last_us"), F.sum("n_points").alias("n_points"))
+    return inner.unionByName(joined.drop("run_"))
+
+
+def spells(points: DataFrame, keys: Sequence[str], max_gap: int, at: str = "at_us", bucket: int = DAY) -> DataFrame:
+    """keys, n_spells: runs of points; a gap longer than max_gap starts a new one."""
+    return stitch(points.select(*keys, at), keys, max_gap, at, bucket).groupBy(*keys).agg(F.count("*").alias("n_spells"))
 
 
 def largest(spans: DataFrame, n: int, start: str = "start_us", end: str = "end_us", *tie: str) -> DataFrame:

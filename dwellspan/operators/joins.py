@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _asof_local(left: DataFrame, right: DataFrame, keys: Sequence[str], left_at: str, right_at: str, take: Sequence[str], forward: bool) -> DataFrame:
+def _asof_local(left: DataFrame, right: DataFrame, keys: Sequence[str], left_at: str, right_at: str, take: Sequence[str], forward: bool, strict: bool = False) -> DataFrame:
     """keys, at_, l_ (the left row) and found_ (the right row)."""
+    last = forward == strict  # whether left rows come behind right ones of the same time
     row = F.struct(F.col(right_at).alias("at_"), *(F.col(c).alias(f"r_{c}") for c in take))
     whole = F.struct(*(F.col(c) for c in left.columns))
     null = lambda df, c: F.lit(None).cast(df.select(c.alias("x")).schema["x"].dataType)
-    both = left.select(*keys, F.col(left_at).alias("at_"), F.lit(0 if forward else 1).alias("side_"), whole.alias("l_"), null(right, row).alias("r_"))
-    both = both.unionByName(right.select(*keys, F.col(right_at).alias("at_"), F.lit(1 if forward else 0).alias("side_"), null(left, whole).alias("l_"), row.alias("r_")))
+    both = left.select(*keys, F.col(left_at).alias("at_"), F.lit(1 if last else 0).alias("side_"), whole.alias("l_"), null(right, row).alias("r_"))
+    both = both.unionByName(right.select(*keys, F.col(right_at).alias("at_"), F.lit(0 if last else 1).alias("side_"), null(left, whole).alias("l_"), row.alias("r_")))
     order = Window.partitionBy(*keys).orderBy("at_", "side_", "r_")
     if forward:
         found = F.first("r_", ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
@@ -23,21 +24,21 @@ def _asof_local(left: DataFrame, right: DataFrame, keys: Sequence[str], left_at:
     return both.withColumn("found_", found).filter("l_ is not null").select(*keys, "at_", "l_", "found_")
 
 
-def asof(left: DataFrame, right: DataFrame, keys: Sequence[str], left_at: str, right_at: str, take: Sequence[str], tolerance: int | None = None, forward: bool = False, bucket: int | None = None) -> DataFrame:
+def asof(left: DataFrame, right: DataFrame, keys: Sequence[str], left_at: str, right_at: str, take: Sequence[str], tolerance: int | None = None, forward: bool = False, bucket: int | None = None, strict: bool = False) -> DataFrame:
     """left with the columns take, and right_at, of the last right row at or before left_at (or the first at or after it).
 
-    Both sides are sorted together once by key and time. Where right rows tie, that of the largest
+    With strict, rows of the same time don't count. Both sides are sorted together once by key and time. Where right rows tie, that of the largest
     (smallest, when forward) take values counts. With bucket, a key's time is cut into buckets that are
     sorted apart, and a bucket in which a left row finds nothing takes the nearest bucket's right row:
     so a key that holds most rows is spread over many tasks.
     """
     if bucket is None:
-        out = _asof_local(left, right, keys, left_at, right_at, take, forward)
+        out = _asof_local(left, right, keys, left_at, right_at, take, forward, strict)
     else:
         part = lambda df, at: df.withColumn("bucket_", F.floor(F.col(at) / bucket))
         l_, r = part(left, left_at), part(right, right_at)
         dealt = [*keys, "bucket_"]
-        local = _asof_local(l_, r, dealt, left_at, right_at, take, forward)
+        local = _asof_local(l_, r, dealt, left_at, right_at, take, forward, strict)
         row = F.struct(F.col(right_at).alias("at_"), *(F.col(c).alias(f"r_{c}") for c in take))
         edge = r.groupBy(*dealt).agg((F.min(row) if forward else F.max(row)).alias("edge_"))
         marks = edge.unionByName(l_.select(*dealt).distinct().withColumn("edge_", F.lit(None).cast(edge.schema["edge_"].dataType))).groupBy(*dealt).agg(F.max("edge_").alias("edge_"))
@@ -52,11 +53,19 @@ def asof(left: DataFrame, right: DataFrame, keys: Sequence[str], left_at: str, r
     return out.select(*(F.col(f"l_.`{c}`").alias(c) for c in left.columns), F.col("found_.at_").alias(right_at), *(F.col(f"found_.r_{c}").alias(c) for c in take))
 
 
-def point_in_range(points: DataFrame, ranges: DataFrame, keys: Sequence[str], at: str, lo: str, hi: str, take: Sequence[str], bucket: int | None = None) -> DataFrame:
-    """points with take of the range lo <= at < hi; ranges of a key do not overlap. Points in none keep nulls."""
+def point_in_range(points: DataFrame, ranges: DataFrame, keys: Sequence[str], at: str, lo: str, hi: str, take: Sequence[str], bucket: int | None = None, closed: bool = False) -> DataFrame:
+    """points with take of the range lo <= at < hi; ranges of a key do not overlap. Points in none keep nulls.
+
+    With closed, hi belongs to the range too, and a point where two ranges meet to the earlier one.
+    """
     found = asof(points, ranges, keys, at, lo, [hi, *take], bucket=bucket)
-    inside = F.col(at) < F.col(hi)
-    return found.select(*points.columns, *(F.when(inside, F.col(c)).alias(c) for c in take))
+    if not closed:
+        inside = F.col(at) < F.col(hi)
+        return found.select(*points.columns, *(F.when(inside, F.col(c)).alias(c) for c in take))
+    found = found.select(*points.columns, F.struct(lo, hi, *take).alias("at_or_before_"))
+    found = asof(found, ranges, keys, at, lo, [hi, *take], bucket=bucket, strict=True)
+    one, two = F.col(at) <= F.col(hi), F.col(at) <= F.col(f"at_or_before_.{hi}")
+    return found.select(*points.columns, *(F.when(one, F.col(c)).when(two, F.col(f"at_or_before_.{c}")).alias(c) for c in take))
 
 
 def overlaps(left: DataFrame, right: DataFrame, keys: Sequence[str], bucket: int, take: Sequence[str], start: str = "start_us", end: str = "end_us") -> DataFrame:

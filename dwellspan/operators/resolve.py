@@ -7,6 +7,7 @@ string is compared once.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from difflib import SequenceMatcher
 
@@ -16,18 +17,23 @@ from pyspark.sql import functions as F
 from ..functions.text import norm_name
 
 MAX_NAMES = 100_000
+# Scores from which names match, and their margin.
 MIN_MATCH, MARGIN = 0.62, 0.03
 CONTAINED, CONTAINED_CHARS, CONTAINED_SHARE = 0.86, 6, 0.60
 MERGE, LOOSE_CONTAINED = 0.75, 0.88
 
 
-def ratio(a: str, b: str, at_least: float = 0.0) -> float:
-    """The similarity of a to b; 0 where the lengths alone keep it below at_least."""
+def ratio(a: str, b: str) -> float:
+    """The similarity of a to b; that of two empty strings is 1."""
+    return SequenceMatcher(None, a, b).ratio() if a or b else 1.0
+
+
+def at_most(a: str, letters: Counter, b: str) -> float:
+    """An upper bound of the ratio of a to b, from the letters (of a) that they share."""
     if not a and not b:
         return 1.0
-    if 2 * min(len(a), len(b)) < at_least * (len(a) + len(b)):
-        return 0.0
-    return SequenceMatcher(None, a, b).ratio()
+    shared = sum(min(n, b.count(c)) for c, n in letters.items())
+    return 2 * shared / (len(a) + len(b))
 
 
 def name_index(names: DataFrame, name: str = "name", aliases: str = "aliases") -> DataFrame:
@@ -41,10 +47,14 @@ def match(token: str, index: Sequence[tuple[str, str]], min_match: float = MIN_M
     if len(token) < 3:
         return None, 0.0
     by_name: dict[str, float] = {}
+    letters, best = Counter(token), 0.0
     for norm, name in index:
         inside = (token in norm or norm in token) and len(token) >= CONTAINED_CHARS and len(token) >= CONTAINED_SHARE * len(norm)
-        fit = ratio(token, norm, 0.0 if inside else min_match - MARGIN)
+        if not inside and at_most(token, letters, norm) < best - MARGIN:
+            continue  # neither the best nor near it
+        fit = ratio(token, norm)
         fit = max(fit, CONTAINED) if inside else fit
+        best = max(best, fit)
         by_name[name] = max(by_name.get(name, 0.0), fit)
     ranked = sorted(by_name.items(), key=lambda x: -x[1])
     if not ranked or ranked[0][1] < min_match:
@@ -80,10 +90,12 @@ def resolve(tokens: DataFrame, index: DataFrame, token: str = "token", min_match
 
 def closest(token: str, index: Sequence[tuple[str, str]]) -> float:
     """The similarity to the nearest listed spelling; one that holds the other counts as at least LOOSE_CONTAINED."""
-    best = 0.0
+    best, letters = 0.0, Counter(token)
     for norm, _ in index:
-        fit = ratio(token, norm)
-        best = max(best, LOOSE_CONTAINED if token and (token in norm or norm in token) else 0.0, fit)
+        held = LOOSE_CONTAINED if token and (token in norm or norm in token) else 0.0
+        best = max(best, held)
+        if at_most(token, letters, norm) > best:
+            best = max(best, ratio(token, norm))
     return best
 
 
@@ -122,11 +134,14 @@ def leaders(strings: Sequence[tuple[str, float]], merge: float = MERGE) -> list[
     out = [0] * len(strings)
     for i in order:
         norm, best, best_fit = strings[i][0], None, 0.0
+        letters = Counter(norm)
         for h in heads:
             other = strings[h][0]
-            fit = ratio(norm, other)
-            if norm in other or other in norm:
-                fit = max(fit, LOOSE_CONTAINED)
+            held = LOOSE_CONTAINED if norm in other or other in norm else 0.0
+            bound = at_most(norm, letters, other)
+            if max(held, bound) < merge or max(held, bound) <= best_fit:
+                continue  # it can't join this leader, or not rather than the best one so far
+            fit = max(held, ratio(norm, other))
             if fit > best_fit:
                 best, best_fit = h, fit
         if best is not None and best_fit >= merge:

@@ -6,11 +6,14 @@ sorted pass in Arrow batches; all else is window functions.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import buckets
+
 
 def consecutive(df: DataFrame, keys: Sequence[str], at: str, distance: Callable[[Column, Column], Column], of: str, max_gap: int | float, name: str = "distance") -> DataFrame:
     """df with the distance of each row's value to the one before; null for the first and behind longer gaps than max_gap."""
@@ -19,14 +22,25 @@ def consecutive(df: DataFrame, keys: Sequence[str], at: str, distance: Callable[
     return df.withColumn(name, F.when(near, distance(F.lag(of).over(order), F.col(of))))
 
 
-def states(df: DataFrame, keys: Sequence[str], at: str, max_gap: int | float, threshold: float, distance: str = "distance", shot: str | None = None, name: str = "state") -> DataFrame:
-    """df with state numbers from 1 in each key: a new state at a longer gap, another known shot, a larger distance or one that is not known."""
-    order = Window.partitionBy(*keys).orderBy(at)
-    first = F.lag(at).over(order).isNull()
-    opens = first | (F.col(at) - F.lag(at).over(order) > max_gap) | F.coalesce(F.col(distance) > threshold, F.lit(True))
+def states(df: DataFrame, keys: Sequence[str], at: str, max_gap: int | float, threshold: float, distance: str = "distance", shot: str | None = None, name: str = "state", bucket: int | None = None) -> DataFrame:
+    """df with state numbers from 1 in each key: a new state at a longer gap, another known shot, a larger distance or one that is not known.
+
+    With bucket, a key's rows are dealt by time.
+    """
+    take = [shot] if shot else []
+    if bucket is None:
+        own = df.withColumn("previous_", F.lag(F.struct(at, *take)).over(Window.partitionBy(*keys).orderBy(at)))
+    else:
+        own = buckets.previous(buckets.dealt(df, at, bucket), keys, at, take)
+    before = F.col("previous_")
+    opens = before.isNull() | (F.col(at) - before[at] > max_gap) | F.coalesce(F.col(distance) > threshold, F.lit(True))
     if shot:
-        opens = opens | F.coalesce(F.lag(shot).over(order) != F.col(shot), F.lit(False))
-    return df.withColumn("opens_", opens.cast("int")).withColumn(name, F.sum("opens_").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("opens_")
+        opens = opens | F.coalesce(before[shot] != F.col(shot), F.lit(False))
+    own = own.withColumn("opens_", opens.cast("int"))
+    if bucket is None:
+        upto = Window.partitionBy(*keys).orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
+        return own.withColumn(name, F.sum("opens_").over(upto)).drop("opens_", "previous_")
+    return buckets.running(own, keys, at, "opens_", name).drop("opens_", "previous_", "bucket_")
 
 
 def carry(df: DataFrame, state_keys: Sequence[str], flag: str, name: str = "carried") -> DataFrame:
@@ -44,12 +58,15 @@ def carry_brands(seen: DataFrame, frame_states: DataFrame) -> DataFrame:
 def valley(df: DataFrame, value: str, low: float = 0.1, high: float = 0.9) -> DataFrame:
     """threshold, separation, rank, n: the middle of the widest step between neighbours in sorted order, between two rank shares.
 
-    The sort is a range exchange: ranks come from counts of the value's histogram, so no task sorts all rows.
+    Ranks come from counts of bins that hold about equally many rows, whatever the values' distribution, so no task sorts all rows.
     """
+    from pyspark.ml.feature import Bucketizer
+
     distinct = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n"))
     bins = 1024
-    edges = distinct.agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    dealt = distinct.crossJoin(F.broadcast(edges)).withColumn("bin", F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col(value) - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1))).otherwise(0))
+    cuts = sorted({float(x) for x in df.select(F.col(value).cast("double").alias("v")).approxQuantile("v", [k / bins for k in range(1, bins)], 1 / (4 * bins))})
+    binned = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="at_", outputCol="bin").transform(distinct.withColumn("at_", F.col(value).cast("double"))) if cuts else distinct.withColumn("bin", F.lit(0.0))
+    dealt = binned.drop("at_")
     upto = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     after = Window.orderBy("bin")
     sums = dealt.groupBy("bin").agg(F.sum("n").alias("in_bin"), F.min(value).alias("least"))
@@ -83,63 +100,92 @@ def capped_groups(df: DataFrame, keys: Sequence[str], at: str, distance: str, th
     return opens.withColumn(name, F.sum("opens_").over(order.rowsBetween(Window.unboundedPreceding, 0)) - 1).drop("cut_", "island_", "opens_")
 
 
-def _stateful(df: DataFrame, keys: Sequence[str], order: Sequence[str], decide: Callable, out: str, kind: str) -> DataFrame:
-    """df with a column that decide(rows of a key in order, as dicts) yields for each; rows of a key pass once, in batches."""
-    import pandas as pd
+def _stateful(df: DataFrame, keys: Sequence[str], order: Sequence[str], take: Sequence[str], begin: Callable, out: str) -> DataFrame:
+    """df with a boolean column from one pass over the sorted rows of each key; null keys are one key.
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + f", {out} {kind}"
-    key_names = list(keys)
+    begin() gives a function for one key: it is called with the columns take, as Arrow arrays, of one stretch of rows after
+    the other and answers with a mark for each row. Without keys all rows are one sequence, and go through one task.
+    """
+    key_at, take_at = [df.columns.index(k) for k in keys], [df.columns.index(c) for c in take]
+    schema = df.select("*", F.lit(True).alias(out)).schema
 
     def run(batches):
-        state, at = None, None
-        for pdf in batches:
+        import numpy as np
+        import pyarrow as pa
+
+        state, key = None, None
+        for batch in batches:
+            names = list(zip(*(["nan" if x != x else x for x in batch.column(k).to_pylist()] for k in key_at), strict=True)) if key_at else [()] * batch.num_rows
+            edges = [0, *(i for i in range(1, batch.num_rows) if names[i] != names[i - 1]), batch.num_rows]
             marks = []
-            for row in pdf.to_dict("records"):
-                key = tuple(row[k] for k in key_names)
-                if state is None or key != at:
-                    state, at = decide(), key
-                marks.append(state(row))
-            yield pdf.assign(**{out: pd.Series(marks, index=pdf.index)})
+            for lo, hi in zip(edges, edges[1:], strict=False):
+                if lo == hi:
+                    continue
+                if state is None or names[lo] != key:
+                    state, key = begin(), names[lo]
+                marks.append(state(*(batch.column(k).slice(lo, hi - lo) for k in take_at)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(marks) if marks else np.empty(0, bool))], names=[*batch.schema.names, out])
 
     dealt = df.repartition(*keys) if keys else df.repartition(1)
-    return dealt.sortWithinPartitions(*keys, *order).mapInPandas(run, schema)
+    return dealt.sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
 
 
 def spaced_cuts(df: DataFrame, keys: Sequence[str], at: str, severity: str, min_gap: int | float, name: str = "cut") -> DataFrame:
     """df with whether a row is a cut: severity over 1 and at least min_gap since the last accepted cut."""
 
-    def decide():
-        last = [None]
+    def begin():
+        import numpy as np
 
-        def step(row) -> bool:
-            hit = row[severity] is not None and row[severity] > 1 and (last[0] is None or row[at] - last[0] >= min_gap)
-            if hit:
-                last[0] = row[at]
-            return hit
+        last = None
+
+        def step(ats, severities):
+            nonlocal last
+            marks, t = np.zeros(len(ats), bool), ats.to_numpy(zero_copy_only=False)
+            hard = np.flatnonzero(np.nan_to_num(severities.to_numpy(zero_copy_only=False).astype(float)) > 1)
+            times, k = t[hard], 0
+            if last is not None:
+                k = int(np.searchsorted(times, last + min_gap))
+            while k < len(hard):  # from one cut to the next that is far enough
+                last = times[k]
+                marks[hard[k]] = True
+                k = max(k + 1, int(np.searchsorted(times, last + min_gap)))
+            return marks
 
         return step
 
-    return _stateful(df, keys, [at], decide, name, "boolean")
+    return _stateful(df, keys, [at], [at, severity], begin, name)
 
 
 def skip_similar(df: DataFrame, keys: Sequence[str], at: str, value: str, min_distance: float, name: str = "keep") -> DataFrame:
     """df with whether a row differs by at least min_distance (mean absolute difference) from the last one kept."""
 
-    def decide():
+    def begin():
         import numpy as np
 
-        last = [None]
-
-        def step(row) -> bool:
-            now = np.asarray(row[value], float)
-            if last[0] is not None and np.abs(now - last[0]).mean() < min_distance:
-                return False
-            last[0] = now
-            return True
+        last = None
+
+        def step(values):
+            nonlocal last
+            rows = np.stack([np.asarray(v, float) for v in values.to_pylist()])
+            marks, k = np.zeros(len(rows), bool), 0
+            while k < len(rows):
+                if last is not None:
+                    ahead = 8  # how far to look at once
+                    while k < len(rows):
+                        far = np.flatnonzero(~(np.abs(rows[k : k + ahead] - last).mean(axis=1) < min_distance))
+                        if len(far):
+                            k += int(far[0])
+                            break
+                        k, ahead = k + ahead, 2 * ahead
+                    if k >= len(rows):
+                        break
+                last, marks[k] = rows[k], True
+                k += 1
+            return marks
 
         return step
 
-    return _stateful(df, keys, [at], decide, name, "boolean")
+    return _stateful(df, keys, [at], [value], begin, name)
 
 
 def shots_from_cuts(df: DataFrame, keys: Sequence[str], at: str, cut: str = "cut", severity: str | None = None) -> DataFrame:
@@ -204,6 +250,11 @@ def pending(index: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return index.join(done.select(key), key, "left_anti")
 
 
+def unknown(index: DataFrame, done: DataFrame, key: str) -> DataFrame:
+    """Rows of done that no row of the index has the key of."""
+    return done.join(index.select(key), key, "left_anti")
+
+
 def progress(index: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """n_total, n_done, n_unknown: work done, and done keys that the index has not."""
     both = index.select(key).distinct().withColumn("i_", F.lit(1)).join(done.select(key).distinct().withColumn("d_", F.lit(1)), key, "full")

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from ..operators import exposure, joins, report, scoring
 from ..operators.intervals import HOUR
-from .tables import events, long, rounded, table
+from .tables import HI_US, LO_US, events, long, rounded, table
 
 PERIOD, DURATION_S = 0.25, 2_592_000.0
+RUN_ENDS_US = LO_US + (HI_US - LO_US) // 4 * 3
 
 
 def _detail(spark, d):
@@ -130,22 +131,24 @@ EXTRA_BRANDS = f"{_HALVES} SELECT brand, got AS seconds FROM run WHERE brand NOT
 
 
 def compare_runs(spark, d):
-    e = events(spark, d).withColumn("run", F.concat(F.lit("r"), F.col("user_id") % 3)).filter("not (user_id % 3 = 1 and event_id > 5000)")
+    """Users in three runs; the second one ends when three quarters of the month are over."""
+    e = events(spark, d).withColumn("run", F.concat(F.lit("r"), F.col("user_id") % 3)).filter(f"run <> 'r1' or at_us < {RUN_ENDS_US}")
     out = scoring.compare(scoring.common_window(e, "run", "at_us"), "run", "event_type", ["r0", "r1", "r2"], 5.0)
     return out
 
 
-COMPARE_RUNS = """WITH e AS (SELECT *, epoch_us(ts) AS at_us, 'r' || (user_id % 3) AS run FROM events WHERE NOT (user_id % 3 = 1 AND event_id > 5000)),
+COMPARE_RUNS = f"""WITH e AS (SELECT * FROM (SELECT *, epoch_us(ts) AS at_us, 'r' || (user_id % 3) AS run FROM events) WHERE run <> 'r1' OR at_us < {RUN_ENDS_US}),
 w AS (SELECT min(last) AS upto FROM (SELECT max(at_us) AS last FROM e GROUP BY run))
 SELECT event_type, count(*) FILTER (run = 'r0') * 5.0::DOUBLE AS r0, count(*) FILTER (run = 'r1') * 5.0::DOUBLE AS r1, count(*) FILTER (run = 'r2') * 5.0::DOUBLE AS r2 FROM e, w WHERE at_us <= upto GROUP BY event_type"""
 
 
 def _readers(spark, d):
-    e = events(spark, d).withColumn("gid", F.floor(F.col("at_us") / (6 * HOUR)))
-    return e.filter("event_id % 2 = 0 and user_id < 20").select("gid", F.col("event_type").alias("brand")), e.filter("event_id % 2 = 1 and user_id < 20").select("gid", F.col("event_type").alias("brand"))
+    """Events of even and odd numbers as two readers of one item for each user and six hours."""
+    e = events(spark, d).withColumn("gid", F.col("user_id") * 1_000_000 + F.floor(F.col("at_us") / (6 * HOUR)))
+    return e.filter("event_id % 2 = 0").select("gid", F.col("event_type").alias("brand")), e.filter("event_id % 2 = 1").select("gid", F.col("event_type").alias("brand"))
 
 
-_READERS = f"""WITH e AS (SELECT *, epoch_us(ts) // {6 * HOUR} AS gid FROM events WHERE user_id < 20), a0 AS (SELECT DISTINCT gid, event_type AS brand FROM e WHERE event_id % 2 = 0), b0 AS (SELECT DISTINCT gid, event_type AS brand FROM e WHERE event_id % 2 = 1),
+_READERS = f"""WITH e AS (SELECT *, user_id * 1000000 + epoch_us(ts) // {6 * HOUR} AS gid FROM events), a0 AS (SELECT DISTINCT gid, event_type AS brand FROM e WHERE event_id % 2 = 0), b0 AS (SELECT DISTINCT gid, event_type AS brand FROM e WHERE event_id % 2 = 1),
 a AS (SELECT * FROM a0 WHERE gid IN (SELECT gid FROM b0)), b AS (SELECT * FROM b0 WHERE gid IN (SELECT gid FROM a0)),
 j AS (SELECT coalesce(a.brand, b.brand) AS brand, a.gid AS ag, b.gid AS bg FROM a FULL JOIN b ON a.gid = b.gid AND a.brand = b.brand)"""
 

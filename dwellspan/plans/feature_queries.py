@@ -176,11 +176,11 @@ NORMALISED_DOCUMENTS = r"SELECT doc_id, md5(regexp_replace(upper(replace(text, '
 def report_texts(spark, d):
     s = F.col("o_totalprice") / 1000
     o = table(spark, d, "orders")
-    return o.select("o_orderkey", text.mmss(F.floor(s)).alias("mmss"), text.distance_label(F.col("o_orderkey") % 10 / 10).alias("label"), text.plural(F.col("o_orderkey"), "one", "few", "many").alias("form"), text.truthy(F.when(F.col("o_orderkey") % 3 == 0, "Yes").when(F.col("o_orderkey") % 3 == 1, " ")).alias("flag"))
+    return o.select("o_orderkey", text.mmss(F.floor(s)).alias("mmss"), text.distance_label(F.col("o_orderkey") % 10 / 10).alias("label"), text.plural(F.col("o_orderkey"), "one", "few", "many").alias("form"), text.truthy(F.when(F.col("o_orderkey") % 5 == 0, "Yes").when(F.col("o_orderkey") % 5 == 1, " ").when(F.col("o_orderkey") % 5 == 2, "no").when(F.col("o_orderkey") % 5 == 3, "0")).alias("flag"))
 
 
 REPORT_TEXTS = """SELECT o_orderkey, printf('%02d:%02d', floor(o_totalprice / 1000)::BIGINT // 60, floor(o_totalprice / 1000)::BIGINT % 60) AS mmss, CASE WHEN o_orderkey % 10 / 10.0 < 0.35 THEN 'centre' WHEN o_orderkey % 10 / 10.0 < 0.6 THEN 'middle' ELSE 'edge' END AS label,
-CASE WHEN o_orderkey % 10 = 1 AND o_orderkey % 100 <> 11 THEN 'one' WHEN o_orderkey % 10 BETWEEN 2 AND 4 AND o_orderkey % 100 NOT BETWEEN 12 AND 14 THEN 'few' ELSE 'many' END AS form, true AS flag FROM orders"""
+CASE WHEN o_orderkey % 10 = 1 AND o_orderkey % 100 <> 11 THEN 'one' WHEN o_orderkey % 10 BETWEEN 2 AND 4 AND o_orderkey % 100 NOT BETWEEN 12 AND 14 THEN 'few' ELSE 'many' END AS form, o_orderkey % 5 NOT IN (2, 3) AS flag FROM orders"""
 
 
 def leader_clusters(spark, d):
@@ -206,9 +206,10 @@ def name_resolution(spark, d):
 
 
 def unknown_names(spark, d):
-    """Recurring first words of part names that no nation fits."""
+    """Recurring words of part names that no nation fits."""
     p = table(spark, d, "part")
-    hits = p.select((F.col("p_size") % 4).alias("run"), F.split("p_name", " ")[0].alias("text"), text.norm_name(F.split("p_name", " ")[0]).alias("norm"), (F.col("p_retailprice") % 100 / 100).alias("conf"), F.col("p_partkey").alias("frame"), F.lit(0.5).alias("seconds"))
+    hits = p.select((F.col("p_size") % 4).alias("run"), F.explode(F.split("p_name", " ")).alias("text"), (F.col("p_retailprice") % 100 / 100).alias("conf"), F.col("p_partkey").alias("frame"), F.lit(0.5).alias("seconds"))
+    hits = hits.withColumn("norm", text.norm_name(F.col("text"))).filter("norm <> ''")
     return resolve.unknown_clusters(hits, ["run"], _names(spark, d), min_conf=0.3).select(long("run"), "name", "norm", rounded("seconds"), "frames", rounded("mean_conf"), rounded("sim_to_listed"), "promoted", F.concat_ws(",", "rejected_for").alias("rejected_for"))
 
 

@@ -229,7 +229,7 @@ FROM e p JOIN e c ON c.user_id = p.user_id AND p.start_us < c.end_us AND c.start
 
 def span_join_adjacent(spark, d):
     e = events(spark, d).select("user_id", "event_type", "start_us", "end_us")
-    return intervals.join_adjacent(e.groupBy("user_id", "start_us").agg(F.min("event_type").alias("event_type"), F.max("end_us").alias("end_us")), ["user_id"], ["event_type"], 2 * HOUR).select("user_id", "event_type", "start_us", "end_us")
+    return intervals.join_adjacent(e.groupBy("user_id", "start_us").agg(F.min("event_type").alias("event_type"), F.max("end_us").alias("end_us")), ["user_id"], ["event_type"], 2 * HOUR, bucket=intervals.DAY).select("user_id", "event_type", "start_us", "end_us")
 
 
 SPAN_JOIN_ADJACENT = f"""{_EV}, q AS (SELECT user_id, start_us, min(event_type) AS event_type, max(end_us) AS end_us FROM e GROUP BY user_id, start_us),

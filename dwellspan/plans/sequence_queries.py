@@ -29,7 +29,7 @@ CONSECUTIVE_DISTANCE = f"{_DIST} SELECT event_id, round(distance, 6) AS distance
 
 
 def _states(spark, d):
-    return seq.states(_with_distance(spark, d), ["user_id"], "at_us", _GAP, 40.0)
+    return seq.states(_with_distance(spark, d), ["user_id"], "at_us", _GAP, 40.0, bucket=DAY)
 
 
 _STATES = f"""{_DIST}, s AS (SELECT *, sum(CASE WHEN gap IS NULL OR gap > {_GAP} OR coalesce(distance, 0) > 40 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY at_us ROWS UNBOUNDED PRECEDING) AS state FROM d)"""

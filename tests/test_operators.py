@@ -74,7 +74,8 @@ def test_match_rules():
     assert resolve.match("HEINEKE", index)[0] == "Heineken" and resolve.match("HE", index) == (None, 0.0)
     assert resolve.match("PEPSIC", index)[0] is None  # fits two names about as well
     assert resolve.match("QQQQ", index)[0] is None
-    assert resolve.ratio("ABCD", "BCDE") == SequenceMatcher(None, "ABCD", "BCDE").ratio() and resolve.ratio("A", "BCDEFGH", 0.6) == 0.0
+    assert resolve.ratio("ABCD", "BCDE") == SequenceMatcher(None, "ABCD", "BCDE").ratio()
+    assert resolve.match("QQQQEQ", index) == (None, max(resolve.ratio("QQQQEQ", n) for n, _ in index))  # the best score of a rejected token
     assert resolve.many_matches("THE WORLD CUP FINAL", [("WORLD CUP", "w"), ("LAYS", "l"), ("FINAX", "f")]) == [("w", 1.0), ("f", 0.8)]
     assert resolve.search_rank("pe", ["COPE", "PEPSI", "ZZ", "PE"]) == ["PE", "PEPSI", "COPE"]
     assert resolve.leaders([("BETSITY", 0.9), ("BETSITI", 0.5), ("OPPO", 0.8), ("3ETSITY", 0.3)]) == [0, 0, 2, 0]
