@@ -36,7 +36,7 @@ def by_brand(detail: DataFrame, keys: Sequence[str], period: Column, duration_s:
 
 
 def merge_surfaces(detail: DataFrame, keys: Sequence[str], surface: str = "surface", start: str = "start_us", end: str = "end_us") -> DataFrame:
-    """keys, union_us, n_surfaces, surfaces, n_samples: time on any surface counts once."""
+    """keys, union_us, n_surfaces, surfaces, n_samples: time on any surface counts once. records.merged_summary adds means."""
     time = intervals.union_measure(detail, keys, start=start, end=end)
     rest = detail.groupBy(*keys).agg(F.count_distinct(surface).alias("n_surfaces"), F.concat_ws(",", F.array_sort(F.collect_set(surface))).alias("surfaces"), F.count_distinct(surface, start).alias("n_samples"))
     return rest.join(time, list(keys))

@@ -51,6 +51,34 @@ def shot_summary(shots: DataFrame, kind: str, length: str, route: str) -> DataFr
     return shots.groupBy(kind).agg(F.count("*").alias("n_shots"), F.sum(length).alias("total_s"), F.sum(F.when(F.col(route) == "auto", F.col(length)).otherwise(0)).alias("auto_s"), F.sum(F.when(F.col(route) != "auto", F.col(length)).otherwise(0)).alias("review_s"))
 
 
+def shot_text(title: str, shots: DataFrame, clusters: DataFrame | None = None, limit: int = 10_000) -> str:
+    """A text report of shots (shot, t_start, t_end, dur_s, kind, route, note, doubts) by time, then the doubtful ones, then runs of fast cuts (first, last, n).
+
+    It shows at most limit shots and says how many there are; counts and sums come from all of them.
+    """
+    said = shots.agg(F.count("*").alias("n"), F.coalesce(F.max("t_end"), F.lit(0.0)).alias("end"), F.count_if(F.size("doubts") > 0).alias("doubtful")).first()
+    at = lambda s: f"{int(s) // 60:02d}:{int(s) % 60:02d}"
+    out = [f"{title}: {said.n} shots, {at(said.end)}", ""]
+    rows = shots.orderBy("t_start", "shot").limit(limit).collect()
+    out += [f"{r.shot:>5}  {at(r.t_start)} - {at(r.t_end)}  {r.dur_s:7.1f} s  {r.kind or '-':<10} {r.route or '-':<8} {r.note or ''}".rstrip() for r in rows]
+    out += ["", f"doubtful: {said.doubtful} of {said.n}"]
+    out += [f"{r.shot:>5}  {at(r.t_start)}  {', '.join(r.doubts)}" for r in rows if r.doubts]
+    if clusters is not None:
+        runs = clusters.orderBy("first").limit(limit).collect()
+        out += ["", f"fast cuts: {len(runs)} runs", *(f"       {at(r.first)} - {at(r.last)}  {r.n} shots" for r in runs)]
+    return "\n".join(out) + "\n"
+
+
+def nested(tables: dict[str, DataFrame], key: str) -> DataFrame:
+    """key and report: one JSON document a key that holds the rows of each table under its name; missing parts are empty lists."""
+    out = None
+    for name, rows in tables.items():
+        rest = [c for c in rows.columns if c != key]
+        own = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*rest))).alias(name))
+        out = own if out is None else out.join(own, key, "full")
+    return out.select(key, F.to_json(F.struct(*(F.coalesce(F.col(n), F.array()).alias(n) for n in tables))).alias("report"))
+
+
 def as_json(rows: DataFrame, key: str, name: str) -> DataFrame:
     """One row for each key with its rows as a JSON array."""
     rest = [c for c in rows.columns if c != key]

@@ -185,13 +185,30 @@ CASE WHEN o_orderkey % 10 = 1 AND o_orderkey % 100 <> 11 THEN 'one' WHEN o_order
 
 def leader_clusters(spark, d):
     v = table(spark, d, "embeddings").select("label", "vec_id", F.transform("embedding", lambda x: x.cast("double") * x).alias("hist"), (F.col("vec_id") % 17 / 17).alias("conf"))
-    out = clusters.leader_clusters(v, ["label"], "vec_id", "hist", "conf", 0.35)
+    out = clusters.leader_clusters(v, ["label"], "vec_id", "hist", "conf", 0.55)
     return clusters.cluster_summary(out, ["label"], "vec_id", 0.25)
 
 
+LEADER_CLUSTERS = """WITH RECURSIVE v AS (SELECT label, vec_id, list_transform(embedding, lambda x: x::DOUBLE * x) AS h, vec_id % 17 / 17.0::DOUBLE AS conf, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS k FROM embeddings),
+r AS (SELECT label, k, vec_id, 1 AS cluster, [h] AS reps, [conf] AS confs FROM v WHERE k = 1
+UNION ALL SELECT label, k, vec_id, CASE WHEN near THEN spot ELSE len(reps) + 1 END, CASE WHEN NOT near THEN list_append(reps, h) WHEN conf > confs[spot] THEN list_concat(list_append(reps[:spot - 1], h), reps[spot + 1:]) ELSE reps END,
+CASE WHEN NOT near THEN list_append(confs, conf) WHEN conf > confs[spot] THEN list_concat(list_append(confs[:spot - 1], conf), confs[spot + 1:]) ELSE confs END
+FROM (SELECT *, list_min(ds) < 0.55 AS near, list_position(ds, list_min(ds)) AS spot FROM (SELECT v.*, r.reps, r.confs, list_transform(r.reps, lambda q: list_sum(list_transform(list_zip(q, v.h), lambda z: abs(z[1] - z[2]))) / 2) AS ds FROM r JOIN v ON v.label = r.label AND v.k = r.k + 1))),
+c AS (SELECT label, cluster, count(*) AS n_frames, min(vec_id) AS t_first, max(vec_id) AS t_last FROM r GROUP BY label, cluster)
+SELECT label, n_frames, t_first, t_last, row_number() OVER (PARTITION BY label ORDER BY n_frames DESC, cluster) - 1 AS creative, round(n_frames * 0.25::DOUBLE, 2) AS seconds FROM c"""
+
+
 def nms(spark, d):
+    """Boxes of sixteen orders as a picture each."""
     boxes = _boxes(spark, d).withColumn("score", F.col("l_discount"))
-    return clusters.suppress(boxes.select((F.col("l_orderkey") % 64).alias("frame"), "x", "y", "w", "h", "score"), ["frame"])
+    return clusters.suppress(boxes.select(F.floor(F.col("l_orderkey") / 16).alias("frame"), "x", "y", "w", "h", "score"), ["frame"])
+
+
+NMS = f"""WITH RECURSIVE {_BOXES.removeprefix("WITH ")}, o AS (SELECT l_orderkey // 16 AS frame, x, y, w, h, l_discount AS score, row_number() OVER (PARTITION BY l_orderkey // 16 ORDER BY l_discount DESC, x, y, w, h) AS k FROM b),
+r AS (SELECT *, true AS kept, [{{'x': x, 'y': y, 'w': w, 'h': h}}] AS held FROM o WHERE k = 1
+UNION ALL SELECT frame, x, y, w, h, score, k, free, CASE WHEN free THEN list_append(held, {{'x': x, 'y': y, 'w': w, 'h': h}}) ELSE held END
+FROM (SELECT o.*, r.held, len(list_filter(r.held, lambda q: abs(q.x - o.x) < 0.5 * greatest(q.w, o.w) AND abs(q.y - o.y) < 0.5 * greatest(q.h, o.h))) = 0 AS free FROM r JOIN o ON o.frame = r.frame AND o.k = r.k + 1))
+SELECT frame, x, y, w, h, score FROM r WHERE kept"""
 
 
 def _names(spark, d):
@@ -205,6 +222,21 @@ def name_resolution(spark, d):
     return resolve.resolve(c.select("c_custkey", spoilt.alias("token")), _names(spark, d)).select("c_custkey", "token", "name", rounded("match"))
 
 
+#: Similarity of all pairs (t, n): the longest common block, the earliest of equal ones, and the same to both sides of it.
+_RATIOS = """steps AS (SELECT t, n, t AS a, n AS b, 0::BIGINT AS got FROM pairs
+UNION ALL SELECT t, n, part.a, part.b, part.got FROM (SELECT t, n, unnest([{'a': substr(a, 1, i - 1), 'b': substr(b, 1, j - 1), 'got': l}, {'a': substr(a, i + l), 'b': substr(b, j + l), 'got': 0}]) AS part
+FROM (SELECT *, instr(b, substr(a, i, l)) AS j FROM (SELECT *, list_position(longest, l) AS i FROM (SELECT *, list_max(longest) AS l
+FROM (SELECT *, list_transform(range(1, length(a) + 1), lambda i: coalesce(list_max(list_filter(range(1, length(a) - i + 2), lambda l: contains(b, substr(a, i, l)))), 0)) AS longest FROM steps WHERE a <> '' AND b <> '')) WHERE l > 0)))),
+ratios AS (SELECT t, n, 2 * sum(got)::DOUBLE / (length(t) + length(n)) AS ratio FROM steps GROUP BY t, n)"""
+_SPELLED = "spelled AS (SELECT n_name AS name, regexp_replace(upper(unnest([n_name, 'REPUBLIC OF ' || n_name])), '[^\\p{L}\\p{N}]', '', 'g') AS n FROM nation)"
+NAME_RESOLUTION = f"""WITH RECURSIVE c AS (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN n_name ELSE left(n_name, (c_custkey % 7 + 1)::INT) || substr(n_name, 1, 1) || substr(n_name, (c_custkey % 7 + 3)::INT) END AS token FROM customer JOIN nation ON c_nationkey = n_nationkey),
+k AS (SELECT *, regexp_replace(upper(token), '[^\\p{{L}}\\p{{N}}]', '', 'g') AS t FROM c), {_SPELLED}, pairs AS (SELECT DISTINCT t, n FROM k, spelled WHERE t NOT IN (SELECT n FROM spelled) AND length(t) >= 3), {_RATIOS},
+fits AS (SELECT t, name, max(CASE WHEN (contains(n, t) OR contains(t, n)) AND length(t) >= 6 AND length(t) >= 0.6 * length(n) THEN greatest(ratio, 0.86) ELSE ratio END) AS fit FROM ratios JOIN spelled USING (n) GROUP BY t, name),
+best AS (SELECT t, max(fit) AS fit, arg_max(name, fit) AS name, list_sort(list(fit), 'DESC')[2] AS second FROM fits GROUP BY t)
+SELECT c_custkey, token, CASE WHEN e.name IS NOT NULL THEN e.name WHEN fit >= 0.62 AND fit - second >= 0.03 THEN best.name END AS name, CASE WHEN e.name IS NOT NULL THEN 1 ELSE round(coalesce(fit, 0), 6) END AS match
+FROM k LEFT JOIN spelled e ON e.n = k.t LEFT JOIN best ON best.t = k.t"""
+
+
 def unknown_names(spark, d):
     """Recurring words of part names that no nation fits."""
     p = table(spark, d, "part")
@@ -213,6 +245,21 @@ def unknown_names(spark, d):
     return resolve.unknown_clusters(hits, ["run"], _names(spark, d), min_conf=0.3).select(long("run"), "name", "norm", rounded("seconds"), "frames", rounded("mean_conf"), rounded("sim_to_listed"), "promoted", F.concat_ws(",", "rejected_for").alias("rejected_for"))
 
 
+UNKNOWN_NAMES = f"""WITH RECURSIVE hits AS (SELECT run, text, regexp_replace(upper(text), '[^\\p{{L}}\\p{{N}}]', '', 'g') AS norm, conf, frame FROM (SELECT (p_size % 4)::BIGINT AS run, unnest(string_split(p_name, ' ')) AS text, p_retailprice % 100 / 100 AS conf, p_partkey AS frame FROM part)),
+words AS (SELECT DISTINCT norm AS t FROM hits WHERE norm <> ''), {_SPELLED}, pairs AS (SELECT t, n FROM words, (SELECT n FROM spelled UNION SELECT t FROM words)), {_RATIOS},
+near AS (SELECT t, n, greatest(ratio, CASE WHEN contains(n, t) OR contains(t, n) THEN 0.88 ELSE 0 END) AS fit FROM ratios),
+fits AS (SELECT t, map(list(n), list(fit)) AS fit FROM near WHERE n IN (SELECT t FROM words) GROUP BY t), listed AS (SELECT t, max(fit) AS sim FROM near WHERE n IN (SELECT n FROM spelled) GROUP BY t),
+turn AS (SELECT run, norm, fit, row_number() OVER (PARTITION BY run ORDER BY c DESC, norm) AS k FROM (SELECT run, norm, max(conf) AS c FROM hits WHERE norm <> '' GROUP BY run, norm) JOIN fits ON t = norm),
+led AS (SELECT run, k, norm, norm AS lead, [norm] AS heads FROM turn WHERE k = 1
+UNION ALL SELECT run, k, norm, CASE WHEN list_max(ds) >= 0.75 THEN heads[list_position(ds, list_max(ds))] ELSE norm END, CASE WHEN list_max(ds) >= 0.75 THEN heads ELSE list_append(heads, norm) END
+FROM (SELECT turn.run, turn.k, turn.norm, led.heads, list_transform(led.heads, lambda q: turn.fit[q]) AS ds FROM led JOIN turn ON turn.run = led.run AND turn.k = led.k + 1)),
+h AS (SELECT hits.*, lead FROM hits JOIN led USING (run, norm)), f AS (SELECT run, lead, count(DISTINCT frame) AS frames, avg(conf) AS mean_conf FROM h GROUP BY run, lead),
+s AS (SELECT run, lead, arg_max(text, (n, c, text)) AS name FROM (SELECT run, lead, text, count(*) AS n, max(conf) AS c FROM h GROUP BY ALL) GROUP BY run, lead),
+j AS (SELECT run, name, lead AS norm, frames * 0.5::DOUBLE AS seconds, frames, mean_conf, sim FROM f JOIN s USING (run, lead) JOIN listed ON t = regexp_replace(upper(name), '[^\\p{{L}}\\p{{N}}]', '', 'g')),
+w AS (SELECT *, concat_ws(',', CASE WHEN seconds < 1 OR frames < 4 THEN 'too brief' END, CASE WHEN length(norm) < 4 THEN 'too short' END, CASE WHEN mean_conf < 0.3 THEN 'low confidence' END, CASE WHEN sim >= 0.45 THEN 'like a listed name' END) AS rejected_for FROM j)
+SELECT run, name, norm, round(seconds, 6) AS seconds, frames, round(mean_conf, 6) AS mean_conf, round(sim, 6) AS sim_to_listed, rejected_for = '' AS promoted, rejected_for FROM w"""
+
+
 def kmeans_clusters(spark, d):
     """Clusters of vectors by the built-in k-means; numbers depend on its seed."""
     from pyspark.ml.clustering import KMeans

@@ -369,7 +369,7 @@ def reader_pass(spark, d):
     return out.select("creative", "name", "score", "ocr_text", "ocr_conf", "instances", "n_frames", F.concat_ws(",", F.transform("frames", lambda x: x.cast("string"))).alias("frames"), long(boxes, "n_boxes"), long(F.coalesce(F.size("boxes_by_frame"), F.lit(0)), "boxed_frames"), "time_basis", "source")
 
 
-READER_PASS = f"""{_READS} SELECT creative, n_name AS name, 1.0::DOUBLE AS score, arg_min(text, (frame, pos)) AS ocr_text, round(arg_min(conf, (frame, pos)), 3) AS ocr_conf, count(*) AS instances, count(DISTINCT frame) AS n_frames, string_agg(DISTINCT frame::VARCHAR, ',' ORDER BY frame::VARCHAR) AS frames,
+READER_PASS = f"""{_READS} SELECT creative, n_name AS name, 1.0::DOUBLE AS score, arg_min(text, (frame, pos)) AS ocr_text, round(arg_min(conf, (frame, pos)), 3) AS ocr_conf, count(*) AS instances, count(DISTINCT frame) AS n_frames, array_to_string(list_sort(list(DISTINCT frame)), ',') AS frames,
 count(*) FILTER (boxed) AS n_boxes, count(DISTINCT frame) FILTER (boxed) AS boxed_frames, 'per_frame' AS time_basis, 'ocr' AS source FROM r WHERE NOT other GROUP BY creative, n_name"""
 
 

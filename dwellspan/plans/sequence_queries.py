@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import sequences as seq
-from ..operators.intervals import HOUR
+from ..operators.intervals import DAY, HOUR
 from .tables import events, long, rounded, table
 
 _EV = "WITH e AS (SELECT *, epoch_us(ts) AS at_us FROM events)"
@@ -216,6 +216,12 @@ def skip_similar(spark, d):
     return seq.skip_similar(v, ["label"], "vec_id", "embedding", 0.13).select("vec_id", "keep")
 
 
+SKIP_SIMILAR = """WITH RECURSIVE v AS (SELECT label, vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS k FROM embeddings),
+r AS (SELECT label, k, vec_id, true AS keep, e AS last FROM v WHERE k = 1
+UNION ALL SELECT label, k, vec_id, off >= 0.13, CASE WHEN off >= 0.13 THEN e ELSE last END FROM (SELECT v.*, r.last, list_sum(list_transform(list_zip(v.e, r.last), lambda z: abs(z[1] - z[2]))) / len(v.e) AS off FROM r JOIN v ON v.label = r.label AND v.k = r.k + 1))
+SELECT vec_id, keep FROM r"""
+
+
 QUERIES = {f.__name__: f for f in (
     consecutive_distance, state_segmentation, carry_within_state, carry_brands, grouping_capped, cut_points_min_gap, shots_from_cuts, valley_threshold, calibrated_threshold, last_wins, pending_work,
     work_progress, round_robin, every_nth, stride_sample, evenly_spread, montage_batches, hash_split, rolling_median, longest_run, fast_clusters, close_gaps, skip_similar,

@@ -78,6 +78,21 @@ def strided(frames: DataFrame, frame: str, fps: float, rate: float) -> DataFrame
     return frames.filter(F.pmod(F.col(frame), F.lit(step)) == 0)
 
 
+def manifest(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The one JSON document of a run, over as many lines as it likes; a missing file is an empty table."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("multiLine", True).json(path)
+
+
+def first_config(spark: SparkSession, *paths: str | None) -> str:
+    """The first of some places where a configuration may lie; an error names them all if none is there."""
+    for path in paths:
+        if path and exists(spark, path):
+            return path
+    raise FileNotFoundError(f"no configuration at any of {', '.join(p for p in paths if p) or 'no place'}")
+
+
 def video_info(manifest: DataFrame) -> DataFrame:
     """run, fps, frames, width, height, duration_s; an unknown rate is 25."""
     fps = F.coalesce(F.nullif(F.col("video.fps"), F.lit(0.0)), F.lit(25.0))
@@ -94,8 +109,10 @@ def append_log(entries: DataFrame, path: str, key: str, by: str) -> None:
     checked.withColumn("by", F.lit(by)).withColumn("at", F.current_timestamp().cast("timestamp_ntz")).write.mode("append").json(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """One CSV with a header; an empty table gives the header only."""
+def write_csv(df: DataFrame, path: str, mark: bool = False) -> None:
+    """One CSV with a header, for tables of reports; an empty table gives the header only. With mark it begins with a byte-order mark, as spreadsheets want it."""
+    if mark and df.columns:
+        df = df.withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0])
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
@@ -112,3 +129,14 @@ def write_splits(df: DataFrame, path: str, shares: Mapping[str, float], key: str
     from ..operators.sequences import hash_split
 
     hash_split(df, key, dict(shares)).write.mode("overwrite").partitionBy("split").parquet(path)
+
+
+def write_dataset(df: DataFrame, path: str, shares: Mapping[str, float], key: str, names: tuple[str, ...]) -> None:
+    """Splits as write_splits, and beside them a descriptor, path with .yaml behind it, with the folder of each split and the numbered class names."""
+    write_splits(df, path, shares, key)
+    lines = [f"path: {path}", *(f"{part}: split={part}" for part in shares), "names:", *(f"  {k}: {name}" for k, name in enumerate(names))]
+    spark = df.sparkSession
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.yaml")
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
+    out.write(bytearray("\n".join([*lines, ""]).encode()))
+    out.close()

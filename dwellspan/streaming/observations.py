@@ -30,7 +30,8 @@ def running_union(stream: DataFrame, key: str, start: str = "start_us", end: str
     """key, union_us, open_start_us, open_end_us after each batch: the measure of closed islands and the islands still open.
 
     Rows may come out of order within the watermark: islands stay open until the watermark has passed
-    their end, so what a late row joins is still there.
+    their end, so what a late row joins is still there. A key whose islands are all closed gives its list of islands
+    up when the watermark passes the last end; its sum of closed ones, two numbers, stays, as later rows add to it.
     """
 
     def update(k: tuple, batches: Iterator, state: GroupState) -> Iterator:
@@ -41,6 +42,8 @@ def running_union(stream: DataFrame, key: str, start: str = "start_us", end: str
         for pdf in batches:
             spans += list(zip(pdf[start].tolist(), pdf[end].tolist(), strict=True))
         merged: list[list[int]] = []
+        if state.hasTimedOut and not spans:
+            return
         for lo, hi in sorted(x for x in spans if x[1] > x[0]):
             if merged and lo <= merged[-1][1]:
                 merged[-1][1] = max(merged[-1][1], hi)
@@ -51,11 +54,13 @@ def running_union(stream: DataFrame, key: str, start: str = "start_us", end: str
         merged = [m for m in merged if m[1] >= mark]
         closed += sum(hi - lo for lo, hi in done)
         state.update((closed, merged))
+        if merged:  # come back when the watermark closes them, with or without new rows
+            state.setTimeoutTimestamp(max(m[1] for m in merged) // 1000 + 1 if max(m[1] for m in merged) // 1000 + 1 > state.getCurrentWatermarkMs() else state.getCurrentWatermarkMs() + 1)
         total = closed + sum(hi - lo for lo, hi in merged)
         yield pd.DataFrame({key: [k[0]], "union_us": [total], "open_islands": [len(merged)]})
 
     kind = stream.schema[key].dataType.simpleString()
-    return stream.groupBy(key).applyInPandasWithState(update, f"{key} {kind}, union_us long, open_islands long", "closed long, islands array<array<long>>", "update", GroupStateTimeout.NoTimeout)
+    return stream.groupBy(key).applyInPandasWithState(update, f"{key} {kind}, union_us long, open_islands long", "closed long, islands array<array<long>>", "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def keep_last(path: str, keys: Sequence[str], seq: str):
@@ -72,18 +77,23 @@ def read_log(spark, path: str) -> DataFrame:
 
 
 def split_late(path: str, late_path: str, at: str, delay_s: int):
-    """A foreachBatch function that puts rows behind the largest time so far minus delay_s into a table of their own, so that none is lost silently."""
-    seen = {"max": None}
+    """A foreachBatch function that puts rows behind the largest time so far minus delay_s into a table of their own, so that none is lost silently.
+
+    Each batch leaves its largest time beside its rows, so a restarted query, or a batch that is replayed, is split as it was at first.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        from ..sources.files import exists
+
+        spark, marks = batch.sparkSession, f"{late_path}_marks"
         batch = batch.persist()
         try:
-            mark = seen["max"]
-            late = F.lit(False) if mark is None else F.unix_seconds(F.col(at).cast("timestamp")) < mark - delay_s
+            seen = spark.read.schema("mark long, batch_id long").parquet(f"{marks}/b*").filter(F.col("batch_id") < batch_id).agg(F.max("mark")).first()[0] if exists(spark, marks) else None
+            times = F.unix_seconds(F.col(at).cast("timestamp"))
+            late = F.lit(False) if seen is None else F.coalesce(times < seen - delay_s, F.lit(False))
             batch.filter(~late).write.mode("overwrite").parquet(f"{path}/b{batch_id:09d}")
             batch.filter(late).write.mode("overwrite").parquet(f"{late_path}/b{batch_id:09d}")
-            top = batch.agg(F.max(F.unix_seconds(F.col(at).cast("timestamp")))).first()[0]
-            seen["max"] = top if mark is None else max(mark, top or mark)
+            batch.agg(F.max(times).alias("mark")).select("mark", F.lit(batch_id).cast("long").alias("batch_id")).write.mode("overwrite").parquet(f"{marks}/b{batch_id:09d}")
         finally:
             batch.unpersist()
 

@@ -1,0 +1,81 @@
+import numpy as np
+import pytest
+
+from dwellspan.functions import bands
+
+H, W = 540, 960
+RNG = np.random.default_rng(3)
+
+
+def _scene(slope=0.02, left=300, height=40, bend=None):
+    """Crowd, a smooth board with a few letters, and grass below a line."""
+    x = np.arange(W)
+    line = left + slope * x + (0 if bend is None else bend[1] * np.maximum(0, x - bend[0]))
+    y = np.arange(H)[:, None]
+    gray = RNG.integers(0, 255, (H, W)).astype(float)  # crowd
+    hsv = np.stack([RNG.integers(100, 160, (H, W)), np.full((H, W), 20), gray], axis=-1)
+    board, grass = (y >= line - height) & (y < line), y >= line
+    gray[board], hsv[board] = 120, (80, 200, 120)
+    gray[grass] = 90
+    hsv[grass] = (45, 160, 90)
+    return hsv, gray, line
+
+
+def test_band_is_found_with_its_height():
+    hsv, gray, line = _scene()
+    band = bands.find_band(hsv, gray)
+    assert band.span[1] - band.span[0] > 0.9 * W and band.line.knot is None
+    assert np.abs(band.edge - line[slice(*band.span)]).max() < 0.15 * 27 + 1  # the rows that need not be grass
+    assert 38 <= band.height <= 55 and band.measures["texture_ends"] == 1
+    assert band.measures["grass_below"] > 0.99 and band.measures["band_grass"] < 0.1
+
+
+def test_bent_band_and_no_band():
+    hsv, gray, line = _scene(0.0, 200, 30, (700, 0.35))
+    band = bands.find_band(hsv, gray)
+    assert band.line.knot is not None and abs(band.line.knot - 700) < 60 and band.scale == bands.BENT_SCALE
+    crowd = np.stack([np.full((H, W), 120), np.full((H, W), 20), np.full((H, W), 99)], axis=-1)
+    assert bands.find_band(crowd, gray) is None and bands.band_image(gray, crowd, gray) is None
+
+
+def test_strip_is_straight_and_folds_back():
+    hsv, gray, line = _scene(0.04)
+    band = bands.find_band(hsv, gray)
+    strip = bands.rectified(gray, band)
+    inside = strip[round(band.height) // 2 + 4 : round(band.height) - 4]
+    assert (inside == 120).mean() > 0.95  # board all along
+    upper = bands.rectified(gray, band, 2)
+    assert upper.shape == strip.shape and (upper[: upper.shape[0] // 2] == 120).mean() < 0.1
+    folded, places = bands.reflowed(strip, 3, 2.0)
+    assert [p["x_off"] for p in places][0] == 0 and sum(p["w"] for p in places) == pytest.approx(2 * strip.shape[1], abs=3)
+    for p in places:
+        back = folded[p["y0"] : p["y0"] + p["h"] : 2, : p["w"] : 2]
+        own = strip[:, p["x_off"] : p["x_off"] + back.shape[1]]
+        assert (back[: own.shape[0], : own.shape[1]] == own).mean() > 0.8
+
+
+def test_cuts_avoid_letters():
+    strip = np.full((40, 900), 50.0)
+    for x in range(900):  # letters, and gaps between boards
+        strip[:, x] = 200 if x % 4 < 2 and not (290 <= x < 312 or 590 <= x < 612) else 50
+    cuts = bands.fold_columns(strip)
+    assert 290 <= cuts[1] < 312 and 590 <= cuts[2] < 612 and cuts[0] == 0 and cuts[-1] == 900
+
+
+def test_frame_features():
+    hsv, gray, line = _scene()
+    f = bands.frame_features(hsv, gray)
+    share = np.mean(np.arange(H)[:, None] >= line)
+    assert abs(f["green_ratio"] - share) < 0.01 and f["green_lower"] > f["green_ratio"] and f["boundary_span"] == 1.0
+    assert abs(f["boundary_y"] - np.median(line) / H) < 0.01 and f["skin_ratio"] == 0
+    skin = np.stack([np.full((H, W), 10), np.full((H, W), 100), np.full((H, W), 200)], axis=-1)
+    f = bands.frame_features(skin, gray)
+    assert f["skin_ratio"] == 1 and f["centre_subject"] == 1 and f["boundary_span"] == 0 and f["boundary_y"] == 1
+
+
+def test_signature_tells_scenes_apart():
+    hsv, gray, _ = _scene()
+    one = bands.shot_signature(hsv, gray, hsv)
+    assert one["hist"].sum() == pytest.approx(1) and one["thumb"].shape == (32, 32) and one["layout"].shape == (4, 4, 3)
+    two = bands.shot_signature(hsv[::-1], gray[::-1], hsv[::-1])
+    assert np.allclose(one["hist"], two["hist"]) and np.abs(one["layout"] - two["layout"]).mean() > 0.1

@@ -10,7 +10,7 @@ from dwellspan.sources.schemas import DDL, schema
 from dwellspan.streaming import observations as stream
 
 
-def test_schemas_parse():
+def test_schemas_parse(spark):
     assert all(len(schema(name).fields) > 1 for name in DDL)
 
 
