@@ -1,8 +1,10 @@
 """WARC archives: records written one gzip member each, and a sequential reader.
 
 An archive is a row (archive, content), as Spark's binaryFile source gives it, so archives travel
-through Spark's own writers to any store and the reader takes both kinds. The reader inflates
-piece by piece, finds each block by its Content-Length, and checks payload digests.
+through Spark's own writers to any store and the reader takes both kinds. As files, of any size, they are written by
+``write_files`` and read by ``read_files``, a piece at a time, in any store that Arrow knows. The reader inflates
+piece by piece, finds each block by its Content-Length, and checks payload digests; ``broken_revisits`` checks those
+of revisits against their responses.
 
 Of pages with equal payloads of at least min_bytes, the one with the largest page_id is the
 response; the others become revisits that name it and hold the HTTP header only. Pages
@@ -150,30 +152,84 @@ def write_archives(pages: DataFrame, min_bytes: int = 0, archive_bytes: int = AR
     return map_batches(dealt, write, "archive string, content binary")
 
 
+def _batched(rows: Iterable[tuple], with_payload: bool, size: int = 256) -> Iterator:
+    """RECORDS as Arrow batches."""
+    import pyarrow as pa
+
+    kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary())
+    names = [x.split()[0] for x in RECORDS.split(", ")]
+    held: list[tuple] = []
+    made = lambda: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), kinds, strict=True)], names)
+    for row in rows:
+        held.append(row if with_payload else (*row[:6], None))
+        if len(held) == size:
+            yield made()
+            held = []
+    if held:
+        yield made()
+
+
 def read_archives(archives: DataFrame, with_payload: bool = True) -> DataFrame:
     """RECORDS of all archives; archives has their bytes in content."""
 
     def read(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary())
-        names = [x.split()[0] for x in RECORDS.split(", ")]
-        make = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
         for batch in batches:
             for i in range(batch.num_rows):
                 content = memoryview(batch.column(0)[i].as_buffer() or b"")
-                rows: list[tuple] = []
-                for row in read_archive(bytes(content[k : k + CHUNK]) for k in range(0, len(content), CHUNK)):
-                    rows.append(row if with_payload else (*row[:6], None))
-                    if len(rows) == 256:
-                        yield make(rows)
-                        rows = []
-                if rows:
-                    yield make(rows)
+                yield from _batched(read_archive(bytes(content[k : k + CHUNK]) for k in range(0, len(content), CHUNK)), with_payload)
 
     return map_batches(archives.select("content"), read, RECORDS)
 
 
+def write_files(archives: DataFrame, uri: str) -> DataFrame:
+    """Write each archive as a file in the folder uri; archive, bytes. A file takes its name when it is whole, so a task that is run again does no harm."""
+
+    def write(batches: Iterator) -> Iterator:
+        import uuid
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        store, folder = fs.FileSystem.from_uri(uri)
+        store.create_dir(folder, recursive=True)
+        for batch in batches:
+            for i, name in enumerate(batch.column(0).to_pylist()):
+                content = batch.column(1)[i].as_buffer()
+                part = f"{folder}/.{name}.{uuid.uuid4().hex}"
+                with store.open_output_stream(part, compression=None) as out:
+                    out.write(content)
+                store.move(part, f"{folder}/{name}")
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([content.size])], ["archive", "bytes"])
+
+    return map_batches(archives.select("archive", "content"), write, "archive string, bytes long")
+
+
+def read_files(spark: SparkSession, uri: str, with_payload: bool = True) -> DataFrame:
+    """RECORDS of all files *.warc.gz in the folder uri; a task holds CHUNK bytes and a record of its file at once."""
+    from pyarrow import fs
+
+    store, folder = fs.FileSystem.from_uri(uri)
+    names = sorted(f.path for f in store.get_file_info(fs.FileSelector(folder)) if f.path.endswith(".warc.gz") and not f.base_name.startswith("."))
+    files = spark.createDataFrame([(n,) for n in names], "path string").repartition(max(1, min(len(names), 10_000)), "path")
+
+    def read(batches: Iterator) -> Iterator:
+        store, _ = fs.FileSystem.from_uri(uri)
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                with store.open_input_stream(path, compression=None) as file:
+                    yield from _batched(read_archive(iter(lambda: file.read(CHUNK), b"")), with_payload)  # noqa: B023
+
+    return map_batches(files, read, RECORDS)
+
+
+def broken_revisits(records: DataFrame) -> DataFrame:
+    """page_id, refers_to, payload_digest of the revisits whose response is missing or has another payload."""
+    responses = records.filter("record_type = 'response'").select(F.col("page_id").alias("r_id"), F.col("payload_digest").alias("r_digest"), F.col("payload_bytes").alias("r_bytes"))
+    revisits = records.filter("record_type = 'revisit'").select("page_id", "refers_to", "payload_digest", "payload_bytes")
+    same = (F.col("refers_to") == F.col("r_id")) & (F.col("payload_digest") == F.col("r_digest")) & (F.col("payload_bytes") == F.col("r_bytes"))
+    return revisits.join(responses, same, "left_anti").drop("payload_bytes")
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = written(write_archives(table(spark, sf_dir, "pages")), "warc")
     return read_archives(archives, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -104,3 +104,35 @@ def test_near_duplicates_are_judged_by_row(spark):
     docs = spark.createDataFrame([(*r, "en", "a", 0) for r in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
     got = cp.near_duplicate_groups(spark, docs, "").collect()
     assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted({*rows} - {(2, words["b"])}, key=str)
+
+
+CLASHES = ("kept", "n_words", "row", "key", "digest", "group", "mix_key", "mix_copies", "n_lines", "n_dropped", "component_id", "hub", "x")
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    texts = ["the of and to in is that " + " ".join(f"word{i}x{k}" for k in range(40)) for i in range(12)]
+    rows = [(i // 2, t, "en", "ab"[i % 2], len(t), *(f"{c}{i}" for c in CLASHES)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASHES))
+    for _, stage in cp.STAGES[:-1]:
+        after = written(stage(spark, docs, ""), "t")
+        assert after.columns == docs.columns
+        assert all(r[c] == f"{c}{texts.index(r.text)}" for r in after.collect() for c in CLASHES)
+        docs = after
+    assert docs.count() >= 10
+    packed = cp.STAGES[-1][1](spark, docs, "")
+    assert packed.count() == docs.count()
+
+
+def test_repeated_rows_and_long_texts(spark):
+    long = "the of and to in is that " + " ".join(f"w{i}" for i in range(60_000))
+    plain = "the of and to in is that " + " ".join(f"v{i}" for i in range(40))
+    rows = [(1, plain)] * 3 + [(2, plain), (3, long), (3, plain + " the end"), (4, long)]
+    docs = spark.createDataFrame([(*r, "en", "a", 0) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = written(cp.quality(spark, docs, ""), "q")
+    assert kept.count() == len(rows)
+    one = written(cp.near_duplicate_groups(spark, kept, ""), "n")
+    assert sorted((r.doc_id, len(r.text)) for r in one.collect()) == [(1, len(plain)), (3, len(long))]
+    mixed = written(cp.mixture(spark, kept, ""), "m")
+    assert mixed.count() == len(rows)  # one source: each row once
+    packed = cp.packed(spark, mixed, "").toPandas()
+    assert (packed.piece == 0).sum() == len(rows) and not packed.duplicated(["sequence_id", "offset"]).any() and packed.length.max() == 4096

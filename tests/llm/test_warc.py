@@ -73,3 +73,22 @@ def test_files_of_others_can_be_read(spark, tmp_path):
 
 def test_empty(spark):
     assert read_archives(write_archives(spark.createDataFrame([], "page_id long, url string, html string"))).count() == 0
+
+
+def test_files_and_broken_revisits(spark, tmp_path):
+    import glob
+    import gzip
+
+    rows = [(i, f"http://a/{i}", "same page" if i % 3 else f"page {i} " * (5000 if i == 9 else 1)) for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    uri = (tmp_path / "w").as_uri()
+    written_ = warc.write_files(warc.write_archives(pages, archive_bytes=2000), uri).collect()
+    found = glob.glob(f"{tmp_path}/w/*.warc.gz")
+    assert len(found) == len(written_) > 1 and not glob.glob(f"{tmp_path}/w/.*")
+    assert gzip.open(found[0]).read().startswith(b"WARC/1.1")
+    records = warc.read_files(spark, uri)
+    got = {r.page_id: r for r in records.collect()}
+    assert len(got) == 40 and all(got[i].payload is None or bytes(got[i].payload).decode() == html for i, _, html in rows)
+    assert sum(r.record_type == "revisit" for r in got.values()) == 25 and warc.broken_revisits(records).count() == 0
+    wrong = records.filter("page_id <> 38").union(spark.createDataFrame([(50, "u", 3, "AAAA", "revisit", 9, None)], records.schema))
+    assert {r.page_id for r in warc.broken_revisits(wrong).collect()} == {i for i in range(38) if i % 3} | {50}
