@@ -17,7 +17,7 @@ def _shingles(text):
     return frozenset([tuple(w)]) if 0 < len(w) < 5 else frozenset(zip(*(w[k:] for k in range(5)), strict=False))
 
 
-def _brute(rows):
+def _brute(rows, percent=85):
     """rows of distinct ids."""
     sets = {i: _shingles(t) for i, t in rows}
     holders, parent = defaultdict(list), {i: i for i in sets}
@@ -36,7 +36,7 @@ def _brute(rows):
             for k in holders[x]:
                 shared[k] += k < i
         for k, n in shared.items():
-            if n and 100 * n >= 85 * (len(s) + len(sets[k]) - n):
+            if n and 100 * n >= percent * (len(s) + len(sets[k]) - n):
                 a, b = find(i), find(k)
                 parent[max(a, b)] = min(a, b)
     return {i: (len(sets[i]), find(i)) for i in sets}
