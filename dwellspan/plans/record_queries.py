@@ -175,11 +175,11 @@ UNMATCHED_TALLY = "WITH w AS (SELECT unnest(string_split(p_name || ' ' || p_type
 
 def sponsor_seconds(spark, d):
     found = table(spark, d, "lineitem").groupBy((F.col("l_orderkey") % 1000).alias("creative"), F.col("l_shipdate").cast("date").cast("string").substr(1, 4).alias("brand")).agg(F.count("*").alias("n_frames"))
-    groups = table(spark, d, "orders").groupBy((F.col("o_orderkey") % 1000).alias("creative")).agg(F.sum("o_totalprice").alias("seconds"), F.count_if(F.col("o_orderstatus") != "F").alias("n_read"))
+    groups = table(spark, d, "orders").groupBy((F.col("o_orderkey") % 1000).alias("creative")).agg((F.sum("o_totalprice") / 7).alias("seconds"), F.count_if(F.col("o_orderstatus") != "F").alias("n_read"))
     return records.sponsor_seconds(found, groups).select("brand", rounded("seconds", digits=2))
 
 
-SPONSOR_SECONDS = """WITH f AS (SELECT l_orderkey % 1000 AS creative, strftime(l_shipdate, '%Y') AS brand, count(*) AS n FROM lineitem GROUP BY ALL), g AS (SELECT o_orderkey % 1000 AS creative, sum(o_totalprice) / greatest(count(*) FILTER (o_orderstatus <> 'F'), 1) AS each FROM orders GROUP BY ALL)
+SPONSOR_SECONDS = """WITH f AS (SELECT l_orderkey % 1000 AS creative, strftime(l_shipdate, '%Y') AS brand, count(*) AS n FROM lineitem GROUP BY ALL), g AS (SELECT o_orderkey % 1000 AS creative, sum(o_totalprice) / 7 / greatest(count(*) FILTER (o_orderstatus <> 'F'), 1) AS each FROM orders GROUP BY ALL)
 SELECT brand, round(sum(n * each), 2) AS seconds FROM f JOIN g USING (creative) GROUP BY brand"""
 
 
