@@ -89,6 +89,60 @@ def map_batches(df: DataFrame, run: Callable[[Iterator], Iterator], schema: str
     return df.mapInArrow(bounded, schema)
 
 
+#: Bits of a key filter: about so many a key, within these bounds; with far more keys it lets more others through.
+FILTER_BITS, MIN_FILTER_BITS, MAX_FILTER_BITS, FILTER_SLICES = 16, 2**16, 2**26, 64
+
+
+def key_filter(hashes: DataFrame) -> bytes:
+    """A Bloom filter of 64-bit hashes, the one column of hashes: at most MAX_FILTER_BITS / 8 bytes."""
+    import zlib
+
+    bits, n = MIN_FILTER_BITS, hashes.count()
+    while bits < MAX_FILTER_BITS and bits < FILTER_BITS * n:
+        bits *= 2
+
+    def build(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        held, any_row = np.zeros(bits, bool), False
+        for batch in batches:
+            k = batch.column(0).to_numpy().view(np.uint64)
+            any_row |= len(k) > 0
+            for at in (k, k >> np.uint64(32)):
+                held[(at & np.uint64(bits - 1)).astype(np.int64)] = True
+        if any_row:
+            for part, own in enumerate(np.split(np.packbits(held), FILTER_SLICES)):
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([zlib.compress(own.tobytes(), 1)], pa.binary())], ["part", "bits"])
+
+    def meet(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        met: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                own = np.frombuffer(zlib.decompress(raw), np.uint8)
+                met[part] = met[part] | own if part in met else own
+        for part, own in met.items():
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([own.tobytes()], pa.binary())], ["part", "bits"])
+
+    parts = map_batches(hashes, build, "part int, bits binary").repartition(FILTER_SLICES, "part")
+    found = {r.part: bytes(r.bits) for r in map_batches(parts, meet, "part int, bits binary").collect()}
+    return b"".join(found.get(k, bytes(bits // 8 // FILTER_SLICES)) for k in range(FILTER_SLICES))
+
+
+def may_hold(filter_: bytes, hashes):
+    """Whether a key filter may hold each of some hashes (a NumPy array); it never misses one that it holds."""
+    import numpy as np
+
+    held, mask, out = np.frombuffer(filter_, np.uint8), np.uint64(8 * len(filter_) - 1), True
+    for at in (hashes.view(np.uint64), hashes.view(np.uint64) >> np.uint64(32)):
+        at = (at & mask).astype(np.int64)
+        out = out & (held[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)
+    return out
+
+
 def n_words(text: Column) -> Column:
     """Words of a text as a long; null counts none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

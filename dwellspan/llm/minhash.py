@@ -27,7 +27,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, table, written
+from .common import key_filter, map_batches, may_hold, table, written
 
 BINS, ROWS, BANDS = 128, 5, 25
 SHINGLE = 5
@@ -185,22 +185,43 @@ def forest(ids: list[int], sets: list, cross: int | None = None, percent: int =
 
 
 def member_sets(members: DataFrame, docs: DataFrame) -> DataFrame:
-    """rep, family, n, same and the sorted hashes of the set, for members (rep, family, n, same)."""
+    """members (rep, same, and other small columns) with the sorted hashes of their sets.
+
+    A filter of the members' ids goes to the texts, so that only sets of members, and few others, are dealt out.
+    """
+    held = docs.sparkSession.sparkContext.broadcast(key_filter(members.select(F.xxhash64("rep").alias("key"))))
 
     def rows(batches: Iterator) -> Iterator:
+        import numpy as np
         import pyarrow as pa
         from xxhash import xxh3_128_digest
 
         for batch in batches:
-            texts = batch.column(4).cast(pa.binary())
-            for at in range(0, batch.num_rows, 512):
-                part, same = batch.slice(at, 512), batch.column(3).slice(at, 512).to_pylist()
+            own = pa.table(batch).filter(pa.array(may_hold(held.value, batch.column(1).to_numpy()))).combine_chunks()
+            texts = own.column(2).cast(pa.binary())
+            for at in range(0, len(own), 512):
                 hashes = [shingle_set(x or b"").tobytes() for x in texts.slice(at, 512).to_pylist()]
-                right = pa.array([xxh3_128_digest(h) == s for h, s in zip(hashes, same, strict=True)])  # an id may have other texts
-                yield pa.RecordBatch.from_arrays([*(c.filter(right) for c in part.columns[:4]), pa.array(hashes, pa.binary()).filter(right)], ["rep", "family", "n", "same", "hashes"])
+                yield pa.RecordBatch.from_arrays([own.column(0).slice(at, 512).combine_chunks(), pa.array([xxh3_128_digest(h) for h in hashes], pa.binary()), pa.array(hashes, pa.binary())], ["rep", "same", "hashes"])
+
+    id_ = F.col("doc_id").cast("long")
+    sets = map_batches(docs.filter(id_.isNotNull()).select(id_.alias("rep"), F.xxhash64(id_).alias("key"), "text"), rows, "rep long, same binary, hashes binary")
+    small = [c for c in members.columns if c not in ("rep", "same")]
+    # an id may have other texts; rows that repeat id and text are one
+    return sets.join(members, ["rep", "same"]).groupBy("rep", "same").agg(*(F.first(c).alias(c) for c in small), F.first("hashes").alias("hashes"))
+
+
+def only_held(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """rows without most of those whose columns on stand in no row of keys; for joins that follow, so that less is dealt out."""
+    held = rows.sparkSession.sparkContext.broadcast(key_filter(keys.select(F.xxhash64(*on).alias("key"))))
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            yield from pa.table(batch).filter(pa.array(may_hold(held.value, batch.column(0).to_numpy()))).to_batches()
 
-    met = members.join(docs.select(F.col("doc_id").cast("long").alias("rep"), "text"), "rep").select("rep", "family", "n", "same", "text")
-    return map_batches(met, rows, "rep long, family long, n long, same binary, hashes binary").groupBy("rep", "same", "family", "n").agg(F.first("hashes").alias("hashes"))
+    schema = rows.select(F.xxhash64(*on).alias("key"), "*").schema
+    return map_batches(rows.select(F.xxhash64(*on).alias("key"), "*"), run, schema).drop("key")
 
 
 def by_run(df: DataFrame, n: int, run: Callable) -> DataFrame:
@@ -228,10 +249,9 @@ def by_run(df: DataFrame, n: int, run: Callable) -> DataFrame:
 
 
 def hub_links(sets: DataFrame, percent: int) -> DataFrame:
-    """Edges (hub, rep) of the members whose set links to the hub's; sets have is_hub."""
-    sizes = sets.groupBy("family").agg(F.ceil(F.count("*") / PART_DOCS).cast("int").alias("parts"))
+    """Edges (hub, rep) of the members whose set links to the hub's; sets have is_hub and the number of parts of their family."""
     part = F.when(F.col("is_hub"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.expr("cast(pmod(xxhash64(rep, same), parts) as int)")))
-    dealt = sets.join(sizes, "family").select("family", F.explode(part).alias("part"), (~F.col("is_hub")).alias("later"), "rep", "hashes")
+    dealt = sets.select("family", F.explode(part).alias("part"), (~F.col("is_hub")).alias("later"), "rep", "hashes")
     dealt = dealt.repartition("family", "part").sortWithinPartitions("family", "part", "later")
 
     def run(batches: Iterator) -> Iterator:
@@ -258,8 +278,9 @@ def hub_links(sets: DataFrame, percent: int) -> DataFrame:
 
 def links(members: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Edges (a, b) that join the linked documents of each family; members are (rep, family, n, same)."""
-    hubs = members.groupBy("family").agg(F.min(F.struct("rep", "same")).alias("hub"))
-    sets = written(member_sets(members, docs).join(hubs, "family").withColumn("is_hub", F.struct("rep", "same") == F.col("hub")), "sets")
+    hubs = members.groupBy("family").agg(F.min(F.struct("rep", "same")).alias("hub"), F.ceil(F.count("*") / PART_DOCS).cast("int").alias("parts"))
+    placed = members.join(hubs, "family").withColumn("is_hub", F.struct("rep", "same") == F.col("hub"))
+    sets = written(member_sets(written(placed, "members"), docs), "sets")
     first = written(hub_links(sets, percent), "hub-links")
     joined = first.select(F.col("b").alias("rep")).distinct().withColumn("met", F.lit(True))
     rest = sets.filter("not is_hub").select("rep", "same", "family", "n", (F.col("rep") == F.col("hub.rep")).alias("own")).join(joined, "rep", "left")
@@ -273,7 +294,7 @@ def links(members: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFr
     dealt = dealt.withColumn("block", F.expr("cast(if(linked, open + pmod(xxhash64(rep, same), greatest(closed, 1)), pmod(xxhash64(rep, same), open)) as int)"))
     dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, if(linked, open, open + closed) - 1)")))
     dealt = written(dealt.select("rep", "same", "family", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q")), "blocks")
-    met = dealt.join(sets.select("rep", "same", "hashes"), ["rep", "same"]).select("family", "p", "q", "block", "rep", "hashes")
+    met = dealt.join(only_held(sets.select("rep", "same", "hashes"), dealt, ["rep", "same"]), ["rep", "same"]).select("family", "p", "q", "block", "rep", "hashes")
     met = met.repartition("family", "p", "q").sortWithinPartitions("family", "p", "q", "block", "rep")
 
     def run(key, rows):

@@ -28,3 +28,15 @@ def test_batches_are_small(spark):
 
     got = [r.n for r in map_batches(spark.range(0, 10_000, 1, 1), sizes, "n long").collect()]
     assert sum(got) == 10_000 and max(got) <= 2048
+
+
+def test_key_filters_miss_nothing(spark):
+    import numpy as np
+
+    from dwellspan.llm.common import key_filter, may_hold
+
+    held = key_filter(spark.range(0, 20_000, 2).select(F.xxhash64("id").alias("key")))
+    hashes = np.array([r.key for r in spark.range(20_000).select(F.xxhash64("id").alias("key")).collect()])
+    got = may_hold(held, hashes)
+    assert got[::2].all() and got[1::2].mean() < 0.1
+    assert not may_hold(key_filter(spark.range(0).select(F.xxhash64("id").alias("key"))), hashes).any()
