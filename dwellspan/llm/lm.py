@@ -183,6 +183,13 @@ class Model:
         self.weights = np.zeros((min(MAX_ROWS, max(MIN_ROWS, rows)), WAY), np.float32)
         self.seen = np.zeros(len(self.weights))
 
+    @classmethod
+    def of(cls, parts: dict) -> Model:
+        """The model of these attributes; they are what is broadcast, as executors need not have this module."""
+        model = cls.__new__(cls)
+        model.__dict__.update(parts)
+        return model
+
     def look_up(self, digests):
         """Leaf and count of each token; the count is -1 where only the full table may know it."""
         import numpy as np
@@ -332,12 +339,12 @@ def gradient_sums(docs: DataFrame, model: Model):
     import numpy as np
 
     spark = docs.sparkSession
-    shared, n_rows = spark.sparkContext.broadcast(model), len(model.weights)
+    shared, n_rows = spark.sparkContext.broadcast(model.__dict__), len(model.weights)
 
     def local(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        model, sums, seen = shared.value, np.zeros((WAY, n_rows)), np.zeros(n_rows)
+        model, sums, seen = Model.of(shared.value), np.zeros((WAY, n_rows)), np.zeros(n_rows)
         for batch in batches:
             for _, texts in _slices(batch, 0):
                 model.gradient(*_digests(texts), sums, seen)
@@ -386,14 +393,14 @@ SCORED = "row long, doc_id long, held_out boolean, n_tokens long, n_known long,
 def score_texts(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of rows (doc_id, text, held_out)."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(model.__dict__)
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
 
-        model, row = shared.value, TaskContext.get().partitionId() << 33
+        model, row = Model.of(shared.value), TaskContext.get().partitionId() << 33
         for batch in batches:
             for at, texts in _slices(batch, 1):
                 digests, sizes = _digests(texts)
