@@ -44,8 +44,8 @@ ROUNDS = 4
 RATE, DAMPING, MAX_STEP, MAX_WEIGHT = 5.0, 30.0, 1.5, 8.0
 #: Known tokens are found by so many top bits of their digests.
 TOP_BITS = 18
-#: Tokens whose events are handled at once, and batches whose gradients are added up at once.
-BATCH, ADDED = 2**12, 32
+#: Tokens whose events are handled at once; so few that the rows of sums they meet stay in a core's cache.
+BATCH = 2**10
 #: A counting task hands on its counts when it holds so many tokens.
 FLUSH_TOKENS = 2**21
 #: Training tokens of a turn for a task, unless that gives fewer tasks than cores.
@@ -60,19 +60,46 @@ def held_out(doc_id) -> F.Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 1
 
 
+def _mixed(x):
+    """64-bit integers mixed in place, one to one."""
+    import numpy as np
+
+    for prime in PRIMES[:2]:
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(prime)
+    x ^= x >> np.uint64(29)
+    return x
+
+
 def _digests(texts: list[bytes | None]):
-    """Digests of the tokens of texts, one after the other, and the number of each text."""
+    """Digests of the tokens of texts, one after the other, and the number of each text.
+
+    Words of up to 16 bytes are digested all at once from their length, first and last 8 bytes; those of
+    up to 7 bytes can't collide with each other.
+    """
     import numpy as np
     from xxhash import xxh3_64_intdigest
 
-    words: list[bytes] = []
-    sizes = []
-    for text in texts:
-        own = (text or b"").lower().split()
-        words += own
-        words.append(END)
-        sizes.append(len(own) + 1)
-    return np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words)), np.array(sizes)
+    joined = b" ".join([b"", *(text or b"" for text in texts), b" " * 8]).lower()
+    data = np.frombuffer(joined, np.uint8)
+    space = (data == 32) | (data - np.uint8(9) <= 4)
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1  # the first and the last byte are spaces
+    start, end = edges[::2], edges[1::2]
+    size = end - start
+    eight = np.ndarray(len(data) - 7, "V8", joined, strides=(1,))  # the 8 bytes from each place on
+    kept = np.array([2 ** (8 * min(k, 8)) - 1 for k in range(9)], np.uint64)
+    words = eight[start].view("<u8") & kept[np.minimum(size, 8)]
+    words += size.astype(np.uint64) * np.uint64(PRIMES[0])
+    _mixed(words)
+    longer = np.flatnonzero(size >= 8)
+    words[longer] += eight[end[longer] - 8].view("<u8")
+    _mixed(words)
+    for k in np.flatnonzero(size > 16).tolist():
+        words[k] = xxh3_64_intdigest(joined[start[k] : end[k]])
+    own = np.diff(np.searchsorted(start, np.cumsum([1 + len(text or b"") for text in texts])), prepend=0)
+    out = np.full(len(words) + len(texts), xxh3_64_intdigest(END), np.uint64)
+    out[np.arange(len(words)) + np.repeat(np.arange(len(texts)), own)] = words
+    return out, own + 1
 
 
 def _slices(batch, column: int) -> Iterator[tuple[int, list[bytes | None]]]:
@@ -163,6 +190,16 @@ def class_tree(weights):
     return ptr, classes, members, bias
 
 
+def in_lines(shape: tuple, dtype):
+    """Zeros that begin at a multiple of 128 bytes, so that no row of WAY numbers lies in more cache lines than it fills."""
+    import numpy as np
+
+    size = math.prod(shape) * np.dtype(dtype).itemsize
+    raw = np.zeros(size + 128, np.uint8)
+    at = -raw.ctypes.data % 128
+    return raw[at : at + size].view(dtype).reshape(shape)
+
+
 class Model:
     """The tree of the vocabulary, the counts of known tokens, and the weights; plain arrays, so that it can be broadcast.
 
@@ -185,7 +222,14 @@ class Model:
 
     @classmethod
     def of(cls, parts: dict) -> Model:
-        """The model of these attributes; they are what is broadcast, as executors need not have this module."""
+        """The model of these attributes; they are what is broadcast, as executors need not have this module.
+
+        Weights that don't begin at a cache line give way to a copy that does, in parts too, so that a worker holds them once.
+        """
+        if parts["weights"].ctypes.data % 128:
+            own = in_lines(parts["weights"].shape, "f4")
+            own[:] = parts["weights"]
+            parts["weights"] = own
         model = cls.__new__(cls)
         model.__dict__.update(parts)
         return model
@@ -234,9 +278,14 @@ class Model:
         salt, p = classes.astype(np.uint64) * np.uint64(PRIMES[4]), [np.uint64(x) for x in PRIMES]
         shift, rows = np.uint64(65 - len(self.weights).bit_length()), []
         for context in contexts:
-            x = context[owner] + salt
-            x = (x ^ (x >> np.uint64(31))) * p[1]
-            rows.append(((x ^ (x >> np.uint64(29))) * p[0] >> shift).astype(np.int32))
+            x = context[owner]
+            x += salt
+            x ^= x >> np.uint64(31)
+            x *= p[1]
+            x ^= x >> np.uint64(29)
+            x *= p[0]
+            x >>= shift
+            rows.append(x.view(np.int64))
         return owner, self.members[at], classes, rows
 
     def odds(self, classes, rows):
@@ -244,39 +293,38 @@ class Model:
         import numpy as np
 
         logits = np.take(self.bias, classes, 0)
+        own = np.empty_like(logits)
         for f in rows:
-            logits += np.take(self.weights, f, 0)
+            logits += np.take(self.weights, f, 0, own, "clip")  # rows are in range; to raise it would take into a copy
         exp = np.exp(logits)
         return logits, exp, exp @ np.ones(WAY, np.float32)
 
     def gradient(self, digests, sizes, sums, seen) -> None:
-        """Add the gradients of texts to sums (a row for each member), and the events of each row to seen."""
+        """Add the gradients of texts to sums (rows of weights by member, 64-bit floats), and the events of each row to seen."""
         import numpy as np
 
         leaves, contexts = self.look_up(digests)[0], self.contexts(digests, sizes)
-        held: list[tuple] = []
+        pairs = sums.view(np.complex128)  # two members are added at once
         for at in range(0, len(digests), BATCH):
             cut = slice(at, at + BATCH)
             _, taken, classes, rows = self.events(leaves[cut], [c[cut] for c in contexts])
             _, exp, total = self.odds(classes, rows)
             exp /= total[:, None]
             exp[np.arange(len(taken)), taken] -= 1
-            held.append((rows, exp.T.astype(np.float64, order="C")))
-            if len(held) == ADDED or at + BATCH >= len(digests):
-                parts = np.concatenate([g for _, g in held], axis=1)
-                for k in range(len(contexts)):
-                    row = np.concatenate([r[k] for r, _ in held])
-                    seen += np.bincount(row, minlength=len(seen))
-                    for lane in range(WAY):
-                        sums[lane] += np.bincount(row, parts[lane], len(seen))
-                held = []
+            parts = exp.view(np.complex64).T.astype(np.complex128, order="C")
+            for row in rows:
+                np.add.at(seen, row, 1.0)
+                for k, part in enumerate(parts):
+                    np.add.at(pairs[:, k], row, part)
 
     def step(self, sums, seen) -> None:
         import numpy as np
 
         self.seen += seen
-        move = np.clip(RATE * sums / (self.seen + DAMPING), -MAX_STEP, MAX_STEP).T
-        self.weights = np.clip(self.weights - move, -MAX_WEIGHT, MAX_WEIGHT).astype(np.float32)
+        for at in range(0, len(self.weights), BLOCK_ROWS):  # in blocks, as the driver is small
+            own = slice(at, at + BLOCK_ROWS)
+            move = np.clip(RATE * sums[own] / (self.seen[own] + DAMPING)[:, None], -MAX_STEP, MAX_STEP)
+            self.weights[own] = np.clip(self.weights[own] - move, -MAX_WEIGHT, MAX_WEIGHT)
 
     def score(self, digests, sizes):
         """For each token: modelled log10 probability, without its smoothed count where it shares a bucket, and its count as look_up says."""
@@ -344,7 +392,7 @@ def gradient_sums(docs: DataFrame, model: Model):
     def local(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        model, sums, seen = Model.of(shared.value), np.zeros((WAY, n_rows)), np.zeros(n_rows)
+        model, sums, seen = Model.of(shared.value), in_lines((n_rows, WAY), "f8"), np.zeros(n_rows)
         for batch in batches:
             for _, texts in _slices(batch, 0):
                 model.gradient(*_digests(texts), sums, seen)
@@ -352,7 +400,7 @@ def gradient_sums(docs: DataFrame, model: Model):
             row = np.flatnonzero(seen[at : at + BLOCK_ROWS])
             if len(row):
                 n = seen[at + row]
-                mean = (sums[:, at + row] / n).astype("<f2")
+                mean = (sums[at + row] / n[:, None]).astype("<f2")
                 yield pa.RecordBatch.from_arrays([pa.array([at])] + [pa.array([x], pa.binary()) for x in (row.astype("u1").tobytes(), n.astype("<f4").tobytes(), mean.tobytes())], ["block", "rows", "n", "mean"])
 
     def added(batches: Iterator) -> Iterator:
@@ -361,9 +409,9 @@ def gradient_sums(docs: DataFrame, model: Model):
         held: dict[int, tuple] = {}
         for batch in batches:
             for block, row, n, mean in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                sums, seen = held.setdefault(block, (np.zeros((WAY, BLOCK_ROWS)), np.zeros(BLOCK_ROWS)))
+                sums, seen = held.setdefault(block, (np.zeros((BLOCK_ROWS, WAY)), np.zeros(BLOCK_ROWS)))
                 row, n = np.frombuffer(row, "u1"), np.frombuffer(n, "<f4").astype(np.float64)
-                sums[:, row] += np.frombuffer(mean, "<f2").reshape(WAY, -1) * n
+                sums[row] += np.frombuffer(mean, "<f2").reshape(-1, WAY) * n[:, None]
                 seen[row] += n
         for block, (sums, seen) in held.items():
             yield pa.RecordBatch.from_arrays([pa.array([block]), *(pa.array([x.astype("<f4").tobytes()], pa.binary()) for x in (seen, sums))], ["block", "n", "sums"])
@@ -371,10 +419,10 @@ def gradient_sums(docs: DataFrame, model: Model):
     # a task hands on its sums once, so it should have many tokens
     tasks = max(spark.sparkContext.defaultParallelism, -(-model.total // (ROUNDS * TASK_TOKENS)))
     parts = map_batches(docs.select("text").coalesce(tasks), local, "block long, rows binary, n binary, mean binary").repartition(max(1, min(32, n_rows // BLOCK_ROWS)), "block")
-    sums, seen = np.zeros((WAY, n_rows), np.float32), np.zeros(n_rows, np.float32)
+    sums, seen = np.zeros((n_rows, WAY), np.float32), np.zeros(n_rows, np.float32)
     for r in map_batches(parts, added, "block long, n binary, sums binary").collect():  # the rows of weights once
         seen[r.block : r.block + BLOCK_ROWS] = np.frombuffer(bytes(r.n), "<f4")
-        sums[:, r.block : r.block + BLOCK_ROWS] = np.frombuffer(bytes(r.sums), "<f4").reshape(WAY, -1)
+        sums[r.block : r.block + BLOCK_ROWS] = np.frombuffer(bytes(r.sums), "<f4").reshape(-1, WAY)
     shared.unpersist()
     return sums, seen
 

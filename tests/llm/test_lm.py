@@ -120,3 +120,42 @@ def test_size_grows_with_the_corpus(spark):
 
     (rows_small, leaves_small), (rows_large, leaves_large) = size(20), size(2000)
     assert rows_large > rows_small and leaves_large > 50 * leaves_small
+
+
+def test_words_are_digested_in_bulk(monkeypatch):
+    """No call a word but for those of more than 16 bytes; equal tokens, and only those, have equal digests."""
+    import xxhash
+
+    called, real = [], xxhash.xxh3_64_intdigest
+    monkeypatch.setattr(xxhash, "xxh3_64_intdigest", lambda b: called.append(bytes(b)) or real(b))
+    rng = np.random.default_rng(0)
+    texts = [None, b"", b" \t\n\r\x0b\x0c ", b"a", b" a b\xc3\x89\x1c\x85 ", b"x" * 7 + b" " + b"x" * 8 + b" " + b"X" * 16, b"a\0 \0a a\0\0 \0 \0\0"]
+    texts += [bytes(rng.choice(np.frombuffer(b"abcABC\0\xff \n\t\x0c", np.uint8), n)) for n in rng.integers(0, 200, 300)]
+    texts += [b"q" * n + b"r" for n in range(30)] + [b"r" + b"q" * n for n in range(30)]
+    digests, sizes = lm._digests(texts)
+    words = [w for t in texts for w in (t or b"").lower().split() + [b"\n"]]
+    assert sizes.tolist() == [len((t or b"").split()) + 1 for t in texts] and len(digests) == len(words)
+    by_word = dict(zip(words, digests.tolist(), strict=True))
+    assert [by_word[w] for w in words] == digests.tolist() and len(set(by_word.values())) == len(by_word)
+    assert sorted(called) == sorted([w for w in words if len(w) > 16] + [b"\n"])
+
+
+def test_gradients_are_sums_over_events_in_double_precision():
+    words = [f"w{i % 7}" for i in range(5000)] + ["w1"] * 3000  # several batches, rows that many events share
+    texts = [" ".join(words).encode(), b"w2 w3", None]
+    digests, sizes = lm._digests(texts)
+    tokens, c = np.unique(digests, return_counts=True)
+    model = lm.Model.of(lm.Model(tokens, c, np.zeros((2, 1)), len(digests), len(tokens)).__dict__)
+    model.weights[:] = np.random.default_rng(0).normal(size=model.weights.shape)
+    assert model.weights.ctypes.data % 128 == 0
+    sums, seen = lm.in_lines(model.weights.shape, "f8"), np.zeros(len(model.weights))
+    model.gradient(digests, sizes, sums, seen)
+    _, taken, classes, rows = model.events(model.look_up(digests)[0], model.contexts(digests, sizes))
+    _, exp, total = model.odds(classes, rows)
+    parts = exp / total[:, None]
+    parts[np.arange(len(taken)), taken] -= 1
+    want, n = np.zeros(sums.shape), np.zeros(len(seen))
+    for row in rows:
+        np.add.at(want, row, parts.astype(float))
+        np.add.at(n, row, 1)
+    assert n.max() > 2000 and np.array_equal(seen, n) and np.allclose(sums, want, rtol=1e-9, atol=1e-9)
