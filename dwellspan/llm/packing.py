@@ -13,10 +13,11 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator
-from operator import itemgetter
+from collections.abc import Collection, Iterator
+from itertools import chain
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,9 +32,7 @@ CACHE_WORDS = 500_000
 CACHE_BYTES = 64
 #: Between Latin letters and marks after them the tokenizer always splits; the last id of each part, and no other, ends a word.
 PLAIN = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+"
-MARKS = ".,!?;:"
-#: Documents that a worker splits at once.
-SLICE_ROWS = 512
+MARKS = string.punctuation
 #: Ranks are counted in shards of about so many pieces of one length.
 SHARD_PIECES = 50_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -82,20 +81,45 @@ def plan_best_fit(histogram: dict[int, int], capacity: int = CAPACITY) -> list[t
     return rows
 
 
+def byte_letters() -> str:
+    """The character that stands for each of the 256 bytes in vocabularies of byte-level tokenizers."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return "".join(chr(b if b in shown else next(others)) for b in range(256))
+
+
+def split_words(texts):
+    """Words of each text (an Arrow array of strings; null: none); in lower case, as the tokenizer has them, unless a special token may be meant.
+
+    White space at an end of a text gives an empty word, which has no ids.
+    """
+    import pyarrow.compute as pc
+
+    texts = pc.fill_null(texts, "")
+    return pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts)))
+
+
 class WordIds:
     """Ids of a tokenizer's words as bytes, little-endian and 32 bits each, remembered for a while.
 
     The tokenizer's ids of a text are those of its space-separated words one after the other. New
-    plain words go to it many to a string and are told apart by its word-end ids.
+    plain words go to it many to a string and are told apart by its word-end ids. In these the own tokenizer's
+    normaliser and splitting pattern find nothing to do but lower case and bytes, so its merges get them bare.
     """
 
     def __init__(self, tokenizer_path: str | None, cache_words: int | None = None) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import numpy as np
         import public_tokenizers
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.model = Tokenizer.from_file(tokenizer_path or public_tokenizers.path("word_bpe_49k.json"))
+        self.merges = None
+        if tokenizer_path is None:
+            self.merges = Tokenizer(self.model.model)
+            self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        letters = byte_letters()
+        self.letters = letters[:32] + " " + letters[33:]
         self.ends = np.zeros(self.model.get_vocab_size(), bool)
         self.ends[[i for token, i in self.model.get_vocab().items() if token.endswith("</w>")]] = True
         self.plain = re.compile(PLAIN).fullmatch
@@ -111,28 +135,37 @@ class WordIds:
         return [np.array(e.ids, "<u4").tobytes() for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _coded_plain(self, words: list[str]) -> list[bytes]:
+        import codecs
+
         import numpy as np
 
         if not words:
             return []
-        ids = np.array([i for e in self.model.encode_batch_fast([" ".join(words[k : k + 64]) for k in range(0, len(words), 64)], add_special_tokens=False) for i in e.ids], "<u4")
+        lines = [" ".join(words[k : k + 256]) for k in range(0, len(words), 256)]
+        if self.merges:
+            lines = [codecs.charmap_decode(line.lower().encode(), "strict", self.letters)[0] for line in lines]
+        ids = np.fromiter(chain.from_iterable(e.ids for e in (self.merges or self.model).encode_batch_fast(lines, add_special_tokens=False)), "<u4")
         stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
         if len(stops) != len(words):
             return self._coded(words)
         flat = ids.tobytes()
         return [flat[i:k] for i, k in zip([0, *stops[:-1].tolist()], stops.tolist(), strict=True)]
 
-    def learn(self, words: set[bytes]) -> None:
-        """Know the ids of words, until the next call those of long words."""
+    def learn(self, words: Collection[bytes]) -> list[bytes]:
+        """The ids of distinct words, in their order; ``known`` holds them until the next call, and those of words that are not long for a while."""
         for word in self.long:
             self.known.pop(word, None)
-        new = words.difference(self.known)
+        found = list(map(self.known.get, words))
+        new = [w for w, ids in zip(words, found, strict=True) if ids is None]
         if len(self.known) + len(new) > self.cache_words:
-            self.older, self.known, new = self.known, {}, words  # no long words are left here
+            self.older, self.known, new = self.known, {}, [*words]  # no long words are left here
         self.long = [w for w in new if len(w) > CACHE_BYTES]
-        again = new & self.older.keys()
-        self.known.update((w, self.older[w]) for w in again)
-        fresh = list(new - again)
+        fresh: list[bytes] = []
+        for word, ids in zip(new, map(self.older.get, new), strict=True):
+            if ids is None:
+                fresh.append(word)
+            else:
+                self.known[word] = ids
         texts = b"\n".join(fresh).decode("utf-8", "replace").split("\n") if fresh else []
         marked: list[tuple[bytes, bytes, str]] = []
         others: list[tuple[bytes, str]] = []
@@ -161,10 +194,28 @@ class WordIds:
             if len(mark) <= CACHE_BYTES and mark not in self.marks and len(self.marks) < self.cache_words:
                 self.marks[mark] = self._coded([mark])[0]
             self.known[word] = self.known[key] + (self.marks[mark] if mark in self.marks else self._coded([mark])[0])
+        return [self.known[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
 
     def split(self, text: bytes) -> list[bytes]:
-        """Words; in lower case, as the tokenizer has them, unless a special token may be meant."""
-        return (text if b"<|" in text else text.lower()).split()
+        """split_words of one text, in UTF-8."""
+        import pyarrow as pa
+
+        return split_words(pa.array([text], pa.binary()).view(pa.string())).flatten().view(pa.binary()).to_pylist()
+
+    def code(self, texts):
+        """The ids of some texts (an Arrow array of strings), all in one buffer, and where in it each one's begin and the last one's end, in bytes."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        split = split_words(texts)
+        found = split.flatten().dictionary_encode()
+        n = len(found.dictionary)
+        words = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), found.dictionary.cast(pa.binary())), b"\n")[0].as_py().split(b"\n") if n else []
+        ids = pa.array(self.learn(words), pa.large_binary()).take(found.indices)
+        _, ends, held = ids.buffers()
+        starts = np.frombuffer(ends, np.int64)[split.offsets.to_numpy()] if len(ids) else np.zeros(len(texts) + 1, np.int64)
+        return memoryview(held or b""), starts.tolist()
 
 
 def _worker_words(tokenizer_path: str | None, cache_words: int) -> WordIds:
@@ -191,22 +242,21 @@ def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = C
         import numpy as np
         import pyarrow as pa
 
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
         gc.disable()  # no cycles arise here, and the collector would walk the remembered words again and again
         model = _worker_words(tokenizer_path, cache_words) if keep_words else WordIds(tokenizer_path, cache_words)
         end, step = np.array([end_id], "<u4").tobytes(), 4 * capacity
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).cast(pa.binary())
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                split = [model.split(x or b"") for x in texts.slice(at, SLICE_ROWS).to_pylist()]
-                model.learn(set().union(*split))
-                out: list[tuple] = []
-                for doc_id, words in zip(ids.slice(at, SLICE_ROWS).to_pylist(), split, strict=True):
-                    coded = b"".join(itemgetter(*words)(model.known)) + end if len(words) > 1 else b"".join(model.known[w] for w in words) + end
-                    for n, start in enumerate(range(0, len(coded), step)):
-                        one = coded[start : start + step]
-                        out.append((doc_id, n, start // 4, len(one) // 4, zlib.crc32(one)))
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+            if not batch.num_rows:
+                continue
+            held, starts = model.code(batch.column(1))
+            out: list[tuple] = []
+            for doc_id, at, upto in zip(batch.column(0).to_pylist(), starts, starts[1:]):
+                coded = b"".join((held[at:upto], end))
+                for n, start in enumerate(range(0, len(coded), step)):
+                    one = coded[start : start + step]
+                    out.append((doc_id, n, start // 4, len(one) // 4, zlib.crc32(one)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return map_batches(docs.select("doc_id", "text"), cut, PIECES)
 

@@ -1,14 +1,17 @@
 import random
+import re
+import string
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from dwellspan.llm.packing import CAPACITY, WordIds, op10_best_fit_packing, pack, pieces, plan_best_fit
+from dwellspan.llm.packing import CAPACITY, PLAIN, WordIds, op10_best_fit_packing, pack, pieces, plan_best_fit
 
 
 @settings(deadline=None, max_examples=200)
@@ -44,6 +47,39 @@ def test_words_give_the_tokenizers_ids(texts):
         assert got == model.encode(text, add_special_tokens=False).ids
 
 
+@settings(deadline=None, max_examples=100)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="aBzÉßİıǅΣσ'sré .,&#* \t\n\x0b\x1c\xa0　<|endoftext|>01²½文\u0301", max_size=60)), max_size=8))
+def test_texts_give_the_tokenizers_ids(texts):
+    model = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    held, starts = WordIds(None).code(pa.array(texts, pa.string()))
+    got = [np.frombuffer(bytes(held[a:b]), "<u4").tolist() for a, b in zip(starts, starts[1:])]
+    assert got == [model.encode(x or "", add_special_tokens=False).ids for x in texts]
+
+
+def test_every_plain_letter_before_every_ending():
+    letters = [chr(c) for c in range(0x250) if re.fullmatch(PLAIN, chr(c))]
+    texts = [" ".join(c * n + end for n in (1, 2, 3) for end in ("", "a", "&&&", "'", "'s", "<|")) for c in letters]
+    texts += [f"wordé{a}{b} É{a}{b}s we{b}'s" for a in string.punctuation for b in string.punctuation]
+    model = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    held, starts = WordIds(None).code(pa.array(texts, pa.string()))
+    for text, a, b in zip(texts, starts, starts[1:]):
+        assert np.frombuffer(bytes(held[a:b]), "<u4").tolist() == model.encode(text, add_special_tokens=False).ids
+
+
+def test_words_with_odd_endings_are_not_coded_one_by_one(monkeypatch):
+    coded: list[str] = []
+    one_by_one = WordIds._coded
+    monkeypatch.setattr(WordIds, "_coded", lambda self, texts: coded.extend(texts) or one_by_one(self, texts))
+    rnd = random.Random(9)
+    text = " ".join("".join(rnd.choices("abcdefghijé", k=8)) + rnd.choice(["&&&", ",###", "%%%", ".***", "$$$"]) for _ in range(2000))
+    ours = WordIds(None)
+    words = ours.split(text.encode())
+    ours.learn(set(words))
+    assert sorted(coded) == ["$$$", "%%%", "&&&", ",###", ".***"]
+    model = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    assert np.frombuffer(b"".join(ours.known[w] for w in words), "<u4").tolist() == model.encode(text, add_special_tokens=False).ids
+
+
 def test_a_small_memory_forgets_and_learns_again(monkeypatch):
     from dwellspan.llm import packing
 
@@ -55,6 +91,13 @@ def test_a_small_memory_forgets_and_learns_again(monkeypatch):
         assert np.frombuffer(b"".join(ours.known[w] for w in words), "<u4").tolist() == model.encode(text, add_special_tokens=False).ids
 
 
+def test_a_small_memory_gives_all_ids_of_later_texts():
+    model, ours = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), WordIds(None, 6)
+    for texts in (["a b, c d", None], ["b, e f", "a g&& h"], ["a b, c d", "1 2 3 4 5 6 7"], ["", " "], ["z" * 99 + ".", "d 7 a"]):
+        held, starts = ours.code(pa.array(texts, pa.string()))
+        assert [np.frombuffer(bytes(held[a:b]), "<u4").tolist() for a, b in zip(starts, starts[1:])] == [model.encode(x or "", add_special_tokens=False).ids for x in texts]
+
+
 def _expected(rows, capacity, end=1):
     model = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     out = []
