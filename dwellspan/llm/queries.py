@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .ann import op1_multi_index_search
+from .bpe import op11_bpe_trie
 from .linededup import OP9_SQL, op9_line_dedup
 from .lm import op7_maxent_scores
 from .minhash import OP3_SQL, op3_minhash_near_dedup
@@ -18,6 +19,7 @@ QUERIES = {
     for f in (
         op1_multi_index_search, op2_quality_rules, op3_minhash_near_dedup, op4_pii_contexts, op5_url_filter,
         op6_warc, op7_maxent_scores, op8_source_mixing, op9_line_dedup, op10_best_fit_packing,
+        op11_bpe_trie,
     )
 }
 SQL = {
