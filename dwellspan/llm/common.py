@@ -42,15 +42,24 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
     The tables stay until ``drop_written``, as results that are not yet computed may read them.
     """
+    return written_at(df, label)[0]
+
+
+def written_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """As ``written``, with the table's path, which ``drop_path`` takes."""
     path = f"{own_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    held = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    held.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(held, True)
 
 
 def drop_written(spark: SparkSession) -> None:
     """Delete all tables that this application has written; call it when its results are stored."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    drop_path(spark, own_dir(spark))
 
 
 #: Most rows and bytes of an Arrow batch that goes to Python; the session's own settings hold where they are smaller.
