@@ -1,39 +1,26 @@
 """Noisy text to a closed list of names, and recurring strings that no name fits.
 
-The similarity of strings is the Ratcliff-Obershelp ratio, which Spark has not; it runs in Arrow
-batches. Lists of names are bounded (MAX_NAMES, checked) and travel with the function, and each distinct
-string is compared once.
+The similarity of strings is the Ratcliff-Obershelp ratio, which Spark has not; each distinct string meets
+the names through an inverted index (``alike``), and only pairs whose bounds allow a result are compared.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Sequence
-from difflib import SequenceMatcher
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import norm_name
+from .alike import Held, alike, closest, ratio
+from .lineage import cut
 
-MAX_NAMES = 100_000
 # Scores from which names match, and their margin.
 MIN_MATCH, MARGIN = 0.62, 0.03
 CONTAINED, CONTAINED_CHARS, CONTAINED_SHARE = 0.86, 6, 0.60
 MERGE, LOOSE_CONTAINED = 0.75, 0.88
-
-
-def ratio(a: str, b: str) -> float:
-    """The similarity of a to b; that of two empty strings is 1."""
-    return SequenceMatcher(None, a, b).ratio() if a or b else 1.0
-
-
-def at_most(a: str, letters: Counter, b: str) -> float:
-    """An upper bound of the ratio of a to b, from the letters (of a) that they share."""
-    if not a and not b:
-        return 1.0
-    shared = sum(min(n, b.count(c)) for c, n in letters.items())
-    return 2 * shared / (len(a) + len(b))
+#: Distinct strings of the first turn of leaders; each later one takes as many as all before.
+FIRST_TURN = 4096
 
 
 def name_index(names: DataFrame, name: str = "name", aliases: str = "aliases") -> DataFrame:
@@ -42,61 +29,23 @@ def name_index(names: DataFrame, name: str = "name", aliases: str = "aliases") -
     return spelled.select("name", norm_name(F.col("spelling")).alias("norm")).filter("norm != ''").distinct()
 
 
-def match(token: str, index: Sequence[tuple[str, str]], min_match: float = MIN_MATCH) -> tuple[str | None, float]:
-    """The name that fits a normalised token, and the best score; no name if another one fits about as well."""
-    if len(token) < 3:
-        return None, 0.0
-    by_name: dict[str, float] = {}
-    letters, best = Counter(token), 0.0
-    for norm, name in index:
-        inside = (token in norm or norm in token) and len(token) >= CONTAINED_CHARS and len(token) >= CONTAINED_SHARE * len(norm)
-        if not inside and at_most(token, letters, norm) < best - MARGIN:
-            continue  # neither the best nor near it
-        fit = ratio(token, norm)
-        fit = max(fit, CONTAINED) if inside else fit
-        best = max(best, fit)
-        by_name[name] = max(by_name.get(name, 0.0), fit)
-    ranked = sorted(by_name.items(), key=lambda x: -x[1])
-    if not ranked or ranked[0][1] < min_match:
-        return None, ranked[0][1] if ranked else 0.0
-    if len(ranked) > 1 and ranked[0][1] - ranked[1][1] < MARGIN:
-        return None, ranked[0][1]
-    return ranked[0]
-
-
-def _collected(index: DataFrame) -> list[tuple[str, str]]:
-    rows = index.select("norm", "name").orderBy("norm", "name").limit(MAX_NAMES + 1).collect()
-    if len(rows) > MAX_NAMES:
-        raise ValueError(f"more than {MAX_NAMES} spellings; resolve in parts")
-    return [(r.norm, r.name) for r in rows]
+def best_names(tokens: DataFrame, index: DataFrame, min_match: float = MIN_MATCH) -> DataFrame:
+    """a (a normalised token of 3 letters at least), name and score: the name that fits, none if another one fits about as well, and the best score of all names."""
+    pairs = alike(tokens.filter(F.length("a") >= 3), index.select(F.col("norm").alias("b")), margin=MARGIN, held=Held(CONTAINED, CONTAINED_CHARS, CONTAINED_SHARE))
+    fits = pairs.join(index.withColumnRenamed("norm", "b"), "b").groupBy("a", "name").agg(F.max("fit").alias("fit"))
+    best = fits.groupBy("a").agg(F.max("fit").alias("score"))
+    near = fits.join(best, "a").filter(F.col("score") - F.col("fit") < MARGIN).groupBy("a", "score").agg(F.max_by("name", "fit").alias("name"), F.count("*").alias("rivals"))
+    return near.select("a", F.when((F.col("score") >= min_match) & (F.col("rivals") == 1), F.col("name")).alias("name"), "score")
 
 
 def resolve(tokens: DataFrame, index: DataFrame, token: str = "token", min_match: float = MIN_MATCH) -> DataFrame:
     """tokens with name and match (the score): exact spellings by a join, the others once a distinct string."""
-    names = _collected(index)
     normed = tokens.withColumn("norm_", norm_name(F.col(token)))
     unique = index.groupBy("norm").agg(F.min("name").alias("exact_"), F.count_distinct("name").alias("n_")).filter("n_ = 1").drop("n_")
     hit = normed.join(unique, normed.norm_ == unique.norm, "left").drop("norm")
-
-    def fit(batches):
-        for pdf in batches:
-            found = [match(t or "", names, min_match) for t in pdf["norm_"]]
-            yield pdf.assign(fuzzy_=[f[0] for f in found], score_=[f[1] for f in found])
-
-    rest = hit.filter("exact_ is null").select("norm_").distinct().mapInPandas(fit, "norm_ string, fuzzy_ string, score_ double")
-    out = hit.join(rest.withColumnRenamed("norm_", "r_"), F.col("norm_").eqNullSafe(F.col("r_")), "left")
-    return out.select(*tokens.columns, F.coalesce("exact_", "fuzzy_").alias("name"), F.when(F.col("exact_").isNotNull(), 1.0).otherwise(F.col("score_")).alias("match"))
-
-
-def closest(token: str, index: Sequence[tuple[str, str]]) -> float:
-    """The similarity to the nearest listed spelling; one that holds the other counts as at least LOOSE_CONTAINED."""
-    best, letters = 0.0, Counter(token)
-    for norm, _ in index:
-        held = LOOSE_CONTAINED if token and (token in norm or norm in token) else 0.0
-        best = max(best, held)
-        if at_most(token, letters, norm) > best:
-            best = max(best, ratio(token, norm))
-    return best
+    fuzzy = best_names(hit.filter("exact_ is null").select(F.col("norm_").alias("a")).distinct(), index, min_match)
+    out = hit.join(fuzzy.select(F.col("a").alias("r_"), F.col("name").alias("fuzzy_"), F.col("score").alias("score_")), F.col("norm_") == F.col("r_"), "left")
+    return out.select(*[F.col(f"`{c}`") for c in tokens.columns], F.coalesce("exact_", "fuzzy_").alias("name"), F.when(F.col("exact_").isNotNull(), 1.0).otherwise(F.coalesce("score_", F.lit(0.0))).alias("match"))
 
 
 def many_matches(text: str, names: Sequence[tuple[str, str]]) -> list[tuple[str, float]]:
@@ -127,29 +76,71 @@ def search_rank(query: str, names: Sequence[str]) -> list[str]:
     return [n for r, n in sorted(ranked) if -r >= 0.45]
 
 
-def leaders(strings: Sequence[tuple[str, float]], merge: float = MERGE) -> list[int]:
-    """For (norm, confidence) strings the position of each one's leader: taken by falling confidence, a string joins the nearest leader that is alike or leads itself."""
-    order = sorted(range(len(strings)), key=lambda i: -strings[i][1])
-    heads: list[int] = []
-    out = [0] * len(strings)
-    for i in order:
-        norm, best, best_fit = strings[i][0], None, 0.0
-        letters = Counter(norm)
-        for h in heads:
-            other = strings[h][0]
-            held = LOOSE_CONTAINED if norm in other or other in norm else 0.0
-            bound = at_most(norm, letters, other)
-            if max(held, bound) < merge or max(held, bound) <= best_fit:
-                continue  # it can't join this leader, or not rather than the best one so far
-            fit = max(held, ratio(norm, other))
-            if fit > best_fit:
-                best, best_fit = h, fit
-        if best is not None and best_fit >= merge:
-            out[i] = best
-        else:
-            heads.append(i)
-            out[i] = i
-    return out
+def _turns(strings: DataFrame) -> DataFrame:
+    """strings (with conf and norm) with their turn: each takes about as many of the order as all turns before, the first FIRST_TURN."""
+    n = strings.count()
+    shares = []
+    upto = FIRST_TURN
+    while upto < n:
+        shares.append(upto / n)
+        upto *= 2
+    if not shares:
+        return strings.withColumn("turn", F.lit(0))
+    # cuts between turns needn't be exact, only in order
+    sample = strings.select("conf", "norm").orderBy(F.xxhash64("norm", "conf")).limit(20_000).orderBy(F.desc("conf"), "norm").collect()
+    cuts = [sample[int(s * len(sample))] for s in shares]
+    later = [F.when((F.col("conf") < c.conf) | ((F.col("conf") == c.conf) & (F.col("norm") >= c.norm)), 1).otherwise(0) for c in cuts]
+    return strings.withColumn("turn", sum(later, F.lit(0)))
+
+
+def _heads(edges: DataFrame, strings: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The leaders among strings: those none of whose earlier neighbours leads. edges: keys, norm, earlier.
+
+    A string leads when all its earlier neighbours are known to follow, and follows when one of them leads; the others wait for the next round.
+    """
+    on = [*keys, "norm"]
+    rest, edges = cut(strings.select(*on)), cut(edges)
+    heads = rest.limit(0)
+    while True:
+        new = cut(rest.join(edges.select(*on).distinct(), on, "left_anti"))
+        heads = heads.unionByName(new)
+        if edges.isEmpty():
+            return heads
+        earlier = [F.col(k).alias(k) for k in keys] + [F.col("norm").alias("earlier")]
+        following = edges.join(new.select(*earlier), [*keys, "earlier"], "left_semi").select(*on).distinct()
+        gone = following.unionByName(new)
+        rest = cut(rest.join(gone, on, "left_anti"))
+        edges = cut(edges.join(gone, on, "left_anti").join(following.select(*earlier), [*keys, "earlier"], "left_anti"))
+
+
+def leaders(strings: DataFrame, keys: Sequence[str], merge: float = MERGE) -> DataFrame:
+    """keys, norm and lead of strings (keys, norm, conf; one row each): taken by falling confidence, a string joins the nearest earlier leader that is alike or leads itself.
+
+    Equal to taking them one by one, but a key need not be one task: strings come in turns that grow, those of a turn first meet
+    the leaders so far, so that a family of like strings meets its leader and not itself, and only what follows none of these is compared with its like.
+    """
+    keys, held = list(keys), Held(LOOSE_CONTAINED)
+    on = [*keys, "norm"]
+    earlier = (F.col("l_conf") > F.col("conf")) | ((F.col("l_conf") == F.col("conf")) & (F.col("l_norm") < F.col("norm")))
+
+    def edges(own: DataFrame, others: DataFrame) -> DataFrame:
+        """keys, norm, conf, l_norm, l_conf, fit of like pairs whose second lies earlier."""
+        left, right = own.select(*keys, F.col("norm").alias("a")), others.select(*keys, F.col("norm").alias("b"))
+        pairs = alike(left, right, keys, merge, held=held).select(*keys, F.col("a").alias("norm"), F.col("b").alias("l_norm"), "fit")
+        return pairs.join(own.select(*on, "conf"), on).join(others.select(*keys, F.col("norm").alias("l_norm"), F.col("conf").alias("l_conf")), [*keys, "l_norm"]).filter(earlier)
+
+    held_strings = cut(_turns(strings.select(*on, "conf")))
+    heads = held_strings.limit(0).drop("turn")
+    for turn in range((held_strings.agg(F.max("turn")).first()[0] or 0) + 1):
+        own = held_strings.filter(F.col("turn") == turn).drop("turn")
+        if turn:
+            own = own.join(edges(own, heads).select(*on).distinct(), on, "left_anti")
+            own = cut(own)
+        found = _heads(edges(own, own).select(*on, F.col("l_norm").alias("earlier")), own, keys)
+        heads = cut(heads.unionByName(found.join(own, on)))
+    strings = held_strings.drop("turn")
+    best = edges(strings.join(heads, on, "left_anti"), heads).groupBy(*on).agg(F.min_by("l_norm", F.struct(-F.col("fit"), -F.col("l_conf"), "l_norm")).alias("lead"))
+    return heads.select(*on, F.col("norm").alias("lead")).unionByName(best)
 
 
 def unknown_clusters(hits: DataFrame, keys: Sequence[str], index: DataFrame, min_seconds: float = 1.0, min_frames: int = 4, min_chars: int = 4, min_conf: float = 0.60, max_similar: float = 0.45) -> DataFrame:
@@ -158,31 +149,17 @@ def unknown_clusters(hits: DataFrame, keys: Sequence[str], index: DataFrame, min
     hits: keys, norm, text, conf, frame, seconds (what a frame stands for). Strings of a key are
     clustered once each; counts and sums stay in Spark.
     """
-    names = _collected(index)
     distinct = hits.groupBy(*keys, "norm").agg(F.max("conf").alias("conf"))
-    key_names = list(keys)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in distinct.select(*keys, "norm").schema) + ", lead string"
-
-    def group(pdf):
-        pdf = pdf.sort_values(["conf", "norm"], ascending=[False, True])
-        lead = leaders(list(zip(pdf["norm"], pdf["conf"], strict=True)))
-        norms = list(pdf["norm"])
-        return pdf.assign(lead=[norms[k] for k in lead])[[*key_names, "norm", "lead"]]
-
-    led = hits.join(distinct.groupBy(*keys).applyInPandas(group, schema), [*keys, "norm"])
+    led = hits.join(leaders(distinct, keys), [*keys, "norm"])
     frames = led.select(*keys, "lead", "frame", "seconds").distinct().groupBy(*keys, "lead").agg(F.sum("seconds").alias("seconds"), F.count("*").alias("frames"))
     spelled = led.groupBy(*keys, "lead", "text").agg(F.count("*").alias("n"), F.max("conf").alias("c"))
     name = spelled.groupBy(*keys, "lead").agg(F.max_by("text", F.struct("n", "c", "text")).alias("name"))
     conf = led.groupBy(*keys, "lead").agg(F.avg("conf").alias("mean_conf"))
 
-    @F.pandas_udf("double")
-    def similar(s):
-        import pandas as pd
-
-        return pd.Series([closest(t or "", names) for t in s])
-
     on = [*keys, "lead"]
-    out = frames.join(name, on).join(conf, on).withColumn("sim_to_listed", similar(norm_name(F.col("name"))))
+    out = frames.join(name, on).join(conf, on).withColumn("a", norm_name(F.col("name")))
+    near = closest(out.select("a"), index.select(F.col("norm").alias("b")), Held(LOOSE_CONTAINED))
+    out = out.join(near, "a").drop("a").withColumnRenamed("fit", "sim_to_listed")
     digits = F.regexp_count("lead", F.lit("[0-9]")) / F.greatest(F.length("lead"), F.lit(1))
     reasons = F.array_compact(F.array(
         F.when((F.col("seconds") < min_seconds) | (F.col("frames") < min_frames), "too brief"), F.when(F.length("lead") < min_chars, "too short"),
