@@ -8,42 +8,69 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def whole_vectors(column):
+    """Rows of an Arrow list column as a matrix of doubles, and which of them hold a vector: not null, as long as most of the batch's first one, no component null or NaN."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    length = pc.fill_null(pc.list_value_length(column), -1).to_numpy(zero_copy_only=False)
+    some = np.flatnonzero(length > 0)
+    width = int(length[some[0]]) if len(some) else 0
+    held = (length == width) & (width > 0)
+    out = np.zeros((len(column), width))
+    rows = np.flatnonzero(held)
+    if len(rows):
+        flat = column.take(rows).flatten().to_numpy(zero_copy_only=False).astype(float)
+        out[rows] = flat.reshape(len(rows), width)
+        held[rows] = ~np.isnan(out[rows]).any(axis=1)
+    return out, held
+
+
 def leader_clusters(rows: DataFrame, keys: Sequence[str], at: str, vector: str, conf: str, threshold: float = 0.30, name: str = "cluster") -> DataFrame:
     """rows with the number of their cluster in each key.
 
     In order of time a row joins the nearest representative closer than threshold (half the L1 distance),
     else opens a cluster; a member of higher confidence becomes the representative. One pass over the
-    sorted rows of each key; what is held is one vector a cluster.
+    sorted rows of each key; what is held is one vector a cluster. Rows whose vector is null, holds a null or NaN or has another
+    length than the first one of the key get a null cluster and change nothing; a null or NaN confidence is below all others.
     """
     key_at = [rows.columns.index(k) for k in keys]
     v_at, c_at = rows.columns.index(vector), rows.columns.index(conf)
-    schema = rows.select("*", F.lit(0).alias(name)).schema
+    schema = rows.select("*", F.lit(0).cast("int").alias(name)).schema
+    schema[name].nullable = True
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        key, n, reps, confs = None, 0, None, []
+        key, n, reps, confs = None, 0, None, np.empty(8)
         for batch in batches:
             names = list(zip(*(["nan" if x != x else x for x in batch.column(k).to_pylist()] for k in key_at), strict=True)) if key_at else [()] * batch.num_rows
+            vectors, held = whole_vectors(batch.column(v_at))
+            sure = batch.column(c_at).to_numpy(zero_copy_only=False).astype(float)
+            sure = np.where(np.isnan(sure), -np.inf, sure)
             marks = np.empty(batch.num_rows, np.int32)
-            for i, (own, v, c) in enumerate(zip(names, batch.column(v_at).to_pylist(), batch.column(c_at).to_pylist(), strict=True)):
-                v = np.asarray(v, float)
-                if reps is None or own != key:
-                    key, n, reps, confs = own, 0, np.empty((8, len(v))), []
+            for i in np.flatnonzero(held).tolist():
+                if key is None or names[i] != key:
+                    key, n, reps = names[i], 0, np.empty((8, vectors.shape[1]))
+                if reps.shape[1] != vectors.shape[1]:
+                    held[i] = False
+                    continue
+                v = vectors[i]
                 d = np.abs(reps[:n] - v).sum(1) / 2
-                if n and d.min() < threshold:
-                    k = int(d.argmin())
-                    if c > confs[k]:
-                        reps[k], confs[k] = v, c
+                k = int(d.argmin()) if n else 0
+                if n and d[k] < threshold:
+                    if sure[i] > confs[k]:
+                        reps[k], confs[k] = v, sure[i]
                 else:
                     if n == len(reps):
                         reps = np.concatenate([reps, np.empty_like(reps)])  # twice the room
-                    k, reps[n] = n, v
+                    if n == len(confs):
+                        confs = np.concatenate([confs, np.empty_like(confs)])
+                    k, reps[n], confs[n] = n, v, sure[i]
                     n += 1
-                    confs.append(c)
                 marks[i] = k
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(marks)], names=[*batch.schema.names, name])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(marks, mask=~held)], names=[*batch.schema.names, name])
 
     return rows.repartition(*keys).sortWithinPartitions(*keys, at).mapInArrow(run, schema)
 

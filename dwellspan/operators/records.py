@@ -152,45 +152,52 @@ def state_rollup(status: DataFrame, seconds: str | None = None) -> DataFrame:
     return status.agg(F.count_if(F.col("status") == "read").alias("n_read"), F.count_if(unread).alias("n_unread"), *more)
 
 
-def percentiles(df: DataFrame, keys: Sequence[str], value: str, shares: Sequence[float] = QUANTILES, bins: int = 4096) -> DataFrame:
+def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """left with the columns of right, which has a row for each key; null keys are one."""
+    if not keys:
+        return left.crossJoin(F.broadcast(right))  # one row
+    renamed = right.withColumnsRenamed({k: f"k_{k}" for k in keys})
+    on = F.lit(True)
+    for k in keys:
+        on = on & left[k].eqNullSafe(renamed[f"k_{k}"])
+    return left.join(renamed, on).drop(*(f"k_{k}" for k in keys))
+
+
+def _bracketed(own: DataFrame, keys: Sequence[str], shares: Sequence[float], accuracy: int) -> tuple[DataFrame, DataFrame]:
+    """Of values v_: for each key how many lie below each share's bracket (below_, n_), and the distinct values inside with their counts (share_, v_, c_)."""
+    lows, highs = ([min(max(s + side * 3 / accuracy, 0.0), 1.0) for s in shares] for side in (-1, 1))
+    ends = own.groupBy(*keys).agg(F.percentile_approx("v_", lows, accuracy).alias("lo_"), F.percentile_approx("v_", highs, accuracy).alias("hi_"), F.count("*").alias("n_"))
+    # few values are all ranked, as one rank may be more than the brackets allow for
+    ends = ends.withColumns({c: F.when(F.col("n_") > accuracy, F.col(c)) for c in ("lo_", "hi_")})
+    both = _joined(own, ends, keys)
+    below = F.array(*(F.count_if(F.coalesce(F.col("v_") < F.col("lo_")[k], F.lit(False))) for k in range(len(shares))))
+    inside = F.array(*(F.coalesce((F.col("v_") >= F.col("lo_")[k]) & (F.col("v_") <= F.col("hi_")[k]), F.lit(True)) for k in range(len(shares))))
+    held = both.select(*keys, "v_", F.posexplode(inside).alias("share_", "in_")).filter("in_").groupBy(*keys, "share_", "v_").agg(F.count("*").alias("c_"))
+    return both.groupBy(*keys).agg(below.alias("below_"), F.max("n_").alias("n_")), held
+
+
+def percentiles(df: DataFrame, keys: Sequence[str], value: str, shares: Sequence[float] = QUANTILES, accuracy: int = 2000) -> DataFrame:
     """keys and p10, p50, ... by linear interpolation between ranks; exact, without all values of a key in one task.
 
-    A first pass counts values in equal steps between each key's least and largest, a second one ranks only the
-    values in the steps that hold the wanted ranks, where equal values are one row.
+    A first pass brackets each wanted rank between two approximate quantiles, whose ranks err by a share of 1 / accuracy at most; a second
+    one counts what lies below each bracket and ranks only the values inside, about 6 / accuracy of all whatever
+    their distribution, where equal values are one row. Null values don't count; NaN is above all numbers.
     """
     names = [f"p{round(100 * s)}" for s in shares]
     own = df.select(*keys, F.col(value).cast("double").alias("v_")).filter("v_ is not null")
-    counts = own.groupBy(*keys, "v_").agg(F.count("*").alias("c_"))
-    ends = own.groupBy(*keys).agg(F.min("v_").alias("lo_"), F.max("v_").alias("hi_"), F.count("*").alias("n_"))
-    same = lambda a, b: [a[k].eqNullSafe(b[k]) for k in keys]
-
-    def joined(left: DataFrame, right: DataFrame) -> DataFrame:
-        if not keys:
-            return left.crossJoin(F.broadcast(right))  # one row
-        renamed = right.withColumnsRenamed({k: f"k_{k}" for k in keys})
-        on = F.lit(True)
-        for k in keys:
-            on = on & left[k].eqNullSafe(renamed[f"k_{k}"])
-        return left.join(renamed, on).drop(*(f"k_{k}" for k in keys))
-
-    step = F.when(F.col("hi_") > F.col("lo_"), F.least(F.lit(bins - 1), F.floor((F.col("v_") - F.col("lo_")) / (F.col("hi_") - F.col("lo_")) * bins))).otherwise(0)
-    binned = joined(counts, ends).withColumn("bin_", step)
-    per_bin = binned.groupBy(*keys, "bin_").agg(F.sum("c_").alias("m_"), F.max("n_").alias("n_"))
-    before = F.sum("m_").over(Window.partitionBy(*keys).orderBy("bin_")) - F.col("m_")
-    ranks = F.array_distinct(F.flatten(F.array(*(F.array(F.floor(s * (F.col("n_") - 1)), F.ceil(s * (F.col("n_") - 1))) for s in shares))))
-    wanted = per_bin.withColumn("before_", before).withColumn("ranks_", F.filter(ranks, lambda r: (r >= F.col("before_")) & (r < F.col("before_") + F.col("m_")))).filter("size(ranks_) > 0")
-    held = joined(binned.drop("n_", "lo_", "hi_"), wanted.select(*keys, F.col("bin_").alias("b_"), "before_", "ranks_")).filter("bin_ = b_")
-    upto = F.col("before_") + F.sum("c_").over(Window.partitionBy(*keys, "bin_").orderBy("v_"))
-    at = held.withColumn("upto_", upto).withColumn("rank_", F.explode("ranks_")).filter("rank_ < upto_ and rank_ >= upto_ - c_")
-    found = at.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("rank_", "v_"))).alias("at_"))
-    out = joined(found, ends.select(*keys, "n_"))
-
-    def value_of(s: float) -> Column:
-        pos = s * (F.col("n_") - 1)
-        low, high = F.element_at("at_", F.floor(pos)), F.element_at("at_", F.ceil(pos))
-        return low + (high - low) * (pos - F.floor(pos))
-
-    return out.select(*keys, *(value_of(s).alias(n) for s, n in zip(shares, names, strict=True)))
+    counts, held = _bracketed(own, keys, shares, accuracy)
+    place = _joined(held, counts, keys).withColumn("upto_", F.col("below_")[F.col("share_")] + F.sum("c_").over(Window.partitionBy(*keys, "share_").orderBy("v_")))
+    position = F.element_at(F.array(*map(F.lit, shares)), F.col("share_") + 1) * (F.col("n_") - 1)
+    rank = F.explode(F.array_distinct(F.array(F.floor(position), F.ceil(position)))).alias("rank_")
+    found = place.select(*keys, "share_", "v_", "c_", "upto_", position.alias("pos_"), rank).filter("rank_ < upto_ and rank_ >= upto_ - c_")
+    weight = F.lit(1.0) - F.abs(F.col("pos_") - F.col("rank_"))
+
+    def value_of(k: int) -> Column:
+        low = F.min(F.when(F.col("share_") == k, F.struct("rank_", "v_")))["v_"]
+        high = F.max(F.when(F.col("share_") == k, F.struct("rank_", "v_")))["v_"]
+        return low + F.when(high == low, 0.0).otherwise((high - low) * F.max(F.when((F.col("share_") == k) & (F.col("rank_") >= F.col("pos_")), weight).otherwise(0.0)))
+
+    return found.groupBy(*keys).agg(*(value_of(k).alias(n) for k, n in enumerate(names)))
 
 
 def running_totals(runs: DataFrame, keys: Sequence[str], order: str, counters: Sequence[str]) -> DataFrame:

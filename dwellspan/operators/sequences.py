@@ -157,17 +157,26 @@ def spaced_cuts(df: DataFrame, keys: Sequence[str], at: str, severity: str, min_
 
 
 def skip_similar(df: DataFrame, keys: Sequence[str], at: str, value: str, min_distance: float, name: str = "keep") -> DataFrame:
-    """df with whether a row differs by at least min_distance (mean absolute difference) from the last one kept."""
+    """df with whether a row differs by at least min_distance (mean absolute difference) from the last one kept.
+
+    A vector that is null, holds a null or NaN or has another length than the last one kept is not kept, and the last one kept stays.
+    """
 
     def begin():
         import numpy as np
 
+        from .clusters import whole_vectors
+
         last = None
 
         def step(values):
             nonlocal last
-            rows = np.stack([np.asarray(v, float) for v in values.to_pylist()])
-            marks, k = np.zeros(len(rows), bool), 0
+            every, held = whole_vectors(values)
+            if last is not None and every.shape[1] != len(last):
+                held[:] = False
+            places = np.flatnonzero(held)
+            rows = every[places]
+            marks, k = np.zeros(len(every), bool), 0
             while k < len(rows):
                 if last is not None:
                     ahead = 8  # how far to look at once
@@ -179,7 +188,7 @@ def skip_similar(df: DataFrame, keys: Sequence[str], at: str, value: str, min_di
                         k, ahead = k + ahead, 2 * ahead
                     if k >= len(rows):
                         break
-                last, marks[k] = rows[k], True
+                last, marks[places[k]] = rows[k], True
                 k += 1
             return marks
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dwellspan.operators import sequences
-from dwellspan.sources import files, frames
+from dwellspan.sources import files
 from dwellspan.sources.schemas import DDL, schema
 from dwellspan.streaming import observations as stream
 
@@ -62,10 +62,7 @@ def test_images_and_splits(spark, tmp_path):
     assert sum(got.values()) == 300 and 200 < got["train"] < 280
 
 
-def test_frame_source_reads_its_stride(spark):
-    frames.register(spark)
-    df = spark.read.format("dwellspan_frames").option("frames", 1000).option("step", 7).option("chunk", 100).load()
-    assert sorted(r.frame for r in df.select("frame").collect()) == list(range(0, 1000, 7))
+def test_stride(spark):
     assert files.strided(spark.range(100).withColumnRenamed("id", "frame"), "frame", 25, 5).count() == 20
 
 

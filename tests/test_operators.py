@@ -180,3 +180,39 @@ def test_states_open_where_a_distance_is_unknown(spark):
     rows = [(1, 0, None, "a"), (1, 1, 0.1, "a"), (1, 2, None, "a"), (1, 3, 0.1, None), (1, 4, 0.1, "b"), (1, 5, 0.1, "c"), (1, 9, 0.0, "c"), (1, 10, 0.9, "c")]
     got = sequences.states(spark.createDataFrame(rows, "k int, t int, distance double, shot string"), ["k"], "t", 2, 0.5, shot="shot")
     assert [r.state for r in got.orderBy("t").collect()] == [1, 1, 2, 2, 2, 3, 4, 5]
+
+
+def test_leader_clusters_and_skip_similar_leave_null_vectors_out(spark):
+    a, b = [0.0, 1.0], [1.0, 0.0]
+    vectors = [None, a, None, a, [None, 1.0], [float("nan"), 0.0], [1.0], b, a, []]
+    rows = spark.createDataFrame([(1, t, v, None if t == 1 else 0.5 + t / 100) for t, v in enumerate(vectors)] + [(2, 0, None, 1.0)], "k int, t int, v array<double>, c double")
+    got = {(r.k, r.t): r.cluster for r in clusters.leader_clusters(rows, ["k"], "t", "v", "c", 0.3).collect()}
+    assert [got[1, t] for t in range(10)] == [None, 0, None, 0, None, None, None, 1, 0, None] and got[2, 0] is None
+    kept = {(r.k, r.t): r.keep for r in sequences.skip_similar(rows, ["k"], "t", "v", 0.2).collect()}
+    assert [t for t in range(10) if kept[1, t]] == [1, 7, 8] and not kept[2, 0]
+    nothing = rows.limit(0)
+    assert clusters.leader_clusters(nothing, ["k"], "t", "v", "c").count() == 0 and sequences.skip_similar(nothing, ["k"], "t", "v", 0.2).count() == 0
+
+
+@pytest.mark.parametrize("conf", [[None, 0.1, 0.2], [float("nan"), 0.1, 0.2], [0.3, None, 0.1]])
+def test_null_confidence_is_below_all_others(spark, conf):
+    vectors = [[0.0, 1.0], [0.2, 0.8], [0.4, 0.6]]
+    rows = spark.createDataFrame([(1, t, v, c) for t, (v, c) in enumerate(zip(vectors, conf))], "k int, t int, v array<double>, c double")
+    got = [r.cluster for r in clusters.leader_clusters(rows, ["k"], "t", "v", "c", 0.3).orderBy("t").collect()]
+    assert got == ([0, 0, 0] if conf[0] != 0.3 else [0, 0, 1])
+
+
+def test_percentiles_hold_few_values_beside_an_outlier(spark):
+    import numpy as np
+
+    from dwellspan.operators import records
+
+    rng = np.random.default_rng(5)
+    for values in ([*(rng.random(30_000) * 100), 1e12], [*rng.exponential(1, 20_001)], [7.0] * 9000 + [1.0], [3.0, 1.0], list(range(3001))):
+        df = spark.createDataFrame([(1, float(v)) for v in values] + [(2, None), (None, 4.0)], "k int, v double")
+        got = {r.k: r for r in records.percentiles(df, ["k"], "v", [0.1, 0.5, 0.9, 0.99]).collect()}
+        assert [got[1].p10, got[1].p50, got[1].p90, got[1].p99] == pytest.approx(np.quantile(values, [0.1, 0.5, 0.9, 0.99]).tolist(), rel=1e-12)
+        assert got[None].p50 == 4.0 and 2 not in got
+    hot = spark.createDataFrame([(1, float(v)) for v in [*(rng.random(50_000) * 100), 1e12]], "k int, v_ double")
+    _, inside = records._bracketed(hot, ["k"], [0.1, 0.5, 0.9], 2000)
+    assert inside.groupBy("k", "share_").agg(F.sum("c_").alias("n")).agg(F.max("n")).first()[0] < 0.01 * 50_001  # what one task ranks
