@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,16 +60,20 @@ def csv(spark: SparkSession, path: str, schema: T.StructType, flags: tuple[str,
 
 
 def image_gallery(spark: SparkSession, path: str) -> DataFrame:
-    """name, images: files NAME__2.png grouped by NAME."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    """name, position (from 0), path of image files NAME__2.png by NAME; a row for each file, contents not read (``images.contents`` reads them)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
     stem = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "")
-    return files.select(F.split(stem, "__")[0].alias("name"), "path", "content").groupBy("name").agg(F.transform(F.array_sort(F.collect_list(F.struct("path", "content"))), lambda x: x["content"]).alias("images"))
+    return files.select(F.split(stem, "__")[0].alias("name"), "path").withColumn("position", F.row_number().over(Window.partitionBy("name").orderBy("path")) - 1).select("name", "position", "path")
 
 
 def image_metadata(spark: SparkSession, images: str, metadata: str, schema: T.StructType, file: str = "file") -> DataFrame:
-    """Image files with their metadata rows by file name."""
-    files = spark.read.format("binaryFile").load(images).withColumn(file, F.element_at(F.split("path", "/"), -1))
-    return files.join(json_lines(spark, metadata, schema), file)
+    """Image files (path, length, content) with their metadata rows by file name; only files that have such rows are opened."""
+    from .images import contents
+
+    rows = json_lines(spark, metadata, schema)
+    files = spark.read.format("binaryFile").load(images).select("path", "length", F.element_at(F.split("path", "/"), -1).alias(file))
+    wanted = files.join(rows.select(file).distinct(), file, "left_semi")
+    return contents(wanted.select(file, "length", "path")).join(rows, file)
 
 
 def strided(frames: DataFrame, frame: str, fps: float, rate: float) -> DataFrame:
@@ -104,9 +108,11 @@ def write_json_lines(df: DataFrame, path: str) -> None:
 
 
 def append_log(entries: DataFrame, path: str, key: str, by: str) -> None:
-    """Append entries with who and when; an entry without its key is an error."""
+    """Append entries with who and when to a log (``applog``), all or none; an entry without its key is an error."""
+    from .applog import append
+
     checked = entries.withColumn(key, F.when(F.col(key).isNull(), F.raise_error(F.lit(f"an entry without {key}")).cast(entries.schema[key].dataType)).otherwise(F.col(key)))
-    checked.withColumn("by", F.lit(by)).withColumn("at", F.current_timestamp().cast("timestamp_ntz")).write.mode("append").json(path)
+    append(checked.withColumn("by", F.lit(by)).withColumn("at", F.current_timestamp().cast("timestamp_ntz")), path)
 
 
 def write_csv(df: DataFrame, path: str, mark: bool = False) -> None:
