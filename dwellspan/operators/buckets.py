@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
+def beside(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
     """right with its keys renamed, and the null-safe test that they agree."""
     renamed = right.withColumnsRenamed({k: f"{k}_of_bucket" for k in keys})
     test = F.lit(True)
@@ -32,7 +32,7 @@ def previous(df: DataFrame, keys: Sequence[str], at: str, take: Sequence[str], n
     local = df.withColumn(name, F.lag(row).over(Window.partitionBy(*own).orderBy(at)))
     last = df.groupBy(*own).agg(F.max_by(row, at).alias("last_"))
     edges = last.withColumn("edge_", F.lag("last_").over(Window.partitionBy(*keys).orderBy("bucket_"))).drop("last_")
-    edges, test = _on(local, edges, own)
+    edges, test = beside(local, edges, own)
     return local.join(edges, test, "left").withColumn(name, F.coalesce(name, "edge_")).drop("edge_", *(f"{k}_of_bucket" for k in own))
 
 
@@ -43,5 +43,24 @@ def running(df: DataFrame, keys: Sequence[str], at: str, value: str, name: str)
     local = df.withColumn(name, F.sum(value).over(upto))
     sums = df.groupBy(*own).agg(F.sum(value).alias("sum_"))
     before = Window.partitionBy(*keys).orderBy("bucket_").rowsBetween(Window.unboundedPreceding, -1)
-    starts, test = _on(local, sums.withColumn("start_", F.coalesce(F.sum("sum_").over(before), F.lit(0))).drop("sum_"), own)
+    starts, test = beside(local, sums.withColumn("start_", F.coalesce(F.sum("sum_").over(before), F.lit(0))).drop("sum_"), own)
     return local.join(starts, test, "left").withColumn(name, F.col(name) + F.col("start_")).drop("start_", *(f"{k}_of_bucket" for k in own))
+
+
+def last_seen(df: DataFrame, keys: Sequence[str], at: str, value: str, name: str, forward: bool = False) -> DataFrame:
+    """Rows with a bucket_ get the last value that is not null in their key up to them; the first one from them on, when forward."""
+    own = [*keys, "bucket_"]
+    whole = (0, Window.unboundedFollowing) if forward else (Window.unboundedPreceding, 0)
+    beyond = (1, Window.unboundedFollowing) if forward else (Window.unboundedPreceding, -1)
+    pick = F.first if forward else F.last
+    local = df.withColumn(name, pick(value, ignorenulls=True).over(Window.partitionBy(*own).orderBy(at).rowsBetween(*whole)))
+    seen = F.when(F.col(value).isNotNull(), F.struct(at, value))
+    edges = df.groupBy(*own).agg((F.min(seen) if forward else F.max(seen)).alias("seen_"))
+    far = pick(F.col("seen_")[value], ignorenulls=True).over(Window.partitionBy(*keys).orderBy("bucket_").rowsBetween(*beyond))
+    edges, test = beside(local, edges.withColumn("far_", far).drop("seen_"), own)
+    return local.join(edges, test, "left").withColumn(name, F.coalesce(name, "far_")).drop("far_", *(f"{k}_of_bucket" for k in own))
+
+
+def numbered(df: DataFrame, keys: Sequence[str], at: str, bucket: int, name: str = "rn_") -> DataFrame:
+    """df with a bucket_ and each row's number from 1 in its key."""
+    return running(dealt(df, at, bucket).withColumn("one_", F.lit(1)), keys, at, "one_", name).drop("one_")

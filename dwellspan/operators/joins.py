@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -77,6 +77,50 @@ def overlaps(left: DataFrame, right: DataFrame, keys: Sequence[str], bucket: int
     return both.filter(F.floor(F.greatest(F.col(start), F.col("r_start")) / bucket) == F.col("bucket_")).drop("bucket_")
 
 
+def _bits(column: Column, level: Column) -> Column:
+    return F.call_function("shiftright", column, level)
+
+
+def _dyadic(df: DataFrame, grain: int, start: str, end: str, cover: bool, upto: int) -> DataFrame:
+    """df with level and node of dyadic intervals of grain times 2^level: those that make up the interval, or with cover false those that hold one of these and more.
+
+    Two of a level at most, so an interval is dealt to about twice as many as its length has digits in base two, or its nodes' depth.
+    """
+    lo, hi = F.floor(F.col(start) / grain), -F.floor(-F.col(end) / grain)
+    rows = df.filter(F.col(end) > F.col(start)).withColumns({"lo_": lo, "hi_": hi}).withColumn("level_", F.explode(F.sequence(F.lit(0), F.lit(upto))))
+    level, lo, hi = F.col("level_"), F.col("lo_"), F.col("hi_")
+    first, last = _bits(lo, level), _bits(hi - 1, level)
+    if cover:
+        # what is left of the interval at this level begins and ends here; an odd begin, and an odd end, are nodes of their own
+        begin, stop = -_bits(-lo, level), _bits(hi, level)
+        found = F.array_distinct(F.array_compact(F.array(F.when((begin < stop) & (begin % 2 != 0), begin), F.when((begin < stop) & (stop % 2 != 0), stop - 1))))
+    else:
+        width = F.call_function("shiftleft", F.lit(1).cast("long"), level)
+        beyond = lambda n: (n * width < lo) | ((n + 1) * width > hi)
+        found = F.array_distinct(F.array_compact(F.array(F.when(beyond(first), first), F.when(beyond(last), last))))
+    return rows.withColumn("node_", F.explode(found)).drop("lo_", "hi_")
+
+
+def overlaps_any_length(left: DataFrame, right: DataFrame, keys: Sequence[str], grain: int, take: Sequence[str], start: str = "start_us", end: str = "end_us") -> DataFrame:
+    """As ``overlaps``, for intervals of any lengths: an hour meets a year without a row for each hour of it.
+
+    Two intervals share time if a dyadic node of one is, or lies in, a node of the other; so each side's nodes meet the other's nodes and
+    those above them, in two equi-joins. A pair comes once, by the node that holds its first shared moment.
+    Nodes above the largest one that a side is made of are not dealt, as nothing meets there.
+    """
+    r = right.select(*keys, F.col(start).alias("r_start"), F.col(end).alias("r_end"), *take)
+    longest = left.agg(F.max(F.col(end) - F.col(start)).alias("n")).union(r.agg(F.max(F.col("r_end") - F.col("r_start")))).agg(F.max("n")).first()[0] or 0
+    upto = max(int(longest) // grain, 1).bit_length()
+    shares = (F.col(start) < F.col("r_end")) & (F.col("r_start") < F.col(end))
+    moment = _bits(F.floor(F.greatest(F.col(start), F.col("r_start")) / grain), F.col("level_")) == F.col("node_")
+    on, both = [*keys, "level_", "node_"], []
+    for l_cover, r_covers in ((True, (True, False)), (False, (True,))):
+        nodes = _dyadic(left, grain, start, end, l_cover, upto)
+        for r_cover in r_covers:
+            both.append(nodes.join(_dyadic(r, grain, "r_start", "r_end", r_cover, upto), on).filter(shares & moment).drop("level_", "node_"))
+    return both[0].unionByName(both[1]).unionByName(both[2])
+
+
 def anti_band(left: DataFrame, right: DataFrame, keys: Sequence[str], left_at: str, right_at: str, tolerance: int, bucket: int | None = None) -> DataFrame:
     """left rows without a right row within tolerance of them."""
     seen = right.select(*keys, F.col(right_at).alias("near_at"))

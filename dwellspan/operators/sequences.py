@@ -13,13 +13,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import buckets
+from .intervals import DAY
 
 
-def consecutive(df: DataFrame, keys: Sequence[str], at: str, distance: Callable[[Column, Column], Column], of: str, max_gap: int | float, name: str = "distance") -> DataFrame:
-    """df with the distance of each row's value to the one before; null for the first and behind longer gaps than max_gap."""
-    order = Window.partitionBy(*keys).orderBy(at)
-    near = F.col(at) - F.lag(at).over(order) <= max_gap
-    return df.withColumn(name, F.when(near, distance(F.lag(of).over(order), F.col(of))))
+def consecutive(df: DataFrame, keys: Sequence[str], at: str, distance: Callable[[Column, Column], Column], of: str, max_gap: int | float, name: str = "distance", bucket: int = DAY) -> DataFrame:
+    """df with the distance of each row's value to the one before; null for the first and behind longer gaps than max_gap. A key's rows are dealt by time."""
+    own = buckets.previous(buckets.dealt(df, at, bucket), keys, at, [of])
+    before = F.col("previous_")
+    return own.withColumn(name, F.when(F.col(at) - before[at] <= max_gap, distance(before[of], F.col(of)))).drop("previous_", "bucket_")
 
 
 def states(df: DataFrame, keys: Sequence[str], at: str, max_gap: int | float, threshold: float, distance: str = "distance", shot: str | None = None, name: str = "state", bucket: int | None = None) -> DataFrame:
@@ -90,14 +91,13 @@ def calibrated(df: DataFrame, value: str, override: float | None = None, min_row
     return valley(df, value).select(F.when(clear, F.col("threshold")).otherwise(fallback).alias("threshold"), F.when(clear, "valley").otherwise("fallback").alias("source"))
 
 
-def capped_groups(df: DataFrame, keys: Sequence[str], at: str, distance: str, threshold: float, cap: int, name: str = "group_no") -> DataFrame:
-    """df with group numbers from 0 in each key: a group ends where the distance to the row before exceeds threshold, or at cap rows."""
-    order = Window.partitionBy(*keys).orderBy(at)
-    cut = F.when(F.lag(at).over(order).isNull() | (F.coalesce(F.col(distance), F.lit(0.0)) > threshold), 1).otherwise(0)
-    islands = df.withColumn("cut_", cut).withColumn("island_", F.sum("cut_").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    inside = F.row_number().over(Window.partitionBy(*keys, "island_").orderBy(at)) - 1
-    opens = islands.withColumn("opens_", F.when(inside % cap == 0, 1).otherwise(0))
-    return opens.withColumn(name, F.sum("opens_").over(order.rowsBetween(Window.unboundedPreceding, 0)) - 1).drop("cut_", "island_", "opens_")
+def capped_groups(df: DataFrame, keys: Sequence[str], at: str, distance: str, threshold: float, cap: int, name: str = "group_no", bucket: int = DAY) -> DataFrame:
+    """df with group numbers from 0 in each key: a group ends where the distance to the row before exceeds threshold, or at cap rows. A key's rows are dealt by time."""
+    own = buckets.numbered(df, keys, at, bucket)
+    opens = (F.col("rn_") == 1) | (F.coalesce(F.col(distance), F.lit(0.0)) > threshold)
+    own = buckets.last_seen(own.withColumn("opened_", F.when(opens, F.col("rn_"))), keys, at, "opened_", "since_")
+    own = own.withColumn("opens_", ((F.col("rn_") - F.col("since_")) % cap == 0).cast("int"))
+    return buckets.running(own, keys, at, "opens_", name).withColumn(name, F.col(name) - 1).drop("rn_", "opened_", "since_", "opens_", "bucket_")
 
 
 def _stateful(df: DataFrame, keys: Sequence[str], order: Sequence[str], take: Sequence[str], begin: Callable, out: str) -> DataFrame:
@@ -197,54 +197,62 @@ def skip_similar(df: DataFrame, keys: Sequence[str], at: str, value: str, min_di
     return _stateful(df, keys, [at], [value], begin, name)
 
 
-def shots_from_cuts(df: DataFrame, keys: Sequence[str], at: str, cut: str = "cut", severity: str | None = None) -> DataFrame:
-    """keys, shot (from 0), first, last, n_rows and the severity of the opening cut, 0 for the first shot."""
-    order = Window.partitionBy(*keys).orderBy(at)
-    numbered = df.withColumn("shot", F.sum(F.col(cut).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    least = F.min("shot").over(Window.partitionBy(*keys))
-    numbered = numbered.withColumn("shot", F.col("shot") - least)
+def shots_from_cuts(df: DataFrame, keys: Sequence[str], at: str, cut: str = "cut", severity: str | None = None, bucket: int = DAY) -> DataFrame:
+    """keys, shot (from 0), first, last, n_rows and the severity of the opening cut, 0 for the first shot. A key's rows are dealt by time."""
+    counted = buckets.running(buckets.dealt(df.withColumn("cut_", F.coalesce(F.col(cut).cast("int"), F.lit(0))), at, bucket), keys, at, "cut_", "shot")
     aggs = [F.min(at).alias("first"), F.max(at).alias("last"), F.count("*").alias("n_rows")]
     if severity:
-        aggs.append(F.min_by(F.when(F.col("shot") == 0, 0.0).otherwise(F.col(severity)), at).alias("cut_severity"))
-    return numbered.groupBy(*keys, "shot").agg(*aggs)
+        aggs.append(F.min_by(severity, at).alias("cut_severity"))
+    shots = counted.groupBy(*keys, "shot").agg(*aggs)
+    # numbers count from the first shot, be it opened by a cut or not; of shots there are few
+    shots = shots.withColumn("shot", F.col("shot") - F.min("shot").over(Window.partitionBy(*keys)))
+    return shots.withColumn("cut_severity", F.when(F.col("shot") == 0, 0.0).otherwise(F.col("cut_severity"))) if severity else shots
+
 
+def rolling_median(df: DataFrame, keys: Sequence[str], at: str, value: str, width: int = 61, name: str = "smooth", bucket: int = DAY, block: int = 4096) -> DataFrame:
+    """df with the median over width rows around each; the first and last values stand in beyond the ends.
 
-def rolling_median(df: DataFrame, keys: Sequence[str], at: str, value: str, width: int = 61, name: str = "smooth") -> DataFrame:
-    """df with the median over width rows around each; the first and last values stand in beyond the ends."""
+    Rows are numbered, dealt in blocks of about so many rows with a halo of half the width, and padded at the ends of their key.
+    """
     half = width // 2
-    order, every = Window.partitionBy(*keys).orderBy(at), Window.partitionBy(*keys)
-    near = F.collect_list(value).over(order.rowsBetween(-half, half))
-    rank, n = F.row_number().over(order), F.count("*").over(every)
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    left = F.array_repeat(F.first(value).over(whole), F.greatest(F.lit(0), half - (rank - 1)).cast("int"))
-    right = F.array_repeat(F.last(value).over(whole), F.greatest(F.lit(0), half - (n - rank)).cast("int"))
-    padded = df.withColumn("near_", F.array_sort(F.concat(left, near, right)))
-    return padded.withColumn(name, F.element_at("near_", half + 1)).drop("near_")
-
-
-def longest_run(df: DataFrame, keys: Sequence[str], at: str, flag: str) -> DataFrame:
-    """keys, first, last, n: the longest run of rows with the flag; of equal ones the first."""
-    order = Window.partitionBy(*keys).orderBy(at)
-    islands = df.withColumn("rn_", F.row_number().over(order)).filter(F.col(flag)).withColumn("island_", F.col("rn_") - F.row_number().over(order))
-    runs = islands.groupBy(*keys, "island_").agg(F.min(at).alias("first"), F.max(at).alias("last"), F.count("*").alias("n"))
+    own = buckets.numbered(df, keys, at, bucket).drop("bucket_")
+    ends, test = buckets.beside(own, own.groupBy(*keys).agg(F.max("rn_").alias("n_"), F.min_by(value, "rn_").alias("first_"), F.max_by(value, "rn_").alias("last_")), keys)
+    own = own.join(ends, test).drop(*(f"{k}_of_bucket" for k in keys))
+    first, last = F.floor((F.col("rn_") - 1 - half) / block), F.floor((F.col("rn_") - 1 + half) / block)
+    dealt = own.withColumn("block_", F.explode(F.sequence(first, last)))
+    near = F.collect_list(value).over(Window.partitionBy(*keys, "block_").orderBy("rn_").rowsBetween(-half, half))
+    inner = dealt.withColumn("near_", near).filter(F.floor((F.col("rn_") - 1) / block) == F.col("block_"))
+    left = F.array_repeat("first_", F.greatest(F.lit(0), half - (F.col("rn_") - 1)).cast("int"))
+    right = F.array_repeat("last_", F.greatest(F.lit(0), half - (F.col("n_") - F.col("rn_"))).cast("int"))
+    out = inner.withColumn(name, F.element_at(F.array_sort(F.concat(left, "near_", right)), half + 1))
+    return out.drop("near_", "block_", "rn_", "n_", "first_", "last_")
+
+
+def _runs(df: DataFrame, keys: Sequence[str], at: str, flag: Column, bucket: int) -> DataFrame:
+    """keys, first, last, n of runs of consecutive rows with the flag."""
+    own = buckets.numbered(df.withColumn("set_", F.coalesce(flag, F.lit(False)).cast("int")), keys, at, bucket)
+    own = buckets.running(own, keys, at, "set_", "sets_").filter("set_ = 1").withColumn("island_", F.col("rn_") - F.col("sets_"))
+    return own.groupBy(*keys, "island_").agg(F.min(at).alias("first"), F.max(at).alias("last"), F.count("*").alias("n")).drop("island_")
+
+
+def longest_run(df: DataFrame, keys: Sequence[str], at: str, flag: str, bucket: int = DAY) -> DataFrame:
+    """keys, first, last, n: the longest run of rows with the flag; of equal ones the first. A key's rows are dealt by time."""
+    runs = _runs(df, keys, at, F.col(flag), bucket)
     return runs.groupBy(*keys).agg(F.max_by(F.struct("first", "last", "n"), F.struct("n", -F.col("first"))).alias("r")).select(*keys, "r.*")
 
 
-def close_gaps(df: DataFrame, keys: Sequence[str], at: str, flag: str, k: int, name: str = "closed") -> DataFrame:
-    """df with the flag's morphological closing: runs of at most k unset rows between set ones are filled."""
-    order = Window.partitionBy(*keys).orderBy(at)
-    marked = df.withColumn("at_", F.when(F.col(flag), F.row_number().over(order))).withColumn("rn_", F.row_number().over(order))
-    back = F.last("at_", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    ahead = F.first("at_", ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
-    return marked.withColumn(name, F.coalesce(F.col(flag) | (ahead - back - 1 <= k), F.lit(False))).drop("at_", "rn_")
+def close_gaps(df: DataFrame, keys: Sequence[str], at: str, flag: str, k: int, name: str = "closed", bucket: int = DAY) -> DataFrame:
+    """df with the flag's morphological closing: runs of at most k unset rows between set ones are filled. A key's rows are dealt by time."""
+    own = buckets.numbered(df, keys, at, bucket)
+    own = own.withColumn("at_", F.when(F.col(flag), F.col("rn_")))
+    own = buckets.last_seen(buckets.last_seen(own, keys, at, "at_", "back_"), keys, at, "at_", "ahead_", forward=True)
+    filled = F.coalesce(F.col(flag) | (F.col("ahead_") - F.col("back_") - 1 <= k), F.lit(False))
+    return own.withColumn(name, filled).drop("at_", "rn_", "back_", "ahead_", "bucket_")
 
 
-def fast_clusters(df: DataFrame, keys: Sequence[str], at: str, length: str, below: float, at_least: int = 3) -> DataFrame:
-    """keys, first, last, n: runs of at_least or more consecutive rows shorter than below."""
-    order = Window.partitionBy(*keys).orderBy(at)
-    short = df.withColumn("rn_", F.row_number().over(order)).filter(F.col(length) < below)
-    islands = short.withColumn("island_", F.col("rn_") - F.row_number().over(order))
-    return islands.groupBy(*keys, "island_").agg(F.min(at).alias("first"), F.max(at).alias("last"), F.count("*").alias("n")).filter(F.col("n") >= at_least).drop("island_")
+def fast_clusters(df: DataFrame, keys: Sequence[str], at: str, length: str, below: float, at_least: int = 3, bucket: int = DAY) -> DataFrame:
+    """keys, first, last, n: runs of at_least or more consecutive rows shorter than below. A key's rows are dealt by time."""
+    return _runs(df, keys, at, F.col(length) < below, bucket).filter(F.col("n") >= at_least)
 
 
 def last_wins(log: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:

@@ -227,6 +227,19 @@ INTERVAL_OVERLAP_JOIN = f"""{_EV} SELECT p.event_id, c.event_id AS click_id, lea
 FROM e p JOIN e c ON c.user_id = p.user_id AND p.start_us < c.end_us AND c.start_us < p.end_us WHERE p.event_type = 'purchase' AND c.event_type = 'click'"""
 
 
+def interval_overlap_mixed(spark, d):
+    """Purchases of an hour, some of 40 days, and clicks of a minute to ten days that share time."""
+    e = events(spark, d)
+    purchases = e.filter("event_type = 'purchase'").withColumn("end_us", F.when(F.col("event_id") % 50 == 0, F.col("start_us") + 40 * intervals.DAY).otherwise(F.col("end_us"))).select("event_id", "user_id", "start_us", "end_us")
+    clicks = e.filter("event_type = 'click'").withColumn("end_us", F.col("start_us") + F.when(F.col("event_id") % 40 == 0, 10 * intervals.DAY).otherwise(MINUTE)).select(F.col("event_id").alias("click_id"), "user_id", "start_us", "end_us")
+    return joins.overlaps_any_length(purchases, clicks, ["user_id"], 10 * MINUTE, ["click_id"]).select("event_id", "click_id", (F.least("end_us", "r_end") - F.greatest("start_us", "r_start")).alias("shared_us"))
+
+
+INTERVAL_OVERLAP_MIXED = f"""{_EV}, p AS (SELECT event_id, user_id, start_us, CASE WHEN event_id % 50 = 0 THEN start_us + {40 * intervals.DAY} ELSE end_us END AS end_us FROM e WHERE event_type = 'purchase'),
+c AS (SELECT event_id, user_id, start_us, start_us + CASE WHEN event_id % 40 = 0 THEN {10 * intervals.DAY} ELSE {MINUTE} END AS end_us FROM e WHERE event_type = 'click')
+SELECT p.event_id, c.event_id AS click_id, least(p.end_us, c.end_us) - greatest(p.start_us, c.start_us) AS shared_us FROM p JOIN c ON c.user_id = p.user_id AND p.start_us < c.end_us AND c.start_us < p.end_us"""
+
+
 def span_join_adjacent(spark, d):
     e = events(spark, d).select("user_id", "event_type", "start_us", "end_us")
     return intervals.join_adjacent(e.groupBy("user_id", "start_us").agg(F.min("event_type").alias("event_type"), F.max("end_us").alias("end_us")), ["user_id"], ["event_type"], 2 * HOUR, bucket=intervals.DAY).select("user_id", "event_type", "start_us", "end_us")
@@ -240,6 +253,6 @@ SELECT user_id, event_type, min(start_us) AS start_us, max(end_us) AS end_us FRO
 
 QUERIES = {f.__name__: f for f in (
     interval_union, interval_merged, interval_complement, interval_clamp, merge_surfaces, coverage_ledger, coverage_by_status, coverage_totals, coverage_partition_check,
-    coverage_payload, coverage_unread, largest_gaps, spells, stitch_spans, session_windows, tumbling_windows, asof_join, point_in_range_join, anti_band_join, interval_overlap_join, span_join_adjacent,
+    coverage_payload, coverage_unread, largest_gaps, spells, stitch_spans, session_windows, tumbling_windows, asof_join, point_in_range_join, anti_band_join, interval_overlap_join, interval_overlap_mixed, span_join_adjacent,
 )}
 SQL = {name: globals()[name.upper()] for name in QUERIES}
