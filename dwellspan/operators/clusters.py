@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .lineage import cut
+
 
 def whole_vectors(column):
     """Rows of an Arrow list column as a matrix of doubles, and which of them hold a vector: not null, as long as most of the batch's first one, no component null or NaN."""
@@ -75,6 +77,58 @@ def leader_clusters(rows: DataFrame, keys: Sequence[str], at: str, vector: str,
     return rows.repartition(*keys).sortWithinPartitions(*keys, at).mapInArrow(run, schema)
 
 
+def _digest(seed: int, key: str):
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
+
+
+def nearest_centre(vector: str, centres: Sequence[Sequence[int]]):
+    """A struct of the squared distance and the number of the nearest of some centres, the first of equally near ones; all are integers."""
+    listed = F.array(*(F.array(*(F.lit(x).cast("long") for x in c)) for c in centres))
+    off = lambda c: F.aggregate(F.zip_with(vector, c, lambda a, b: (a - b) * (a - b)), F.lit(0).cast("long"), lambda acc, x: acc + x)
+    return F.array_min(F.transform(listed, lambda c, i: F.struct(off(c).alias("distance"), i.alias("cluster"))))
+
+
+def minibatch_centres(points: DataFrame, key: str, vector: str, k: int, batches: int = 4, epochs: int = 2, seed: int = 0) -> list[list[int]]:
+    """Centres of mini-batch k-means over integer vectors.
+
+    Rows fall into batches by a digest of their key, and the k least digests start. A batch's rows go to their nearest centres, and each centre moves to
+    them by what part they are of all rows that it ever had: the more it has seen, the less a batch moves it. Sums are of integers, so partitions make
+    no difference. A batch reads its own part of the table only; the driver gets k rows of sums for each.
+    """
+    size = points.select(F.max(F.size(vector))).first()[0]
+    if size is None:
+        return []
+    drawn = points.select(_digest(seed, key).alias("digest"), vector).orderBy(F.col("digest").asc_nulls_last(), vector).limit(k).collect()
+    centres, seen = [[int(x) for x in r[vector]] for r in drawn], [0] * k
+    number = F.coalesce(F.conv(F.substring(_digest(seed, key), 1, 8), 16, 10).cast("long") % batches, F.lit(0))
+    dealt = cut(points.select(number.cast("int").alias("batch_"), vector), "batch_")
+    for turn in range(epochs * batches):
+        own = dealt.filter(F.col("batch_") == turn % batches).withColumn("cluster_", nearest_centre(vector, centres)["cluster"])
+        sums = own.groupBy("cluster_").agg(F.count("*").alias("n"), *(F.sum(F.col(vector)[i].cast("decimal(38,0)")).alias(f"s{i}") for i in range(size)))
+        for r in sums.collect():
+            c = r["cluster_"]
+            seen[c] += r.n
+            centres[c] = [x + (int(r[f"s{i}"]) - r.n * x) // seen[c] for i, x in enumerate(centres[c])]
+    return centres
+
+
+def whole_integers(df: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
+    """key and vector of rows whose vector has no null, NaN or infinite component and the length that most have; components become floor(scale * x)."""
+    sound = df.filter(F.size(vector) > 0).filter(F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf"))))
+    usual = sound.agg(F.mode(F.size(vector))).first()[0]
+    ints = F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long"))
+    return sound.filter(F.size(vector) == F.lit(usual)).select(key, ints.alias(vector))
+
+
+def minibatch_kmeans(df: DataFrame, key: str, vector: str, k: int, batches: int = 4, epochs: int = 2, seed: int = 0, scale: int = 65536) -> DataFrame:
+    """key, cluster, distance (squared, in squares of 1 / scale) of the rows whose vector is whole."""
+    points = whole_integers(df, key, vector, scale)
+    centres = minibatch_centres(points, key, vector, k, batches, epochs, seed)
+    if not centres:
+        return points.select(key, F.lit(0).alias("cluster"), F.lit(0).cast("long").alias("distance"))
+    return points.withColumn("near_", nearest_centre(vector, centres)).select(key, "near_.cluster", "near_.distance")
+
+
 def cluster_summary(clustered: DataFrame, keys: Sequence[str], at: str, period: float, name: str = "cluster") -> DataFrame:
     """keys, creative (from 0 by falling size), n_frames, seconds, t_first, t_last."""
     from pyspark.sql import Window

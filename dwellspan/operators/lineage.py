@@ -18,8 +18,8 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{(found or LOCAL).rstrip('/')}/dwellspan-{spark.sparkContext.applicationId}"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df, written to the shared folder and read back: it is computed once, its lineage ends, and it survives lost executors."""
+def cut(df: DataFrame, by: str | None = None) -> DataFrame:
+    """df, written to the shared folder and read back: it is computed once, its lineage ends, and it survives lost executors. With by, a filter on that column reads only what it lets through."""
     path = f"{shared_folder(df.sparkSession)}/rounds-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -260,14 +260,30 @@ w AS (SELECT *, concat_ws(',', CASE WHEN seconds < 1 OR frames < 4 THEN 'too bri
 SELECT run, name, norm, round(seconds, 6) AS seconds, frames, round(mean_conf, 6) AS mean_conf, round(sim, 6) AS sim_to_listed, rejected_for = '' AS promoted, rejected_for FROM w"""
 
 
-def kmeans_clusters(spark, d):
-    """Clusters of vectors by the built-in k-means; numbers depend on its seed."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
+_K, _BATCHES, _EPOCHS, _SCALE = 10, 4, 2, 65536
+
 
-    v = table(spark, d, "embeddings").select("vec_id", array_to_vector("embedding").alias("features"))
-    model = KMeans(k=10, seed=0, maxIter=10).fit(v)
-    return model.transform(v).select("vec_id", long("prediction", "cluster"))
+def kmeans_clusters(spark, d):
+    """Mini-batch clusters of vectors."""
+    out = clusters.minibatch_kmeans(table(spark, d, "embeddings"), "vec_id", "embedding", _K, _BATCHES, _EPOCHS, scale=_SCALE)
+    return out.select("vec_id", long("cluster"), "distance")
+
+
+def _batches_sql() -> str:
+    """Each batch reads the centres that the one before left, with how many rows each has had."""
+    near = "SELECT k.vec_id, k.v, min({{'d': list_sum(list_transform(list_zip(k.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT, 'c': c.c}}) AS near FROM kept k CROSS JOIN c{n} c {where} GROUP BY ALL"
+    out = [f"c0 AS (SELECT row_number() OVER (ORDER BY md5('0:' || vec_id), v) - 1 AS c, v, 0::HUGEINT AS seen FROM kept ORDER BY md5('0:' || vec_id), v LIMIT {_K})"]
+    for n in range(_BATCHES * _EPOCHS):
+        out.append(f"""c{n + 1} AS MATERIALIZED (SELECT c.c, coalesce(m.v, c.v) AS v, c.seen + coalesce(m.m, 0) AS seen FROM c{n} c LEFT JOIN (
+  SELECT c, any_value(m) AS m, list((x + (s - m * x - (((s - m * x) % seen + seen) % seen)) // seen)::BIGINT ORDER BY i) AS v FROM (
+    SELECT a.near.c AS c, i, any_value(c.v[i])::HUGEINT AS x, sum(a.v[i])::HUGEINT AS s, count(*)::HUGEINT AS m, any_value(c.seen) + count(*) AS seen
+    FROM ({near.format(n=n, where=f"WHERE k.batch = {n % _BATCHES}")}) a JOIN c{n} c ON c.c = a.near.c, range(1, 65) r(i) GROUP BY a.near.c, i) GROUP BY c) m ON m.c = c.c)""")
+    return ",\n".join([*out, f"a AS ({near.format(n=_BATCHES * _EPOCHS, where='')})"])
+
+
+KMEANS_CLUSTERS = f"""WITH kept AS MATERIALIZED (SELECT vec_id, ('0x' || substr(md5('0:' || vec_id), 1, 8))::BIGINT % {_BATCHES} AS batch, list_transform(embedding, lambda x: floor(x::DOUBLE * {_SCALE})::BIGINT) AS v FROM embeddings),
+{_batches_sql()}
+SELECT vec_id, near.c AS cluster, near.d AS distance FROM a"""
 
 
 def qa_sample(spark, d):

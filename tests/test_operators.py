@@ -216,3 +216,22 @@ def test_percentiles_hold_few_values_beside_an_outlier(spark):
     hot = spark.createDataFrame([(1, float(v)) for v in [*(rng.random(50_000) * 100), 1e12]], "k int, v_ double")
     _, inside = records._bracketed(hot, ["k"], [0.1, 0.5, 0.9], 2000)
     assert inside.groupBy("k", "share_").agg(F.sum("c_").alias("n")).agg(F.max("n")).first()[0] < 0.01 * 50_001  # what one task ranks
+
+
+def test_minibatch_kmeans_is_the_same_on_any_partitions(spark):
+    rnd = random.Random(2)
+    rows = [(i, [rnd.gauss(5 * (i % 6), 0.5), rnd.gauss(-3 * (i % 6), 0.5)]) for i in range(600)] + [(7, [0.5, 0.5]), (None, [1.0, 1.0]), (900, None), (901, [1.0]), (902, [None, 2.0]), (903, [float("nan"), 1.0]), (904, [])]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    points = clusters.whole_integers(df, "id", "v", 1024)
+    assert points.count() == 602
+    centres = clusters.minibatch_centres(points.repartition(4), "id", "v", 6, 5, 3)
+    assert centres == clusters.minibatch_centres(points.repartition(200), "id", "v", 6, 5, 3)
+    found = clusters.minibatch_kmeans(df, "id", "v", 6, 5, 3, scale=1024).collect()
+    ints = {r.id: r.v for r in points.collect() if r.id != 7}
+    for r in found:
+        if r.id != 7:
+            assert (r.distance, r.cluster) == min((sum((a - b) ** 2 for a, b in zip(ints[r.id], c)), k) for k, c in enumerate(centres))
+    far = clusters.minibatch_centres(points, "id", "v", 6, 5, 0)  # the centres before any batch
+    loss = lambda held: sum(min(sum((a - b) ** 2 for a, b in zip(v, c)) for c in held) for v in ints.values())
+    assert loss(centres) < 0.8 * loss(far)
+    assert clusters.minibatch_kmeans(df.limit(0), "id", "v", 3).count() == 0
