@@ -8,6 +8,7 @@ from ..functions import geometry as geo
 from ..functions import rules, text, vectors
 from ..operators import coverage, exposure, identify, intervals, joins, records, report, resolve, scoring, sequences
 from ..operators.intervals import HOUR, SECOND
+from ..sources import documents
 from .exposure_queries import _BY_BRAND, _DETAIL, _HALVES, DURATION_S, PERIOD, _detail, _halves
 from .feature_queries import _BOXES, H, W, _boxes
 from .interval_queries import _CELLS, coverage_ledger
@@ -173,6 +174,21 @@ def unmatched_tally(spark, d):
 UNMATCHED_TALLY = "WITH w AS (SELECT unnest(string_split(p_name || ' ' || p_type || '  odd ', ' ')) AS text FROM part) SELECT text, count(*) AS n FROM w WHERE length(trim(text)) >= 4 GROUP BY text ORDER BY n DESC, text LIMIT 25"
 
 
+def variant_documents(spark, d):
+    """Orders of a customer as a JSON document of one of three shapes, read back as entries."""
+    o = table(spark, d, "orders")
+    entry = F.when(F.col("o_orderkey") % 5 == 0, F.to_json(F.struct(F.lit("x").alias("_note")))).when(F.col("o_custkey") % 3 == 0, F.concat(F.lit('"'), F.col("o_orderstatus"), F.lit('"')))
+    entry = entry.otherwise(F.to_json(F.struct(F.col("o_orderstatus").alias("name"), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey")).alias("n"), F.array("o_orderkey").alias("keys"))))
+    listed = F.concat(F.lit("["), F.array_join(F.array_agg(entry), ","), F.lit("]"))
+    docs = o.groupBy("o_custkey").agg(listed.alias("text")).withColumn("text", F.when(F.col("o_custkey") % 2 == 0, F.concat(F.lit('{"held": '), F.col("text"), F.lit("}"))).otherwise(F.col("text")))
+    held = documents.entries(docs.select("o_custkey", F.try_parse_json("text").alias("doc")), "held")
+    return documents.typed(held, "name string, n bigint, keys array<bigint>").groupBy("o_custkey", "name").agg(F.count("*").alias("n_entries"), F.sum("n").alias("n"), F.sum(F.col("keys")[0]).alias("keys"))
+
+
+VARIANT_DOCUMENTS = """SELECT o_custkey, o_orderstatus AS name, count(*) AS n_entries, (sum(CASE WHEN o_custkey % 3 <> 0 AND o_orderkey % 2 = 0 THEN o_orderkey END))::BIGINT AS n, (sum(CASE WHEN o_custkey % 3 <> 0 THEN o_orderkey END))::BIGINT AS keys
+FROM orders WHERE o_orderkey % 5 <> 0 GROUP BY ALL"""
+
+
 def sponsor_seconds(spark, d):
     found = table(spark, d, "lineitem").groupBy((F.col("l_orderkey") % 1000).alias("creative"), F.col("l_shipdate").cast("date").cast("string").substr(1, 4).alias("brand")).agg(F.count("*").alias("n_frames"))
     groups = table(spark, d, "orders").groupBy((F.col("o_orderkey") % 1000).alias("creative")).agg((F.sum("o_totalprice") / 7).alias("seconds"), F.count_if(F.col("o_orderstatus") != "F").alias("n_read"))
@@ -480,7 +496,7 @@ SELECT n_regionkey::BIGINT AS n_regionkey, '[' || string_agg('{"n_name":"' || n_
 
 
 QUERIES = {f.__name__: f for f in (
-    exposure_rows, coverage_spans, evidence_rows, evidence_ledger, brightness_back_join, anchors, frames_with_detections, shot_of_moment, shot_type_filter, review_queue, half_steps, unmatched_tally, sponsor_seconds, state_status, state_rollup,
+    exposure_rows, coverage_spans, evidence_rows, evidence_ledger, brightness_back_join, anchors, frames_with_detections, shot_of_moment, shot_type_filter, review_queue, half_steps, unmatched_tally, variant_documents, sponsor_seconds, state_status, state_rollup,
     distance_percentiles, running_totals, brand_order, detail_order, record_order, truth_order, call_budget, surface_union, seen_time, common_labels, partner_flags, unknown_readings, medoid_metadata, tracked_confidence, lookalike_names,
     reader_pass, attach_unknown, fold_readings, box_sources, band_outlines, gap_owners, round_trips, paying_score, partner_json,
 )}
