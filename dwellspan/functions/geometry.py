@@ -79,22 +79,29 @@ def is_sane(poly: Column, width: Column, height: Column, reference_area: Column,
     return inside & (a <= reference_area * max_ratio) & (a >= reference_area / max_ratio)
 
 
-def boundary_y(x: Column, coef: Column) -> Column:
-    """The line coef[0] * x + coef[1]."""
-    return coef[0] * x + coef[1]
+def boundary_y(x: Column, coef: Column, segments: Column | None = None) -> Column:
+    """Where a boundary is at x: on the line of the last of its segments ARRAY<STRUCT<slope, intercept, x_lo, x_hi>> that holds x, else of the last one at all; without segments on the line coef[0] * x + coef[1]."""
+    straight = coef[0] * x + coef[1]
+    if segments is None:
+        return straight
+    own = F.filter(segments, lambda s: (x >= s["x_lo"]) & (x < s["x_hi"]))
+    piece = F.coalesce(F.try_element_at(own, F.lit(-1)), F.try_element_at(segments, F.lit(-1)))
+    return F.when(F.coalesce(F.size(segments), F.lit(0)) > 0, piece["slope"] * x + piece["intercept"]).otherwise(straight)
 
 
 def perspective(y: Column, median_y: Column, clamp: Column) -> Column:
-    """Scale of a band's height where its boundary is at y, held within clamp = [low, high]."""
-    return F.greatest(clamp[0], F.least(clamp[1], y / F.greatest(median_y, F.lit(1e-6))))
+    """Scale of a band's height where its boundary is at y, held within clamp = [low, high]; 1 where the median is no measure."""
+    return F.when(median_y > 1, F.greatest(clamp[0], F.least(clamp[1], F.try_divide(y, median_y)))).otherwise(1.0)
 
 
-def band_outline(coef: Column, span: Column, median_y: Column, clamp: Column, height: Column, step: int = 16) -> Column:
-    """The polygon between a fitted boundary and the band's upper edge, a corner every step columns."""
-    xs = F.concat(F.sequence(span[0], span[1], F.lit(step)), F.when((span[1] - span[0]) % step > 0, F.array(span[1])).otherwise(F.array().cast("array<int>")))
-    lower = F.transform(xs, lambda x: point(x, boundary_y(x, coef)))
-    upper = F.transform(xs, lambda x: point(x, boundary_y(x, coef) - height * perspective(boundary_y(x, coef), median_y, clamp)))
-    return F.concat(upper, F.reverse(lower))
+def band_outline(coef: Column, span: Column, median_y: Column, clamp: Column, height: Column, step: int = 16, segments: Column | None = None) -> Column:
+    """The polygon between a fitted boundary and the band's upper edge, a corner every step columns; with segments the boundary may be bent. Null where a part of it is, or the span is empty."""
+    xs = F.concat(F.sequence(span[0], F.greatest(span[0], span[1]), F.lit(step)), F.when((span[1] - span[0]) % step > 0, F.array(span[1])).otherwise(F.array().cast("array<int>")))
+    edge = lambda x: boundary_y(x, coef, segments)
+    lower = F.transform(xs, lambda x: point(x, edge(x)))
+    upper = F.transform(xs, lambda x: point(x, edge(x) - height * perspective(edge(x), median_y, clamp)))
+    outline = F.concat(upper, F.reverse(lower))
+    return F.when((span[1] >= span[0]) & ~F.exists(outline, lambda p: p["x"].isNull() | p["y"].isNull()), outline)
 
 
 def reflow_row(rows: Column, y: Column) -> Column:
@@ -103,11 +110,18 @@ def reflow_row(rows: Column, y: Column) -> Column:
 
 
 def unfold_box(rows: Column, x1: Column, y1: Column, x2: Column, y2: Column, scale: Column, span0: Column) -> Column:
-    """A box on a reflowed strip back on the unfolded band: STRUCT<x1, x2, v1, v2>, v being the share of the band's height."""
+    """A box on a reflowed strip back on the unfolded band: STRUCT<x1, x2, v1, v2>, v being the share of the band's height.
+
+    A box that fits nothing gives null, not an error: no rows, a row of no height, no scale, or a part that is null or NaN.
+    """
     row = reflow_row(rows, (y1 + y2) / 2)
-    back = lambda x: (F.greatest(F.lit(0.0), F.least(row["w"].cast("double"), x)) + row["x_off"]) / scale + span0
-    share = lambda y: F.greatest(F.lit(0.0), F.least(F.lit(1.0), (y - row["y0"]) / row["h"]))
-    return F.struct(back(x1).alias("x1"), back(x2).alias("x2"), share(y1).alias("v1"), share(y2).alias("v2"))
+    back = lambda x: F.try_divide(F.greatest(F.lit(0.0), F.least(row["w"].cast("double"), x)) + row["x_off"], scale) + span0
+    share = lambda y: F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.try_divide(y - row["y0"], row["h"])))
+    parts = {"x1": back(x1), "x2": back(x2), "v1": share(y1), "v2": share(y2)}
+    whole = F.lit(True)
+    for part in (*parts.values(), x1, y1, x2, y2, F.try_divide(F.lit(1.0), row["h"])):
+        whole = whole & part.isNotNull() & ~F.isnan(part.cast("double"))
+    return F.when(whole, F.struct(*(v.alias(k) for k, v in parts.items())))
 
 
 def tiles(span0: Column, span1: Column, height: Column, aspect: float = 6.0, overlap: float = 0.30) -> Column:

@@ -61,6 +61,11 @@ def last_seen(df: DataFrame, keys: Sequence[str], at: str, value: str, name: str
     return local.join(edges, test, "left").withColumn(name, F.coalesce(name, "far_")).drop("far_", *(f"{k}_of_bucket" for k in own))
 
 
-def numbered(df: DataFrame, keys: Sequence[str], at: str, bucket: int, name: str = "rn_") -> DataFrame:
-    """df with a bucket_ and each row's number from 1 in its key."""
-    return running(dealt(df, at, bucket).withColumn("one_", F.lit(1)), keys, at, "one_", name).drop("one_")
+def numbered(df: DataFrame, keys: Sequence[str], at: str, bucket: int, name: str = "rn_", tie: Sequence[str] = ()) -> DataFrame:
+    """df with a bucket_ and each row's number from 1 in its key, by at and then tie."""
+    own = [*keys, "bucket_"]
+    local = dealt(df, at, bucket).withColumn(name, F.row_number().over(Window.partitionBy(*own).orderBy(at, *tie)).cast("long"))
+    counts = local.groupBy(*own).agg(F.count("*").alias("count_"))
+    before = Window.partitionBy(*keys).orderBy("bucket_").rowsBetween(Window.unboundedPreceding, -1)
+    starts, test = beside(local, counts.select(*own, F.coalesce(F.sum("count_").over(before), F.lit(0)).alias("start_")), own)
+    return local.join(starts, test, "left").withColumn(name, F.col(name) + F.col("start_")).drop("start_", *(f"{k}_of_bucket" for k in own))

@@ -283,13 +283,20 @@ def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str =
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1)
 
 
-def every_nth(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
-    return ranked(df, keys, order, "rank_").filter(F.col("rank_") % n == 0).drop("rank_")
+def _places(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: int | None) -> DataFrame:
+    """df with rank_ from 0. With bucket the first order column is a number, and a key's rows are dealt by it."""
+    if bucket is None:
+        return ranked(df, keys, order, "rank_")
+    return buckets.numbered(df, keys, order[0], bucket, "rank_", order[1:]).withColumn("rank_", F.col("rank_") - 1).drop("bucket_")
+
+
+def every_nth(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, bucket: int | None = None) -> DataFrame:
+    return _places(df, keys, order, bucket).filter(F.col("rank_") % n == 0).drop("rank_")
 
 
-def worker_slice(df: DataFrame, keys: Sequence[str], order: Sequence[str], worker: int, workers: int) -> DataFrame:
+def worker_slice(df: DataFrame, keys: Sequence[str], order: Sequence[str], worker: int, workers: int, bucket: int | None = None) -> DataFrame:
     """The rows that fall to a worker when they are dealt in turn."""
-    return ranked(df, keys, order, "rank_").filter(F.col("rank_") % workers == worker).drop("rank_")
+    return _places(df, keys, order, bucket).filter(F.col("rank_") % workers == worker).drop("rank_")
 
 
 def evenly_spread(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, nearest: bool = False) -> DataFrame:

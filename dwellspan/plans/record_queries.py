@@ -438,6 +438,27 @@ x + w > 0 AND y + h > 0 AND x < {W} AND y < {H} AND w * h <= 12000 AND w * h >=
 round((0.299 * (x % 256) + 0.587 * (y % 256) + 0.114 * (w % 256)) / greatest(h, 1e-6), 9) AS brightness_rel, l_linenumber * 40 < w AND h > 5 AS inside FROM c"""
 
 
+def bent_boundaries(spark, d):
+    """Boundaries of up to two straight pieces, some with a hole or none at all, at four places; their bands' areas; boxes that fit nothing."""
+    b = _boxes(spark, d)
+    kind, knot = F.col("l_linenumber") % 4, F.col("l_orderkey") % 90 + 20
+    piece = lambda slope, offset, lo, hi: F.struct(F.lit(slope).alias("slope"), (F.col("y") + offset).alias("intercept"), lo.cast("int").alias("x_lo"), hi.cast("int").alias("x_hi"))
+    two = F.array(piece(0.5, 10.0, F.lit(0), knot), piece(-0.25, 40.0, knot + F.when(kind == 2, 15).otherwise(0), F.lit(120)))
+    b = b.withColumn("segments", F.when(kind == 0, F.array_compact(F.array(F.when(F.lit(False), two[0])))).when(kind == 1, F.slice(two, 1, 1)).otherwise(two)).withColumn("coef", F.array(F.lit(2.0), F.col("y")))
+    at = [geo.boundary_y(F.lit(float(x)), F.col("coef"), F.col("segments")) for x in (0, 30, 100, 150)]
+    flat = geo.band_outline(F.col("coef"), F.array(F.lit(0), F.lit(128)), F.lit(0.5), F.array(F.lit(0.5), F.lit(2.0)), F.col("h"), segments=F.col("segments"))
+    strip = F.array(F.struct(F.lit(0).alias("y0"), F.when(kind == 1, 0).otherwise(40).alias("h"), F.lit(500).alias("w"), F.lit(0).alias("x_off")))
+    box = geo.unfold_box(F.when(kind != 2, strip).otherwise(F.array_remove(strip, strip[0])), F.lit(10.0), F.lit(0.0), F.lit(20.0), F.when(kind != 3, F.lit(10.0)), F.when(F.col("l_orderkey") % 2 == 0, 2.0).otherwise(0.0), F.lit(5.0))
+    b = b.withColumns({"poly": flat, "box": box})
+    return b.select("l_orderkey", "l_linenumber", *(rounded(y, f"y{k}") for k, y in enumerate(at)), rounded(geo.area(F.col("poly")), "area", 3), rounded(F.col("box")["x1"], "box_x1"), F.col("box").isNotNull().alias("box_fits"))
+
+
+_BENT = "CASE WHEN kind = 0 THEN 2.0 * {x} + y WHEN kind = 1 OR {x} < knot THEN 0.5 * {x} + y + 10 ELSE -0.25 * {x} + y + 40 END"
+BENT_BOUNDARIES = f"""{_BOXES}, k AS (SELECT *, l_linenumber % 4 AS kind, l_orderkey % 90 + 20 AS knot FROM b)
+SELECT l_orderkey, l_linenumber, {", ".join(f"round(({_BENT.format(x=x)})::DOUBLE, 6) AS y{i}" for i, x in enumerate((0, 30, 100, 150)))}, round(h * 128, 3)::DOUBLE AS area,
+CASE WHEN kind = 0 AND l_orderkey % 2 = 0 THEN 10.0::DOUBLE END AS box_x1, kind = 0 AND l_orderkey % 2 = 0 AS box_fits FROM k"""
+
+
 def band_outlines(spark, d):
     """A band between a line and its upper edge, its area, tiles along it, and a box of its strip put back on it."""
     b = _boxes(spark, d).filter("l_linenumber = 1").select("l_orderkey", F.array((F.col("l_orderkey") % 20 / 1000), F.col("y") + 200).alias("coef"), F.array((F.col("x") % 300).cast("int"), (F.col("x") % 300 + 400 + F.col("w")).cast("int")).alias("span"), (F.col("h") / 4).alias("tall"))
@@ -498,6 +519,6 @@ SELECT n_regionkey::BIGINT AS n_regionkey, '[' || string_agg('{"n_name":"' || n_
 QUERIES = {f.__name__: f for f in (
     exposure_rows, coverage_spans, evidence_rows, evidence_ledger, brightness_back_join, anchors, frames_with_detections, shot_of_moment, shot_type_filter, review_queue, half_steps, unmatched_tally, variant_documents, sponsor_seconds, state_status, state_rollup,
     distance_percentiles, running_totals, brand_order, detail_order, record_order, truth_order, call_budget, surface_union, seen_time, common_labels, partner_flags, unknown_readings, medoid_metadata, tracked_confidence, lookalike_names,
-    reader_pass, attach_unknown, fold_readings, box_sources, band_outlines, gap_owners, round_trips, paying_score, partner_json,
+    reader_pass, attach_unknown, fold_readings, box_sources, band_outlines, bent_boundaries, gap_owners, round_trips, paying_score, partner_json,
 )}
 SQL = {name: globals()[name.upper()] for name in QUERIES}

@@ -132,14 +132,14 @@ WORK_PROGRESS = "SELECT count(DISTINCT d.doc_id) AS n_total, count(DISTINCT l.do
 
 
 def round_robin(spark, d):
-    return seq.worker_slice(table(spark, d, "documents").select("doc_id", "source"), ["source"], ["doc_id"], 1, 4)
+    return seq.worker_slice(table(spark, d, "documents").select("doc_id", "source"), ["source"], ["doc_id"], 1, 4, bucket=100_000)
 
 
 ROUND_ROBIN = "SELECT doc_id, source FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS k FROM documents) WHERE k % 4 = 1"
 
 
 def every_nth(spark, d):
-    return seq.every_nth(events(spark, d), ["user_id"], ["at_us", "event_id"], 5).select("user_id", "event_id")
+    return seq.every_nth(events(spark, d), ["user_id"], ["at_us", "event_id"], 5, bucket=DAY).select("user_id", "event_id")
 
 
 EVERY_NTH = f"{_EV} SELECT user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY at_us, event_id) - 1 AS k FROM e) WHERE k % 5 = 0"
@@ -153,7 +153,7 @@ STRIDE_SAMPLE = "SELECT event_id, user_id, round(value, 6) AS value FROM events
 
 
 def evenly_spread(spark, d):
-    return seq.evenly_spread(events(spark, d), ["user_id"], ["at_us", "event_id"], 5).select("user_id", "event_id")
+    return seq.evenly_spread(events(spark, d), ["user_id"], ["at_us", "event_id"], 5, bucket=DAY).select("user_id", "event_id")
 
 
 EVENLY_SPREAD = f"""{_EV}, r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY at_us, event_id) - 1 AS k, count(*) OVER (PARTITION BY user_id) AS n FROM e)

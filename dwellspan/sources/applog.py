@@ -63,17 +63,20 @@ def _drop(path: str, messages: list[_Written | None]) -> None:
             os.remove(f"{path}/data/{m.file}")
 
 
-def _publish(path: str, messages: list[_Written | None], name: str | None = None) -> bool:
-    """Make files visible; a named manifest that is there already stands, and the files go."""
+def _publish(path: str, messages: list[_Written | None], name: str | None = None, replaces: bool = False, seen: list[str] | None = None) -> bool:
+    """Make files visible, with replaces in place of those of the manifests seen (all, if not told); a named manifest that is there already stands, and the files go.
+
+    With seen it is an error if another numbered manifest came meanwhile.
+    """
     os.makedirs(f"{path}/commits", exist_ok=True)
     held = [{"file": m.file, "rows": m.rows} for m in messages if m is not None and m.rows]
     draft = f"{path}/commits/.{uuid.uuid4().hex}"
     with open(draft, "w") as out:
-        json.dump({"at": time.time(), "files": held}, out)
+        json.dump({"replaces": (manifests(path) if seen is None else seen) if replaces else [], "files": held}, out)
         out.flush()
         os.fsync(out.fileno())
     try:
-        number = len(os.listdir(f"{path}/commits"))
+        number = _next(manifests(path) if seen is None else seen)
         while True:
             target = f"{path}/commits/{name}.json" if name else f"{path}/commits/{number:012d}.json"
             try:
@@ -83,20 +86,23 @@ def _publish(path: str, messages: list[_Written | None], name: str | None = None
                 if name:
                     _drop(path, messages)
                     return False
+                if seen is not None:
+                    _drop(path, messages)
+                    raise ValueError(f"{path} was changed meanwhile; read it and try again") from None
                 number += 1
     finally:
         os.remove(draft)
 
 
 class _Writer(DataSourceArrowWriter):
-    def __init__(self, path: str) -> None:
-        self.path = path
+    def __init__(self, path: str, replaces: bool, seen: list[str] | None) -> None:
+        self.path, self.replaces, self.seen = path, replaces, seen
 
     def write(self, iterator: Iterator) -> _Written:
         return _put(self.path, iterator)
 
     def commit(self, messages: list[_Written | None]) -> None:
-        _publish(self.path, messages)
+        _publish(self.path, messages, replaces=self.replaces, seen=self.seen)
 
     def abort(self, messages: list[_Written | None]) -> None:
         _drop(self.path, messages)
@@ -117,7 +123,7 @@ class _StreamWriter(DataSourceStreamArrowWriter):
 
 
 class LogSource(DataSource):
-    """Format ``dwellspan_log``: lines (one string column) into a log; option path, and query for streams."""
+    """Format ``dwellspan_log``: lines (one string column) into a log; mode overwrite replaces what it holds. Options path, seen (the manifests that it replaces, as JSON), and query for streams."""
 
     @classmethod
     def name(cls) -> str:
@@ -127,9 +133,7 @@ class LogSource(DataSource):
         return "value string"
 
     def writer(self, schema: T.StructType, overwrite: bool) -> DataSourceArrowWriter:
-        if overwrite:
-            raise ValueError("a log is appended to only")
-        return _Writer(_local(self.options["path"]))
+        return _Writer(_local(self.options["path"]), overwrite, json.loads(self.options.get("seen", "null")))
 
     def streamWriter(self, schema: T.StructType, overwrite: bool) -> DataSourceStreamArrowWriter:  # noqa: N802
         return _StreamWriter(_local(self.options["path"]), self.options["query"])
@@ -232,14 +236,34 @@ def append_stream(stream: DataFrame, path: str, query: str, checkpoint: str):
     return lines.writeStream.format("dwellspan_log").option("path", path).option("query", query).option("checkpointLocation", checkpoint)
 
 
+def manifests(path: str) -> list[str]:
+    folder = f"{_local(path)}/commits"
+    return sorted(n for n in os.listdir(folder) if not n.startswith(".")) if os.path.isdir(folder) else []
+
+
+def _next(names: list[str]) -> int:
+    """The number behind all numbered manifests."""
+    return max((int(n.split(".")[0]) + 1 for n in names if n.split(".")[0].isdigit()), default=0)
+
+
 def committed(path: str) -> list[str]:
     """The files that readers see."""
-    path, out = _local(path), []
-    for name in sorted(os.listdir(f"{path}/commits")) if os.path.isdir(f"{path}/commits") else []:
-        if not name.startswith("."):
-            with open(f"{path}/commits/{name}") as f:
-                out += [f"{path}/data/{x['file']}" for x in json.load(f)["files"]]
-    return out
+    path, held = _local(path), {}
+    for name in manifests(path):
+        with open(f"{path}/commits/{name}") as f:
+            held[name] = json.load(f)
+    gone = {n for found in held.values() for n in found["replaces"]}
+    return [f"{path}/data/{x['file']}" for name, found in held.items() if name not in gone for x in found["files"]]
+
+
+def upsert(new: DataFrame, path: str, keys: tuple[str, ...], schema: T.StructType | str) -> None:
+    """Put rows in place of those of the same keys, keeping their created (``files.upserted``): readers see all of it or nothing, and a writer that comes between makes this one fail."""
+    from .files import upserted
+
+    spark, seen = new.sparkSession, json.dumps(manifests(path))
+    register(spark)
+    whole = upserted(read(spark, path, schema), new, keys)
+    whole.select(F.to_json(F.struct("*")).alias("value")).write.format("dwellspan_log").option("path", path).option("seen", seen).mode("overwrite").save()
 
 
 def read(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

@@ -24,8 +24,6 @@ def test_round_trip_and_empty_writes(spark, tmp_path):
     got = applog.read(spark, path, READINGS)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, _rows(spark, 0, 60).collect()))
     assert len(os.listdir(f"{path}/commits")) == 3
-    with pytest.raises(Exception, match="appended"):
-        _rows(spark, 0, 1).select(F.lit("x").alias("value")).write.format("dwellspan_log").option("path", path).mode("overwrite").save()
 
 
 def test_a_failing_task_leaves_no_row(spark, tmp_path):
@@ -110,3 +108,21 @@ def test_a_file_that_shrinks_is_an_error(tmp_path):
         reader.partitions({"a.jsonl": 12}, reader.latestOffset())
     with pytest.raises(ValueError, match="shared file system"):
         applog.committed("s3://x/y")
+
+
+def test_upserts_replace_all_or_nothing(spark, tmp_path):
+    path, schema = f"{tmp_path}/log", "run string, stage string, created int, v string"
+    rows = lambda *r: spark.createDataFrame(list(r), schema)
+    applog.upsert(rows(("r", "a", 1, "x"), ("r", "b", 1, "y")), path, ("run", "stage"), schema)
+    applog.append(rows(("s", "a", 5, "w")), path)
+    applog.upsert(rows(("r", "b", 9, "z"), ("r", "c", 9, "q")), path, ("run", "stage"), schema)
+    now = lambda: sorted(map(tuple, applog.read(spark, path, schema).collect()))
+    held = [("r", "a", 1, "x"), ("r", "b", 1, "z"), ("r", "c", 9, "q"), ("s", "a", 5, "w")]
+    assert now() == held
+    with pytest.raises(Exception, match="no"):
+        applog.upsert(rows(("r", "b", 9, "t")).withColumn("v", F.raise_error(F.lit("no"))), path, ("run", "stage"), schema)
+    assert now() == held
+    late = applog.LogSource({"path": path, "seen": '["000000000000.json"]'}).writer(None, True)
+    with pytest.raises(ValueError, match="changed meanwhile"):
+        late.commit([late.write(_batch('{"run": "t"}'))])
+    assert now() == held and applog.vacuum(path, 0) >= 2 and now() == held
