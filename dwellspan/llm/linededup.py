@@ -200,17 +200,20 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
             yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], schema.names)
 
     if joined:
+        free = f"held_{max(map(len, names)) * 'x'}"  # no column of docs has this name
+        row_key = F.struct(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("text"))
 
         def held(batches: Iterator) -> Iterator:
             import pyarrow as pa
 
             for batch in batches:
-                pairs = [(i, d) for i, raw in zip(batch.column(0).to_pylist(), _texts(batch, 1), strict=True) for d in {d for d in line_digests(raw, min_chars)[1] if d}]
-                yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.binary())], ["key_doc", "digest"])
+                pairs = [(i, d) for i, raw in enumerate(_texts(batch, 1)) for d in {d for d in line_digests(raw, min_chars)[1] if d}]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([p[0] for p in pairs], pa.int64())), pa.array([p[1] for p in pairs], pa.binary())], ["row", "digest"])
 
-        pairs = map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), held, "key_doc long, digest binary")
-        lists = pairs.join(keys, "digest").groupBy("key_doc").agg(F.collect_set(F.struct("digest", "first_id")).alias("frequent_keys_"))
-        docs = docs.join(lists, docs.doc_id.cast("long").eqNullSafe(lists.key_doc), "left").select(*(docs[f"`{c}`"] for c in names), "frequent_keys_")
+        pairs = map_batches(docs.select(row_key.alias("row"), "text"), held, "row struct<doc: bigint, text: bigint>, digest binary")
+        lists = pairs.join(keys, "digest").groupBy("row").agg(F.collect_set(F.struct("digest", "first_id")).alias("keys"))
+        docs = docs.withColumn(free, row_key)
+        docs = docs.join(lists, docs[free].eqNullSafe(lists["row"]), "left").select(*(docs[f"`{c}`"] for c in names), lists["keys"].alias(free))
     return map_batches(docs, apply, schema)
 
 

@@ -56,6 +56,11 @@ def verdict(rules: tuple[Rule, ...] = RULES) -> Column:
 
 def measured(docs: DataFrame, stop_words: tuple[str, ...] = STOP_WORDS) -> DataFrame:
     """docs with MEASURES added. Every step is a projection; windows that repeat are found by 64-bit hashes within a text."""
+    clash = [c for c in docs.columns if c.lower().startswith("qr_")]
+    if clash:  # the steps' own names; they get theirs back at the end
+        free = f"held_{max(map(len, docs.columns)) * 'x'}_"
+        out = measured(docs.withColumnsRenamed({c: f"{free}{k}" for k, c in enumerate(clash)}), stop_words)
+        return out.withColumnsRenamed({f"{free}{k}": c for k, c in enumerate(clash)})
     names = [c for c in docs.columns if c not in MEASURES]
     own = [F.col(f"`{c}`") for c in names]
     stop = ", ".join(f"'{w}'" for w in stop_words)

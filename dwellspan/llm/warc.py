@@ -98,6 +98,8 @@ def read_record(pieces: Iterator[bytes]) -> tuple[dict[str, str], bytes]:
     length = int(fields["content-length"])
     for piece in pieces:
         held += piece
+        if len(held) > at + 4 + length + 4:
+            raise WarcError("a member goes on behind its record")  # it is not inflated further
     if len(held) != at + 4 + length + 4 or held[-4:] != b"\r\n\r\n":
         raise WarcError("the block's length is not Content-Length")
     return fields, bytes(held[at + 4 : at + 4 + length])

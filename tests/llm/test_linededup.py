@@ -54,6 +54,17 @@ def test_against_brute_force(spark, joined, keep_first):
     assert sorted(((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in out.collect()), key=str) == _brute(ROWS, 10, keep_first)
 
 
+@pytest.mark.parametrize("joined", [False, True])
+def test_any_other_column_and_texts_without_an_id(spark, joined):
+    rows = [(None, f"only {i}\nshared") for i in range(12)] + [(1, "shared\nx"), (1, "y\nshared")]
+    df = spark.createDataFrame([(*r, "k", "d", 7, "h") for r in rows], "doc_id long, text string, frequent_keys_ string, digest string, key_doc int, held_xxxxxxxxxxxxxxxx string").withColumnRenamed("key_doc", "row")
+    out = drop_frequent_lines(df, max_broadcast_keys=0 if joined else 1000)
+    assert out.columns == [*df.columns, "n_lines", "n_dropped"]
+    got = out.collect()
+    assert sorted(r.text for r in got) == sorted([*(f"only {i}" for i in range(12)), "x", "y"])
+    assert {tuple(r)[2:6] for r in got} == {("k", "d", 7, "h")} and {r.n_dropped for r in got} == {1}
+
+
 def test_full_filters_only_cost_suspects(spark, monkeypatch):
     monkeypatch.setattr(linededup, "MIN_BITS", 64 * 8)
     monkeypatch.setattr(linededup, "MAX_BITS", 64 * 8)

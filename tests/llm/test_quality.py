@@ -57,3 +57,13 @@ def test_empty_and_own_rules(spark):
 def test_no_python_in_the_plan(spark, sf_dir):
     plan = op2_quality_rules(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas|Exchange", plan)
+
+
+def test_columns_with_the_names_of_the_steps_stay(spark):
+    df = spark.createDataFrame([(1, "a b " * 30, 5, "m", None, 3), (2, None, 6, "n", "x", 4)], "doc_id long, text string, qr_words int, QR_M string, kept string, n_words int")
+    got = judge(df)
+    assert {"qr_words", "QR_M"} <= set(got.columns)
+    plain = judge(df.select("doc_id", "text")).orderBy("doc_id").collect()
+    for a, b in zip(got.orderBy("doc_id").collect(), plain, strict=True):
+        assert all(a[c] == b[c] for c in plain[0].asDict())
+    assert [(r.qr_words, r.QR_M) for r in got.orderBy("doc_id").collect()] == [(5, "m"), (6, "n")]

@@ -92,3 +92,24 @@ def test_files_and_broken_revisits(spark, tmp_path):
     assert sum(r.record_type == "revisit" for r in got.values()) == 25 and warc.broken_revisits(records).count() == 0
     wrong = records.filter("page_id <> 38").union(spark.createDataFrame([(50, "u", 3, "AAAA", "revisit", 9, None)], records.schema))
     assert {r.page_id for r in warc.broken_revisits(wrong).collect()} == {i for i in range(38) if i % 3} | {50}
+
+
+def test_a_member_that_goes_on_is_refused_before_it_is_inflated():
+    from itertools import chain
+
+    whole = b"WARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    taken = []
+
+    def bomb():
+        for n in range(10_000):
+            taken.append(n)
+            yield bytes(65536)
+
+    with pytest.raises(WarcError, match="goes on"):
+        warc.read_record(chain([whole], bomb()))
+    assert len(taken) == 1
+    with pytest.raises(WarcError):
+        warc.read_record(iter([whole + whole]))
+    assert warc.read_record(iter([whole[:20], whole[20:]]))[1] == b"abc"
+    with pytest.raises(WarcError, match="Content-Length"):
+        warc.read_record(iter([whole[:-1]]))
