@@ -36,57 +36,41 @@ def ledger(obs: DataFrame, keys: Sequence[str], lo: int, hi: int, priority: Sequ
     return intervals.ledger(obs, keys, priority, lo, hi, bucket)
 
 
-class _Best:
-    """Heap entry: the larger payload comes first, nulls last."""
-
-    __slots__ = ("end", "key", "value")
-
-    def __init__(self, value: dict, end: int) -> None:
-        self.value, self.end, self.key = value, end, tuple((x is not None, x) for x in value.values())
-
-    def __lt__(self, other: _Best) -> bool:
-        for (a, x), (b, y) in zip(self.key, other.key, strict=True):
-            if a != b:
-                return a
-            if a and x != y:
-                return x > y
-        return False
-
-
-def _swept(rows: Iterator[tuple[int, int, dict | None, bool]]) -> Iterator[tuple[int, int, dict | None]]:
-    """Pieces (start, end, payload) of cells from rows (start, end, payload, is_cell) of one class by start: n log n for n rows.
+def _swept(rows: Iterator[tuple[int, int, int | None, dict | None]]) -> Iterator[tuple[int, int, dict | None]]:
+    """Pieces (start, end, payload) of cells from rows (start, end, place, payload) of one class by start: n log n for n rows. The open observation of the least place is the best one; cells have no place.
 
     Cells don't overlap. Time moves to each row's start; between two starts the best open observation holds.
     """
-    heap: list[_Best] = []
+    heap: list[tuple[int, int, dict]] = []
     cell: list[int] | None = None  # what is left of the cell
     now = None
 
     def until(stop: float) -> Iterator[tuple[int, int, dict | None]]:
         nonlocal now, cell
         while now is not None and now < stop:
-            while heap and heap[0].end <= now:
+            while heap and heap[0][1] <= now:
                 heapq.heappop(heap)
             if cell is not None and cell[1] <= now:
                 cell = None
             if cell is None and not heap:
                 now = None if stop == math.inf else stop
                 return
-            ends = [stop] + ([heap[0].end] if heap else []) + ([cell[1]] if cell else [])
+            ends = [stop] + ([heap[0][1]] if heap else []) + ([cell[1]] if cell else [])
             upto = min(ends)
             if upto == math.inf:
                 return
             if cell is not None:
-                yield max(now, cell[0]), int(upto), heap[0].value if heap else None
+                yield max(now, cell[0]), int(upto), heap[0][2] if heap else None
             now = upto
 
-    for start, end, value, is_cell in rows:
-        yield from until(start)
+    for start, end, place, value in rows:
+        if now is None or now < start:
+            yield from until(start)
         now = start
-        if is_cell:
+        if place is None:
             cell = [start, end]
         else:
-            heapq.heappush(heap, _Best(value, end))
+            heapq.heappush(heap, (place, end, value))
     yield from until(math.inf)
 
 
@@ -100,7 +84,9 @@ def with_payload(cells: DataFrame, obs: DataFrame, keys: Sequence[str], payload:
     own = intervals.spread(obs.select(*keys, "status", "start_us", "end_us", span.alias("p")), bucket)
     cut = intervals.spread(cells.select(*keys, "status", "start_us", "end_us"), bucket)
     group = [*keys, "status", "bucket"]
-    rows = own.select(*group, "start_us", "end_us", F.lit(False).alias("is_cell"), "p").union(cut.select(*group, "start_us", "end_us", F.lit(True).alias("is_cell"), F.lit(None).cast(own.schema["p"].dataType).alias("p")))
+    # observations are ranked by Spark, larger first and nulls last, so that the sweep compares numbers only
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(*(F.desc_nulls_last(f"p.{c}") for c in (order, *payload))))
+    rows = own.select(*group, "start_us", "end_us", place.alias("place"), "p").union(cut.select(*group, "start_us", "end_us", F.lit(None).cast("int").alias("place"), F.lit(None).cast(own.schema["p"].dataType).alias("p")))
     schema = rows.select(*group, "start_us", "end_us", "p").schema
     n = len(group)
 
@@ -117,7 +103,7 @@ def with_payload(cells: DataFrame, obs: DataFrame, keys: Sequence[str], payload:
         out: list[list] = [[] for _ in schema]
         for key, run in itertools.groupby(stream(), key=lambda r: r[:n]):
             last = None
-            for start, end, value in _swept((r[n], r[n + 1], r[n + 3], r[n + 2]) for r in run):
+            for start, end, value in _swept(r[n:] for r in run):
                 if last is not None and last[1] == start and last[2] == value:
                     last[1] = end
                     out[n + 1][-1] = end
@@ -131,7 +117,7 @@ def with_payload(cells: DataFrame, obs: DataFrame, keys: Sequence[str], payload:
         if out[0]:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, arrow, strict=True)], schema=arrow)
 
-    pieces = rows.repartition(*group).sortWithinPartitions(*group, "start_us", "is_cell").mapInArrow(sweep, schema)
+    pieces = rows.repartition(*group).sortWithinPartitions(*group, "start_us", F.asc_nulls_last("place")).mapInArrow(sweep, schema)
     whole = intervals.join_across(pieces, keys, ["status", "p"], bucket)
     return whole.select(*keys, "start_us", "end_us", "status", F.col(f"p.{order}").alias(order), *(F.col(f"p.{c}").alias(c) for c in payload))
 
