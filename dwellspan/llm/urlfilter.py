@@ -4,7 +4,8 @@ An array holds the sorted 64-bit xxhash of each key and the keys themselves. Pro
 looked up by one binary search for a whole batch; a hit counts only if the stored string
 equals the probe, so collisions do no harm. The files lie in the shared folder, go to executors once, by
 Spark's file service, and are mapped, not loaded; ``MAX_FILE_BYTES`` bounds them. Long lists come from a Parquet table of
-urls by its path and are ordered by digest, as arrays.
+urls by its path. Spark measures such a list first: one of more than ``MAX_DRIVER_BYTES`` never reaches the driver, but is dealt by url in shards, of each
+of which a task makes an array, and the urls to be judged, each distinct one once, meet their shard's array in blocks of bounded size.
 
 A rule is a host and a path: it fits that host and its subdomains where the url's path starts with
 the rule's. The longest fitting rule wins; of equally long ones that of the longer host. Urls that no
@@ -24,8 +25,9 @@ from collections.abc import Iterable, Iterator
 
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .common import map_batches, own_dir, table
+from .common import map_batches, own_dir, table, written
 
 #: verdict, host, path; the longest fitting one wins.
 RULES = (
@@ -37,6 +39,8 @@ RULES = (
 )
 BLOCKED_URLS = ("http://malware.example.net/", "https://malware.example.net/", "http://phishing.example.net/login", "https://phishing.example.net/login")
 MAX_FILE_BYTES = 2**31
+#: Lists in tables that are longer than this are sharded; shards have about so many bytes, and blocks of probes so many urls.
+MAX_DRIVER_BYTES, SHARD_BYTES, BLOCK_PROBES = 2**26, 2**24, 200_000
 PART_BYTES = 2**24
 PARTS = r"://([^/?#]*)([^?#]*)"
 VERDICTS = "page_id long, host string, path string, rule string, verdict string"
@@ -48,11 +52,16 @@ def _slices(strings) -> Iterator:
 
 
 class DigestArray:
-    """Keys as a sorted array of digests, with the strings beside it, in one file."""
+    """Keys as a sorted array of digests, with the strings beside it, in one file (a path) or in memory (its bytes)."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str | bytes) -> None:
         import numpy as np
 
+        if isinstance(path, bytes):
+            n = int(np.frombuffer(path, "<u8", 1)[0])
+            self.digests, self.ends = np.frombuffer(path, "<u8", n, 8), np.frombuffer(path, "<u8", n + 1, 8 + 8 * n)
+            self.strings = np.frombuffer(path, np.uint8, int(self.ends[-1]), 16 + 16 * n)
+            return
         n = int(np.fromfile(path, "<u8", 1)[0])
         self.digests = np.memmap(path, "<u8", "r", 8, (n,)) if n else np.empty(0, "<u8")
         self.ends = np.memmap(path, "<u8", "r", 8 + 8 * n, (n + 1,))
@@ -154,10 +163,40 @@ def listed_urls(spark: SparkSession, urls: str | Iterable[str]) -> Iterable:
 
     if not isinstance(urls, str):
         return [pa.array([*urls], pa.string())]
-    table_ = spark.read.parquet(urls).select("url").toArrow()
-    if table_.nbytes > MAX_FILE_BYTES:
-        raise ValueError(f"the list at {urls} is longer than {MAX_FILE_BYTES} bytes; split it and filter in turns")
-    return table_.column(0).chunks
+    return spark.read.parquet(urls).select("url").toArrow().column(0).chunks
+
+
+def list_bytes(spark: SparkSession, path: str) -> int:
+    """About what the list at a path takes as an array."""
+    return spark.read.parquet(path).agg(F.sum(F.octet_length("url") + 16)).first()[0] or 0
+
+
+def blocked_among(urls: DataFrame, path: str, size: int) -> DataFrame:
+    """The distinct urls of urls (url) that the list at a path, of about size bytes, holds; neither side passes the driver, nor a task as a whole."""
+    shards = max(1, -(-size // SHARD_BYTES))
+    shard = F.pmod(F.xxhash64("url"), F.lit(shards)).cast("int")
+
+    def build(own):
+        import pyarrow as pa
+
+        return pa.table({"shard": own.column("shard").slice(0, 1), "content": pa.array([b"".join(DigestArray.content(own.column("url").chunks))], pa.binary())})
+
+    def probe(own, arrays):
+        import pyarrow as pa
+
+        if not own.num_rows or not arrays.num_rows:
+            return pa.table({"url": pa.array([], pa.string())})
+        urls = own.column("url").to_pylist()
+        hits = DigestArray(arrays.column("content")[0].as_py()).holds([u.encode() for u in urls])
+        return pa.table({"url": pa.array([u for u, hit in zip(urls, hits, strict=True) if hit], pa.string())})
+
+    listed = urls.sparkSession.read.parquet(path).select("url").where("url is not null").distinct().withColumn("shard", shard)
+    arrays = listed.groupBy("shard").applyInArrow(build, "shard int, content binary")
+    probes = written(urls.where("url is not null").select("url").distinct(), "probes")
+    blocks = max(1, -(-probes.count() // (shards * BLOCK_PROBES)))
+    probes = probes.withColumns({"shard": shard, "block": F.pmod(F.xxhash64("url", F.lit(1)), F.lit(blocks)).cast("int")})
+    arrays = arrays.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    return probes.groupBy("shard", "block").cogroup(arrays.groupBy("shard", "block")).applyInArrow(probe, "url string")
 
 
 def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, blocked_urls: str | Iterable[str] = BLOCKED_URLS) -> DataFrame:
@@ -165,8 +204,10 @@ def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES
     import pyarrow as pa
 
     spark = pages.sparkSession
+    size = list_bytes(spark, blocked_urls) if isinstance(blocked_urls, str) else 0
+    sharded = size > MAX_DRIVER_BYTES
     allowed, blocked = (_shared(spark, [pa.array([f"{h}\n{p}" for v, h, p in rules if v == verdict], pa.string())]) for verdict in ("allow", "block"))
-    listed = _shared(spark, listed_urls(spark, blocked_urls))
+    listed = _shared(spark, [] if sharded else listed_urls(spark, blocked_urls))
     host_lengths, path_lengths = (tuple(sorted({len(r[k]) for r in rules if r[1]})) for k in (1, 2))
 
     def judge(batches: Iterator) -> Iterator:
@@ -175,7 +216,7 @@ def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES
         from xxhash import xxh64_intdigest
 
         allow, block, urls_blocked = (DigestArray(SparkFiles.get(x)) for x in (allowed, blocked, listed))
-        names = [x.split()[0] for x in VERDICTS.split(", ")]
+        names = [x.split()[0] for x in VERDICTS.split(", ")] + ["url"] * sharded
         for batch in batches:
             urls = batch.column(1).to_pylist()
             parts = [split_url(u) for u in urls]
@@ -193,9 +234,14 @@ def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES
             rest = [k for k, v in enumerate(verdict) if v is None]
             for k, hit in zip(rest, urls_blocked.holds([(urls[k] or "").encode() for k in rest]), strict=True):
                 verdict[k] = "block" if hit else "allow"
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([h for h, _ in parts], pa.string()), pa.array([p for _, p in parts], pa.string()), pa.array(rule, pa.string()), pa.array(verdict, pa.string())], names)
-
-    return map_batches(pages.select("page_id", "url"), judge, VERDICTS)
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([h for h, _ in parts], pa.string()), pa.array([p for _, p in parts], pa.string()), pa.array(rule, pa.string()), pa.array(verdict, pa.string()), *[batch.column(1)] * sharded], names)
+
+    if not sharded:
+        return map_batches(pages.select("page_id", "url"), judge, VERDICTS)
+    judged = written(map_batches(pages.select("page_id", "url"), judge, f"{VERDICTS}, url string"), "judged")
+    hits = blocked_among(judged.where("rule is null").select("url"), blocked_urls, size).withColumn("hit", F.lit(True))
+    both = judged.join(hits, "url", "left")  # a url that many pages share is split by Spark's handling of skewed joins
+    return both.select("page_id", "host", "path", "rule", F.when(F.col("rule").isNull() & F.col("hit"), "block").otherwise(F.col("verdict")).alias("verdict"))
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,3 +75,28 @@ def test_all_keys_of_one_digest_are_kept_once(tmp_path, monkeypatch):
     DigestArray.write(path, [b"aa", b"bb", b"aa", b"c", b"bb", b"dd"])
     array = DigestArray(path)
     assert len(array.digests) == 4 and array.holds([b"aa", b"bb", b"dd", b"ee", b"c", b"d"]) == [True, True, True, False, True, False]
+
+
+def test_a_list_too_long_for_the_driver_is_sharded(spark, tmp_path, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from dwellspan.llm import urlfilter
+
+    monkeypatch.setattr(urlfilter, "MAX_DRIVER_BYTES", 1000)
+    monkeypatch.setattr(urlfilter, "SHARD_BYTES", 2**20)
+    monkeypatch.setattr(urlfilter, "BLOCK_PROBES", 50)
+    monkeypatch.setattr(DataFrame, "toArrow", lambda self: pytest.fail("the list reaches the driver"))
+    n, path = 200_000, str(tmp_path / "listed")
+    spark.range(n).selectExpr("concat('http://listed.net/', id) as url").union(spark.createDataFrame([("http://listed.net/5",), (None,), ("",), ("http://EXAMPLE.org/",)], "url string")).write.parquet(path)
+    assert urlfilter.list_bytes(spark, path) > 5 * 2**20
+    urls = [*URLS, *(f"http://listed.net/{k}" for k in (0, n - 1, n, "x")), *["http://listed.net/5"] * 5000, *(f"http://other.net/{k}" for k in range(3000))]
+    df = spark.createDataFrame([*enumerate(urls), (None, "http://listed.net/7")], "page_id long, url string")
+    got = judge_urls(df, blocked_urls=path).collect()
+    assert sorted(r.page_id for r in got if r.page_id is not None) == list(range(len(urls)))
+    for r in got:
+        url = "http://listed.net/7" if r.page_id is None else urls[r.page_id]
+        host, path_, rule, verdict = _brute(url)
+        held = url is not None and (url == "" or (url.startswith("http://listed.net/") and url[18:].isdigit() and int(url[18:]) < n))
+        assert (r.host, r.path, r.rule) == (host, path_, rule)
+        assert r.verdict == (verdict if rule else "block" if held else "allow"), url
+    assert judge_urls(df.limit(0), blocked_urls=path).count() == 0
