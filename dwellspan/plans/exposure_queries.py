@@ -207,7 +207,7 @@ def _partners(spark, d):
     """Nations as partners, order priorities as surfaces that share three sources, order totals as seconds."""
     nations = table(spark, d, "nation")
     surfaces = spark.createDataFrame([("board", 1, "s0"), ("band", 2, "s0"), ("field", 3, "s1"), ("screen", 4, "s2")], "surface string, surface_pos int, source string")
-    entitled = nations.filter("n_nationkey < 20").crossJoin(F.broadcast(surfaces)).filter("(n_nationkey + surface_pos) % 3 <> 0").select(F.col("n_name").alias("partner"), "surface", "surface_pos", "source")
+    entitled = nations.crossJoin(F.broadcast(surfaces)).filter("(n_nationkey + surface_pos) % 3 <> 0").select(F.col("n_name").alias("partner"), "surface", "surface_pos", "source")
     customers = table(spark, d, "customer").join(F.broadcast(nations), F.col("c_nationkey") == F.col("n_nationkey"))
     orders = table(spark, d, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
     measured = orders.filter("o_orderstatus = 'F' or o_orderkey % 3 <> 2").groupBy(F.col("n_name").alias("partner"), F.concat(F.lit("s"), F.col("o_orderkey") % 3).alias("source")).agg(F.count("*").cast("double").alias("seconds"))
@@ -216,7 +216,7 @@ def _partners(spark, d):
 
 
 _PARTNERS = """WITH f(surface, surface_pos, source) AS (VALUES ('board', 1, 's0'), ('band', 2, 's0'), ('field', 3, 's1'), ('screen', 4, 's2')),
-entitled AS (SELECT n_name AS partner, f.* FROM nation, f WHERE n_nationkey < 20 AND (n_nationkey + surface_pos) % 3 <> 0),
+entitled AS (SELECT n_name AS partner, f.* FROM nation, f WHERE (n_nationkey + surface_pos) % 3 <> 0),
 measured AS (SELECT n_name AS partner, 's' || (o_orderkey % 3) AS source, count(*)::DOUBLE AS seconds FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_orderstatus = 'F' OR o_orderkey % 3 <> 2 GROUP BY ALL),
 tally AS (SELECT n_name AS partner, 'field' AS surface, n_nationkey * 2.0::DOUBLE AS seconds FROM nation WHERE n_nationkey % 5 = 0),
 r AS (SELECT e.*, t.seconds AS hand, m.seconds AS auto FROM entitled e LEFT JOIN measured m USING (partner, source) LEFT JOIN tally t USING (partner, surface)),

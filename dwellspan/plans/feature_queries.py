@@ -83,16 +83,16 @@ round(greatest(l_discount / 0.25, l_tax / 0.12, l_discount * l_tax / 0.042), 6)
 
 
 def cost_plan(spark, d):
-    """The twenty longest texts as calls, with their tokens and price."""
+    """Texts as calls, with their tokens and price."""
     prices = {"small": (1.0, 5.0), "large": (5.0, 25.0)}
-    docs = table(spark, d, "documents").orderBy(F.desc("n_chars"), "doc_id").limit(20)
+    docs = table(spark, d, "documents")
     model = F.when(F.col("doc_id") % 2 == 0, "small").otherwise("unknown")
     tokens = rules.call_tokens(F.lit(640), F.lit(360), F.col("n_chars"))
     p = rules.price(model, prices)
     return docs.select("doc_id", long(tokens, "tokens"), rounded(tokens / 1e6 * p["input"] + 150 / 1e6 * p["output"], "cost", 9))
 
 
-COST_PLAN = """WITH t AS (SELECT doc_id, (floor(640 * 360 / 750.0) + floor(n_chars / 4.0))::BIGINT AS tokens FROM documents ORDER BY n_chars DESC, doc_id LIMIT 20)
+COST_PLAN = """WITH t AS (SELECT doc_id, (floor(640 * 360 / 750.0) + floor(n_chars / 4.0))::BIGINT AS tokens FROM documents)
 SELECT doc_id, tokens, round(tokens / 1e6::DOUBLE * CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 5 END + 150 / 1e6::DOUBLE * CASE WHEN doc_id % 2 = 0 THEN 5 ELSE 25 END, 9) AS cost FROM t"""
 
 

@@ -114,13 +114,13 @@ ANCHORS = "SELECT o_orderkey, o_orderkey % 500 AS shot, box, c_name FROM (SELECT
 def frames_with_detections(spark, d):
     """Frames of events met with detections of the same order number: those without go, or keep a null."""
     e = events(spark, d).select("event_id", F.col("event_id").alias("frame"))
-    dets = table(spark, d, "lineitem").filter("l_linenumber = 1").select(F.col("l_orderkey").alias("frame"), (F.col("l_quantity") / 50).alias("conf"), F.when(F.col("l_returnflag") != "R", F.col("l_returnflag")).alias("band"))
+    dets = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("frame"), (F.col("l_quantity") / 50).alias("conf"), F.when(F.col("l_returnflag") != "R", F.col("l_returnflag")).alias("band"))
     both = e.join(dets, "frame", "left").withColumn("found", F.col("conf").isNotNull())
     sure = e.join(records.readable(dets), "frame").groupBy().agg(F.count("*").alias("n_sure"))
     return both.groupBy("found", "band").agg(F.count("*").alias("n")).crossJoin(F.broadcast(sure))
 
 
-FRAMES_WITH_DETECTIONS = """WITH d AS (SELECT l_orderkey AS frame, l_quantity / 50 AS conf, CASE WHEN l_returnflag <> 'R' THEN l_returnflag END AS band FROM lineitem WHERE l_linenumber = 1)
+FRAMES_WITH_DETECTIONS = """WITH d AS (SELECT l_orderkey AS frame, l_quantity / 50 AS conf, CASE WHEN l_returnflag <> 'R' THEN l_returnflag END AS band FROM lineitem)
 SELECT conf IS NOT NULL AS found, band, count(*) AS n, (SELECT count(*) FROM events JOIN d ON frame = event_id WHERE band IS NOT NULL AND conf >= 0.55) AS n_sure FROM events LEFT JOIN d ON frame = event_id GROUP BY ALL"""
 
 
@@ -421,7 +421,7 @@ UNION ALL SELECT * FROM f"""
 
 def box_sources(spark, d):
     """Boxes of a frame, of the record or of the whole band, and the size and brightness that follow."""
-    b = _boxes(spark, d).filter("l_linenumber <= 4")
+    b = _boxes(spark, d)
     own = geo.rectangle(F.col("x"), F.col("y"), F.col("x") + F.col("w"), F.col("y") + F.col("h"))
     poly_type = "map<string,array<array<struct<x:double,y:double>>>>"
     by_frame = F.when(F.col("l_linenumber") < 3, F.create_map(F.lit("1"), F.array(own, own))).cast(poly_type)
@@ -432,7 +432,7 @@ def box_sources(spark, d):
     return rows.select("l_orderkey", "l_linenumber", "c.area_source", long(F.size("c.polys"), "n_panels"), sane.alias("sane"), rounded(geo.center_distance(F.col("x") + F.col("w") / 2, F.col("y") + F.col("h") / 2, F.lit(W), F.lit(H)), "dist_center"), rounded(light, "brightness_rel", 9), geo.in_polygon(F.col("own"), F.col("x") + F.col("l_linenumber") * 40, F.col("y") + 5).alias("inside"))
 
 
-BOX_SOURCES = f"""{_BOXES}, c AS (SELECT *, l_linenumber = 1 AS f, l_orderkey % 3 = 0 AS o, l_orderkey % 2 = 0 AS band FROM b WHERE l_linenumber <= 4)
+BOX_SOURCES = f"""{_BOXES}, c AS (SELECT *, l_linenumber = 1 AS f, l_orderkey % 3 = 0 AS o, l_orderkey % 2 = 0 AS band FROM b)
 SELECT l_orderkey, l_linenumber, CASE WHEN f OR o THEN 'box' WHEN band THEN 'whole_band' ELSE 'none' END AS area_source, (CASE WHEN f THEN 2 WHEN o OR band THEN 1 ELSE 0 END)::BIGINT AS n_panels,
 x + w > 0 AND y + h > 0 AND x < {W} AND y < {H} AND w * h <= 12000 AND w * h >= 750 AS sane, round(sqrt((x + w / 2 - {W / 2}) ** 2 + (y + h / 2 - {H / 2}) ** 2) / (sqrt({W}::DOUBLE ** 2 + {H}::DOUBLE ** 2) / 2), 6) AS dist_center,
 round((0.299 * (x % 256) + 0.587 * (y % 256) + 0.114 * (w % 256)) / greatest(h, 1e-6), 9) AS brightness_rel, l_linenumber * 40 < w AND h > 5 AS inside FROM c"""
@@ -461,7 +461,7 @@ CASE WHEN kind = 0 AND l_orderkey % 2 = 0 THEN 10.0::DOUBLE END AS box_x1, kind
 
 def band_outlines(spark, d):
     """A band between a line and its upper edge, its area, tiles along it, and a box of its strip put back on it."""
-    b = _boxes(spark, d).filter("l_linenumber = 1").select("l_orderkey", F.array((F.col("l_orderkey") % 20 / 1000), F.col("y") + 200).alias("coef"), F.array((F.col("x") % 300).cast("int"), (F.col("x") % 300 + 400 + F.col("w")).cast("int")).alias("span"), (F.col("h") / 4).alias("tall"))
+    b = _boxes(spark, d).select("l_orderkey", F.array((F.col("l_orderkey") % 20 / 1000), F.col("y") + 200).alias("coef"), F.array((F.col("x") % 300).cast("int"), (F.col("x") % 300 + 400 + F.col("w")).cast("int")).alias("span"), (F.col("h") / 4).alias("tall"))
     clamp = F.array(F.lit(1.0), F.lit(1.0))
     out = b.withColumn("poly", geo.band_outline(F.col("coef"), F.col("span"), F.col("coef")[1], clamp, F.col("tall"))).withColumn("tiles", geo.tiles(F.col("span")[0], F.col("span")[1], F.col("tall")))
     strip = F.array(F.struct(F.lit(0).alias("y0"), F.lit(40).alias("h"), F.lit(500).alias("w"), F.lit(0).alias("x_off")), F.struct(F.lit(50).alias("y0"), F.lit(40).alias("h"), F.lit(500).alias("w"), F.lit(500).alias("x_off")))
@@ -469,7 +469,7 @@ def band_outlines(spark, d):
     return out.select("l_orderkey", rounded(geo.area(F.col("poly")), "area", 3), long(F.size("tiles"), "n_tiles"), long(F.element_at("tiles", -1)["x1"], "last"), rounded(geo.boundary_y(F.lit(100.0), F.col("coef")), "y100"), rounded(box["x1"], "x1"), rounded(box["x2"], "x2"), rounded(box["v1"], "v1"), rounded(box["v2"], "v2"))
 
 
-BAND_OUTLINES = f"""{_BOXES}, c AS (SELECT l_orderkey, l_orderkey % 20 / 1000.0::DOUBLE AS a, y + 200 AS b, (x % 300)::BIGINT AS x0, (x % 300 + 400 + w)::BIGINT AS x1, h / 4 AS tall FROM b WHERE l_linenumber = 1),
+BAND_OUTLINES = f"""{_BOXES}, c AS (SELECT l_orderkey, l_orderkey % 20 / 1000.0::DOUBLE AS a, y + 200 AS b, (x % 300)::BIGINT AS x0, (x % 300 + 400 + w)::BIGINT AS x1, h / 4 AS tall FROM b),
 t AS (SELECT *, greatest(1, round(tall * 6)::BIGINT) AS wide FROM c), s AS (SELECT *, greatest(1, round(wide * 0.7::DOUBLE)::BIGINT) AS step FROM t)
 SELECT l_orderkey, round(tall * (x1 - x0), 3) AS area, (x1 - 1 - x0) // step + 1 AS n_tiles, least(x1, x0 + (x1 - 1 - x0) // step * step + wide) AS last, round(a * 100 + b, 6) AS y100, round(250.0::DOUBLE + x0, 6) AS x1, round(375.0::DOUBLE + x0, 6) AS x2, 0.25::DOUBLE AS v1, 1.0::DOUBLE AS v2 FROM s"""
 

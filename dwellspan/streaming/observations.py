@@ -76,24 +76,37 @@ def read_log(spark, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/b*")
 
 
+def _earlier(spark, path: str, batch_id: int) -> list:
+    """Folders of batches before this one, the last one first."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(folder):
+        return []
+    found = [f.getPath() for f in store.listStatus(folder) if f.getPath().getName()[1:].isdigit() and int(f.getPath().getName()[1:]) < batch_id]
+    return sorted(found, key=lambda p: p.getName(), reverse=True)
+
+
 def split_late(path: str, late_path: str, at: str, delay_s: int):
     """A foreachBatch function that puts rows behind the largest time so far minus delay_s into a table of their own, so that none is lost silently.
 
-    Each batch leaves its largest time beside its rows, so a restarted query, or a batch that is replayed, is split as it was at first.
+    Each batch leaves the largest time up to its end beside its rows, so a restarted query, or a batch that is replayed, is split as it was at first; it
+    reads the mark of the batch before only, and older ones go.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        from ..sources.files import exists
-
         spark, marks = batch.sparkSession, f"{late_path}_marks"
         batch = batch.persist()
         try:
-            seen = spark.read.schema("mark long, batch_id long").parquet(f"{marks}/b*").filter(F.col("batch_id") < batch_id).agg(F.max("mark")).first()[0] if exists(spark, marks) else None
+            before = _earlier(spark, marks, batch_id)
+            seen = spark.read.schema("mark long").parquet(before[0].toString()).first() if before else None
+            seen = seen and seen.mark
             times = F.unix_seconds(F.col(at).cast("timestamp"))
             late = F.lit(False) if seen is None else F.coalesce(times < seen - delay_s, F.lit(False))
             batch.filter(~late).write.mode("overwrite").parquet(f"{path}/b{batch_id:09d}")
             batch.filter(late).write.mode("overwrite").parquet(f"{late_path}/b{batch_id:09d}")
-            batch.agg(F.max(times).alias("mark")).select("mark", F.lit(batch_id).cast("long").alias("batch_id")).write.mode("overwrite").parquet(f"{marks}/b{batch_id:09d}")
+            batch.agg(F.greatest(F.max(times), F.lit(seen).cast("long")).alias("mark")).write.mode("overwrite").parquet(f"{marks}/b{batch_id:09d}")
+            for old in before[1:]:
+                old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
         finally:
             batch.unpersist()
 

@@ -109,6 +109,12 @@ def test_running_union_and_late_rows(spark, tmp_path, sf_dir):
     write(first, 0)
     write(e.join(first.select("event_id"), "event_id", "left_anti").select(*e.columns), 1)
     assert stream.read_log(spark, on_time).count() + stream.read_log(spark, late).count() == 1000 and stream.read_log(spark, late).count() > 400
+    again = [stream.read_log(spark, p).count() for p in (on_time, late)]
+    write(e.join(first.select("event_id"), "event_id", "left_anti").select(*e.columns), 1)  # the last batch once more
+    for n in (2, 3, 3):  # empty batches
+        write(e.limit(0), n)
+    assert [stream.read_log(spark, p).count() for p in (on_time, late)] == again
+    assert len(list((tmp_path / "late_marks").glob("b*"))) <= 3
     keep = stream.keep_last(str(tmp_path / "log"), ["user_id"], "event_id")
     keep(e.limit(10), 0)
     keep(e.limit(10), 0)  # a replay
