@@ -81,11 +81,15 @@ def _digest(seed: int, key: str):
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
 
 
-def nearest_centre(vector: str, centres: Sequence[Sequence[int]]):
-    """A struct of the squared distance and the number of the nearest of some centres, the first of equally near ones; all are integers."""
-    listed = F.array(*(F.array(*(F.lit(x).cast("long") for x in c)) for c in centres))
+def with_nearest(points: DataFrame, vector: str, centres: Sequence[Sequence[int]], name: str = "near_") -> DataFrame:
+    """points with a struct of the squared distance and the number of the nearest of some centres, the first of equally near ones; all are integers.
+
+    The centres come as one row of a table, so that rounds share their compiled code.
+    """
+    held = points.sparkSession.createDataFrame([([list(c) for c in centres],)], "centres_ array<array<bigint>>")
     off = lambda c: F.aggregate(F.zip_with(vector, c, lambda a, b: (a - b) * (a - b)), F.lit(0).cast("long"), lambda acc, x: acc + x)
-    return F.array_min(F.transform(listed, lambda c, i: F.struct(off(c).alias("distance"), i.alias("cluster"))))
+    near = F.array_min(F.transform("centres_", lambda c, i: F.struct(off(c).alias("distance"), i.alias("cluster"))))
+    return points.crossJoin(F.broadcast(held)).withColumn(name, near).drop("centres_")  # one row
 
 
 def minibatch_centres(points: DataFrame, key: str, vector: str, k: int, batches: int = 4, epochs: int = 2, seed: int = 0) -> list[list[int]]:
@@ -103,7 +107,7 @@ def minibatch_centres(points: DataFrame, key: str, vector: str, k: int, batches:
     number = F.coalesce(F.conv(F.substring(_digest(seed, key), 1, 8), 16, 10).cast("long") % batches, F.lit(0))
     dealt = cut(points.select(number.cast("int").alias("batch_"), vector), "batch_")
     for turn in range(epochs * batches):
-        own = dealt.filter(F.col("batch_") == turn % batches).withColumn("cluster_", nearest_centre(vector, centres)["cluster"])
+        own = with_nearest(dealt.filter(F.col("batch_") == turn % batches), vector, centres).withColumn("cluster_", F.col("near_.cluster"))
         sums = own.groupBy("cluster_").agg(F.count("*").alias("n"), *(F.sum(F.col(vector)[i].cast("decimal(38,0)")).alias(f"s{i}") for i in range(size)))
         for r in sums.collect():
             c = r["cluster_"]
@@ -126,7 +130,7 @@ def minibatch_kmeans(df: DataFrame, key: str, vector: str, k: int, batches: int
     centres = minibatch_centres(points, key, vector, k, batches, epochs, seed)
     if not centres:
         return points.select(key, F.lit(0).alias("cluster"), F.lit(0).cast("long").alias("distance"))
-    return points.withColumn("near_", nearest_centre(vector, centres)).select(key, "near_.cluster", "near_.distance")
+    return with_nearest(points, vector, centres).select(key, "near_.cluster", "near_.distance")
 
 
 def cluster_summary(clustered: DataFrame, keys: Sequence[str], at: str, period: float, name: str = "cluster") -> DataFrame:
