@@ -147,17 +147,19 @@ def unknown_clusters(hits: DataFrame, keys: Sequence[str], index: DataFrame, min
     """Candidate names among unmatched strings: keys, name, norm, seconds, frames, mean_conf, sim_to_listed, promoted, rejected_for.
 
     hits: keys, norm, text, conf, frame, seconds (what a frame stands for). Strings of a key are
-    clustered once each; counts and sums stay in Spark.
+    clustered once each; counts and sums stay in Spark. Hits are never broadcast: repeated strings make small files, by which Spark
+    would take millions of them for a small table. So spellings are counted before they meet their leader, and frames meet it by a merge.
     """
     distinct = hits.groupBy(*keys, "norm").agg(F.max("conf").alias("conf"))
-    led = hits.join(leaders(distinct, keys), [*keys, "norm"])
-    frames = led.select(*keys, "lead", "frame", "seconds").distinct().groupBy(*keys, "lead").agg(F.sum("seconds").alias("seconds"), F.count("*").alias("frames"))
-    spelled = led.groupBy(*keys, "lead", "text").agg(F.count("*").alias("n"), F.max("conf").alias("c"))
-    name = spelled.groupBy(*keys, "lead").agg(F.max_by("text", F.struct("n", "c", "text")).alias("name"))
-    conf = led.groupBy(*keys, "lead").agg(F.avg("conf").alias("mean_conf"))
-
-    on = [*keys, "lead"]
-    out = frames.join(name, on).join(conf, on).withColumn("a", norm_name(F.col("name")))
+    led = cut(leaders(distinct, keys))
+    own = hits.select(*keys, "norm", "frame", "seconds").hint("merge").join(led, [*keys, "norm"])
+    frames = own.select(*keys, "lead", "frame", "seconds").distinct().groupBy(*keys, "lead").agg(F.sum("seconds").alias("seconds"), F.count("*").alias("frames"))
+    counted = hits.groupBy(*keys, "norm", "text").agg(F.count("*").alias("n"), F.max("conf").alias("c"), F.sum("conf").alias("sum"), F.count("conf").alias("known"))
+    sums = [F.sum(x).alias(x) for x in ("n", "sum", "known")]
+    spelled = counted.hint("merge").join(led, [*keys, "norm"]).groupBy(*keys, "lead", "text").agg(F.max("c").alias("c"), *sums)
+    name = spelled.groupBy(*keys, "lead").agg(F.max_by("text", F.struct("n", "c", "text")).alias("name"), F.try_divide(F.sum("sum"), F.sum("known")).alias("mean_conf"))
+
+    out = cut(frames.hint("merge").join(name, [*keys, "lead"]).withColumn("a", norm_name(F.col("name"))))
     near = closest(out.select("a"), index.select(F.col("norm").alias("b")), Held(LOOSE_CONTAINED))
     out = out.join(near, "a").drop("a").withColumnRenamed("fit", "sim_to_listed")
     digits = F.regexp_count("lead", F.lit("[0-9]")) / F.greatest(F.length("lead"), F.lit(1))

@@ -90,6 +90,19 @@ def test_unknown_names_recur(spark):
     assert [r.name for r in resolve.resolve(tokens, index).orderBy("token").collect()] == [None, None, "Heineken", "Heineken"]
 
 
+def test_hits_are_not_broadcast(spark, tmp_path):
+    """Repeated strings make a file far below the limit for broadcasts, but as rows they would be too many for a driver."""
+    spark.range(1_500_000).selectExpr("id % 2 as run", "concat('WORD', id % 3 * 1111) as norm", "concat('word', id % 3 * 1111) as text", "0.9D as conf", "id % 1000 as frame", "0.5D as seconds").write.parquet(f"{tmp_path}/hits")
+    hits, index = spark.read.parquet(f"{tmp_path}/hits"), resolve.name_index(spark.createDataFrame([("Heineken", None)], "name string, aliases array<string>"))
+    before = spark.conf.get("spark.sql.maxBroadcastTableSize")
+    spark.conf.set("spark.sql.maxBroadcastTableSize", str(64 << 20))
+    try:
+        got = resolve.unknown_clusters(hits, ["run"], index, min_conf=0.3).collect()
+    finally:
+        spark.conf.set("spark.sql.maxBroadcastTableSize", before)
+    assert sorted((r.run, r.norm, r.name, r.frames, r.seconds, round(r.mean_conf, 6)) for r in got) == [(k, f"WORD{n}", f"word{n}", 500, 250.0, 0.9) for k in (0, 1) for n in (0, 1111, 2222)]
+
+
 def test_leader_clusters_move_their_representative(spark):
     rows = [(1, 0, [1.0, 0.0], 0.1), (1, 1, [0.8, 0.2], 0.9), (1, 2, [0.6, 0.4], 0.5), (1, 3, [0.0, 1.0], 0.5), (2, 0, [0.0, 1.0], 0.5)]
     got = clusters.leader_clusters(spark.createDataFrame(rows, "k int, t int, v array<double>, c double"), ["k"], "t", "v", "c", 0.3)
