@@ -143,19 +143,50 @@ def cluster_summary(clustered: DataFrame, keys: Sequence[str], at: str, period:
 
 
 def suppress(boxes: DataFrame, keys: Sequence[str], score: str = "score", share: float = 0.5) -> DataFrame:
-    """The boxes (x, y, w, h) of each key that no better kept box is near: within share of the larger width and height."""
+    """The boxes (x, y, w, h) of each key that no better kept box is near: within share of the larger width and height.
+
+    Equal scores go by x, y, w and h, nulls last. A box of null place is near none; of a null size the other box's counts. Small keys are looked at
+    together, a batch at a time: in each round every key keeps its best open box. What a task holds beside a batch is the kept boxes of one key.
+    """
+    from pyspark.sql import Window
+
     names = list(keys)
+    columns = boxes.columns
+    order = [F.desc_nulls_last(score), *(F.asc_nulls_last(c) for c in ("x", "y", "w", "h"))]
+    ranked = boxes.repartition(*names).withColumn("rank_", F.row_number().over(Window.partitionBy(*names).orderBy(*order))).sortWithinPartitions(*names, "rank_")
 
-    def run(pdf):
+    def near(a, b):
+        """Whether boxes (x, y, w, h in columns) are near, pair by pair."""
         import numpy as np
 
-        pdf = pdf.sort_values([score, "x", "y", "w", "h"], ascending=[False, True, True, True, True]).reset_index(drop=True)
-        x, y, w, h = (pdf[c].to_numpy(float) for c in ("x", "y", "w", "h"))
-        open_ = np.ones(len(pdf), bool)
-        for i in range(len(pdf)):
-            if open_[i]:  # it is kept, so what is near it and comes later is not
-                later = slice(i + 1, None)
-                open_[later] &= ~((np.abs(x[later] - x[i]) < share * np.maximum(w[later], w[i])) & (np.abs(y[later] - y[i]) < share * np.maximum(h[later], h[i])))
-        return pdf[open_]
+        apart = np.abs(a[..., :2] - b[..., :2])
+        return (apart < share * np.fmax(a[..., 2:], b[..., 2:])).all(axis=-1)
 
-    return boxes.groupBy(*names).applyInPandas(run, boxes.schema)
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        held = np.empty((0, 4))  # kept boxes of the key that the batch before ended in
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            first = batch.column("rank_").to_numpy() == 1
+            spots = [batch.column(c).cast(pa.float64(), safe=False).to_numpy(zero_copy_only=False) for c in ("x", "y", "w", "h")]
+            spots = np.stack([*spots[:2], *(np.where(np.isnan(v) & ~batch.column(c).is_null().to_numpy(zero_copy_only=False), np.inf, v) for c, v in zip("wh", spots[2:], strict=True))], axis=1)
+            group, kept = np.cumsum(first), np.zeros(batch.num_rows, bool)
+            own = np.flatnonzero(group == 0)  # rows of the key before
+            for start in range(0, len(held), 256):
+                own = own[~near(spots[own][:, None], held[None, start : start + 256]).any(axis=1)]
+            rest = np.concatenate([own, np.flatnonzero(group > 0)])
+            while len(rest):
+                lead = np.ones(len(rest), bool)
+                lead[1:] = group[rest[1:]] != group[rest[:-1]]
+                best = rest[lead]
+                kept[best] = True
+                to = best[np.cumsum(lead) - 1]
+                rest = rest[~lead & ~near(spots[rest], spots[to])]
+            last = spots[kept & (group == group[-1])]
+            held = last if group[-1] else np.concatenate([held, last])
+            yield batch.filter(pa.array(kept)).select(columns)
+
+    return ranked.mapInArrow(run, boxes.schema)

@@ -116,6 +116,33 @@ def test_suppression_keeps_the_best(spark):
     assert sorted(r.score for r in got) == [0.7, 0.9]
 
 
+def test_suppression_of_small_and_large_keys(spark):
+    """Equal to taking boxes one by one, in keys of a few boxes and in one of many batches, and no key is handed to Python as a whole."""
+    rnd = random.Random(2)
+    some = lambda hi: None if rnd.random() < 0.02 else float(rnd.randrange(hi))
+    rows = [(k, some(300), some(300), some(40), some(40), some(20)) for k in [None, *range(300), *[999] * 3000] for _ in range(rnd.randrange(1, 12) if k != 999 else 1)]
+    want = []
+    by_key = {}
+    for r in rows:
+        by_key.setdefault(r[0], []).append(r)
+    for own in by_key.values():
+        kept = []
+        for r in sorted(own, key=lambda r: [(v is None, v or 0) for v in (None if r[5] is None else -r[5], *r[1:5])]):
+            size = lambda q, i: max((v for v in (q[i], r[i]) if v is not None), default=None)  # noqa: E731, B023
+            close = lambda q, i: None not in (q[i], r[i], size(q, i + 2)) and abs(q[i] - r[i]) < 0.5 * size(q, i + 2)  # noqa: E731, B023
+            if not any(close(q, 1) and close(q, 2) for q in kept):
+                kept.append(r)
+        want += kept
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        got = clusters.suppress(spark.createDataFrame(rows, "f int, x double, y double, w double, h double, score double"), ["f"])
+        assert "FlatMapGroups" not in got._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def test_cuts_keep_their_distance(spark):
     df = spark.createDataFrame([(1, t, 2.0 if t in (2, 3, 4, 5, 9) else 0.5) for t in range(12)], "k int, t int, sev double")
     got = sequences.spaced_cuts(df, ["k"], "t", "sev", 3)
