@@ -30,6 +30,34 @@ def test_panels_add_size_but_no_time(spark):
     assert got["NOBOX"].area_from_whole_band_pct == 100 and got["SINGLE"].area_from_whole_band_pct == 0
 
 
+def test_band_areas_are_those_of_their_outlines(spark):
+    """Straight and bent bands, spans of one column and of more corners than are in memory at a time, parts that are null or missing."""
+    rnd = random.Random(4)
+    some = lambda v: None if rnd.random() < 0.04 else v
+    piece = lambda: None if rnd.random() < 0.04 else (some(rnd.uniform(-1, 1)), some(rnd.uniform(0, 50)), some(rnd.randrange(0, 60)), some(rnd.randrange(40, 1500)))
+    rows = []
+    for k in range(1500):
+        lo = rnd.randrange(0, 40)
+        rows.append((k, some([some(rnd.uniform(-1, 1)), rnd.uniform(1, 90)]), [some(lo), some(lo + rnd.choice([-1, 0, 5, 16, 90, 1030, 2500]))], some(rnd.choice([0.5, 30.0])), [some(0.5), some(2.0)], some(rnd.uniform(1, 20)), some([piece() for _ in range(rnd.randrange(4))])))
+    df = spark.createDataFrame(rows, "k int, coef array<double>, span array<int>, median double, clamp array<double>, h double, segments array<struct<slope:double,intercept:double,x_lo:int,x_hi:int>>")
+    c = [F.col(x) for x in ("coef", "span", "median", "clamp", "h")]
+    for kw in ({}, {"segments": F.col("segments")}):
+        outline = geo.band_outline(*c, **kw)
+        got = df.select("k", geo.band_area(*c, **kw).alias("ours"), F.when(outline.isNotNull(), geo.area(outline)).alias("theirs")).collect()
+        assert sum(r.theirs is None for r in got) > 100 and sum((r.theirs or 0) > 0 for r in got) > 500
+        for r in got:
+            assert (r.ours is None) == (r.theirs is None) and (r.ours is None or abs(r.ours - r.theirs) <= 1e-7 * max(1, r.theirs)), (r, kw)
+
+
+@pytest.mark.parametrize("name", ["band_outlines"])
+def test_bands_are_worked_out_once(spark, sf_dir, name):
+    """No place of the plan repeats a row of a strip or a piece of a boundary; a band's corners are not laid out as structs to be added up."""
+    from dwellspan.plans.queries import QUERIES
+
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_min(transform" in plan and plan.count("array_min(transform") <= 4 and "zip_with" not in plan
+
+
 def test_geometry(spark):
     r = _one(spark, geo.area(geo.rectangle(F.lit(0), F.lit(0), F.lit(4), F.lit(3))).alias("a"), geo.in_polygon(geo.rectangle(F.lit(0), F.lit(0), F.lit(4), F.lit(3)), F.lit(1.0), F.lit(1.0)).alias("i"),
              geo.in_polygon(geo.rectangle(F.lit(0), F.lit(0), F.lit(4), F.lit(3)), F.lit(5.0), F.lit(1.0)).alias("o"), geo.area(F.array(geo.point(F.lit(1), F.lit(1)))).alias("z"), F.size(geo.tiles(F.lit(0), F.lit(100), F.lit(5.0))).alias("t"),
